@@ -27,7 +27,10 @@ def _check_inline(names: Sequence[str]) -> None:
 
 def _one_row_per_hit(df: DataFrame, name: str, candidates: list[Column]) -> DataFrame:
     """One row per non-null candidate; a row without any yields none."""
-    exploded = df.select("*", F.explode_outer(F.array(*candidates)).alias(name))
+    exploded = df.select(
+        *(column for column in df.columns if column != name),
+        F.explode_outer(F.array(*candidates)).alias(name),
+    )
     return exploded.filter(F.col(name).isNotNull())
 
 
@@ -52,7 +55,7 @@ def classify(
     ``reason`` (from ``extract_command``) is kept for rows without a command.
     """
     _check_inline(policy.denied)
-    kept = [name for name in log.columns if name != "reason"]
+    kept = [name for name in log.columns if name not in ("verdict", "catalog", "reason")]
     earlier = F.col("reason") if "reason" in log.columns else F.lit(None)
     no_command = F.coalesce(earlier, F.lit("no_command"))
 
@@ -60,15 +63,15 @@ def classify(
     in_context = once(lowered, "_context", context_hit(F.col("_text"), rules))
     decided = once(
         in_context,
-        "catalog",
+        "_catalog",
         F.when(F.col("_context"), first_word(F.col("_text"), policy.denied)),
     )
-    denied = F.col("catalog").isNotNull()
+    denied = F.col("_catalog").isNotNull()
     empty = F.col("_context").isNull() | (F.col(command) == "")
     return decided.select(
         *kept,
         F.when(denied, DENY).otherwise(ALLOW).alias("verdict"),
-        "catalog",
+        F.col("_catalog").alias("catalog"),
         F.when(denied, MATCH)
         .when(empty, no_command)
         .when(F.col("_context"), NO_MATCH)
@@ -115,8 +118,9 @@ def classify_as_of(
 
     lowered = log.withColumn("_text", F.lower(command))
     in_context = once(lowered, "_context", context_hit(F.col("_text"), rules))
-    decided = once(in_context, "catalog", F.when(F.col("_context"), found))
-    denied = F.col("catalog").isNotNull()
+    decided = once(in_context, "_catalog", F.when(F.col("_context"), found))
     return decided.select(
-        *log.columns, F.when(denied, DENY).otherwise(ALLOW).alias("verdict"), "catalog"
+        *(name for name in log.columns if name not in ("verdict", "catalog")),
+        F.when(F.col("_catalog").isNotNull(), DENY).otherwise(ALLOW).alias("verdict"),
+        F.col("_catalog").alias("catalog"),
     )

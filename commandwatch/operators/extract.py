@@ -16,13 +16,14 @@ NON_STRING_COMMAND = "non_string_command"
 # if the payload is one complete JSON value: trailing text, a second document or a missing
 # brace leave it null, which the JSON functions alone would accept.
 _HEAD, _TAIL = '{"body":', ',"complete":true}'
-_EXACT_SCHEMA = "body STRUCT<tool_input: STRUCT<command: VARIANT>>, complete BOOLEAN"
-_ANY_CASE_SCHEMA = "body MAP<STRING, VARIANT>, complete BOOLEAN"
+_SCHEMA = "body STRUCT<tool_input: STRUCT<command: VARIANT>>, complete BOOLEAN"
 
 
-def _field(fields: Column, name: str) -> Column:
-    same = F.map_filter(fields, lambda key, _: F.lower(key) == name)
-    return F.try_element_at(F.map_values(same), F.lit(-1))
+def _lower_keys(payload: Column) -> Column:
+    """Lowercase the keys on the path. In valid JSON a quoted word before a colon is a key."""
+    for key in ("tool_input", "command"):
+        payload = F.regexp_replace(payload, rf'(?i)"{key}"(?=\s*:)', f'"{key}"')
+    return payload
 
 
 def extract_command(
@@ -32,31 +33,26 @@ def extract_command(
 
     ``command`` is the non-empty string at ``tool_input.command``; otherwise it is null and
     ``reason`` says why. Of repeated keys the last one counts. ``ignore_key_case`` also
-    accepts ``Tool_Input.Command`` and the like, for a slower parse.
+    accepts ``Tool_Input.Command`` and the like, at the cost of two replacements.
     """
-    framed = F.concat(F.lit(_HEAD), F.col(payload), F.lit(_TAIL))
-    schema = _ANY_CASE_SCHEMA if ignore_key_case else _EXACT_SCHEMA
-    parsed = log.withColumn("_json", F.from_json(framed, schema))
-    if ignore_key_case:
-        tool_input = F.try_variant_get(
-            _field(F.col("_json.body"), "tool_input"), "$", "map<string,variant>"
-        )
-        parsed = parsed.withColumn("_command", _field(tool_input, "command"))
-    else:
-        parsed = parsed.withColumn("_command", F.col("_json.body.tool_input.command"))
-
-    text = F.try_variant_get("_command", "$", "string")
-    kind = F.schema_of_variant("_command")
-    found = F.struct(
-        F.when(
-            F.col("_json.complete") & (kind == "STRING") & (text != ""), text
-        ).alias("command"),
-        F.when(F.coalesce(F.length(payload), F.lit(0)) == 0, EMPTY_PAYLOAD)
-        .when(F.col("_json.complete").isNull(), MALFORMED)
-        .when(text.isNull() | (text == ""), NO_COMMAND)
-        .when(kind != "STRING", NON_STRING_COMMAND)
-        .alias("reason"),
+    text = _lower_keys(F.col(payload)) if ignore_key_case else F.col(payload)
+    parsed = log.withColumn(
+        "_json", F.from_json(F.concat(F.lit(_HEAD), text, F.lit(_TAIL)), _SCHEMA)
+    ).withColumn("_command", F.col("_json.body.tool_input.command"))
+    read = F.struct(
+        (F.coalesce(F.length(payload), F.lit(0)) == 0).alias("empty"),
+        F.col("_json.complete").isNotNull().alias("complete"),
+        F.try_variant_get("_command", "$", "string").alias("text"),
+        (F.schema_of_variant("_command") == "STRING").alias("is_string"),
     )
-    return once(parsed, "_found", found).select(
-        *log.columns, F.col("_found.command"), F.col("_found.reason")
+    found = F.col("_read")
+    usable = found["complete"] & found["is_string"] & (found["text"] != "")
+    return once(parsed, "_read", read).select(
+        *(name for name in log.columns if name not in ("command", "reason")),
+        F.when(usable, found["text"]).alias("command"),
+        F.when(found["empty"], EMPTY_PAYLOAD)
+        .when(~found["complete"], MALFORMED)
+        .when(found["text"].isNull() | (found["text"] == ""), NO_COMMAND)
+        .when(~found["is_string"], NON_STRING_COMMAND)
+        .alias("reason"),
     )

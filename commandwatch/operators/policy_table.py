@@ -2,14 +2,14 @@
 
 A name made of word characters occurs as a whole word exactly if it equals one of the
 command's words, so the match is an equi-join on words. A name with other characters joins
-on the longest word inside it, and the candidates are checked with its regex afterwards.
+on one word inside it, and the candidates are then checked with the name's regex.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from commandwatch.functions.text import REGEX_FLAGS, context_hit, once, words
@@ -23,27 +23,56 @@ SALTS = 32
 _VALID = ("valid_from", "valid_to")
 
 
-def _names(policy: DataFrame, as_of: str | None) -> DataFrame:
-    """The denied names with the word each joins on and whether that word is all of it."""
+def _denied_names(policy: DataFrame, as_of: str | None) -> DataFrame:
+    rows = policy.filter("effect = 'deny'") if "effect" in policy.columns else policy
     lowered = F.lower("name")
-    in_name = F.regexp_extract_all(lowered, F.lit(REGEX_FLAGS + r"(\w+)"))
-    longest = F.try_element_at(
-        F.sort_array(
-            F.transform(in_name, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))),
-            asc=False,
-        ),
-        F.lit(1),
-    )
-    rows = policy
-    if "effect" in policy.columns:
-        rows = policy.filter("effect = 'deny'")
     return rows.select(
         "pos",
         "name",
         *(_VALID if as_of else ()),
-        longest["w"].alias("_word"),
-        (longest["w"] == lowered).alias("_whole"),
+        lowered.alias("_lower"),
+        lowered.rlike(REGEX_FLAGS + r"^\w+\z").alias("_whole"),
+        lowered.rlike(REGEX_FLAGS + r"\w").alias("_wordy"),
+    )
+
+
+def _sizes(names: DataFrame) -> dict[bool, Row]:
+    """Rows and bytes of the one-word names (True) and of the others (False)."""
+    sizes = names.groupBy("_whole").agg(
+        F.count("*").alias("rows"),
+        F.sum(2 * F.octet_length("name")).alias("bytes"),
+        F.bool_and("_wordy").alias("wordy"),
+    )
+    found = {row["_whole"]: row for row in sizes.collect()}
+    if any(not row.wordy for row in found.values()):
+        raise ValueError("a denied name needs at least one word character")
+    return found
+
+
+def _fits(*sizes: Row | None) -> bool:
+    rows = sum(size.rows for size in sizes if size)
+    size_bytes = sum(size.bytes for size in sizes if size)
+    return rows <= MAX_BROADCAST_ROWS and size_bytes <= MAX_BROADCAST_BYTES
+
+
+def _anchored(names: DataFrame, has_others: bool) -> DataFrame:
+    """Add ``_word``, the word to join on: of several, the rarest among the names.
+
+    A word that many names share would pair each command that holds it with all of them.
+    """
+    one_word = names.filter("_whole").withColumn("_word", F.col("_lower"))
+    if not has_others:
+        return one_word
+    others = names.filter("NOT _whole")
+    inside = others.select("_lower", F.explode_outer(words(F.col("_lower"))).alias("_word"))
+    inside = inside.distinct()
+    common = inside.groupBy("_word").agg(F.count("*").alias("_n"))
+    rarest = (
+        inside.join(common, "_word")
+        .groupBy("_lower")
+        .agg(F.min(F.struct("_n", "_word"))["_word"].alias("_word"))
     )
+    return one_word.unionByName(others.join(rarest, "_lower"))
 
 
 def _in_force(as_of: str) -> Column:
@@ -52,15 +81,37 @@ def _in_force(as_of: str) -> Column:
     )
 
 
-def _join_words(found: DataFrame, names: DataFrame, key: Sequence[str], strategy: str):
-    if strategy == "broadcast":
-        return found.join(F.broadcast(names), "_word")
-    # A word may be in a third of all commands. Its rows are spread over the salts, and
-    # each name is repeated once per salt, which is little next to the words of a log.
-    salted = found.withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(SALTS)))
-    spread = names.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+def _occurs() -> Column:
+    """True where the joined name occurs in ``_text``; one-word names need no more check."""
+    quoted = F.regexp_replace("_lower", REGEX_FLAGS + r"([^\w])", r"\\$1")
+    pattern = F.concat(F.lit(REGEX_FLAGS + r"\b"), quoted, F.lit(r"\b"))
+    return F.col("_whole") | (
+        F.contains("_text", F.col("_lower")) & F.rlike("_text", pattern)
+    )
+
+
+def _exploded(texts: DataFrame, *dropped: str) -> DataFrame:
+    # explode() would add a filter on the word count that splits the text a second time.
+    kept = [name for name in texts.columns if name not in dropped]
+    return texts.select(*kept, F.explode_outer(words(F.col("_text"))).alias("_word"))
+
+
+def _join_broadcast(texts: DataFrame, names: DataFrame, has_others: bool) -> DataFrame:
+    # Within the join's stage the text is only referenced, not copied per word.
+    if has_others:
+        return _exploded(texts).join(F.broadcast(names), "_word").filter(_occurs())
+    return _exploded(texts, "_text").join(F.broadcast(names), "_word")
+
+
+def _join_shuffled(texts: DataFrame, names: DataFrame, key: list[str]) -> DataFrame:
+    """Join on salted words: one word may be in a third of all commands.
+
+    Each name is repeated once per salt, which is little next to the words of a log.
+    """
+    salted = _exploded(texts, "_text").withColumn(
+        "_salt", F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int")
     )
+    spread = names.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
     return salted.join(spread.hint("merge"), ["_word", "_salt"]).drop("_salt")
 
 
@@ -77,51 +128,42 @@ def match_policy_table(
 
     ``policy`` has ``pos`` and ``name``, optionally ``effect``, and with ``as_of`` (a
     timestamp column of the log) also ``valid_from`` and ``valid_to``: only the rows in
-    force at that time apply. ``key`` columns identify a command. ``strategy`` is
-    "broadcast" or "shuffle"; by default the measured size of the policy decides.
+    force at that time apply. ``key`` columns identify a command and are not null.
+
+    The measured size of the policy decides between a broadcast join without a shuffle and
+    a salted shuffle join. ``strategy`` ("broadcast", "shuffle") asks for one of them; a
+    policy over the limits is never broadcast.
     """
+    if strategy not in (None, "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     key = list(key)
-    names = _names(policy, as_of)
-    size = names.agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(F.octet_length("name") + F.octet_length("_word")), F.lit(0)).alias(
-            "bytes"
-        ),
-        F.count_if(F.col("_word").isNull()).alias("wordless"),
-        F.count_if(~F.col("_whole")).alias("partial"),
-    ).first()
-    if size.wordless:
-        raise ValueError("a denied name needs at least one word character")
-    fits = size.rows <= MAX_BROADCAST_ROWS and size.bytes <= MAX_BROADCAST_BYTES
-    if strategy is None:
-        strategy = "broadcast" if fits else "shuffle"
-    if strategy == "broadcast" and not fits:
+    names = _denied_names(policy, as_of)
+    sizes = _sizes(names)
+    one_word, others = sizes.get(True), sizes.get(False)
+    if strategy == "broadcast" and not _fits(one_word, others):
         raise ValueError("the policy is too large to broadcast")
 
+    carried = [*key, *([as_of] if as_of and as_of not in key else [])]
     lowered = log.withColumn("_text", F.lower(command))
-    texts = (
-        once(lowered, "_context", context_hit(F.col("_text"), rules))
-        .filter("_context")
-        .select(*key, *([as_of] if as_of and as_of not in key else []), "_text")
-    )
-    carried = [name for name in texts.columns if name != "_text"]
-    # explode() would add a filter on the word count that splits the text a second time.
-    found = texts.select(*carried, F.explode_outer(words(F.col("_text"))).alias("_word"))
-    hits = _join_words(found, names, key, strategy)
+    in_context = once(lowered, "_context", context_hit(F.col("_text"), rules))
+    texts = in_context.filter("_context").select(*carried, "_text")
+    names = _anchored(names, others is not None)
+
+    if strategy != "shuffle" and _fits(one_word, others):
+        hits = _join_broadcast(texts, names, others is not None)
+    else:
+        hits = _join_shuffled(texts, names.filter("_whole"), key)
+        if others:
+            rest = names.filter("NOT _whole")
+            if strategy != "shuffle" and _fits(others):
+                checked = _join_broadcast(texts, rest, True)
+            else:
+                candidates = _join_shuffled(texts, rest, key)
+                checked = candidates.join(texts.select(*key, "_text"), key).filter(_occurs())
+            hits = hits.unionByName(checked.select(*hits.columns))
     if as_of:
         hits = hits.filter(_in_force(as_of))
-    out = [*key, "pos", F.col("name").alias("catalog")]
-    if not size.partial:
-        return hits.select(*out)
-
-    quoted = F.regexp_replace(F.lower("name"), REGEX_FLAGS + r"([^\w])", r"\\$1")
-    pattern = F.concat(F.lit(REGEX_FLAGS + r"\b"), quoted, F.lit(r"\b"))
-    checked = (
-        hits.filter(~F.col("_whole"))
-        .join(texts.select(*key, "_text"), key)
-        .filter(F.contains("_text", F.lower("name")) & F.rlike("_text", pattern))
-    )
-    return hits.filter("_whole").select(*out).unionByName(checked.select(*out))
+    return hits.select(*key, "pos", F.col("name").alias("catalog"))
 
 
 def first_match(matches: DataFrame, key: Sequence[str]) -> DataFrame:

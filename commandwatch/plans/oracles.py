@@ -223,6 +223,7 @@ ORACLES: dict[str, str] = {
     ),
     "document_terms": _DOCUMENT_TERMS,
     "document_terms_join": _DOCUMENT_TERMS,
+    "document_terms_shuffle": _DOCUMENT_TERMS,
     "conversation_terms_join": "WITH log AS (SELECT conv_id, turn, lower(text) AS text "
     f"FROM conversations), decided AS (SELECT *, {_first('text', policies.TERMS)} AS term "
     "FROM log) SELECT conv_id, turn, term FROM decided WHERE term IS NOT NULL",

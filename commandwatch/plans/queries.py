@@ -236,6 +236,18 @@ def document_terms_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("catalog").alias("term"))
 
 
+def document_terms_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = match_policy_table(
+        _table(spark, sf_dir, "documents"),
+        policies.ANY_TEXT,
+        policies.term_table(spark),
+        ["doc_id"],
+        command="text",
+        strategy="shuffle",
+    )
+    return found.select("doc_id", F.col("catalog").alias("term"))
+
+
 def conversation_terms_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = ["conv_id", "turn"]
     found = match_policy_table(
@@ -306,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_verdict": document_verdict,
     "document_terms": document_terms,
     "document_terms_join": document_terms_join,
+    "document_terms_shuffle": document_terms_shuffle,
     "conversation_terms_join": conversation_terms_join,
     "page_verdict": page_verdict,
     "stream_verdict": stream_verdict,
