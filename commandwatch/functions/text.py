@@ -40,7 +40,7 @@ def word_hit(text: Column, word: str) -> Column:
 
 def context_hit(text: Column, rules: Sequence[Rule]) -> Column:
     """True where any rule fires; later rules are not tried after a hit."""
-    hits = [pattern_hit(text, rule.pattern, rule.needs) for rule in rules]
+    hits = [pattern_hit(text, rule.search, rule.needs) for rule in rules]
     return functools.reduce(operator.or_, hits, F.lit(False))
 
 

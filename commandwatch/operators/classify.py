@@ -38,7 +38,7 @@ def tag_rules(log: DataFrame, rules: Sequence[Rule], command: str = "command") -
     """One row per command and context rule it fires, in column ``rule_id``."""
     text = F.col("_text")
     fired = [
-        F.when(pattern_hit(text, rule.pattern, rule.needs), F.lit(rule.rule_id))
+        F.when(pattern_hit(text, rule.search, rule.needs), F.lit(rule.rule_id))
         for rule in rules
     ]
     lowered = log.withColumn("_text", F.lower(command))

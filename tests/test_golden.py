@@ -1,5 +1,7 @@
 """Every golden command and payload against its expected rules and verdict."""
 
+import random
+
 import pytest
 
 from commandwatch import CATALOG_POLICY, CATALOG_RULES, Policy, Rule, audit
@@ -109,6 +111,28 @@ def test_rule_hints_never_change_a_result(commands):
     assert tag_rules(commands, plain).exceptAll(with_hints).isEmpty()
 
 
+def test_linear_pattern_is_equivalent(spark):
+    rng = random.Random(3)
+    parts = ["select", "catalog", "\n", " ", "x", "_", "\r", "drop", "alter catalog", "-", "é"]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randint(1, 9)))) for i in range(20000)]
+    log = spark.createDataFrame(rows, "id INT, command STRING")
+    linear = [rule for rule in CATALOG_RULES if rule.linear]
+    plain = [Rule(rule.rule_id, rule.pattern) for rule in linear]
+    fired = tag_rules(log, linear)
+    assert fired.count() > 1000
+    assert fired.exceptAll(tag_rules(log, plain)).isEmpty()
+    assert tag_rules(log, plain).exceptAll(fired).isEmpty()
+
+
+def test_a_megabyte_line_of_verbs(spark):
+    log = spark.createDataFrame(
+        [(1, "catalog " + "select " * 150_000), (2, "select " * 150_000 + "catalog system")],
+        "id INT, command STRING",
+    )
+    rows = classify(log, CATALOG_RULES, CATALOG_POLICY).orderBy("id").collect()
+    assert [row.catalog for row in rows] == [None, "system"]
+
+
 def test_order_of_the_policy_decides(commands):
     turned = Policy(denied=CATALOG_POLICY.denied[::-1], allowed="sandbox_others")
     row = classify(commands, CATALOG_RULES, turned).filter("id = 8").first()
