@@ -5,12 +5,9 @@ All of them expect text that is lowercased already, so a log is lowercased once
 
 from __future__ import annotations
 
-import functools
-import operator
 import re
-from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from commandwatch.policy import Rule
@@ -29,6 +26,10 @@ def pattern_hit(text: Column, pattern: str, needs: str | None = None) -> Column:
     return (F.contains(text, F.lit(needs)) & hit) if needs else hit
 
 
+def rule_hit(text: Column, rule: Rule) -> Column:
+    return pattern_hit(text, rule.search, rule.needs)
+
+
 def word_pattern(word: str) -> str:
     return rf"\b{re.escape(word.lower())}\b"
 
@@ -38,32 +39,6 @@ def word_hit(text: Column, word: str) -> Column:
     return pattern_hit(text, word_pattern(word), word.lower())
 
 
-def context_hit(text: Column, rules: Sequence[Rule]) -> Column:
-    """True where any rule fires; later rules are not tried after a hit."""
-    hits = [pattern_hit(text, rule.search, rule.needs) for rule in rules]
-    return functools.reduce(operator.or_, hits, F.lit(False))
-
-
-def first_word(text: Column, names: Sequence[str]) -> Column:
-    """The first of ``names``, in their own order, that occurs as a whole word, or null."""
-    if not names:
-        return F.lit(None).cast("string")
-    chain = F
-    for name in names:
-        chain = chain.when(word_hit(text, name), F.lit(name))
-    return chain.otherwise(F.lit(None))
-
-
 def words(text: Column) -> Column:
     """The distinct maximal runs of word characters in ``text``."""
     return F.array_distinct(F.regexp_extract_all(text, F.lit(REGEX_FLAGS + r"(\w+)")))
-
-
-def once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add ``value`` as a column that later filters read instead of recomputing.
-
-    Catalyst pushes a filter on a projected column below the projection, and so evaluates
-    a costly expression a second time. It does not push through a generator, and a
-    generator over a one-element array stays inside whole-stage codegen.
-    """
-    return df.select("*", F.explode_outer(F.array(value)).alias(name))

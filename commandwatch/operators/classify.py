@@ -7,13 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commandwatch.functions.text import (
-    context_hit,
-    first_word,
-    once,
-    pattern_hit,
-    word_hit,
-)
+from commandwatch.functions.staged import add_any, add_first, explode_hits
+from commandwatch.functions.text import rule_hit, word_hit
 from commandwatch.policy import MAX_INLINE_NAMES, Policy, Rule
 
 ALLOW, DENY = "allow", "deny"
@@ -25,24 +20,21 @@ def _check_inline(names: Sequence[str]) -> None:
         raise ValueError(f"more than {MAX_INLINE_NAMES} names: use match_policy_table")
 
 
-def _one_row_per_hit(df: DataFrame, name: str, candidates: list[Column]) -> DataFrame:
-    """One row per non-null candidate; a row without any yields none."""
-    exploded = df.select(
-        *(column for column in df.columns if column != name),
-        F.explode_outer(F.array(*candidates)).alias(name),
-    )
-    return exploded.filter(F.col(name).isNotNull())
+def _name_hits(names: Sequence[str]) -> list[tuple[Column, str]]:
+    return [(word_hit(F.col("_text"), name), name) for name in names]
+
+
+def with_context(log: DataFrame, rules: Sequence[Rule], command: str) -> DataFrame:
+    """Add the lowercased command as ``_text`` and whether any rule fires as ``_context``."""
+    lowered = log.withColumn("_text", F.lower(command))
+    return add_any(lowered, "_context", [rule_hit(F.col("_text"), rule) for rule in rules])
 
 
 def tag_rules(log: DataFrame, rules: Sequence[Rule], command: str = "command") -> DataFrame:
     """One row per command and context rule it fires, in column ``rule_id``."""
-    text = F.col("_text")
-    fired = [
-        F.when(pattern_hit(text, rule.search, rule.needs), F.lit(rule.rule_id))
-        for rule in rules
-    ]
     lowered = log.withColumn("_text", F.lower(command))
-    return _one_row_per_hit(lowered, "rule_id", fired).drop("_text")
+    fired = [(rule_hit(F.col("_text"), rule), rule.rule_id) for rule in rules]
+    return explode_hits(lowered, "rule_id", fired).drop("_text")
 
 
 def classify(
@@ -57,24 +49,23 @@ def classify(
     _check_inline(policy.denied)
     kept = [name for name in log.columns if name not in ("verdict", "catalog", "reason")]
     earlier = F.col("reason") if "reason" in log.columns else F.lit(None)
-    no_command = F.coalesce(earlier, F.lit("no_command"))
 
-    lowered = log.withColumn("_text", F.lower(command))
-    in_context = once(lowered, "_context", context_hit(F.col("_text"), rules))
-    decided = once(
-        in_context,
+    in_context = F.col("_context")
+    decided = add_first(
+        with_context(log, rules, command),
         "_catalog",
-        F.when(F.col("_context"), first_word(F.col("_text"), policy.denied)),
+        _name_hits(policy.denied),
+        only=in_context,
     )
     denied = F.col("_catalog").isNotNull()
-    empty = F.col("_context").isNull() | (F.col(command) == "")
+    without_command = F.col(command).isNull() | (F.col(command) == "")
     return decided.select(
         *kept,
         F.when(denied, DENY).otherwise(ALLOW).alias("verdict"),
         F.col("_catalog").alias("catalog"),
         F.when(denied, MATCH)
-        .when(empty, no_command)
-        .when(F.col("_context"), NO_MATCH)
+        .when(without_command, F.coalesce(earlier, F.lit("no_command")))
+        .when(in_context, NO_MATCH)
         .otherwise(NO_CONTEXT)
         .alias("reason"),
     )
@@ -85,14 +76,9 @@ def all_matches(
 ) -> DataFrame:
     """One row per command in context and denied name it holds, in column ``catalog``."""
     _check_inline(policy.denied)
-    lowered = log.withColumn("_text", F.lower(command))
-    in_context = once(lowered, "_context", context_hit(F.col("_text"), rules))
-    held = [
-        F.when(word_hit(F.col("_text"), name), F.lit(name)) for name in policy.denied
-    ]
-    return _one_row_per_hit(in_context.filter("_context"), "catalog", held).drop(
-        "_text", "_context"
-    )
+    in_context = with_context(log, rules, command).filter("_context")
+    hits = explode_hits(in_context, "catalog", _name_hits(policy.denied))
+    return hits.drop("_text", "_context")
 
 
 def classify_as_of(
@@ -104,21 +90,21 @@ def classify_as_of(
 ) -> DataFrame:
     """Add ``verdict`` and ``catalog`` under the policy in force at column ``at``.
 
-    ``history`` holds (valid from, valid to or None, policy) with timestamps as text; a
-    policy applies from its start until just before its end.
+    ``history`` holds (valid from, valid to or None, policy) with timestamps as text, and
+    its periods do not overlap; each ends just before its valid-to time.
     """
     _check_inline([name for _, _, policy in history for name in policy.denied])
     time = F.col(at)
-    found = F.lit(None).cast("string")
-    for start, end, policy in reversed(history):
+    names = []
+    for start, end, policy in history:
         in_force = time >= F.lit(start).cast("timestamp_ntz")
         if end is not None:
             in_force = in_force & (time < F.lit(end).cast("timestamp_ntz"))
-        found = F.when(in_force, first_word(F.col("_text"), policy.denied)).otherwise(found)
+        names += [(in_force & hit, name) for hit, name in _name_hits(policy.denied)]
 
-    lowered = log.withColumn("_text", F.lower(command))
-    in_context = once(lowered, "_context", context_hit(F.col("_text"), rules))
-    decided = once(in_context, "_catalog", F.when(F.col("_context"), found))
+    decided = add_first(
+        with_context(log, rules, command), "_catalog", names, only=F.col("_context")
+    )
     return decided.select(
         *(name for name in log.columns if name not in ("verdict", "catalog")),
         F.when(F.col("_catalog").isNotNull(), DENY).otherwise(ALLOW).alias("verdict"),

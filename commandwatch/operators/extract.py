@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commandwatch.functions.text import once
+from commandwatch.functions.staged import once
 
 EMPTY_PAYLOAD = "empty_payload"
 MALFORMED = "malformed"

@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from commandwatch.functions.text import REGEX_FLAGS, context_hit, once, words
-from commandwatch.operators.classify import ALLOW, DENY
+from commandwatch.functions.text import REGEX_FLAGS, words
+from commandwatch.operators.classify import ALLOW, DENY, with_context
 from commandwatch.policy import Rule
 
 MAX_BROADCAST_ROWS = 1_000_000
@@ -26,24 +26,24 @@ _VALID = ("valid_from", "valid_to")
 def _denied_names(policy: DataFrame, as_of: str | None) -> DataFrame:
     rows = policy.filter("effect = 'deny'") if "effect" in policy.columns else policy
     lowered = F.lower("name")
+    one_word = lowered.rlike(REGEX_FLAGS + r"^\w+\z")
     return rows.select(
         "pos",
         "name",
         *(_VALID if as_of else ()),
         lowered.alias("_lower"),
-        lowered.rlike(REGEX_FLAGS + r"^\w+\z").alias("_whole"),
-        lowered.rlike(REGEX_FLAGS + r"\w").alias("_wordy"),
+        F.when(one_word, lowered).alias("_word"),
     )
 
 
 def _sizes(names: DataFrame) -> dict[bool, Row]:
     """Rows and bytes of the one-word names (True) and of the others (False)."""
-    sizes = names.groupBy("_whole").agg(
+    sizes = names.groupBy(F.col("_word").isNotNull().alias("one_word")).agg(
         F.count("*").alias("rows"),
-        F.sum(2 * F.octet_length("name")).alias("bytes"),
-        F.bool_and("_wordy").alias("wordy"),
+        F.sum(3 * F.octet_length("name")).alias("bytes"),
+        F.bool_and(F.col("_lower").rlike(REGEX_FLAGS + r"\w")).alias("wordy"),
     )
-    found = {row["_whole"]: row for row in sizes.collect()}
+    found = {row.one_word: row for row in sizes.collect()}
     if any(not row.wordy for row in found.values()):
         raise ValueError("a denied name needs at least one word character")
     return found
@@ -55,15 +55,11 @@ def _fits(*sizes: Row | None) -> bool:
     return rows <= MAX_BROADCAST_ROWS and size_bytes <= MAX_BROADCAST_BYTES
 
 
-def _anchored(names: DataFrame, has_others: bool) -> DataFrame:
-    """Add ``_word``, the word to join on: of several, the rarest among the names.
+def _with_anchors(others: DataFrame) -> DataFrame:
+    """Set ``_word``, the word to join on, to the one that is rarest among the names.
 
     A word that many names share would pair each command that holds it with all of them.
     """
-    one_word = names.filter("_whole").withColumn("_word", F.col("_lower"))
-    if not has_others:
-        return one_word
-    others = names.filter("NOT _whole")
     inside = others.select("_lower", F.explode_outer(words(F.col("_lower"))).alias("_word"))
     inside = inside.distinct()
     common = inside.groupBy("_word").agg(F.count("*").alias("_n"))
@@ -72,7 +68,7 @@ def _anchored(names: DataFrame, has_others: bool) -> DataFrame:
         .groupBy("_lower")
         .agg(F.min(F.struct("_n", "_word"))["_word"].alias("_word"))
     )
-    return one_word.unionByName(others.join(rarest, "_lower"))
+    return others.drop("_word").join(rarest, "_lower")
 
 
 def _in_force(as_of: str) -> Column:
@@ -82,10 +78,10 @@ def _in_force(as_of: str) -> Column:
 
 
 def _occurs() -> Column:
-    """True where the joined name occurs in ``_text``; one-word names need no more check."""
+    """True where the joined name occurs in ``_text``; a one-word name did so by the join."""
     quoted = F.regexp_replace("_lower", REGEX_FLAGS + r"([^\w])", r"\\$1")
     pattern = F.concat(F.lit(REGEX_FLAGS + r"\b"), quoted, F.lit(r"\b"))
-    return F.col("_whole") | (
+    return (F.col("_word") == F.col("_lower")) | (
         F.contains("_text", F.col("_lower")) & F.rlike("_text", pattern)
     )
 
@@ -96,9 +92,9 @@ def _exploded(texts: DataFrame, *dropped: str) -> DataFrame:
     return texts.select(*kept, F.explode_outer(words(F.col("_text"))).alias("_word"))
 
 
-def _join_broadcast(texts: DataFrame, names: DataFrame, has_others: bool) -> DataFrame:
+def _join_broadcast(texts: DataFrame, names: DataFrame, check: bool) -> DataFrame:
     # Within the join's stage the text is only referenced, not copied per word.
-    if has_others:
+    if check:
         return _exploded(texts).join(F.broadcast(names), "_word").filter(_occurs())
     return _exploded(texts, "_text").join(F.broadcast(names), "_word")
 
@@ -144,21 +140,21 @@ def match_policy_table(
         raise ValueError("the policy is too large to broadcast")
 
     carried = [*key, *([as_of] if as_of and as_of not in key else [])]
-    lowered = log.withColumn("_text", F.lower(command))
-    in_context = once(lowered, "_context", context_hit(F.col("_text"), rules))
-    texts = in_context.filter("_context").select(*carried, "_text")
-    names = _anchored(names, others is not None)
+    in_context = with_context(log, rules, command).filter("_context")
+    texts = in_context.select(*carried, "_text")
+    plain = names.filter("_word IS NOT NULL") if others else names
+    odd = _with_anchors(names.filter("_word IS NULL")) if others else None
 
     if strategy != "shuffle" and _fits(one_word, others):
-        hits = _join_broadcast(texts, names, others is not None)
+        every = plain.unionByName(odd) if others else plain
+        hits = _join_broadcast(texts, every, check=others is not None)
     else:
-        hits = _join_shuffled(texts, names.filter("_whole"), key)
+        hits = _join_shuffled(texts, plain, key)
         if others:
-            rest = names.filter("NOT _whole")
             if strategy != "shuffle" and _fits(others):
-                checked = _join_broadcast(texts, rest, True)
+                checked = _join_broadcast(texts, odd, check=True)
             else:
-                candidates = _join_shuffled(texts, rest, key)
+                candidates = _join_shuffled(texts, odd, key)
                 checked = candidates.join(texts.select(*key, "_text"), key).filter(_occurs())
             hits = hits.unionByName(checked.select(*hits.columns))
     if as_of:

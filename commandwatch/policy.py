@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 POLICY_SCHEMA = "pos INT, name STRING, effect STRING, note STRING"
 RULE_SCHEMA = "rule_id INT, pattern STRING, needs STRING, linear STRING"
 
-# Longer lists make longer plans; past this, match_policy_table joins instead.
-MAX_INLINE_NAMES = 200
+# Every name is a test per row; past this, the join of match_policy_table is faster.
+MAX_INLINE_NAMES = 100
 MAX_RULES = 500
 
 

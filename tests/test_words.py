@@ -130,13 +130,13 @@ def test_rejected_policies(spark):
 
 
 def test_long_lists_go_to_the_join(spark, texts):
-    names = tuple(f"name{i}" for i in range(201))
+    names = tuple(f"name{i}" for i in range(101))
     with pytest.raises(ValueError, match="match_policy_table"):
         classify(texts, ANY, Policy(denied=names))
     table = Policy(denied=names).to_table(spark)
     with pytest.raises(ValueError, match="match_policy_table"):
         Policy.from_table(table)
-    log = spark.createDataFrame([(1, "a name200 name7")], "id INT, command STRING")
+    log = spark.createDataFrame([(1, "a name100 name7")], "id INT, command STRING")
     matches = match_policy_table(log, ANY, table, ["id"])
     assert first_match(matches, ["id"]).first().catalog == "name7"
 
