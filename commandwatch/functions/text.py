@@ -30,13 +30,14 @@ def rule_hit(text: Column, rule: Rule) -> Column:
     return pattern_hit(text, rule.search, rule.needs)
 
 
-def word_pattern(word: str) -> str:
-    return rf"\b{re.escape(word.lower())}\b"
-
-
 def word_hit(text: Column, word: str) -> Column:
-    """True where ``word`` occurs in ``text`` as a whole word."""
-    return pattern_hit(text, word_pattern(word), word.lower())
+    r"""True where ``word`` occurs in ``text`` as a whole word, as by ``\bword\b``.
+
+    The pattern starts with the word itself, which lets the regex engine skip ahead, and
+    looks back for the boundary in front of it.
+    """
+    escaped = re.escape(word.lower())
+    return pattern_hit(text, rf"{escaped}(?<=\b{escaped})\b", word.lower())
 
 
 def words(text: Column) -> Column:
