@@ -54,7 +54,7 @@ def add_first(
 
 
 def explode_hits(
-    df: DataFrame, name: str, cases: Sequence[tuple[Column, str | int]]
+    df: DataFrame, name: str, cases: Sequence[tuple[Column, Column | str | int]]
 ) -> DataFrame:
     """One row per case that is true, with its label; a row without any yields none."""
     df = df.drop(name)

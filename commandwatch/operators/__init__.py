@@ -1,8 +1,15 @@
 """Operators on command logs: extract, tag, decide, match against tables, report."""
 
-from commandwatch.operators.classify import all_matches, classify, classify_as_of, tag_rules
+from commandwatch.operators.classify import (
+    all_matches,
+    classify,
+    classify_as_of,
+    in_context,
+    tag_rules,
+)
 from commandwatch.operators.extract import extract_command
 from commandwatch.operators.policy_table import (
+    classify_by_table,
     deny_by_table,
     first_match,
     match_policy_table,
@@ -24,10 +31,12 @@ __all__ = [
     "allowed_rest",
     "classify",
     "classify_as_of",
+    "classify_by_table",
     "denials",
     "deny_by_table",
     "extract_command",
     "first_match",
+    "in_context",
     "match_policy_table",
     "policy_coverage",
     "tag_rules",

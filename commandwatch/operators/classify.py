@@ -30,6 +30,11 @@ def with_context(log: DataFrame, rules: Sequence[Rule], command: str) -> DataFra
     return add_any(lowered, "_context", [rule_hit(F.col("_text"), rule) for rule in rules])
 
 
+def in_context(log: DataFrame, rules: Sequence[Rule], command: str = "command") -> DataFrame:
+    """The commands that fire at least one rule."""
+    return with_context(log, rules, command).filter("_context").drop("_text", "_context")
+
+
 def tag_rules(log: DataFrame, rules: Sequence[Rule], command: str = "command") -> DataFrame:
     """One row per command and context rule it fires, in column ``rule_id``."""
     lowered = log.withColumn("_text", F.lower(command))
@@ -50,12 +55,9 @@ def classify(
     kept = [name for name in log.columns if name not in ("verdict", "catalog", "reason")]
     earlier = F.col("reason") if "reason" in log.columns else F.lit(None)
 
-    in_context = F.col("_context")
+    fires = F.col("_context")
     decided = add_first(
-        with_context(log, rules, command),
-        "_catalog",
-        _name_hits(policy.denied),
-        only=in_context,
+        with_context(log, rules, command), "_catalog", _name_hits(policy.denied), only=fires
     )
     denied = F.col("_catalog").isNotNull()
     without_command = F.col(command).isNull() | (F.col(command) == "")
@@ -65,7 +67,7 @@ def classify(
         F.col("_catalog").alias("catalog"),
         F.when(denied, MATCH)
         .when(without_command, F.coalesce(earlier, F.lit("no_command")))
-        .when(in_context, NO_MATCH)
+        .when(fires, NO_MATCH)
         .otherwise(NO_CONTEXT)
         .alias("reason"),
     )
@@ -76,8 +78,8 @@ def all_matches(
 ) -> DataFrame:
     """One row per command in context and denied name it holds, in column ``catalog``."""
     _check_inline(policy.denied)
-    in_context = with_context(log, rules, command).filter("_context")
-    hits = explode_hits(in_context, "catalog", _name_hits(policy.denied))
+    tagged = with_context(log, rules, command).filter("_context")
+    hits = explode_hits(tagged, "catalog", _name_hits(policy.denied))
     return hits.drop("_text", "_context")
 
 

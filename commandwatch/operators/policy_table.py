@@ -1,6 +1,6 @@
 """Match commands against a policy table of any size.
 
-A name made of word characters occurs as a whole word exactly if it equals one of the
+A short table becomes part of the plan. A longer one is joined. A name made of word characters occurs as a whole word exactly if it equals one of the
 command's words, so the match is an equi-join on words. A name with other characters joins
 on one word inside it, and the candidates are then checked with the name's regex.
 """
@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from commandwatch.functions.text import REGEX_FLAGS, words
-from commandwatch.operators.classify import ALLOW, DENY, with_context
-from commandwatch.policy import Rule
+from commandwatch.functions.staged import explode_hits
+from commandwatch.functions.text import REGEX_FLAGS, word_hit, words
+from commandwatch.operators.classify import ALLOW, DENY, classify, with_context
+from commandwatch.policy import MAX_INLINE_NAMES, Policy, Rule
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -23,8 +24,12 @@ SALTS = 32
 _VALID = ("valid_from", "valid_to")
 
 
+def _denied(policy: DataFrame) -> DataFrame:
+    return policy.filter("effect = 'deny'") if "effect" in policy.columns else policy
+
+
 def _denied_names(policy: DataFrame, as_of: str | None) -> DataFrame:
-    rows = policy.filter("effect = 'deny'") if "effect" in policy.columns else policy
+    rows = _denied(policy)
     lowered = F.lower("name")
     one_word = lowered.rlike(REGEX_FLAGS + r"^\w+\z")
     return rows.select(
@@ -49,10 +54,13 @@ def _sizes(names: DataFrame) -> dict[bool, Row]:
     return found
 
 
+def _rows(*sizes: Row | None) -> int:
+    return sum(size.rows for size in sizes if size)
+
+
 def _fits(*sizes: Row | None) -> bool:
-    rows = sum(size.rows for size in sizes if size)
     size_bytes = sum(size.bytes for size in sizes if size)
-    return rows <= MAX_BROADCAST_ROWS and size_bytes <= MAX_BROADCAST_BYTES
+    return _rows(*sizes) <= MAX_BROADCAST_ROWS and size_bytes <= MAX_BROADCAST_BYTES
 
 
 def _with_anchors(others: DataFrame) -> DataFrame:
@@ -86,6 +94,16 @@ def _occurs() -> Column:
     )
 
 
+def _match_inline(texts: DataFrame, names: DataFrame, key: list[str]) -> DataFrame:
+    pos_type = names.schema["pos"].dataType
+    cases = []
+    for row in names.select("pos", "name").collect():
+        pos = F.lit(row.pos).cast(pos_type).alias("pos")
+        label = F.struct(pos, F.lit(row.name).alias("catalog"))
+        cases.append((word_hit(F.col("_text"), row.name), label))
+    return explode_hits(texts, "_hit", cases).select(*key, "_hit.pos", "_hit.catalog")
+
+
 def _exploded(texts: DataFrame, *dropped: str) -> DataFrame:
     # explode() would add a filter on the word count that splits the text a second time.
     kept = [name for name in texts.columns if name not in dropped]
@@ -126,9 +144,9 @@ def match_policy_table(
     timestamp column of the log) also ``valid_from`` and ``valid_to``: only the rows in
     force at that time apply. ``key`` columns identify a command and are not null.
 
-    The measured size of the policy decides between a broadcast join without a shuffle and
-    a salted shuffle join. ``strategy`` ("broadcast", "shuffle") asks for one of them; a
-    policy over the limits is never broadcast.
+    The measured size of the policy decides between tests in the plan, a broadcast join
+    (neither shuffles) and a salted shuffle join. ``strategy`` ("broadcast", "shuffle") asks
+    for one of the joins; a policy over the limits is never broadcast.
     """
     if strategy not in (None, "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -142,6 +160,8 @@ def match_policy_table(
     carried = [*key, *([as_of] if as_of and as_of not in key else [])]
     in_context = with_context(log, rules, command).filter("_context")
     texts = in_context.select(*carried, "_text")
+    if strategy is None and not as_of and 0 < _rows(one_word, others) <= MAX_INLINE_NAMES:
+        return _match_inline(texts, names, key)
     plain = names.filter("_word IS NOT NULL") if others else names
     odd = _with_anchors(names.filter("_word IS NULL")) if others else None
 
@@ -170,6 +190,23 @@ def first_match(matches: DataFrame, key: Sequence[str]) -> DataFrame:
 def deny_by_table(log: DataFrame, denied: DataFrame, key: Sequence[str]) -> DataFrame:
     """Every row of the log with its verdict, given the denied keys and their catalog."""
     verdict = F.when(F.col("catalog").isNotNull(), DENY).otherwise(ALLOW)
-    return log.join(denied.select(*key, "catalog"), list(key), "left").withColumn(
+    rows = log.drop("verdict", "catalog")
+    return rows.join(denied.select(*key, "catalog"), list(key), "left").withColumn(
         "verdict", verdict
     )
+
+
+def classify_by_table(
+    log: DataFrame,
+    rules: Sequence[Rule],
+    policy: DataFrame,
+    key: Sequence[str],
+    command: str = "command",
+) -> DataFrame:
+    """Add ``verdict`` and ``catalog`` to every row, without a shuffle for a short policy."""
+    denied = _denied(policy).orderBy("pos").select("name").limit(MAX_INLINE_NAMES + 1)
+    names = tuple(row.name for row in denied.collect())
+    if len(names) <= MAX_INLINE_NAMES:
+        return classify(log, rules, Policy(denied=names), command).drop("reason")
+    matches = match_policy_table(log, rules, policy, key, command)
+    return deny_by_table(log, first_match(matches, key), key)

@@ -189,7 +189,9 @@ ORACLES: dict[str, str] = {
         f"SELECT event_id, {rule.rule_id} AS rule_id FROM log WHERE {_fires('text', rule)}"
         for rule in CATALOG_RULES
     ),
+    "commands_in_context": f"WITH {_DECIDED} SELECT event_id FROM decided WHERE in_context",
     "command_verdict": _COMMAND_VERDICT,
+    "command_verdict_table": _COMMAND_VERDICT,
     "verdict_reason": f"WITH {_DECIDED} SELECT event_id, {_REASON} AS reason, catalog "
     "FROM decided",
     "denied_commands": _DENIED_COMMANDS,
@@ -199,6 +201,7 @@ ORACLES: dict[str, str] = {
     "allowed_commands": _ALLOWED_COMMANDS,
     "allowed_commands_anti": _ALLOWED_COMMANDS,
     "all_matches": _ALL_MATCHES,
+    "all_matches_table": _ALL_MATCHES,
     "all_matches_join": _ALL_MATCHES,
     "verdict_records": f"WITH {_DENIED} SELECT event_id, false AS continue_flag, "
     "message AS stop_reason, message AS system_message, 'PreToolUse' AS event_name, "

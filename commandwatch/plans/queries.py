@@ -13,10 +13,12 @@ from commandwatch.operators import (
     allowed_rest,
     classify,
     classify_as_of,
+    classify_by_table,
     denials,
     deny_by_table,
     extract_command,
     first_match,
+    in_context,
     match_policy_table,
     policy_coverage,
     tag_rules,
@@ -64,7 +66,9 @@ def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_commands(spark, sf_dir), CATALOG_RULES, CATALOG_POLICY)
 
 
-def _table_matches(spark: SparkSession, sf_dir: str, strategy: str | None = None) -> DataFrame:
+def _table_matches(
+    spark: SparkSession, sf_dir: str, strategy: str | None = "broadcast"
+) -> DataFrame:
     return match_policy_table(
         _commands(spark, sf_dir),
         CATALOG_RULES,
@@ -94,6 +98,10 @@ def context_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag_rules(_commands(spark, sf_dir), rules).select("event_id", "rule_id")
 
 
+def commands_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return in_context(_commands(spark, sf_dir), CATALOG_RULES).select("event_id")
+
+
 def command_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdicts(spark, sf_dir).select("event_id", "verdict", "catalog")
 
@@ -116,6 +124,12 @@ def denied_commands_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_match(_table_matches(spark, sf_dir, "shuffle"), KEY)
 
 
+def command_verdict_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    policy = CATALOG_POLICY.to_table(spark)
+    decided = classify_by_table(_commands(spark, sf_dir), CATALOG_RULES, policy, KEY)
+    return decided.select("event_id", "verdict", "catalog")
+
+
 def command_verdict_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     denied = denied_commands_join(spark, sf_dir)
     log = _commands(spark, sf_dir)
@@ -137,6 +151,10 @@ def inline_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table_matches(spark, sf_dir, None).select("event_id", "catalog")
+
+
+def join_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_matches(spark, sf_dir).select("event_id", "catalog")
 
 
@@ -225,27 +243,24 @@ def document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("catalog").alias("term"))
 
 
-def document_terms_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _document_terms(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
     found = match_policy_table(
         _table(spark, sf_dir, "documents"),
         policies.ANY_TEXT,
         policies.term_table(spark),
         ["doc_id"],
         command="text",
+        strategy=strategy,
     )
     return found.select("doc_id", F.col("catalog").alias("term"))
 
 
+def document_terms_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _document_terms(spark, sf_dir, "broadcast")
+
+
 def document_terms_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = match_policy_table(
-        _table(spark, sf_dir, "documents"),
-        policies.ANY_TEXT,
-        policies.term_table(spark),
-        ["doc_id"],
-        command="text",
-        strategy="shuffle",
-    )
-    return found.select("doc_id", F.col("catalog").alias("term"))
+    return _document_terms(spark, sf_dir, "shuffle")
 
 
 def conversation_terms_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,6 +271,7 @@ def conversation_terms_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         policies.term_table(spark),
         key,
         command="text",
+        strategy="broadcast",
     )
     first = first_match(found, key)
     return first.select(*key, F.col("catalog").alias("term"))
@@ -296,7 +312,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payload_extract_any_case": payload_extract_any_case,
     "envelope_verdict": envelope_verdict,
     "context_rules": context_rules,
+    "commands_in_context": commands_in_context,
     "command_verdict": command_verdict,
+    "command_verdict_table": command_verdict_table,
     "verdict_reason": verdict_reason,
     "denied_commands": denied_commands,
     "denied_commands_join": denied_commands_join,
@@ -305,7 +323,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "allowed_commands": allowed_commands,
     "allowed_commands_anti": allowed_commands_anti,
     "all_matches": inline_matches,
-    "all_matches_join": table_matches,
+    "all_matches_table": table_matches,
+    "all_matches_join": join_matches,
     "verdict_records": verdict_fields,
     "verdict_json": verdict_lines,
     "written_verdict_lines": written_verdict_lines,

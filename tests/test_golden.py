@@ -8,8 +8,10 @@ from commandwatch import CATALOG_POLICY, CATALOG_RULES, Policy, Rule, audit
 from commandwatch.operators import (
     all_matches,
     classify,
+    deny_by_table,
     extract_command,
     first_match,
+    in_context,
     match_policy_table,
     tag_rules,
 )
@@ -104,6 +106,36 @@ def test_all_matches_lists_every_denied_name(commands):
     assert sorted(row.catalog for row in found.collect()) == ["samples", "system"]
 
 
+def test_rules_survive_a_table(spark):
+    assert rules_from_table(rules_to_table(spark, CATALOG_RULES)) == list(CATALOG_RULES)
+
+
+def test_long_rule_lists(spark):
+    # More rules than one compiled method takes.
+    rules = [Rule(i, rf"\bw{i}\b") for i in range(30)]
+    texts = [f"w{i} w{i + 7} x" for i in range(40)]
+    log = spark.createDataFrame(list(enumerate(texts)), "id INT, command STRING")
+    fired = {(row.id, row.rule_id) for row in tag_rules(log, rules).collect()}
+    assert fired == {(i, j) for i in range(40) for j in (i, i + 7) if j < 30}
+    inside = in_context(log, rules).select("id").collect()
+    assert sorted(row.id for row in inside) == list(range(30))
+
+
+def test_columns_of_the_log_are_replaced(spark):
+    log = spark.createDataFrame(
+        [(1, "use catalog system", "old", "old", "old")],
+        "id INT, command STRING, verdict STRING, catalog STRING, reason STRING",
+    )
+    row = classify(log, CATALOG_RULES, CATALOG_POLICY).first()
+    assert (row.verdict, row.catalog, row.reason) == ("deny", "system", "match")
+    row = all_matches(log, CATALOG_RULES, CATALOG_POLICY).first()
+    assert row.catalog == "system"
+    found = first_match(
+        match_policy_table(log, CATALOG_RULES, CATALOG_POLICY.to_table(spark), ["id"]), ["id"]
+    )
+    assert deny_by_table(log, found, ["id"]).first().catalog == "system"
+
+
 def test_rule_hints_never_change_a_result(commands):
     plain = [Rule(rule.rule_id, rule.pattern) for rule in CATALOG_RULES]
     with_hints = tag_rules(commands, CATALOG_RULES)

@@ -11,6 +11,7 @@ from commandwatch.functions import word_hit, words
 from commandwatch.operators import (
     all_matches,
     classify,
+    classify_by_table,
     first_match,
     match_policy_table,
     tag_rules,
@@ -53,7 +54,7 @@ def test_random_text_against_brute_force(texts):
     assert len(found) == len(expected)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+@pytest.mark.parametrize("strategy", [None, "broadcast", "shuffle"])
 def test_join_finds_the_same_words(spark, texts, strategy):
     policy = Policy(denied=tuple(NAMES))
     inline = all_matches(texts, ANY, policy).select("id", "catalog")
@@ -77,6 +78,7 @@ def test_first_match_is_the_same_in_both_plans(spark, texts):
 def test_a_policy_over_the_limit_is_not_broadcast(spark, texts, limit, monkeypatch):
     # 0: nothing fits; 5: only the names of several words do; 7: the same, not all.
     monkeypatch.setattr(policy_table, "MAX_BROADCAST_ROWS", limit)
+    monkeypatch.setattr(policy_table, "MAX_INLINE_NAMES", 0)
     table = Policy(denied=tuple(NAMES)).to_table(spark)
     with pytest.raises(ValueError, match="too large"):
         match_policy_table(texts, ANY, table, ["id"], strategy="broadcast")
@@ -86,6 +88,16 @@ def test_a_policy_over_the_limit_is_not_broadcast(spark, texts, limit, monkeypat
     assert sorted(joined.select("id", "catalog").collect()) == sorted(inline.collect())
 
 
+@pytest.mark.parametrize("inline", [100, 3])
+def test_every_row_from_a_table(spark, texts, inline, monkeypatch):
+    monkeypatch.setattr(policy_table, "MAX_INLINE_NAMES", inline)
+    policy = Policy(denied=tuple(NAMES))
+    rows = classify_by_table(texts, ANY, policy.to_table(spark), ["id"])
+    wanted = classify(texts, ANY, policy).select(*rows.columns)
+    assert rows.exceptAll(wanted).isEmpty()
+    assert wanted.exceptAll(rows).isEmpty()
+
+
 def test_word_equals_token(texts):
     disagree = texts.select(F.lower("command").alias("t")).filter(
         word_hit(F.col("t"), "sys") != F.array_contains(words(F.col("t")), "sys")
