@@ -7,6 +7,8 @@ on one word inside it, and the candidates are then checked with the name's regex
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row
@@ -89,7 +91,7 @@ def _occurs() -> Column:
     """True where the joined name occurs in ``_text``; a one-word name did so by the join."""
     quoted = F.regexp_replace("_lower", REGEX_FLAGS + r"([^\w])", r"\\$1")
     pattern = F.concat(F.lit(REGEX_FLAGS + r"\b"), quoted, F.lit(r"\b"))
-    return (F.col("_word") == F.col("_lower")) | (
+    return F.col("_plain") | (
         F.contains("_text", F.col("_lower")) & F.rlike("_text", pattern)
     )
 
@@ -129,6 +131,15 @@ def _join_shuffled(texts: DataFrame, names: DataFrame, key: list[str]) -> DataFr
     return salted.join(spread.hint("merge"), ["_word", "_salt"]).drop("_salt")
 
 
+def _with_texts(candidates: DataFrame, texts: DataFrame, key: list[str]) -> DataFrame:
+    # A null-safe join adds no filter on the key, so that the words of the candidates are
+    # the same shuffle as those of the plain names and it runs once.
+    renamed = {name: f"_key_{name}" for name in key}
+    same = [F.col(name).eqNullSafe(F.col(other)) for name, other in renamed.items()]
+    keyed = texts.select(*key, "_text").withColumnsRenamed(renamed)
+    return candidates.join(keyed, functools.reduce(operator.and_, same))
+
+
 def match_policy_table(
     log: DataFrame,
     rules: Sequence[Rule],
@@ -162,21 +173,22 @@ def match_policy_table(
     texts = in_context.select(*carried, "_text")
     if strategy is None and not as_of and 0 < _rows(one_word, others) <= MAX_INLINE_NAMES:
         return _match_inline(texts, names, key)
-    plain = names.filter("_word IS NOT NULL") if others else names
-    odd = _with_anchors(names.filter("_word IS NULL")) if others else None
-
+    every = plain = names.withColumn("_plain", F.lit(True))
+    if others:
+        plain = plain.filter("_word IS NOT NULL")
+        odd = _with_anchors(names.filter("_word IS NULL")).withColumn("_plain", F.lit(False))
+        every = plain.unionByName(odd)
     if strategy != "shuffle" and _fits(one_word, others):
-        every = plain.unionByName(odd) if others else plain
         hits = _join_broadcast(texts, every, check=others is not None)
-    else:
+    elif not others:
         hits = _join_shuffled(texts, plain, key)
-        if others:
-            if strategy != "shuffle" and _fits(others):
-                checked = _join_broadcast(texts, odd, check=True)
-            else:
-                candidates = _join_shuffled(texts, odd, key)
-                checked = candidates.join(texts.select(*key, "_text"), key).filter(_occurs())
-            hits = hits.unionByName(checked.select(*hits.columns))
+    elif strategy != "shuffle" and _fits(others):
+        checked = _join_broadcast(texts, odd, check=True)
+        hits = _join_shuffled(texts, plain, key).unionByName(checked.drop("_text"))
+    else:
+        found = _join_shuffled(texts, every, key)
+        checked = _with_texts(found.filter("NOT _plain"), texts, key).filter(_occurs())
+        hits = found.filter("_plain").unionByName(checked.select(*found.columns))
     if as_of:
         hits = hits.filter(_in_force(as_of))
     return hits.select(*key, "pos", F.col("name").alias("catalog"))
