@@ -23,8 +23,6 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
-_VALID = ("valid_from", "valid_to")
-
 
 def _denied(policy: DataFrame) -> DataFrame:
     return policy.filter("effect = 'deny'") if "effect" in policy.columns else policy
@@ -34,10 +32,9 @@ def _denied_names(policy: DataFrame, as_of: str | None) -> DataFrame:
     rows = _denied(policy)
     lowered = F.lower("name")
     one_word = lowered.rlike(REGEX_FLAGS + r"^\w+\z")
+    columns = ["pos", "name", *(("valid_from", "valid_to") if as_of else ())]
     return rows.select(
-        "pos",
-        "name",
-        *(_VALID if as_of else ()),
+        *(F.col(name).alias(f"_{name}") for name in columns),
         lowered.alias("_lower"),
         F.when(one_word, lowered).alias("_word"),
     )
@@ -47,7 +44,7 @@ def _sizes(names: DataFrame) -> dict[bool, Row]:
     """Rows and bytes of the one-word names (True) and of the others (False)."""
     sizes = names.groupBy(F.col("_word").isNotNull().alias("one_word")).agg(
         F.count("*").alias("rows"),
-        F.sum(3 * F.octet_length("name")).alias("bytes"),
+        F.sum(3 * F.octet_length("_name")).alias("bytes"),
         F.bool_and(F.col("_lower").rlike(REGEX_FLAGS + r"\w")).alias("wordy"),
     )
     found = {row.one_word: row for row in sizes.collect()}
@@ -82,8 +79,8 @@ def _with_anchors(others: DataFrame) -> DataFrame:
 
 
 def _in_force(as_of: str) -> Column:
-    return (F.col(as_of) >= F.col("valid_from")) & (
-        F.col("valid_to").isNull() | (F.col(as_of) < F.col("valid_to"))
+    return (F.col(as_of) >= F.col("_valid_from")) & (
+        F.col("_valid_to").isNull() | (F.col(as_of) < F.col("_valid_to"))
     )
 
 
@@ -97,12 +94,13 @@ def _occurs() -> Column:
 
 
 def _match_inline(texts: DataFrame, names: DataFrame, key: list[str]) -> DataFrame:
-    pos_type = names.schema["pos"].dataType
+    pos_type = names.schema["_pos"].dataType
     cases = []
-    for row in names.select("pos", "name").collect():
-        pos = F.lit(row.pos).cast(pos_type).alias("pos")
-        label = F.struct(pos, F.lit(row.name).alias("catalog"))
-        cases.append((word_hit(F.col("_text"), row.name), label))
+    for pos, name in names.select("_pos", "_name").collect():
+        label = F.struct(
+            F.lit(pos).cast(pos_type).alias("pos"), F.lit(name).alias("catalog")
+        )
+        cases.append((word_hit(F.col("_text"), name), label))
     return explode_hits(texts, "_hit", cases).select(*key, "_hit.pos", "_hit.catalog")
 
 
@@ -191,7 +189,7 @@ def match_policy_table(
         hits = found.filter("_plain").unionByName(checked.select(*found.columns))
     if as_of:
         hits = hits.filter(_in_force(as_of))
-    return hits.select(*key, "pos", F.col("name").alias("catalog"))
+    return hits.select(*key, F.col("_pos").alias("pos"), F.col("_name").alias("catalog"))
 
 
 def first_match(matches: DataFrame, key: Sequence[str]) -> DataFrame:

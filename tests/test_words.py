@@ -11,6 +11,7 @@ from commandwatch.functions import word_hit, words
 from commandwatch.operators import (
     all_matches,
     classify,
+    classify_as_of,
     classify_by_table,
     first_match,
     match_policy_table,
@@ -98,6 +99,43 @@ def test_every_row_from_a_table(spark, texts, inline, monkeypatch):
     assert wanted.exceptAll(rows).isEmpty()
 
 
+@pytest.mark.parametrize("strategy", [None, "broadcast", "shuffle"])
+def test_policy_in_force_at_the_time(spark, texts, strategy):
+    log = texts.withColumn(
+        "at", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id % 30)")
+    )
+    history = [
+        ("2024-01-03 00:00:00", "2024-01-10 00:00:00", Policy(denied=("sys", "prod-eu", "eu"))),
+        ("2024-01-10 00:00:00", "2024-01-20 00:00:00", Policy(denied=("eu", "x.y", "sys"))),
+        ("2024-01-20 00:00:00", None, Policy(denied=("b c",))),
+    ]
+    rows = [
+        (start, end, pos, name)
+        for start, end, policy in history
+        for pos, name in enumerate(policy.denied)
+    ]
+    table = spark.createDataFrame(rows, "f STRING, t STRING, pos INT, name STRING").select(
+        F.col("f").cast("timestamp_ntz").alias("valid_from"),
+        F.col("t").cast("timestamp_ntz").alias("valid_to"),
+        "pos",
+        "name",
+    )
+    matches = match_policy_table(log, ANY, table, ["id"], as_of="at", strategy=strategy)
+    joined = first_match(matches, ["id"])
+    inline = classify_as_of(log, ANY, history, at="at").filter("verdict = 'deny'")
+    wanted = sorted(map(tuple, inline.select("id", "catalog").collect()))
+    assert len(wanted) > 200
+    assert sorted(map(tuple, joined.collect())) == wanted
+
+
+@pytest.mark.parametrize("strategy", [None, "broadcast", "shuffle"])
+def test_key_columns_named_like_the_policy(spark, strategy):
+    log = spark.createDataFrame([("n", 1, "a x-y")], "name STRING, pos INT, command STRING")
+    table = spark.createDataFrame([(7, "x-y"), (8, "a")], "pos INT, name STRING")
+    matches = match_policy_table(log, ANY, table, ["name"], strategy=strategy)
+    assert sorted(map(tuple, matches.collect())) == [("n", 7, "x-y"), ("n", 8, "a")]
+
+
 def test_word_equals_token(texts):
     disagree = texts.select(F.lower("command").alias("t")).filter(
         word_hit(F.col("t"), "sys") != F.array_contains(words(F.col("t")), "sys")
