@@ -1,8 +1,9 @@
 """Match commands against a policy table of any size.
 
-A short table becomes part of the plan. A longer one is joined. A name made of word characters occurs as a whole word exactly if it equals one of the
-command's words, so the match is an equi-join on words. A name with other characters joins
-on one word inside it, and the candidates are then checked with the name's regex.
+A short table becomes part of the plan, a longer one is joined. A name made of word
+characters occurs as a whole word exactly if it equals one of the command's words, so the
+match is an equi-join on words. A name with other characters joins on one word inside it,
+and the candidates are then checked with the name's regex.
 """
 
 from __future__ import annotations

@@ -63,9 +63,8 @@ def _pick(values: tuple[str, ...], index: Column) -> Column:
 
 
 def _command(events: DataFrame, slot: Column, rounds: Column) -> Column:
-    comment = F.concat(
-        F.lit(" # "), "event_type", F.lit(" "), F.col("user_id").cast("string"), F.lit(" "), "props"
-    )
+    user = F.col("user_id").cast("string")
+    comment = F.concat(F.lit(" # "), F.concat_ws(" ", "event_type", user, "props"))
     return F.concat(_pick(COMMANDS, slot), F.when(rounds % 2 == 1, comment).otherwise(""))
 
 

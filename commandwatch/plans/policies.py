@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commandwatch.policy import Policy, Rule
+from commandwatch.policy import Policy, Rule, ordered_on_a_line
 
 # Every row is in context.
 ANY_TEXT = (Rule(0, ""),)
 
 LICENSE_RULES = (
     Rule(1, r"\blicensed\s+under\b", "licensed"),
-    Rule(2, r"\breleased\b.*\blicense\b", "released"),
+    Rule(
+        2,
+        r"\breleased\b.*\blicense\b",
+        "released",
+        ordered_on_a_line(r"\breleased\b", r"\blicense\b"),
+    ),
     Rule(3, r"\btoken\s*=", "token"),
 )
 LICENSE_POLICY = Policy(denied=("gnu", "apache", "token", "mit", "cc by-nc"))

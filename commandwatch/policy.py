@@ -95,8 +95,8 @@ def rules_to_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
 
 
 def rules_from_table(table: DataFrame) -> list[Rule]:
-    rows = table.select("rule_id", "pattern", "needs", "linear").orderBy("rule_id").limit(MAX_RULES + 1)
-    found = [Rule(*row) for row in rows.collect()]
+    rows = table.select("rule_id", "pattern", "needs", "linear").orderBy("rule_id")
+    found = [Rule(*row) for row in rows.limit(MAX_RULES + 1).collect()]
     if len(found) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} context rules do not fit one plan")
     return found

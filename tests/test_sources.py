@@ -112,10 +112,10 @@ def test_stream_of_tables(spark, tmp_path):
     write_table(log, str(tmp_path / "in"))
     stream = stream_log(spark, str(tmp_path / "in"), log.schema)
     decided = denials(classify(stream, CATALOG_RULES, CATALOG_POLICY))
-    start_audit(
-        decided, str(tmp_path / "out"), str(tmp_path / "check"), fmt="json", partition_by=["catalog"]
-    ).awaitTermination()
-    assert spark.read.json(str(tmp_path / "out")).count() == 20
+    sink, checkpoint = str(tmp_path / "out"), str(tmp_path / "check")
+    query = start_audit(decided, sink, checkpoint, fmt="json", partition_by=["catalog"])
+    query.awaitTermination()
+    assert spark.read.json(sink).count() == 20
 
 
 def test_stream_against_a_policy_table(spark, tmp_path):
