@@ -72,10 +72,12 @@ def test_filters_and_columns_reach_the_scan(spark, small):
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in plan(some)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+# The others return a table that they have written.
+LAZY = [q for q in driver.queries() if not q.startswith(("stream_", "written_", "text_log"))]
+
+
+@pytest.mark.parametrize("name", LAZY)
 def test_no_cross_joins(spark, small, name):
-    if name.startswith(("stream_", "written_", "text_log")):
-        pytest.skip("the result is a table that was written")
     text = plan(driver.queries()[name](spark, small))
     assert "NestedLoop" not in text
     assert "CartesianProduct" not in text
