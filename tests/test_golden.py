@@ -205,6 +205,8 @@ def test_any_case_of_the_keys_on_request(spark):
         ('{"tool_input":{"command":"a"}}}', None, "malformed"),
         ('{"tool_input":{"command":"a"}', None, "malformed"),
         ('{"tool_input":{"command":"a"},"b":tru}', None, "malformed"),
+        ('{"tool_input":{"command":"a"}},', None, "malformed"),
+        ('{"tool_input":{"command":"a"}},{"tool_input":{}}', None, "malformed"),
         (' {"tool_input":{"command":"a"}}\n', "a", None),
         ('{"x":{"command":"no"},"tool_input":{"command":"a\\u0009b","x":[[]]}}', "a\tb", None),
     ],
