@@ -12,11 +12,13 @@ MALFORMED = "malformed"
 NO_COMMAND = "no_command"
 NON_STRING_COMMAND = "non_string_command"
 
-# The payload is parsed inside an outer object with a closing flag. The flag is read only
-# if the payload is one complete JSON value: trailing text, a second document or a missing
-# brace leave it null, which the JSON functions alone would accept.
+# The payload is parsed inside an outer object with a closing flag: trailing text, a second
+# document or a missing brace leave the flag null, where the JSON functions alone would
+# accept the payload.
 _HEAD, _TAIL = '{"body":', ',"complete":true}'
-_SCHEMA = "body STRUCT<tool_input: STRUCT<command: VARIANT>>, complete BOOLEAN"
+_SCHEMA = (
+    "body STRUCT<tool_input: STRUCT<command: VARIANT>>, complete BOOLEAN, corrupt STRING"
+)
 
 
 def _lower_keys(payload: Column) -> Column:
@@ -36,12 +38,17 @@ def extract_command(
     accepts ``Tool_Input.Command`` and the like, at the cost of two replacements.
     """
     text = _lower_keys(F.col(payload)) if ignore_key_case else F.col(payload)
+    framed = F.concat(F.lit(_HEAD), text, F.lit(_TAIL))
     parsed = log.withColumn(
-        "_json", F.from_json(F.concat(F.lit(_HEAD), text, F.lit(_TAIL)), _SCHEMA)
+        "_json", F.from_json(framed, _SCHEMA, {"columnNameOfCorruptRecord": "corrupt"})
     ).withColumn("_command", F.col("_json.body.tool_input.command"))
+    # A record is also corrupt if it is valid but of another shape; only then parse again.
+    valid = F.when(F.col("_json.corrupt").isNull(), True).otherwise(
+        F.try_parse_json(framed).isNotNull()
+    )
     read = F.struct(
         (F.coalesce(F.length(payload), F.lit(0)) == 0).alias("empty"),
-        F.col("_json.complete").isNotNull().alias("complete"),
+        (F.col("_json.complete").isNotNull() & valid).alias("complete"),
         F.try_variant_get("_command", "$", "string").alias("text"),
         (F.schema_of_variant("_command") == "STRING").alias("is_string"),
     )

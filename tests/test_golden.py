@@ -1,5 +1,6 @@
 """Every golden command and payload against its expected rules and verdict."""
 
+import json
 import random
 
 import pytest
@@ -214,3 +215,35 @@ def test_any_case_of_the_keys_on_request(spark):
 def test_payload_shapes(spark, payload, command, reason, ignore_key_case):
     row = extract_command(payload_frame(spark, [payload]), ignore_key_case=ignore_key_case).first()
     assert (row.command, row.reason) == (command, reason)
+
+
+def mutated_payloads(n, seed):
+    rng = random.Random(seed)
+    whole = [
+        '{"tool_name":"Bash","tool_input":{"command":"use catalog system","x":[1,{"a":null}]}}',
+        '{"a":[[],[1,2]],"tool_input":{"y":"q","command":"x"}}',
+        '{"tool_input":{"command":["a",1]},"n":-1.5e3}',
+    ]
+    for _ in range(n):
+        text = list(rng.choice(whole))
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(len(text))
+            text[at : at + rng.randint(0, 1)] = rng.choice(["", *'{}[]",:a1 tn'])
+        yield "".join(text)
+
+
+def test_mutated_payloads_against_a_strict_parser(spark):
+    rows = extract_command(payload_frame(spark, mutated_payloads(3000, 5))).collect()
+    broken = 0
+    for row in rows:
+        try:
+            value = json.loads(row.payload)
+        except ValueError:
+            broken += 1
+            assert (row.command, row.reason) == (None, "malformed"), row
+            continue
+        inside = value.get("tool_input")
+        command = inside.get("command") if isinstance(inside, dict) else None
+        assert row.command == (command if isinstance(command, str) and command else None), row
+        assert row.reason != "malformed", row
+    assert 1000 < broken < 2500
