@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, packing, quality_classifier, quality_rules, substring_dedup, tokenizing, toxicity
+from . import fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules, substring_dedup, tokenizing, toxicity
 from .labelled import held_out
 from .spark_io import send_package
 
@@ -42,6 +42,11 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizing.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -66,3 +71,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_unrepeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.span_digests(table(spark, sf_dir, "documents"))
