@@ -12,8 +12,9 @@
    members outside the bucket's largest component against all members of other components.
 
 A bit sketch of all minima stands before each verification; it lets every pair pass whose
-similarity is near the threshold (six standard deviations). With 25 bands of 5 minima a pair
-at the threshold of 0.85 misses all buckets with probability 4e-7.
+similarity is near the threshold (six standard deviations). A pair at the threshold misses
+all buckets with probability 5e-8 at 0.8 with 32 bands of 4 minima, 4e-7 at 0.85 with 25
+bands of 5.
 
 Results: a null or empty text, or one without words, has no shingles, is linked with nothing
 and stays. Rows with a null doc_id follow the documents of the same words; without any, their
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +37,33 @@ from .components import components
 from .spark_io import checkpointed, each_batch, encoded, texts
 from .words import mixed, runs, word_hashes
 
-SHINGLE, PERCENT = 3, 85
-BANDS, ROWS, MINIMA = 25, 5, 128
+MINIMA = 128
 CENTRE_ROUNDS = 2
 PROFILE = "doc_id bigint, n_shingles bigint, sequence binary, bands array<bigint>, sketch array<bigint>"
 _random = np.random.Generator(np.random.PCG64(5))
 _FACTORS = _random.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _TERMS = _random.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
-#: Equal pairs of bits expected at the threshold, less six standard deviations.
-_SAME = PERCENT / 100 + (1 - PERCENT / 100) / 4
-MOST_BITS = int(MINIMA * (1 - _SAME) + 6 * (MINIMA * _SAME * (1 - _SAME)) ** 0.5) + 1
 
 
-def shingles(data: bytes, size: int = SHINGLE) -> np.ndarray:
+@dataclass(frozen=True)
+class Likeness:
+    """When two documents are linked: words in a shingle, percent of shingles they share, and
+    the bands of minima in which candidates must agree."""
+
+    words: int = 5
+    percent: int = 80
+    bands: int = 32
+    rows: int = 4
+
+    @property
+    def most_bits(self) -> int:
+        """Pairs of sketch bits that may differ: those expected at the threshold, and six
+        standard deviations."""
+        same = self.percent / 100 + (1 - self.percent / 100) / 4
+        return int(MINIMA * (1 - same) + 6 * (MINIMA * same * (1 - same)) ** 0.5) + 1
+
+
+def shingles(data: bytes, size: int) -> np.ndarray:
     """The sorted distinct hashes of a text's word shingles."""
     words = word_hashes(data.lower())  # bytes: A-Z only
     if not len(words):
@@ -64,10 +80,10 @@ def minima(found: np.ndarray) -> np.ndarray:
     return least
 
 
-def _bands(least: np.ndarray) -> np.ndarray:
-    parts = least[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    total = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
+def _bands(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    parts = least[: bands * rows].reshape(bands, rows).astype(np.uint64)
+    total = np.arange(bands, dtype=np.uint64)
+    for k in range(rows):
         total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + parts[:, k])
     return total.view(np.int64)
 
@@ -79,18 +95,18 @@ def _sketch(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(two.reshape(-1, 32) << shifts, axis=1).view(np.int64)
 
 
-def profiles(docs: DataFrame) -> DataFrame:
+def profiles(docs: DataFrame, like: Likeness) -> DataFrame:
     """Size of the set, digest of the word sequence, bands and sketch of every text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, sequences, bands, sketches = [], [], [], []
         for data in encoded(batch):
-            found = shingles(data)
+            found = shingles(data, like.words)
             sizes.append(len(found))
             if len(found):
                 least = minima(found)
                 sequences.append(hashlib.blake2b(b" ".join(data.lower().split()), digest_size=16).digest())
-                bands.append(_bands(least))
+                bands.append(_bands(least, like.bands, like.rows))
                 sketches.append(_sketch(least))
             else:
                 sequences.append(None)
@@ -103,17 +119,17 @@ def profiles(docs: DataFrame) -> DataFrame:
     return each_batch(texts(docs), work, PROFILE)
 
 
-def sets(docs: DataFrame) -> DataFrame:
+def sets(docs: DataFrame, like: Likeness) -> DataFrame:
     """doc_id and the full set of every text that has one, sorted, as packed 64-bit hashes."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(data).tobytes() for data in encoded(batch)]
+        found = [shingles(data, like.words).tobytes() for data in encoded(batch)]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "shingles"])
 
     return each_batch(texts(docs), work, "doc_id bigint, shingles binary")
 
 
-def _alike() -> Column:
+def _alike(like: Likeness) -> Column:
     """Can two sketches and set sizes belong to linked documents?"""
     differing = F.lit(0)
     for k in range(MINIMA // 32):
@@ -121,10 +137,10 @@ def _alike() -> Column:
         pairs = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
         differing = differing + F.bit_count(pairs)
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    return (100 * small >= PERCENT * large) & (differing <= MOST_BITS)
+    return (100 * small >= like.percent * large) & (differing <= like.most_bits)
 
 
-def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, full: DataFrame, like: Likeness) -> DataFrame:
     """Of distinct pairs (a, b), those whose full sets are similar enough.
 
     Both joins are between two exchanges and nothing above needs their keys together, so
@@ -138,7 +154,7 @@ def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
             for x, y in zip(left, right, strict=True):
                 either = len(np.union1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
                 both = (len(x) + len(y)) // 8 - either
-                linked.append(100 * both >= PERCENT * either)
+                linked.append(100 * both >= like.percent * either)
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     left = full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
@@ -147,13 +163,13 @@ def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
     return met.select("a", "b", "left", "right").mapInArrow(judge, "a bigint, b bigint")
 
 
-def _links(pairs: DataFrame, marks: DataFrame, full: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, marks: DataFrame, full: DataFrame, like: Likeness) -> DataFrame:
     """Links among candidate pairs (a, b), by sketch first, then on the full sets."""
     left = marks.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     right = marks.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     met = pairs.where("a <> b").select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct()
-    likely = met.join(left, "a").join(right, "b").where(_alike()).select("a", "b")
-    return _verified(likely, full)
+    likely = met.join(left, "a").join(right, "b").where(_alike(like)).select("a", "b")
+    return _verified(likely, full, like)
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -174,7 +190,7 @@ def _centre_pairs(known: DataFrame, turn: int) -> DataFrame:
     return known.join(centres, "band").where("component <> other").select(F.col("id").alias("a"), "b")
 
 
-def _remaining_pairs(known: DataFrame, marks: DataFrame) -> DataFrame:
+def _remaining_pairs(known: DataFrame, marks: DataFrame, like: Likeness) -> DataFrame:
     """All likely pairs between components that share a bucket, each with one member outside
     the bucket's largest component."""
     sizes = known.groupBy("band", "component").agg(F.count("*").alias("size"))
@@ -183,13 +199,13 @@ def _remaining_pairs(known: DataFrame, marks: DataFrame) -> DataFrame:
     right = checkpointed(marked.select("band", F.col("id").alias("b"), F.col("component").alias("other"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b")))
     left = right.join(largest, "band").where("other <> largest")
     left = left.select("band", F.col("b").alias("a"), F.col("other").alias("component"), F.col("n_b").alias("n_a"), F.col("sketch_b").alias("sketch_a"))
-    return left.join(right, "band").where(F.expr("component <> other") & _alike()).select("a", "b")
+    return left.join(right, "band").where(F.expr("component <> other") & _alike(like)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the document stands for its component)."""
     docs = texts(docs)
-    found = checkpointed(profiles(docs))
+    found = checkpointed(profiles(docs, like))
     least = F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("least")
     originals = found.where("doc_id is not null and sequence is not null").groupBy("sequence").agg(least)
     originals = checkpointed(originals.select("sequence", F.col("least.doc_id").alias("id"), F.col("least.n_shingles").alias("n"), "least.bands", "least.sketch"))
@@ -199,15 +215,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = checkpointed(bands.join(checkpointed(shared.select("band")), "band", "left_semi"))
     near = checkpointed(members.select("id").distinct())
     marks = checkpointed(originals.select("id", "n", "sketch").join(near, "id", "left_semi"))
-    full = checkpointed(sets(docs.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")))
+    full = checkpointed(sets(docs.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), like))
 
     labels = None
     for turn in range(CENTRE_ROUNDS + 1):
         known = checkpointed(_labelled(members, labels)) if labels is not None else _labelled(members, None)
         if turn and known.isEmpty():
             break
-        pairs = _centre_pairs(known, turn) if turn < CENTRE_ROUNDS else _remaining_pairs(known, marks)
-        links = _links(pairs, marks, full)
+        pairs = _centre_pairs(known, turn) if turn < CENTRE_ROUNDS else _remaining_pairs(known, marks, like)
+        links = _links(pairs, marks, full, like)
         if labels is not None:
             links = links.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
         labels = components(links)
@@ -218,3 +234,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     alone = found.where("sequence is null").withColumn("component_id", F.col("doc_id"))
     result = with_words.select("doc_id", "n_shingles", "component_id").unionByName(alone.select("doc_id", "n_shingles", "component_id"))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """The rows of one document of each component, with all their columns. Rows with a null
+    doc_id stay; the rows of one doc_id go or stay together."""
+    found = near_duplicates(docs, like).where("doc_id is not null")
+    gone = found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept_")).where("not kept_").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules, substring_dedup, tokenizing, toxicity
+from . import fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules, secrets, substring_dedup, tokenizing, toxicity
 from .labelled import held_out
 from .spark_io import send_package
 
@@ -31,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_findings(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -49,7 +54,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), near_dedup.Likeness(words=3, percent=85, bands=25, rows=5))
 
 
 @query

@@ -202,3 +202,10 @@ def repeat_digests(docs: DataFrame) -> DataFrame:
     """Number of words, of removed words, and digest of what is left of every text."""
     found = without_repeats(docs, "doc_id")
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "n_factors")
+
+
+def unrepeated(docs: DataFrame) -> DataFrame:
+    """All columns of the rows; a text that loses words becomes its words joined by a space."""
+    found = without_repeats(docs, *docs.columns)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row.text"))
+    return found.select(*(text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
