@@ -4,12 +4,13 @@
    if it has fewer words), the minima of the set under many universal hash functions, and
    the bands of those minima.
 2. Documents with equal word sequences collapse to the least doc_id, before any pairing.
-3. Rounds over the band buckets that hold more than one component: each round compares the
-   members of a bucket with one of them, the centre, so that a bucket costs as many pairs
-   as it has members. A pair is verified on both full sets, and links are contracted to
+3. Rounds over the band buckets that hold more than one component: in each round a document
+   is compared with one centre of its buckets, so that a round costs no more pairs than
+   there are documents. A pair is verified on both full sets, and links are contracted to
    components by alternating large-star and small-star.
-4. What several components of a bucket still share after the rounds is compared exactly:
-   members outside the bucket's largest component against all members of other components.
+4. The documents that lie with several components in a bucket after the rounds are joined
+   exactly, through their rarest shingles: whoever is outside the largest component of a
+   bucket against all documents of other components.
 
 A bit sketch of all minima stands before each verification; it lets every pair pass whose
 similarity is near the threshold (six standard deviations). A pair at the threshold misses
@@ -33,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import dealt, packed, summed_keys
 from .components import components
 from .spark_io import checkpointed, each_batch, encoded, texts
 from .words import mixed, runs, word_hashes
 
 MINIMA = 128
 CENTRE_ROUNDS = 2
+DOCS_PER_GROUP = 1_000
 PROFILE = "doc_id bigint, n_shingles bigint, sequence binary, bands array<bigint>, sketch array<bigint>"
 _random = np.random.Generator(np.random.PCG64(5))
 _FACTORS = _random.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -119,14 +122,48 @@ def profiles(docs: DataFrame, like: Likeness) -> DataFrame:
     return each_batch(texts(docs), work, PROFILE)
 
 
-def sets(docs: DataFrame, like: Likeness) -> DataFrame:
-    """doc_id and the full set of every text that has one, sorted, as packed 64-bit hashes."""
+def _sets_of(table: pa.Table, like: Likeness) -> list[np.ndarray]:
+    return [shingles(data, like.words) for data in table.column("text").cast(pa.binary()).to_pylist()]
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(data, like.words).tobytes() for data in encoded(batch)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "shingles"])
 
-    return each_batch(texts(docs), work, "doc_id bigint, shingles binary")
+def sets(docs: DataFrame, like: Likeness, n_groups: int) -> DataFrame:
+    """doc_id, n, the full set, its rarest shingles in order, and how common the set is.
+
+    Groups of rows send each shingle and its number of rows once to the blocks of an index,
+    which sum up those that more than one group has. Any order of all shingles would do for
+    `rare`, as long as it is the same for all rows; this one is by number of rows, then hash.
+    """
+
+    def sent(table: pa.Table) -> pa.Table:
+        keys, times = np.unique(np.concatenate(_sets_of(table, like)), return_counts=True)
+        return dealt(keys, times.astype(np.uint32), table.column("group")[0].as_py(), n_groups)
+
+    def ranked(table: pa.Table, answers: pa.Table) -> pa.Table:
+        found = _sets_of(table, like)
+        keys, times = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
+        times[np.searchsorted(keys, packed(answers, "keys", np.uint64))] = packed(answers, "values", np.uint32)
+        rare, common = [], []
+        for own in found:
+            rows = times[np.searchsorted(keys, own)]
+            order = np.lexsort((own, rows))[: len(own) - -(-like.percent * len(own) // 100) + 1]
+            rare.append(own[order].view(np.int64))
+            common.append(float(np.log(rows).mean()))
+        columns = {
+            "doc_id": table.column("doc_id"),
+            "n": pa.array([len(own) for own in found], pa.int64()),
+            "shingles": pa.array([own.tobytes() for own in found], pa.binary()),
+            "rare": pa.array(rare, pa.list_(pa.int64())),
+            "common": pa.array(common, pa.float64()),
+        }
+        return pa.table(columns)
+
+    group = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)).alias("group")
+    by_group = docs.select(group, "doc_id", "text").groupBy("group")
+    entries = "keys binary, values binary"
+    known = by_group.applyInArrow(sent, f"block bigint, group bigint, {entries}")
+    answers = known.groupBy("block").applyInArrow(summed_keys, f"group bigint, {entries}")
+    schema = "doc_id bigint, n bigint, shingles binary, rare array<bigint>, common double"
+    return by_group.cogroup(answers.groupBy("group")).applyInArrow(ranked, schema)
 
 
 def _alike(like: Likeness) -> Column:
@@ -140,6 +177,11 @@ def _alike(like: Likeness) -> Column:
     return (100 * small >= like.percent * large) & (differing <= like.most_bits)
 
 
+def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    """The marks of one side of a pair, its id under that name."""
+    return rows.select(F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "sketch", *more)))
+
+
 def _verified(pairs: DataFrame, full: DataFrame, like: Likeness) -> DataFrame:
     """Of distinct pairs (a, b), those whose full sets are similar enough.
 
@@ -165,10 +207,8 @@ def _verified(pairs: DataFrame, full: DataFrame, like: Likeness) -> DataFrame:
 
 def _links(pairs: DataFrame, marks: DataFrame, full: DataFrame, like: Likeness) -> DataFrame:
     """Links among candidate pairs (a, b), by sketch first, then on the full sets."""
-    left = marks.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    right = marks.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     met = pairs.where("a <> b").select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct()
-    likely = met.join(left, "a").join(right, "b").where(_alike(like)).select("a", "b")
+    likely = met.join(_side(marks, "a"), "a").join(_side(marks, "b"), "b").where(_alike(like)).select("a", "b")
     return _verified(likely, full, like)
 
 
@@ -182,24 +222,42 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return known.join(checkpointed(mixed_up.select("band")), "band", "left_semi")
 
 
-def _centre_pairs(known: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's centre of this turn, if their components differ."""
-    by = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-    centres = known.groupBy("band").agg(F.min(F.struct(by.alias("by"), "id", "component")).alias("centre"))
+def _centre_pairs(known: DataFrame, marks: DataFrame, turn: int) -> DataFrame:
+    """Each document with one centre: of the centres of its buckets in this turn that belong
+    to other components, the one it meets most often.
+
+    The first centre of a bucket is the member with the commonest shingles: of the copies of
+    a text, the one that is nearest to all others.
+    """
+    if turn == 0:
+        known = known.join(marks.select("id", (-F.col("common")).alias("by")), "id")
+    else:
+        known = known.withColumn("by", F.xxhash64("id", F.lit(turn)))
+    centres = known.groupBy("band").agg(F.min(F.struct("by", "id", "component")).alias("centre"))
     centres = checkpointed(centres.select("band", F.col("centre.id").alias("b"), F.col("centre.component").alias("other")))
-    return known.join(centres, "band").where("component <> other").select(F.col("id").alias("a"), "b")
+    met = known.join(centres, "band").where("component <> other").groupBy("id", "b").count()
+    best = met.groupBy("id").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
+    return best.select(F.col("id").alias("a"), "b")
 
 
 def _remaining_pairs(known: DataFrame, marks: DataFrame, like: Likeness) -> DataFrame:
-    """All likely pairs between components that share a bucket, each with one member outside
-    the bucket's largest component."""
+    """All likely pairs of the documents in `known` whose components differ, each with one
+    member outside the largest component of some bucket of it.
+
+    Two sets with t shingles in common share one of their n - t + 1 rarest, so a document
+    meets those alone that have a rare shingle of its own. What an edited copy has rarest
+    are its edits; it doesn't meet the other copies through the text they all come from.
+    """
     sizes = known.groupBy("band", "component").agg(F.count("*").alias("size"))
     largest = checkpointed(sizes.groupBy("band").agg(F.max_by("component", F.struct("size", "component")).alias("largest")))
-    marked = known.join(marks, "id")
-    right = checkpointed(marked.select("band", F.col("id").alias("b"), F.col("component").alias("other"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b")))
-    left = right.join(largest, "band").where("other <> largest")
-    left = left.select("band", F.col("b").alias("a"), F.col("other").alias("component"), F.col("n_b").alias("n_a"), F.col("sketch_b").alias("sketch_a"))
-    return left.join(right, "band").where(F.expr("component <> other") & _alike(like)).select("a", "b")
+    stray = known.join(largest, "band").where("component <> largest").select("id").distinct().withColumn("stray", F.lit(True))
+    marked = known.select("id", "component").distinct().join(marks, "id").join(stray, "id", "left")
+    rows = checkpointed(marked.select("id", "component", "n", "sketch", "stray", F.posexplode("rare").alias("place", "shingle")))
+    left = rows.where("stray").select("shingle", F.col("id").alias("a"), *(F.col(c).alias(f"{c}_a") for c in ("n", "sketch", "component", "place")))
+    right = rows.select("shingle", F.col("id").alias("b"), *(F.col(c).alias(f"{c}_b") for c in ("n", "sketch", "component", "place")))
+    common = F.ceil((F.col("n_a") + F.col("n_b")) * like.percent / (100 + like.percent) - 1e-9)
+    early = (F.col("place_a") <= F.col("n_a") - common) & (F.col("place_b") <= F.col("n_b") - common)
+    return left.join(right, "shingle").where(F.expr("component_a <> component_b") & early & _alike(like)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
@@ -214,15 +272,16 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     shared = bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     members = checkpointed(bands.join(checkpointed(shared.select("band")), "band", "left_semi"))
     near = checkpointed(members.select("id").distinct())
-    marks = checkpointed(originals.select("id", "n", "sketch").join(near, "id", "left_semi"))
-    full = checkpointed(sets(docs.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), like))
+    n_groups = max(1, -(-near.count() // DOCS_PER_GROUP))
+    full = checkpointed(sets(docs.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), like, n_groups))
+    marks = checkpointed(originals.select("id", "sketch").join(full.select(F.col("doc_id").alias("id"), "n", "rare", "common"), "id"))
 
     labels = None
     for turn in range(CENTRE_ROUNDS + 1):
         known = checkpointed(_labelled(members, labels)) if labels is not None else _labelled(members, None)
         if turn and known.isEmpty():
             break
-        pairs = _centre_pairs(known, turn) if turn < CENTRE_ROUNDS else _remaining_pairs(known, marks, like)
+        pairs = _centre_pairs(known, marks, turn) if turn < CENTRE_ROUNDS else _remaining_pairs(known, marks, like)
         links = _links(pairs, marks, full, like)
         if labels is not None:
             links = links.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))

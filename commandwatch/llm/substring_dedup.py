@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import dealt, packed, shared_keys
 from .words import runs, utf8, word_hashes
 
 WINDOW, ANCHOR = 13, 5
@@ -70,50 +71,18 @@ def _least(windows: list[np.ndarray], owners: list[int]) -> tuple[np.ndarray, np
     return found[first], owner[first]
 
 
-def _dealt(keys: np.ndarray, values: np.ndarray | None, group: int, n_blocks: int) -> pa.Table:
-    """Sorted keys as one row for each block, with packed keys and values."""
-    block = (keys >> np.uint64(16)) % np.uint64(n_blocks)
-    order = np.argsort(block, kind="stable")
-    numbers, starts = np.unique(block[order], return_index=True)
-    keys = keys[order]
-    rows: dict[str, list] = {"block": numbers.astype(np.int64).tolist(), "group": [group] * len(numbers)}
-    rows["keys"] = [part.tobytes() for part in np.split(keys, starts[1:])] if len(numbers) else []
-    if values is not None:
-        rows["firsts"] = [part.tobytes() for part in np.split(values[order], starts[1:])] if len(numbers) else []
-    kinds = {"block": pa.int64(), "group": pa.int64(), "keys": pa.binary(), "firsts": pa.binary()}
-    return pa.table({c: pa.array(v, kinds[c]) for c, v in rows.items()})
-
-
-def _packed(table: pa.Table, column: str, kind: type) -> np.ndarray:
-    parts = [np.frombuffer(x, kind) for x in table.column(column).to_pylist()]
-    return np.concatenate(parts) if parts else np.zeros(0, kind)
-
-
 def _sent_anchors(n_blocks: int):
     def work(table: pa.Table) -> pa.Table:
         found = [np.unique(anchors(words)) for _, words in _hashed(table)]
         keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-        return _dealt(keys, None, table.column("group")[0].as_py(), n_blocks)
+        return dealt(keys, None, table.column("group")[0].as_py(), n_blocks)
 
     return work
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """For each group, its anchors that another group has too."""
-    keys, counts = np.unique(_packed(table, "keys", np.uint64), return_counts=True)
-    shared = keys[counts > 1]
-    groups, answers = [], []
-    for group, packed in zip(table.column("group").to_pylist(), table.column("keys").to_pylist(), strict=True):
-        own = np.frombuffer(packed, np.uint64)
-        if len(own := own[np.isin(own, shared, assume_unique=True)]):
-            groups.append(group)
-            answers.append(own.tobytes())
-    return pa.table({"group": pa.array(groups, pa.int64()), "keys": pa.array(answers, pa.binary())})
-
-
 def _sent_windows(n_blocks: int):
     def work(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        shared = np.sort(_packed(answers, "keys", np.uint64))
+        shared = np.sort(packed(answers, "keys", np.uint64))
         windows, owners = [], []
         for doc, words in _hashed(docs) if len(shared) else ():
             marks = anchors(words)
@@ -123,14 +92,14 @@ def _sent_windows(n_blocks: int):
                 windows.append(runs(words, WINDOW)[wanted])
                 owners.append(doc)
         group = docs.column("group")[0].as_py() if len(docs) else 0
-        return _dealt(*_least(windows, owners), group, n_blocks)
+        return dealt(*_least(windows, owners), group, n_blocks)
 
     return work
 
 
 def _lesser_owners(table: pa.Table) -> pa.Table:
     """For each group, its windows that another group has from a lesser document."""
-    keys, firsts = _packed(table, "keys", np.uint64), _packed(table, "firsts", np.int64)
+    keys, firsts = packed(table, "keys", np.uint64), packed(table, "values", np.int64)
     sizes = [len(x) // 8 for x in table.column("keys").to_pylist()]
     row = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((firsts, keys))
@@ -144,7 +113,7 @@ def _lesser_owners(table: pa.Table) -> pa.Table:
     groups = table.column("group").to_pylist()
     split = lambda x: [p.tobytes() for p in np.split(x, starts[1:])] if len(numbers) else []
     columns = [pa.array([groups[i] for i in numbers], pa.int64()), pa.array(split(keys), pa.binary()), pa.array(split(least), pa.binary())]
-    return pa.table(columns, ["group", "keys", "firsts"])
+    return pa.table(columns, ["group", "keys", "values"])
 
 
 def parsed(windows: np.ndarray, doc: int, known: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, int]:
@@ -163,9 +132,9 @@ def _parse(docs: pa.Table, answers: pa.Table) -> pa.Table:
     hashed = list(_hashed(docs))
     windows = [runs(words, WINDOW) for _, words in hashed]
     known, firsts = _least(windows, [doc for doc, _ in hashed])
-    lesser = _packed(answers, "keys", np.uint64)
+    lesser = packed(answers, "keys", np.uint64)
     at = np.searchsorted(known, lesser)
-    firsts[at] = np.minimum(firsts[at], _packed(answers, "firsts", np.int64))
+    firsts[at] = np.minimum(firsts[at], packed(answers, "values", np.int64))
     n_words, n_removed, n_factors, kept = [], [], [], []
     for text, (doc, words), own in zip(docs.column("text").to_pylist(), hashed, windows, strict=True):
         found = utf8(text).split()
@@ -186,14 +155,14 @@ def without_repeats(docs: DataFrame, *columns: str) -> DataFrame:
     kept_text: the words left, joined by one space."""
     n_groups = max(1, -(-docs.count() // DOCS_PER_GROUP))
     group = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)).alias("group")
-    dealt = docs.select(group, "doc_id", "text", F.struct(*columns).alias("row"))
-    by_group = dealt.groupBy("group")
+    grouped = docs.select(group, "doc_id", "text", F.struct(*columns).alias("row"))
+    by_group = grouped.groupBy("group")
     keys = "block bigint, group bigint, keys binary"
     sent = by_group.applyInArrow(_sent_anchors(n_groups), keys)
-    shared = sent.groupBy("block").applyInArrow(_shared_anchors, "group bigint, keys binary")
-    windows = by_group.cogroup(shared.groupBy("group")).applyInArrow(_sent_windows(n_groups), f"{keys}, firsts binary")
-    lesser = windows.groupBy("block").applyInArrow(_lesser_owners, "group bigint, keys binary, firsts binary")
-    row = dealt.schema["row"].dataType.simpleString()
+    shared = sent.groupBy("block").applyInArrow(shared_keys, "group bigint, keys binary")
+    windows = by_group.cogroup(shared.groupBy("group")).applyInArrow(_sent_windows(n_groups), f"{keys}, values binary")
+    lesser = windows.groupBy("block").applyInArrow(_lesser_owners, "group bigint, keys binary, values binary")
+    row = grouped.schema["row"].dataType.simpleString()
     schema = f"row {row}, n_words bigint, n_removed bigint, n_factors bigint, kept_text string"
     return by_group.cogroup(lesser.groupBy("group")).applyInArrow(_parse, schema)
 
