@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import regex
 
 WORD_END = "</w>"
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 400_000
 ID_BITS = 17
 _WORDS: dict[str, Encoder] = {}
 

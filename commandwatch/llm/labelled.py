@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import TypeVar
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+Model = TypeVar("Model")
 ROWS_PER_CLASS = 3_000
 CHARS_PER_CLASS = 12_000_000
 
@@ -22,8 +28,8 @@ def labelled_sample(
     unseen: Column,
     rows: int = ROWS_PER_CLASS,
     chars: int = CHARS_PER_CLASS,
-) -> list[tuple[int, str]]:
-    """(label, text) of at most `rows` rows and `chars` characters of each class.
+) -> DataFrame:
+    """doc_id, label, order_ and text of at most `rows` rows and `chars` characters of each class.
 
     The rows are those with the least hash of the doc_id, so the sample is the same wherever
     it is drawn. A document that would exceed the characters is passed over whole.
@@ -32,8 +38,6 @@ def labelled_sample(
     known = known.groupBy("doc_id").agg(F.max(label).alias("label"))
     order = F.xxhash64("doc_id", F.lit(7)).alias("order")
     chosen = [row for k in (0, 1) for row in known.where(F.col("label") == k).select("doc_id", "label", order).orderBy("order", "doc_id").limit(rows).collect()]
-    if not chosen:
-        return []
     wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id bigint, label int, order_ bigint"))
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(wanted, "doc_id")
     sizes = found.groupBy("doc_id").agg(F.max(F.length("text")).alias("size"), F.first("label").alias("label"), F.first("order_").alias("order_"))
@@ -42,11 +46,24 @@ def labelled_sample(
         if row["size"] <= left[row["label"]]:
             left[row["label"]] -= row["size"]
             kept.append((row["doc_id"],))
-    if not kept:
-        return []
     few = F.broadcast(docs.sparkSession.createDataFrame(kept, "doc_id bigint"))
     texts = found.join(few, "doc_id").groupBy("doc_id").agg(F.max(F.struct(F.length("text"), "order_", "label", "text")).alias("row"))
-    return [(row["label"], row["text"]) for row in texts.orderBy("row.order_", "doc_id").select("row.label", "row.text").collect()]
+    return texts.select("doc_id", "row.label", "row.order_", "row.text")
+
+
+def fitted_on(sample: DataFrame, fit: Callable[[list[tuple[int, str]]], Model]) -> Model:
+    """What `fit` makes of the (label, text) pairs of a bounded sample, in the sample's order.
+
+    One task fits it, so that the driver holds the model alone and not the texts.
+    """
+
+    def work(table: pa.Table) -> pa.Table:
+        rows = table.sort_by([("order_", "ascending"), ("doc_id", "ascending")])
+        pairs = list(zip(rows.column("label").to_pylist(), rows.column("text").to_pylist(), strict=True))
+        return pa.table({"model": pa.array([pickle.dumps(fit(pairs))], pa.binary())})
+
+    found = sample.groupBy(F.lit(0).alias("all_")).applyInArrow(work, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else fit([])
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, penalty: float = 1e-3, steps: int = 30) -> np.ndarray:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules, secrets, substring_dedup, tokenizing, toxicity
 from .labelled import held_out
-from .spark_io import send_package
+from .spark_io import prepare
 
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +20,7 @@ ORACLES: dict[str, str] = {}
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        send_package(spark)
+        prepare(spark)
         return f(spark, sf_dir)
 
     QUERIES[f.__name__] = run

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_BYTES = 8 << 20
+ROWS_PER_BATCH = 1_000
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -75,8 +76,10 @@ def tasks(spark: SparkSession) -> int:
 _sent: set[str] = set()
 
 
-def send_package(spark: SparkSession) -> None:
-    """Give the executors this package, once for each application, as --py-files does."""
+def prepare(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application, as --py-files does, and
+    have rows travel to Python in small batches, as texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     context = spark.sparkContext
     if context.applicationId not in _sent:
         package = Path(__file__).resolve().parent.parent

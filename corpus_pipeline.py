@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from commandwatch.llm import near_dedup, packing, secrets, substring_dedup, toxicity
 from commandwatch.llm.queries import TOKENIZER
-from commandwatch.llm.spark_io import checkpointed, send_package
+from commandwatch.llm.spark_io import checkpointed, prepare
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,32 +27,32 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose toxicity scores 0.3 or more."""
-    send_package(spark)
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.fit(docs, labels, F.lit(False)))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least doc_id of each group of near copies."""
-    send_package(spark)
+    prepare(spark)
     return near_dedup.deduplicated(docs)
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes passages out that a document with a smaller doc_id has."""
-    send_package(spark)
+    prepare(spark)
     return _measured(substring_dedup.unrepeated(docs))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets by a mark."""
-    send_package(spark)
+    prepare(spark)
     return _measured(secrets.redacted(docs, secrets.fit(docs)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the token ids of all documents into sequences."""
-    send_package(spark)
+    prepare(spark)
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
