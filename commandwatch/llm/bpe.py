@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import regex
 
 WORD_END = "</w>"
-KEPT_WORDS = 400_000
+KEPT_WORDS = 900_000
 ID_BITS = 17
 _WORDS: dict[str, Encoder] = {}
 
@@ -76,7 +76,7 @@ class Encoder(dict):
         self.lookahead = sufficient_lookahead(merges)
         self.window = 2 * self.lookahead + 2 * max(self.symbols.values())
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^\p{{White_Space}}\p{{L}}\p{{N}}]+").findall
+        self.words = regex.compile(rf"\p{{L}}+|'s|'t|'re|'ve|'m|'ll|'d|\p{{N}}|[^\p{{White_Space}}\p{{L}}\p{{N}}]+").findall
         back = {c: b for b, c in enumerate(alphabet)}
         self.bytes = {i: bytes(back[c] for c in t.removesuffix(WORD_END)) + b" " * t.endswith(WORD_END) for t, i in vocab.items()}
         self.bytes |= {i: t.encode() for t, i in self.special.items()}

@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .blocks import dealt, packed, shared_keys
 from .words import runs, utf8, word_hashes
@@ -162,8 +163,8 @@ def without_repeats(docs: DataFrame, *columns: str) -> DataFrame:
     shared = sent.groupBy("block").applyInArrow(shared_keys, "group bigint, keys binary")
     windows = by_group.cogroup(shared.groupBy("group")).applyInArrow(_sent_windows(n_groups), f"{keys}, values binary")
     lesser = windows.groupBy("block").applyInArrow(_lesser_owners, "group bigint, keys binary, values binary")
-    row = grouped.schema["row"].dataType.simpleString()
-    schema = f"row {row}, n_words bigint, n_removed bigint, n_factors bigint, kept_text string"
+    added = [StructField(c, LongType()) for c in ("n_words", "n_removed", "n_factors")]
+    schema = StructType([grouped.schema["row"], *added, StructField("kept_text", StringType())])
     return by_group.cogroup(lesser.groupBy("group")).applyInArrow(_parse, schema)
 
 

@@ -1,0 +1,420 @@
+"""Each operator against brute force, and on nulls, empty and long texts, ties, clashing names."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from commandwatch.llm import fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules
+from commandwatch.llm import secrets, substring_dedup, tokenizing, toxicity
+from commandwatch.llm.bpe import Encoder, sufficient_lookahead
+from commandwatch.llm.components import components
+from commandwatch.llm.packing import BestFit
+from commandwatch.llm.spark_io import prepare
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+SPACES = r"[^\x20\x09-\x0D]+"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+#: Columns that the operators use inside.
+CLASHING = ("group", "row", "bucket", "order_", "id", "found_", "score", "kept", "number")
+
+
+def sentence(rng: random.Random, n: int) -> str:
+    return " ".join(rng.choice("the of and river stone cloud Maple runs slowly under bright 7 old".split()) + rng.choice(["", "", str(rng.randint(0, 99))]) for _ in range(n))
+
+
+def texts() -> list[tuple[int | None, str | None]]:
+    rng = random.Random(3)
+    base = [sentence(rng, rng.randint(5, 120)) for _ in range(40)]
+    rows: list[tuple[int | None, str | None]] = list(enumerate(base))
+    for k in range(25):  # copies with ever more edits
+        words = base[k % 4].split()
+        for _ in range(k % 5):
+            words[rng.randrange(len(words))] = f"edit{rng.randint(0, 9)}"
+        rows.append((700 + 600 * k, " ".join(words)))
+    passage = sentence(rng, 60)
+    rows += [(100_000 + k, f"{sentence(rng, 9)} {passage} {sentence(rng, 11)}") for k in range(5)]
+    rows += [(5, base[5]), (200_000, None), (200_001, ""), (200_002, " \n\t "), (200_003, base[7].upper()), (None, base[8]), (200_004, "x" * 30_000)]
+    rows += [(200_005, "Ünï cödé ﬁ <|endoftext|> Σίσυφος don't\x85end"), (200_006, 'key = "0f1e2d3c4b5a69788796a5b4c3d2e1f001234567" done')]
+    return rows
+
+
+ROWS = texts()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    prepare(spark)
+    rows = [(d, t, "en", "s", len(t or "")) for d, t in ROWS]
+    found = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for name in CLASHING:
+        found = found.withColumn(name, F.lit("x"))
+    return found
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    prepare(spark)
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(d, int(i % 3 > 0), int(i % 4 == 0)) for i, (d, _) in enumerate(ROWS)]
+    return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+
+
+def words(text: str | None) -> list[str]:
+    return re.findall(SPACES, text or "")
+
+
+# Tokens and packing ------------------------------------------------------------------------
+
+
+def test_encoder_equals_the_library():
+    ours, library = Encoder(PATH), Tokenizer.from_file(PATH)
+    rng = random.Random(1)
+    pool = ["a", "an", "th", "in", "=", "-", "é", "ß", "Σ", "İ", "ﬁ", "½", "一", "<|endoftext|>", "<|end", "'s", " ", "\n", "\x1c", "🙂", "1", "haha"]
+    cases = ["".join(rng.choice(pool) for _ in range(rng.choice([0, 3, 30, 300]))) for _ in range(300)]
+    cases += [unit * 4_000 for unit in ("a", "ha", "-=", "in", "=")] + [t or "" for _, t in ROWS]
+    for text in cases:
+        expected = library.encode(text, add_special_tokens=False).ids
+        got = np.frombuffer(ours.encode(text), "<u4").tolist()
+        assert got == expected
+        assert ours.decode(got) == library.decode(expected, skip_special_tokens=False)
+
+
+def test_lookahead_bounds_how_far_an_end_reaches_back():
+    merges = [("a", "b"), ("c", "ab"), ("d", "cab")]
+    assert sufficient_lookahead(merges) == 3 and sufficient_lookahead([]) == 0
+    assert sufficient_lookahead([("b", "c"), ("a", "b"), ("x", "ab")]) == 3
+
+
+def test_decoding_puts_split_characters_together():
+    machine = Encoder(PATH)
+    ids = np.frombuffer(machine.encode("naïve 🙂 café"), "<u4").tolist()
+    assert "".join(machine.decode_text(ids)).split() == "naïve 🙂 café".split()
+
+
+def test_token_digests(docs, nothing):
+    got = Counter(map(tuple, tokenizing.token_digests(docs, PATH).collect()))
+    library = Tokenizer.from_file(PATH)
+    expected = Counter()
+    for doc, text in ROWS:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        packed, plain = np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)
+        expected[(doc, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(plain.encode()).hexdigest())] += 1
+    assert got == expected
+    assert tokenizing.token_digests(nothing, PATH).count() == 0
+    back = tokenizing.detokenize(tokenizing.tokenize(docs, PATH), PATH)
+    assert back.count() == len(ROWS)
+
+
+def test_best_fit_takes_the_fullest_that_fits_and_closes_the_fullest():
+    bins = BestFit(10, 2)
+    assert [bins.put(n) for n in (6, 7, 3, 4)] == [(0, 0), (1, 0), (1, 7), (0, 6)]
+    assert [bins.put(n) for n in (2, 9, 8, 1)] == [(2, 0), (3, 0), (2, 2), (3, 9)]
+    few = BestFit(10, 1)
+    assert [few.put(n) for n in (6, 7, 4, 3)] == [(0, 0), (1, 0), (2, 0), (2, 4)]
+
+
+def test_packing_is_whole_and_tight(docs, nothing):
+    rows = packing.pack_documents(docs, PATH).collect()
+    library, by_doc, sequences = Tokenizer.from_file(PATH), Counter(), {}
+    for doc, text in ROWS:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        for k, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at : at + 2048]
+            by_doc[(doc, k, at, len(part), zlib.crc32(part.tobytes()))] += 1
+    assert Counter(tuple(r)[:5] for r in rows) == by_doc
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    assert len(sequences) <= -(-sum(r["length"] for r in rows) // 2048) + 1
+    assert packing.pack_documents(nothing, PATH).count() == 0
+
+
+# Near copies and repeated passages ---------------------------------------------------------
+
+
+def brute_components(size: int, percent: int) -> dict[int | None, int | None]:
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = []
+    for doc, text in ROWS:
+        w = words((text or "").translate(low))
+        sets.append((doc, {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()))
+    parent = list(range(len(sets)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (_, a) in enumerate(sets):
+        for j, (_, b) in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                parent[root(i)] = root(j)
+    least: dict[int, int] = {}
+    for i, (doc, _) in enumerate(sets):
+        if doc is not None:
+            least[root(i)] = min(doc, least.get(root(i), doc))
+    return Counter((doc, len(s), least.get(root(i)), doc == least.get(root(i))) for i, (doc, s) in enumerate(sets))
+
+
+@pytest.mark.parametrize(("like", "size", "percent"), [(near_dedup.Likeness(3, 85, 25, 5), 3, 85), (near_dedup.Likeness(), 5, 80)])
+def test_near_duplicates_equal_all_pairs(docs, like, size, percent):
+    assert Counter(map(tuple, near_dedup.near_duplicates(docs, like).collect())) == brute_components(size, percent)
+
+
+def test_near_duplicates_of_nothing_and_whole_rows(docs, nothing):
+    assert near_dedup.near_duplicates(nothing).count() == 0
+    kept = near_dedup.deduplicated(docs)
+    assert kept.columns == docs.columns
+    expected = {row[0] for row in brute_components(5, 80) if row[3]}
+    assert {r["doc_id"] for r in kept.collect()} == expected | {None}
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 7), (300, 200)]
+    found = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert all(found[k] == 0 for k in range(1, 41)) and all(found[100 + k] == 100 for k in range(1, 50)) and found[300] == 200
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_repeats_equal_all_windows(docs, nothing):
+    first: dict[tuple, float] = {}
+    number = lambda doc: float("inf") if doc is None else doc
+    for doc, text in ROWS:
+        w = words(text)
+        for i in range(len(w) - 12):
+            key = tuple(w[i : i + 13])
+            first[key] = min(number(doc), first.get(key, number(doc)))
+    expected = Counter()
+    for doc, text in ROWS:
+        w = words(text)
+        gone = [False] * len(w)
+        for i in range(len(w) - 12):
+            if first[tuple(w[i : i + 13])] < number(doc):
+                gone[i : i + 13] = [True] * 13
+        left = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        expected[(doc, len(w), sum(gone), hashlib.sha256(left.encode()).hexdigest())] += 1
+    assert Counter(tuple(r)[:4] for r in substring_dedup.repeat_digests(docs).collect()) == expected
+    assert substring_dedup.repeat_digests(nothing).count() == 0
+    whole = substring_dedup.unrepeated(docs)
+    assert whole.columns == docs.columns and whole.count() == len(ROWS)
+
+
+# Fingerprints and secrets ------------------------------------------------------------------
+
+
+def test_fingerprints(docs, nothing):
+    got = fingerprints.fingerprints(docs).collect()
+    in_order = sorted(ROWS, key=lambda r: (-1 if r[0] is None else r[0], r[1] or ""))
+    expected = Counter()
+    for k, (doc, text) in enumerate(in_order):
+        text, after = text or "", in_order[(k + 1) % len(in_order)][1] or ""
+        cut = len(text) // 2
+        edited = text[: len(text) - cut] + after[:cut]
+        expected[(doc, len(text), hashlib.sha256(edited.encode()).hexdigest())] += 1
+    assert Counter(tuple(r)[:3] for r in got) == expected
+    prints = {}
+    for r in got:
+        text = [t or "" for d, t in ROWS if d == r["doc_id"]][0]
+        assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        units = len(re.findall(r"[^ \t\n\x0b\f\r]{1,4}", text))
+        places = [int(x.split(":")[1]) for x in r["fingerprint"].split()]
+        assert places == sorted(places) and (not units) == (not places)
+        if units >= 7:  # every window of 5 runs has a choice in it
+            assert places[0] <= 4 and all(b - a <= 5 for a, b in zip(places, places[1:], strict=False))
+    assert fingerprints.fingerprints(nothing).count() == 0
+
+
+def test_equal_hashes_choose_the_rightmost(spark):
+    found = spark.createDataFrame([("aa aa aa aa aa aa aa aa aa",)], "text string").select(fingerprints.written(fingerprints.fingerprint(F.col("text"))).alias("f")).first()["f"]
+    assert [x.split(":")[1] for x in found.split()] == ["4", "5", "6"]
+
+
+def test_secrets(spark, docs, nothing):
+    rng = random.Random(9)
+    prose = [(k, f"{sentence(rng, 30).replace('7', 'pine')} birch alder willow rowan hazel", "en", "s", 0) for k in range(80)]
+    trained = secrets.fit(spark.createDataFrame(prose, SCHEMA))
+    value = hashlib.sha1(b"x").hexdigest()
+    rows = [
+        (1, f'set token = "{value}" then', True),
+        (2, f"commit {value} by", False),
+        (3, "see https://example.com/alder/willow/rowan12.html now", False),
+        (4, 'token = "your_alder_token_here" then', False),
+        (5, None, False),
+        (6, "", False),
+    ]
+    given = spark.createDataFrame([(d, t, "en", "s", 0) for d, t, _ in rows], SCHEMA).withColumn("found_x", F.lit(1))
+    found = secrets.findings(given, trained).collect()
+    assert {r["doc_id"] for r in found if r["is_secret"]} == {1}
+    one = next(r for r in found if r["doc_id"] == 1)
+    assert rows[0][1][one["start"] : one["start"] + one["length"]] == value
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(given, trained).collect()}
+    assert clean == {d: (t.replace(value, secrets.MARK) if s else t) for d, t, s in rows}
+    assert secrets.secret_findings(nothing).count() == 0
+    assert secrets.redacted(docs, trained).count() == len(ROWS)
+
+
+def test_secret_scan_and_fingerprints_use_no_python(docs):
+    for found in (fingerprints.fingerprints(docs), secrets.redacted(docs, secrets.Forest((), ()))):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# Classifiers, rules, personal data ---------------------------------------------------------
+
+
+def test_toxicity_on_fresh_texts():
+    rng = random.Random(4)
+    bad = ["blarg", "snork", "gritch"]
+
+    def made(toxic: bool) -> str:
+        w = sentence(rng, 60).split()
+        for k in range(4 * toxic):
+            w[rng.randrange(len(w))] = bad[k % 3]
+        return " ".join(w)
+
+    model = toxicity.fitted([(k % 2, made(k % 2 == 1)) for k in range(300)])
+    fresh = [(k % 2, made(k % 2 == 1)) for k in range(100)]
+    scores = model.scores([t for _, t in fresh])
+    assert np.mean((scores >= 0.5) == np.array([y for y, _ in fresh])) > 0.95
+    edge = model.scores(["", None, "blarg" * 10_000])
+    assert ((edge >= 0) & (edge <= 1)).all() and edge[0] == edge[1]
+    assert toxicity.fitted([]).scores(["a b c"])[0] < 1e-9 < 0.9 < toxicity.fitted([(1, "a")]).scores(["a b c"])[0]
+
+
+def test_quality_on_fresh_texts():
+    rng = random.Random(5)
+    made = lambda good: sentence(rng, 60) if good else sentence(rng, 60).replace(" ", "*** ").upper()
+    dictionaries, weights = quality_classifier.fitted([(k % 2, made(k % 2)) for k in range(300)])
+    sizes = quality_classifier.Compressors(dictionaries)
+    fresh = [(k % 2, made(k % 2)) for k in range(100)]
+    scores = quality_classifier.probability(quality_classifier.calibrated([sizes.difference(t.encode()) for _, t in fresh]), weights)
+    assert np.mean((scores >= 0.5) == np.array([y for y, _ in fresh])) > 0.95
+
+
+def test_scores_of_every_row(docs, nothing, labels):
+    for f in (toxicity.toxicity_scores, quality_classifier.quality_scores):
+        rows = f(docs, labels, F.col("doc_id") % 2 == 0).collect()
+        assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in ROWS)
+        assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
+        assert f(nothing, labels, F.lit(False)).count() == 0
+        assert f(docs, labels.limit(0), F.lit(False)).count() == len(ROWS)
+
+
+def test_quality_statistics_and_rules(docs, nothing, labels):
+    rows = quality_rules.quality_verdicts(docs, labels).collect()
+    expected = Counter()
+    for doc, text in ROWS:
+        text = text or ""
+        w, seen, again = words(text), set(), 0
+        for line in text.split("\n"):
+            if words(line):
+                again += line in seen
+                seen.add(line)
+        windows = Counter(zip(w, w[1:], w[2:], strict=False))
+        twice = [False] * len(w)
+        for i in range(len(w) - 2):
+            if windows[tuple(w[i : i + 3])] > 1:
+                twice[i : i + 3] = [True] * 3
+        failed = len(w) < 50 or 100 * sum(twice) > 50 * len(w)
+        expected[(doc, len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", text)), again, sum(twice), failed)] += 1
+    assert Counter(tuple(r)[:7] for r in rows) == expected
+    assert not any(r["kept"] for r in rows if r["base_failed"])
+    assert quality_rules.quality_verdicts(nothing, labels).count() == 0
+
+
+def test_rules_find_a_planted_conjunction():
+    rng = np.random.default_rng(1)
+    rows = {c: rng.integers(1, 100, 3_000).astype(float) for c in quality_rules.COUNTS}
+    bad = (rows["n_symbols"] / rows["n_words"] >= 1.5) & (rows["n_upper"] / rows["word_chars"] >= 1)
+    rules = quality_rules.learned(rows, bad ^ (rng.random(3_000) < 0.02))
+    values = {name: rows[a] / np.maximum(rows[b], 1) for name, (a, b) in quality_rules.RATIOS.items()}
+    hit = np.any([quality_rules.covered(rule, values, 3_000) for rule in rules], axis=0)
+    assert (hit & bad).sum() > 0.8 * bad.sum() and (hit & ~bad).sum() < 0.1 * bad.sum()
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_base(text: str) -> list:
+    spans = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (12 <= len(digits) <= 19 and personal_data.luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            spans.append((m.start(), m.end(), kind))
+    return personal_data.in_order(spans)
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(6)
+    pool = ["a.b", "@", "x@y.z", "1.2.3.4", "256", ".", "0", "4111 1111 1111 1111", "+1 (743) 555-3824", "+", "-", " ", "(", "é", "12", "@mail", ".com", "a@b.c@d.e", "1"]
+    for _ in range(3_000):
+        text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))
+        assert personal_data.base_spans(text) == plain_base(text), text
+
+
+def test_field_adds_other_spellings_and_nothing_to_plain_numbers(spark, docs, nothing):
+    rng = random.Random(8)
+    given = []
+    for k in range(200):
+        phone = f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+        mail, ip = f"re.{k}@mail{k % 9}.example.com", ".".join(str(rng.randint(1, 250)) for _ in range(4))
+        given.append(f"the {phone} of {mail} by {ip} in {rng.randint(1900, 2030)}-0{k % 9 + 1}-{10 + k % 20} and {rng.randint(10**6, 10**8)} x")
+    weights = personal_data.trained(personal_data.examples(given))
+    text = "call (212) 555-7788 or write to ann.lee at mail.example.com on 2024-05-17 about 123456789"
+    found = [(text[a:b], kind) for a, b, kind in personal_data.further_spans(text, personal_data.base_spans(text), weights)]
+    assert ("212) 555-7788", "phone") in found or ("(212) 555-7788", "phone") in found
+    assert ("ann.lee at mail.example.com", "email") in found and len(found) == 2
+    rows = personal_data.span_digests(docs).collect()
+    assert len(rows) == len(ROWS)
+    assert all(r["base_sha256"] == hashlib.sha256(personal_data.written(plain_base(t or "")).encode()).hexdigest() for r in rows for t in [dict(ROWS[::-1])[r["doc_id"]]])
+    assert personal_data.span_digests(nothing).count() == 0
+
+
+# The pipeline ------------------------------------------------------------------------------
+
+
+def test_stages_keep_the_columns_of_documents(spark, tmp_path):
+    prepare(spark)
+    rows = [(d, t, "en", "s", len(t or "")) for d, t in ROWS]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(d, 1, 0) for d, _ in ROWS if d is not None], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == SCHEMA.replace(" bigint", "").replace(" string", "").split(", "), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    again = corpus_pipeline.run(spark, str(tmp_path))
+    place = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert Counter(map(tuple, packed.select(place).collect())) == Counter(map(tuple, again.select(place).collect()))
