@@ -54,9 +54,15 @@ def add_first(
 
 
 def explode_hits(
-    df: DataFrame, name: str, cases: Sequence[tuple[Column, Column | str | int]]
+    df: DataFrame,
+    name: str,
+    cases: Sequence[tuple[Column, Column | str | int]],
+    kind: str = "string",
 ) -> DataFrame:
-    """One row per case that is true, with its label; a row without any yields none."""
+    """One row per case that is true, with its label; a row without any yields none.
+
+    ``kind`` is the type of the labels, which matters if there are no cases.
+    """
     df = df.drop(name)
     kept = df.columns
     helpers = []
@@ -64,6 +70,6 @@ def explode_hits(
         labels = F.array(*(F.when(hit, F.lit(label)) for hit, label in chunk))
         helpers.append(f"{name}_{i}")
         df = df.withColumn(helpers[-1], labels) if i == 0 else once(df, helpers[-1], labels)
-    labels = F.concat(*helpers) if helpers else F.array().cast("array<string>")
+    labels = F.concat(*helpers) if helpers else F.array().cast(f"array<{kind}>")
     exploded = df.select(*kept, F.explode_outer(labels).alias(name))
     return exploded.filter(F.col(name).isNotNull())

@@ -14,20 +14,26 @@ from commandwatch.policy import Rule
 
 # Unicode words and blanks; only "\n" ends a line for ".".
 REGEX_FLAGS = "(?dU)"
+# Rules match without regard to case, whatever case they are written in.
+RULE_FLAGS = "(?diuU)"
 
 
-def pattern_hit(text: Column, pattern: str, needs: str | None = None) -> Column:
+def pattern_hit(
+    text: Column, pattern: str, needs: str | None = None, flags: str = REGEX_FLAGS
+) -> Column:
     """True where ``pattern`` occurs in ``text``.
 
     ``needs`` is a literal that every match contains. Its plain substring test runs first
     and spares most rows the regex.
     """
-    hit = text.rlike(REGEX_FLAGS + pattern)
-    return (F.contains(text, F.lit(needs)) & hit) if needs else hit
+    hit = text.rlike(flags + pattern)
+    return (F.contains(text, F.lit(needs.lower())) & hit) if needs else hit
 
 
 def rule_hit(text: Column, rule: Rule) -> Column:
-    return pattern_hit(text, rule.search, rule.needs)
+    # Only a pattern with capitals needs the slower matching; the text is lowercased.
+    flags = RULE_FLAGS if re.search(r"(?<!\\)[A-Z]", rule.search) else REGEX_FLAGS
+    return pattern_hit(text, rule.search, rule.needs, flags)
 
 
 def word_hit(text: Column, word: str) -> Column:

@@ -9,17 +9,12 @@ from pyspark.sql import functions as F
 
 from commandwatch.functions.staged import add_any, add_first, explode_hits
 from commandwatch.functions.text import rule_hit, word_hit
-from commandwatch.policy import MAX_INLINE_NAMES, Policy, Rule
+from commandwatch.policy import Policy, Rule
 
 ALLOW, DENY = "allow", "deny"
 NO_CONTEXT, NO_MATCH, MATCH = "no_context", "no_match", "match"
 
 
-def _check_inline(names: Sequence[str]) -> None:
-    if len(names) > MAX_INLINE_NAMES:
-        raise ValueError(f"more than {MAX_INLINE_NAMES} names: use match_policy_table")
-
-
 def _name_hits(names: Sequence[str]) -> list[tuple[Column, str]]:
     return [(word_hit(F.col("_text"), name), name) for name in names]
 
@@ -39,7 +34,7 @@ def tag_rules(log: DataFrame, rules: Sequence[Rule], command: str = "command") -
     """One row per command and context rule it fires, in column ``rule_id``."""
     lowered = log.withColumn("_text", F.lower(command))
     fired = [(rule_hit(F.col("_text"), rule), rule.rule_id) for rule in rules]
-    return explode_hits(lowered, "rule_id", fired).drop("_text")
+    return explode_hits(lowered, "rule_id", fired, "int").drop("_text")
 
 
 def classify(
@@ -51,7 +46,6 @@ def classify(
     whole word, provided that a context rule fires. All other rows are allowed. An existing
     ``reason`` (from ``extract_command``) is kept for rows without a command.
     """
-    _check_inline(policy.denied)
     kept = [name for name in log.columns if name not in ("verdict", "catalog", "reason")]
     earlier = F.col("reason") if "reason" in log.columns else F.lit(None)
 
@@ -77,7 +71,6 @@ def all_matches(
     log: DataFrame, rules: Sequence[Rule], policy: Policy, command: str = "command"
 ) -> DataFrame:
     """One row per command in context and denied name it holds, in column ``catalog``."""
-    _check_inline(policy.denied)
     tagged = with_context(log, rules, command).filter("_context")
     hits = explode_hits(tagged, "catalog", _name_hits(policy.denied))
     return hits.drop("_text", "_context")
@@ -95,7 +88,6 @@ def classify_as_of(
     ``history`` holds (valid from, valid to or None, policy) with timestamps as text, and
     its periods do not overlap; each ends just before its valid-to time.
     """
-    _check_inline([name for _, _, policy in history for name in policy.denied])
     time = F.col(at)
     names = []
     for start, end, policy in history:

@@ -14,8 +14,16 @@ NON_STRING_COMMAND = "non_string_command"
 
 # The payload is parsed inside an outer object with a closing flag: trailing text, a second
 # document or a missing brace leave the flag null, where the JSON functions alone would
-# accept the payload.
-_HEAD, _TAIL = '{"body":', ',"complete":true}'
+# accept the payload. Text that would end the outer object's value and go on with other keys
+# can't stand inside an array as well, so a payload has to be valid in both frames.
+_FRAMES = ('{"body":', ',"complete":true}'), ('{"body":[', '],"complete":true}')
+_WHOLE = "complete BOOLEAN, corrupt STRING"
+# No limits of the reader's own: a long command or a deep sibling isn't a broken payload.
+_OPTIONS = {
+    "columnNameOfCorruptRecord": "corrupt",
+    "maxStringLen": str(2**31 - 1),
+    "maxNestingDepth": str(2**31 - 1),
+}
 _SCHEMA = (
     "body STRUCT<tool_input: STRUCT<command: VARIANT>>, complete BOOLEAN, corrupt STRING"
 )
@@ -29,23 +37,25 @@ def _lower_keys(payload: Column) -> Column:
 
 
 def extract_command(
-    log: DataFrame, payload: str = "payload", ignore_key_case: bool = False
+    log: DataFrame, payload: str = "payload", ignore_key_case: bool = True
 ) -> DataFrame:
     """Add ``command`` and ``reason`` to a log of JSON payloads.
 
     ``command`` is the non-empty string at ``tool_input.command``; otherwise it is null and
-    ``reason`` says why. Of repeated keys the last one counts. ``ignore_key_case`` also
-    accepts ``Tool_Input.Command`` and the like, at the cost of two replacements.
+    ``reason`` says why. Of repeated keys the last one counts. ``Tool_Input.Command`` and the
+    like are accepted too, unless ``ignore_key_case`` is off.
     """
     text = _lower_keys(F.col(payload)) if ignore_key_case else F.col(payload)
-    framed = F.concat(F.lit(_HEAD), text, F.lit(_TAIL))
-    parsed = log.withColumn(
-        "_json", F.from_json(framed, _SCHEMA, {"columnNameOfCorruptRecord": "corrupt"})
-    ).withColumn("_command", F.col("_json.body.tool_input.command"))
-    # A record is also corrupt if it is valid but of another shape; only then parse again.
-    valid = F.when(F.col("_json.corrupt").isNull(), True).otherwise(
-        F.try_parse_json(framed).isNotNull()
+    framed, listed = (F.concat(F.lit(head), text, F.lit(tail)) for head, tail in _FRAMES)
+    parsed = log.withColumn("_json", F.from_json(framed, _SCHEMA, _OPTIONS)).withColumn(
+        "_command", F.col("_json.body.tool_input.command")
     )
+
+    def whole(frame: Column) -> Column:
+        return F.from_json(frame, _WHOLE, _OPTIONS)["corrupt"].isNull()
+
+    # A record is also corrupt if it is valid but of another shape; only then parse again.
+    valid = (F.col("_json.corrupt").isNull() | whole(framed)) & whole(listed)
     read = F.struct(
         (F.coalesce(F.length(payload), F.lit(0)) == 0).alias("empty"),
         (F.col("_json.complete").isNotNull() & valid).alias("complete"),

@@ -214,10 +214,16 @@ def classify_by_table(
     key: Sequence[str],
     command: str = "command",
 ) -> DataFrame:
-    """Add ``verdict`` and ``catalog`` to every row, without a shuffle for a short policy."""
-    denied = _denied(policy).orderBy("pos").select("name").limit(MAX_INLINE_NAMES + 1)
-    names = tuple(row.name for row in denied.collect())
+    """Add ``verdict`` and ``catalog`` to every row, without a shuffle for a short policy.
+
+    The rows are the same for any size of the policy, also where ``key`` repeats or is null.
+    """
+    denied = _denied(policy).groupBy(F.lower("name")).agg(F.min_by("name", "pos"), F.min("pos"))
+    first = denied.toDF("lower", "name", "pos").orderBy("pos").limit(MAX_INLINE_NAMES + 1)
+    names = tuple(row.name for row in first.collect())
     if len(names) <= MAX_INLINE_NAMES:
         return classify(log, rules, Policy(denied=names), command).drop("reason")
-    matches = match_policy_table(log, rules, policy, key, command)
-    return deny_by_table(log, first_match(matches, key), key)
+    # The text alone decides, so it identifies a command where keys repeat or are null.
+    keyed = log.withColumn("_digest", F.sha2(F.col(command), 256))
+    matches = match_policy_table(keyed, rules, policy, ["_digest"], command)
+    return deny_by_table(keyed, first_match(matches, ["_digest"]), ["_digest"]).drop("_digest")

@@ -41,9 +41,9 @@ def verdict_json(denied: DataFrame, allowed_name: str) -> DataFrame:
 
 
 def verdict_counts(verdicts: DataFrame) -> DataFrame:
-    """Commands per denied catalog; allowed ones count under "allow"."""
-    catalog = F.coalesce("catalog", F.lit(ALLOW)).alias("catalog")
-    return verdicts.groupBy(catalog).agg(F.count("*").alias("n"))
+    """Commands per verdict and denied catalog; allowed ones count under "allow"."""
+    counted = verdicts.groupBy("verdict", "catalog").agg(F.count("*").alias("n"))
+    return counted.select("verdict", F.coalesce("catalog", F.lit(ALLOW)).alias("catalog"), "n")
 
 
 def verdict_rollup(verdicts: DataFrame, *by: str) -> DataFrame:
@@ -62,10 +62,13 @@ def policy_coverage(
 ) -> DataFrame:
     """Each catalog of the inventory or the policy, its status, and how often it is named.
 
+    Names are compared and given in lower case, as commands are matched.
+
     ``mentions`` has one row per command and catalog it names.
     """
-    known = spark.createDataFrame([(name,) for name in inventory], "catalog STRING")
-    listed = policy.to_table(spark).select(F.col("name").alias("catalog"), "effect")
+    names = sorted({name.lower() for name in inventory})
+    known = spark.createDataFrame([(name,) for name in names], "catalog STRING")
+    listed = policy.to_table(spark).select(F.lower("name").alias("catalog"), "effect")
     in_both = known.intersect(listed.select("catalog")).join(listed, "catalog")
     unlisted = known.exceptAll(listed.select("catalog")).withColumn(
         "effect", F.lit("unlisted")
@@ -76,7 +79,7 @@ def policy_coverage(
         .withColumn("effect", F.lit("not in inventory"))
     )
     status = in_both.unionByName(unlisted).unionByName(unknown)
-    named = mentions.groupBy("catalog").agg(F.count("*").alias("n_commands"))
+    named = mentions.groupBy(F.lower("catalog").alias("catalog")).agg(F.count("*").alias("n_commands"))
     return status.join(named, "catalog", "left").select(
         "catalog",
         F.col("effect").alias("status"),

@@ -16,7 +16,7 @@ def audit(
     rules: Sequence[Rule] = CATALOG_RULES,
     policy: Policy = CATALOG_POLICY,
     payload: str = "payload",
-    ignore_key_case: bool = False,
+    ignore_key_case: bool = True,
 ) -> DataFrame:
     """Decide every payload of a log, batch or streaming, without a shuffle.
 

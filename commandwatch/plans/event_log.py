@@ -55,6 +55,9 @@ ENVELOPES = (
     '{"Tool_Input":{"Command":"databricks schemas list system"}}',
     '{"tool_input":{"command":5}}',
     '{"tool_input":{"command":"use catalog\\n samples"}}',
+    '{"tool_input":{"command":"use catalog samples"}},"x":1',
+    '{"tool_input":{"command":"ls"}},"body":{"tool_input":{"command":"use catalog system"}}',
+    '{"tool_input":{"command":"use catalog system"}},{"tool_input":{"command":"ls"}}',
 )
 
 

@@ -96,7 +96,7 @@ def _extracted(any_case: bool) -> str:
   FROM parsed)"""
 
 
-_AUDITED = f"""{_extracted(False)}, tagged AS (
+_AUDITED = f"""{_extracted(True)}, tagged AS (
   SELECT event_id, reason AS earlier, lower(command) AS text,
     {_context('lower(command)', CATALOG_RULES)} AS in_context FROM extracted), decided AS (
   SELECT *, CASE WHEN in_context THEN {_first('text', CATALOG_POLICY.denied)} END AS catalog

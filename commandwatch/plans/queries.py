@@ -79,7 +79,7 @@ def _table_matches(
 
 
 def payload_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extract_command(_payloads(spark, sf_dir))
+    found = extract_command(_payloads(spark, sf_dir), ignore_key_case=False)
     return found.select("event_id", "command", "reason")
 
 
@@ -191,7 +191,7 @@ def text_log_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verdict_counts_by_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verdict_counts(_verdicts(spark, sf_dir))
+    return verdict_counts(_verdicts(spark, sf_dir)).select("catalog", "n")
 
 
 def verdict_subtotals(spark: SparkSession, sf_dir: str) -> DataFrame:

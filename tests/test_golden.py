@@ -62,9 +62,12 @@ EXPECTED_ENVELOPES = [
     ("no_command", None),
     ("no_command", None),
     ("match", "system"),
-    ("no_command", None),
+    ("match", "system"),
     ("non_string_command", None),
     ("match", "samples"),
+    ("malformed", None),
+    ("malformed", None),
+    ("malformed", None),
 ]
 
 
@@ -177,14 +180,45 @@ def test_envelopes(spark):
     assert [(row.reason, row.catalog) for row in rows] == EXPECTED_ENVELOPES
 
 
-def test_any_case_of_the_keys_on_request(spark):
+def test_exact_case_of_the_keys_on_request(spark):
     log = payload_frame(spark, ENVELOPES)
-    rows = audit(log, ignore_key_case=True).orderBy("id").collect()
+    rows = audit(log, ignore_key_case=False).orderBy("id").collect()
     expected = list(EXPECTED_ENVELOPES)
-    expected[7] = ("match", "system")
+    expected[7] = ("no_command", None)
     assert [(row.reason, row.catalog) for row in rows] == expected
 
 
+def test_a_very_long_command_and_a_deep_sibling_are_read(spark):
+    long = json.dumps({"tool_input": {"command": "use catalog " + "x" * 21_000_000 + " system"}})
+    deep = '{"other":' + "[" * 1_500 + "]" * 1_500 + ',"tool_input":{"command":"use catalog system"}}'
+    rows = audit(payload_frame(spark, [long, deep])).orderBy("id").select("reason", "catalog").collect()
+    assert [tuple(row) for row in rows] == [("match", "system")] * 2
+
+
+def test_wrapped_and_appended_fragments_agree_with_a_strict_parser(spark):
+    rng = random.Random(11)
+    whole = '{"tool_input":{"command":"use catalog system"}}'
+    parts = [whole, ',"x":1', ',"body":' + whole, "," + whole, "}", "]", "[", "{", ",", " ", "1", '"a":', "null"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(400)]
+
+    def broken(text):
+        try:
+            json.loads(text)
+        except ValueError:
+            return True
+        return False
+
+    rows = extract_command(payload_frame(spark, texts)).orderBy("id").collect()
+    assert [row.reason == "malformed" for row in rows] == [broken(text) for text in texts]
+
+
+def test_rules_ignore_their_own_case(spark):
+    log = spark.createDataFrame([(1, "use  CATALOG system")], "id INT, command STRING")
+    rules = [Rule(1, r"\bUSE\s+Catalog\b", "Catalog")]
+    assert classify(log, rules, CATALOG_POLICY).first().catalog == "system"
+    assert tag_rules(log, []).schema["rule_id"].dataType.simpleString() == "int"
+
+
 @pytest.mark.parametrize("ignore_key_case", [False, True])
 @pytest.mark.parametrize(
     ("payload", "command", "reason"),

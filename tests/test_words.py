@@ -179,16 +179,22 @@ def test_rejected_policies(spark):
         match_policy_table(log, ANY, table, ["id"])
 
 
-def test_long_lists_go_to_the_join(spark, texts):
-    names = tuple(f"name{i}" for i in range(101))
-    with pytest.raises(ValueError, match="match_policy_table"):
-        classify(texts, ANY, Policy(denied=names))
-    table = Policy(denied=names).to_table(spark)
-    with pytest.raises(ValueError, match="match_policy_table"):
-        Policy.from_table(table)
-    log = spark.createDataFrame([(1, "a name100 name7")], "id INT, command STRING")
-    matches = match_policy_table(log, ANY, table, ["id"])
-    assert first_match(matches, ["id"]).first().catalog == "name7"
+@pytest.mark.parametrize("padding", [50, 200])
+def test_long_lists_give_the_same_rows(spark, padding):
+    names = ("system", "SYSTEM", *(f"name{i}" for i in range(padding)))
+    rows = [(None, "a system"), (1, "ls"), (1, "b System name7"), (2, "name7"), (2, None)]
+    log = spark.createDataFrame(rows, "id INT, command STRING")
+    table = spark.createDataFrame(list(enumerate(names)), "pos INT, name STRING")
+    found = classify_by_table(log, ANY, table, ["id"]).collect()
+    assert sorted((r.id or 0, r.verdict, r.catalog or "") for r in found) == [
+        (0, "deny", "system"),
+        (1, "allow", ""),
+        (1, "deny", "system"),
+        (2, "allow", ""),
+        (2, "deny", "name7"),
+    ]
+    policy = Policy.from_table(Policy(denied=names[1:]).to_table(spark))
+    assert classify(log, ANY, policy).filter("verdict = 'deny'").count() == 3
 
 
 def test_empty_rules_and_policy(spark, texts):
