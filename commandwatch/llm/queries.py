@@ -81,3 +81,33 @@ def op7_unrepeated(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.span_digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_unrepeated"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, place, list_slice(words, place, place + 12) AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS place FROM texts)
+), firsts AS (
+  SELECT run, min(doc_id) AS source FROM windows GROUP BY run
+), copied AS (
+  SELECT doc_id, place, source FROM windows JOIN firsts USING (run) WHERE source < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, place + k AS place FROM copied, (SELECT unnest(range(0, 13)) AS k)
+), factors AS (
+  SELECT doc_id, count(*) AS n_factors FROM (
+    SELECT doc_id, place, source, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before,
+      lag(source) OVER (PARTITION BY doc_id ORDER BY place) AS earlier FROM copied)
+  WHERE before IS NULL OR before <> place - 1 OR earlier <> source GROUP BY doc_id
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+  FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT texts.doc_id, len(words) AS n_words, len(words) - coalesce(kept.n, 0) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256, coalesce(n_factors, 0) AS n_factors
+FROM texts LEFT JOIN kept ON kept.doc_id = texts.doc_id
+LEFT JOIN factors ON factors.doc_id = texts.doc_id
+"""
