@@ -1,10 +1,13 @@
 """Operator 4: document fingerprints by winnowing, with Spark's own functions alone.
 
-A text is cut into units (words, long ones into pieces of at most 4 characters); every run
-of 3 units has a hash, and of every 5 neighbouring hashes the least is chosen, the rightmost
-of equal ones. Two texts that share 7 units in a row therefore share a chosen hash; positions
-are kept with the hashes to find the place. Hash and position travel as one number, hash
-first and position counted downwards, so that the least number is the rightmost least hash.
+White space counts as one space. A place is the start of a word, and in words longer than 4
+characters every offset with 4 characters left, so that places don't depend on what stands
+before. From every place 3 units are read, each what is left of its word but 4 characters at
+most, and hashed with the spaces between them; of every 5 neighbouring hashes the least is
+chosen, the rightmost of equal ones. Two texts that share 32 characters in a row, spaces not
+counted, therefore share a chosen hash. Positions, the numbers of the places, are kept with
+the hashes. Hash and position travel as one number, hash first and position counted
+downwards, so that the least number is the rightmost least hash.
 
 The next document by doc_id is found without an order over all rows: documents are dealt
 into buckets of 512 consecutive ids, a window finds the next one inside a bucket, and the
@@ -13,7 +16,7 @@ comes before is found in the same way over the buckets, level by level.
 
 Results: a null or empty text, or one of white space, has an empty fingerprint; two empty
 fingerprints are alike (1.0), an empty one is unlike any other (0.0). A text of fewer than 3
-units has one hash. Rows with a null doc_id come first; repeated rows of one doc_id follow
+units has one hash, of its whole. Rows with a null doc_id come first; repeated rows of one doc_id follow
 each other by text. A single row is its own next document. An empty table gives no rows.
 """
 
@@ -24,7 +27,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-UNIT, RUN, WINDOW = r"\S{1,4}", 3, 5
+UNITS = r"\S{1,4}+ ?+\S{1,4}+ ?+\S{1,4}+"
+PLACE = rf"(?:(?<!\S)|(?=\S{{4}}))(?=({UNITS}))\S"
+WINDOW = 5
 BUCKET_BITS = 9
 TOP = 4_096  # so many neighbouring buckets at most are put in order by one task
 _LAST_PLACE = (1 << 31) - 1
@@ -39,14 +44,11 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
 def fingerprint(text: Column) -> Column:
     """The chosen hashes of a text with their positions, in the order of the text."""
 
-    def hashes(units: Column) -> Column:
-        starts = F.greatest(F.size(units) - (RUN - 1), F.least(F.size(units), F.lit(1)))
+    def hashes(runs: Column) -> Column:
+        def at(run: Column, i: Column) -> Column:
+            return F.shiftleft(F.shiftrightunsigned(F.xxhash64(run), 32), 31).bitwiseOR((F.lit(_LAST_PLACE) - i).cast("bigint"))
 
-        def at(unit: Column, i: Column) -> Column:
-            run = F.xxhash64(unit, *(F.get(units, i + k) for k in range(1, RUN)))
-            return F.shiftleft(F.shiftrightunsigned(run, 32), 31).bitwiseOR((F.lit(_LAST_PLACE) - i).cast("bigint"))
-
-        return F.transform(F.slice(units, F.lit(1), starts), at)
+        return F.transform(runs, at)
 
     def chosen(found: Column) -> Column:
         windows = F.greatest(F.size(found) - (WINDOW - 1), F.least(F.size(found), F.lit(1)))
@@ -56,11 +58,16 @@ def fingerprint(text: Column) -> Column:
 
         return F.array_distinct(F.transform(F.slice(found, F.lit(1), windows), least))
 
-    return _bound(_bound(F.regexp_extract_all(text, F.lit(f"({UNIT})"), 1), hashes), chosen)
+    def runs(plain: Column) -> Column:
+        found = F.regexp_extract_all(plain, F.lit(PLACE), 1)
+        return _bound(found, lambda x: F.when((F.size(x) > 0) | (plain == ""), x).otherwise(F.array(plain)))
+
+    plain = F.trim(F.regexp_replace(text, r"\s+", " "))
+    return _bound(_bound(_bound(plain, runs), hashes), chosen)
 
 
 def written(found: Column) -> Column:
-    """A fingerprint as text: hash and position (in units, from 0) of every choice."""
+    """A fingerprint as text: hash and position (number of the place, from 0) of every choice."""
 
     def one(x: Column) -> Column:
         return F.concat(F.lower(F.hex(F.shiftright(x, 31))), F.lit(":"), F.lit(_LAST_PLACE) - x.bitwiseAND(F.lit(_LAST_PLACE)))

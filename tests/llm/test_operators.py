@@ -250,6 +250,23 @@ def test_equal_hashes_choose_the_rightmost(spark):
     assert [x.split(":")[1] for x in found.split()] == ["4", "5", "6"]
 
 
+def test_fingerprints_of_unspaced_texts_survive_an_insertion(spark):
+    rng = random.Random(11)
+    text, passage = ("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n)) for n in (4_000, 32))
+    rows = [(1, text), (2, "x" + text), (3, text[:2_000] + "x" + text[2_000:]), (4, "unlike")]
+    found = spark.createDataFrame([(d, t, "zh", "s", 0) for d, t in rows], SCHEMA)
+    got = {r["doc_id"]: r for r in fingerprints.fingerprints(found).collect()}
+    assert got[1]["near_next"] > 0.95 and got[2]["near_next"] > 0.95 and got[3]["near_next"] == 0
+    # The edited text of a doubled half is that half, the inserted character and the half again.
+    doubled = spark.createDataFrame([(1, text[:2_000] * 2, "zh", "s", 0), (2, "x" + text, "zh", "s", 0)], SCHEMA)
+    assert fingerprints.fingerprints(doubled).where("doc_id = 1").first()["near_edited"] > 0.95
+    for k in range(8):  # a shared passage at any offset, and one with other white space
+        pairs = [(f"{text[:50]}{passage}{text[60:99]}", f"{text[100 : 150 + k]}{passage}{text[200:240]}"), (f"a bc {passage[:9]} {passage[9:]} d", f"{text[:k]}{passage[:9]}\n\t{passage[9:]}{text[k:40]}")]
+        for a, b in pairs:
+            one, two = spark.createDataFrame([(a,), (b,)], "text string").select(fingerprints.hashes_of(fingerprints.fingerprint(F.col("text"))).alias("f")).collect()
+            assert set(one["f"]) & set(two["f"])
+
+
 def test_secrets(spark, docs, nothing):
     rng = random.Random(9)
     prose = [(k, f"{sentence(rng, 30).replace('7', 'pine')} birch alder willow rowan hazel", "en", "s", 0) for k in range(80)]
