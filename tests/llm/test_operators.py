@@ -319,6 +319,22 @@ def test_toxicity_on_fresh_texts():
     assert toxicity.fitted([]).scores(["a b c"])[0] < 1e-9 < 0.9 < toxicity.fitted([(1, "a")]).scores(["a b c"])[0]
 
 
+def test_toxicity_of_short_and_wholly_toxic_texts():
+    rng = random.Random(4)
+    bad = ["blarg", "snork", "gritch"]
+
+    def made(toxic: bool) -> str:
+        w = sentence(rng, 60).split()
+        for k in range(4 * toxic):
+            w[rng.randrange(len(w))] = bad[k % 3]
+        return " ".join(w)
+
+    model = toxicity.fitted([(k % 2, made(k % 2 == 1)) for k in range(300)])
+    toxic = model.scores(["blarg", "blarg snork", "blarg blarg", "blarg " * 20, "blarg snork gritch " * 9, "blarg snork river"])
+    clean = model.scores(["", "river", "river stone", "river river", "river stone cloud " * 9])
+    assert toxic.min() > 0.9 and clean.max() < 0.1
+
+
 def test_quality_on_fresh_texts():
     rng = random.Random(5)
     made = lambda good: sentence(rng, 60) if good else sentence(rng, 60).replace(" ", "*** ").upper()
