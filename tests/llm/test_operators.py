@@ -335,6 +335,18 @@ def test_toxicity_of_short_and_wholly_toxic_texts():
     assert toxic.min() > 0.9 and clean.max() < 0.1
 
 
+@pytest.mark.parametrize("size", [200, 30_000])
+def test_few_contexts_are_evidence_in_samples_of_any_size(size):
+    rng = np.random.default_rng(6)
+    vocabulary = rng.integers(1, 1 << 63, 400, dtype=np.uint64)
+    parts = [[vocabulary[rng.zipf(1.2, 20) % 400] for _ in range(size)] for _ in range(2)]
+    for contexts in range(1, 6):  # word 9 * contexts is toxic and has that many contexts
+        parts[1] += [np.array([vocabulary[k + 20], vocabulary[k], 9 * contexts, vocabulary[k + 50]], np.uint64) for k in range(contexts)]
+    model = toxicity._counted(parts)
+    means = [model.evidence(np.array([9 * contexts], np.uint64))[0] - model.unseen_ratio for contexts in range(1, 6)]
+    assert min(means) > 0.1
+
+
 def test_quality_on_fresh_texts():
     rng = random.Random(5)
     made = lambda good: sentence(rng, 60) if good else sentence(rng, 60).replace(" ", "*** ").upper()
