@@ -10,8 +10,9 @@ expressions, so that scanning is one narrow projection with no join and no shuff
 Labelled findings are rows (before, value, after, label). `seed_findings` derives them from a
 bounded sample of documents (`SEEDS`): digests and words of a document put into the settings
 in which secrets and their look-alikes (checksums, paths, identifiers, placeholders) stand.
-The dictionary (`DICTIONARY` words of three letters or more) comes from the same sample. All
-rows and whole texts are scanned.
+The dictionary, the `DICTIONARY` words of three letters or more of any alphabet that most
+documents have, is counted over the whole texts of all documents. All rows and whole texts
+are scanned.
 
 Results: a null text has no candidates and stays null; an empty text stays empty. Repeated
 rows are scanned alike. Without labelled findings of both kinds no candidate is a secret.
@@ -36,6 +37,7 @@ BLOCK = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [
 CANDIDATE = f"(?:{RUN}|{QUOTED}|{ASSIGNED}|{BLOCK})"
 AROUND = 40
 SEEDS, DICTIONARY = 600, 1_000
+WORD = r"(\p{L}{3,})"
 TREES, DEPTH = 15, 6
 SECRET_FROM = 0.5
 MARK = "[secret]"
@@ -50,7 +52,7 @@ def described(before: Column, value: Column, after: Column, dictionary: list[str
     size = F.length(value)
     kinds = F.length(F.regexp_replace(value, r"[0-9]+|[a-z]+|[A-Z]+|[^0-9A-Za-z]+", "x"))
     alternating = F.length(F.regexp_replace(F.lower(value), r"[aeiou]+|[bcdfghjklmnpqrstvwxyz]+|[^a-z]+", "x"))
-    words = F.regexp_extract_all(F.lower(value), F.lit("([a-z]{3,})"), 1)
+    words = F.regexp_extract_all(F.lower(value), F.lit(WORD), 1)
     listed = F.split(F.lit(" ".join(dictionary)), " ")  # one constant, however long
     known = F.aggregate(F.filter(words, lambda w: F.array_contains(listed, w)), F.lit(0), lambda n, w: n + F.length(w))
     beside = F.concat(before, F.lit(" "), after)
@@ -76,7 +78,7 @@ def described(before: Column, value: Column, after: Column, dictionary: list[str
         "quoted": (says(before, r"[\"']$") * says(after, r"^[\"']")),
         "secret_word": says(before, rf"(?i)(?:{NAMES})[^A-Za-z0-9]{{0,8}}$"),
         "checksum_word": says(before, r"(?i)(?:sha-?\d*|md5|commit|checksum|digest|etag|hash|uuid|revision|integrity|id|version)[^A-Za-z0-9]{0,8}$"),
-        "words_beside": F.size(F.filter(F.split(F.lower(beside), "[^a-z]+"), lambda w: F.array_contains(listed, w) & (w != ""))),
+        "words_beside": F.size(F.filter(F.split(F.lower(beside), r"[^\p{L}]+"), lambda w: F.array_contains(listed, w) & (w != ""))),
     }
 
 
@@ -146,9 +148,9 @@ def _sample(docs: DataFrame, rows: int) -> DataFrame:
     return docs.where("text is not null").join(few, "doc_id", "left_semi").select(words.alias("words"), F.sha1("text").alias("hex"), F.sha2("text", 512).alias("long_hex")).where("size(words) >= 12")
 
 
-def dictionary_of(sample: DataFrame, size: int = DICTIONARY) -> list[str]:
-    """The words that most documents of a sample have."""
-    words = sample.select(F.explode(F.array_distinct(F.transform("words", F.lower))).alias("word"))
+def dictionary_of(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
+    """The words that most documents have, in whole texts of all of them."""
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 1))).alias("word"))
     return [r["word"] for r in words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(size).collect()]
 
 
@@ -189,9 +191,9 @@ def seed_findings(sample: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, rows: int = SEEDS) -> Forest:
-    """A forest from the seed findings of a bounded sample of documents."""
+    """A forest from the seed findings of a bounded sample, and a dictionary of all documents."""
+    dictionary = dictionary_of(docs)
     sample = _sample(docs, rows).cache()
-    dictionary = dictionary_of(sample)
     forest = trained(seed_findings(sample), dictionary)
     sample.unpersist()
     return forest

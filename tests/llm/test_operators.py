@@ -291,6 +291,14 @@ def test_secrets(spark, docs, nothing):
     assert secrets.redacted(docs, trained).count() == len(ROWS)
 
 
+def test_the_dictionary_counts_whole_texts_of_all_documents(spark):
+    rows = [(k, f"{'one two three ' * 40} Вода later{'x' * 20}", "en", "s", 0) for k in range(1_500)]
+    rows += [(2_000, "", "en", "s", 0), (2_001, None, "en", "s", 0), (None, "rare rare rare", "en", "s", 0)]
+    words = secrets.dictionary_of(spark.createDataFrame(rows, SCHEMA))
+    assert words == ["later" + "x" * 20, "one", "three", "two", "вода", "rare"]
+    assert set(words) == set(secrets.fit(spark.createDataFrame(rows, SCHEMA), 1).dictionary)
+
+
 def test_secret_scan_and_fingerprints_use_no_python(docs):
     for found in (fingerprints.fingerprints(docs), secrets.redacted(docs, secrets.Forest((), ()))):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
