@@ -1,7 +1,8 @@
 """Operator 1: secret scan, candidates judged by a random forest, with Spark's functions alone.
 
-Candidates are long runs of letters, digits and _+/=- that mix letters and digits, quoted
-or assigned values, and private key blocks. Each is described by its
+Candidates are long runs of letters, digits and _+/- that mix letters and digits, tokens with
+dots, quoted, assigned or query string values, and private key blocks. A candidate starts
+behind the last = or : of an assignment, not at its name. Each is described by its
 length, its changes between kinds of characters, how much of it dictionary words cover,
 whether it is part of a path or an address, and the words beside it. A random forest trained
 on labelled findings says which candidates are secrets; its trees become nested conditional
@@ -30,11 +31,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NAMES = r"api[_-]?key|access[_-]?key|private[_-]?key|secret|token|passwd|password|pwd|credential|bearer|auth"
-RUN = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*[0-9])(?=[0-9_+/=-]*[A-Za-z])[A-Za-z0-9_+/=-]{16,}+"
-QUOTED = r"(?<=[\"'])[^\s\"']{8,}+(?=[\"'])"
-ASSIGNED = r"(?<=[=:] ?)[A-Za-z0-9_+/=.!@#$%^&*-]{8,}+"
+# A name before = is not part of a candidate; = inside one is padding, or has no value behind.
+_VALUE = r"[A-Za-z0-9_+/.!@#$%^&*-]"
+RUN = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])(?=[0-9_+/-]*[A-Za-z])[A-Za-z0-9_+/-]{16,}+(?:={1,2}+(?![A-Za-z0-9_+/.\"'-])|(?!=))"
+DOTTED = r"(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_-]*+[.]?[A-Za-z_.-]*[0-9])[A-Za-z0-9_-]{2,}+(?:\.[A-Za-z0-9_-]{6,}+)++(?!=)"
+QUOTED = rf"(?<=[\"'])(?![^\s\"']*?(?:[?&;][A-Za-z0-9_.-]{{1,40}}=|(?i:{NAMES})[A-Za-z0-9_-]{{0,40}}[=:])[^\s\"']{{8}})[^\s\"']{{8,}}+(?=[\"'])"
+QUERY = r"(?<=[?&;][A-Za-z0-9_.-]{1,40}=)[^\s\"'&;#<>=]{8,}+={0,2}+"
+ASSIGNED = rf"(?<=[=:] ?)(?:{_VALUE}|=(?!{_VALUE}{{8}})){{8,}}+(?!=)"
 BLOCK = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?"
-CANDIDATE = f"(?:{RUN}|{QUOTED}|{ASSIGNED}|{BLOCK})"
+CANDIDATE = f"(?:{BLOCK}|{QUOTED}|{QUERY}|{DOTTED}|{RUN}|{ASSIGNED})"
 AROUND = 40
 SEEDS, DICTIONARY = 600, 1_000
 WORD = r"(\p{L}{3,})"
@@ -163,7 +168,20 @@ def seed_findings(sample: DataFrame) -> DataFrame:
     joined = lambda sign, a, n: F.array_join(F.slice("words", a, n), sign)
     digits = F.regexp_replace("long_hex", "[a-f]", "")
     uuid = F.concat_ws("-", F.substring("hex", 1, 8), F.substring("hex", 9, 4), F.substring("hex", 13, 4), F.substring("hex", 17, 4), F.substring("hex", 21, 12))
+    dotted = F.concat_ws(".", F.concat(F.lit("eyJ"), F.substring(secret64, 1, 15)), F.concat(F.lit("eyJ"), F.substring(secret64, 8, 20)), F.substring(secret64, 5, 30))
+    block = text("-----BEGIN RSA PRIVATE KEY-----\n", secret64, "\n", F.substring(secret64, 3, 30), "\n-----END RSA PRIVATE KEY-----")
     rows = [
+        (text(word(0), " API_KEY="), text("sk_live_", short64), text(" ", word(1)), 1),
+        (text(word(1), " password="), F.concat(F.substring(word(4), 1, 6), F.substring("long_hex", 1, 3), F.substring(secret64, 1, 4)), text(" ", word(2)), 1),
+        (text(word(2), " SECRET_TOKEN="), F.col("hex"), text(" ", word(3)), 1),
+        (text(word(3), " https://example.com/", word(4), "?token="), short64, text("&page=", F.substring(digits, 1, 1)), 1),
+        (text(word(4), " "), dotted, text(" ", word(5)), 1),
+        (text(word(5), " Authorization: Bearer "), dotted, text(" ", word(6)), 1),
+        (text(word(6), " "), block, text(" ", word(7)), 1),
+        (text(word(7), " revision="), F.col("hex"), text(" ", word(8)), 0),
+        (text(word(8), " https://example.com/", word(9), "?page="), joined("-", 2, 3), text("&id=", F.substring(digits, 1, 2)), 0),
+        (text(word(9), " name="), joined("_", 3, 3), text(" ", word(0)), 0),
+        (text(word(10), " "), text(joined(".", 1, 3), F.substring(digits, 1, 2)), text(" ", word(1)), 0),
         (text(word(0), ' token = "'), F.col("hex"), text('" ', word(1)), 1),
         (text(word(1), " secret: "), secret64, text(" ", word(2)), 1),
         (text(word(2), ' api_key="'), short64, text('" ', word(3)), 1),
