@@ -1,10 +1,10 @@
-"""Operator 7: remove passages that an earlier document has, by relative Lempel-Ziv parsing.
+"""Operator 7: remove passages that an earlier document has, by lookups of windows.
 
 The reference of a document is every document with a smaller doc_id. It is indexed by runs
 of 13 words, in blocks: one block for each range of hashes, each in a task of its own. A
-document is parsed greedily against all blocks: a factor starts at a window that the index
-knows from an earlier document, takes that document as its source, and grows word by word as
-long as the next window has the same source. A window that lies across the boundary of two
+document's windows are each looked up in all blocks, in place of a greedy relative Lempel-Ziv
+parse; factors are counted afterwards, as runs of windows with the same least earlier
+document, and don't affect what is removed. A window that lies across the boundary of two
 factors is looked up like any other, so no copy is lost between two sources. Factors have 13
 words at least; their words go.
 
