@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules, secrets, substring_dedup, tokenizing, toxicity
+from . import fill_in_middle, fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules, secrets, substring_dedup, tokenizing, toxicity
 from .labelled import held_out
 from .spark_io import prepare
 
@@ -83,6 +83,32 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.span_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.arrangement_digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH tokens AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents
+), drawn AS (
+  SELECT *, len(units) AS n, [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN range(4)] AS draws FROM tokens
+), cuts AS (
+  SELECT *, least(draws[1] % (n + 1), draws[2] % (n + 1)) AS low, greatest(draws[1] % (n + 1), draws[2] % (n + 1)) AS high,
+    CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR draws[3] % 100 >= 50 THEN 'plain'
+      WHEN draws[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+  SELECT *, coalesce(array_to_string(units[1:low], ''), '') AS prefix, coalesce(array_to_string(units[low + 1:high], ''), '') AS middle,
+    coalesce(array_to_string(units[high + 1:n], ''), '') AS suffix FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
 ORACLES["op7_unrepeated"] = r"""
 WITH texts AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
