@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fill_in_middle, fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules, secrets, substring_dedup, tokenizing, toxicity
+from . import fill_in_middle, filter_audit, fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules, secrets, substring_dedup, tokenizing, toxicity
 from .labelled import held_out
 from .spark_io import prepare
 
@@ -88,6 +88,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.arrangement_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 ORACLES["op11_fill_in_middle"] = r"""
 WITH tokens AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
@@ -109,6 +114,44 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
     ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
 FROM parts
 """
+ORACLES["op12_filter_audit"] = r"""
+WITH base AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), firsts AS (
+  SELECT text, min(doc_id) AS first FROM base GROUP BY text
+), said AS (
+  SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+), counted AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM base
+), failed AS (
+  SELECT part, doc_id, CAST(len(words) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+    + 4 * CAST(100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS INT)
+    + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(first < doc_id AS INT) AS mask
+  FROM counted JOIN firsts USING (text)
+), cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS bad
+  FROM failed LEFT JOIN said USING (doc_id) GROUP BY part, mask
+), letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, list_sum(bits[1:step]) - bits[step] AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), summed AS (
+  SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (earlier | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & bit <> 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit <> 0 AND mask & earlier <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit <> 0 AND mask & earlier = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit <> 0 AND mask & earlier = 0 THEN bad ELSE 0 END) AS toxic_lost
+  FROM cells, (SELECT filter_order, step, bit, CAST(earlier AS INT) AS earlier FROM steps) GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM summed
+"""
 ORACLES["op7_unrepeated"] = r"""
 WITH texts AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
