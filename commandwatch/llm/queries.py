@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fill_in_middle, filter_audit, fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules, secrets, substring_dedup, tokenizing, toxicity
+from . import fill_in_middle, filter_audit, fingerprints, near_dedup, ngram_join, packing, personal_data, quality_classifier, quality_rules, secrets, substring_dedup, tokenizing, toxicity
 from .labelled import held_out
 from .spark_io import prepare
 
@@ -93,6 +93,38 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
+def linked_sql(words: int, percent: int, more: str = "") -> str:
+    """Components of documents by the Jaccard similarity of their word n-grams."""
+    return rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(words[place:place + {words - 1}], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(1, len(words) - {words - 1}) + 1)) AS place FROM texts WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= {percent} * (x.n + y.n - common)
+), reach(id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT id, b FROM reach JOIN links ON other = a
+), least AS (
+  SELECT id, min(other) AS component_id FROM reach GROUP BY id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id{more}
+FROM documents JOIN least ON id = doc_id LEFT JOIN sizes USING (doc_id)
+"""
+
+
+ORACLES["op5_near_duplicates"] = linked_sql(3, 85, ", doc_id = component_id AS kept")
+ORACLES["op13_ngram_join"] = linked_sql(5, 80)
 ORACLES["op11_fill_in_middle"] = r"""
 WITH tokens AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
