@@ -11,12 +11,17 @@ EMPTY_PAYLOAD = "empty_payload"
 MALFORMED = "malformed"
 NO_COMMAND = "no_command"
 NON_STRING_COMMAND = "non_string_command"
+DEEP_COMMAND = "deep_command"
 
-# The payload is parsed inside an outer object with a closing flag: trailing text, a second
-# document or a missing brace leave the flag null, where the JSON functions alone would
-# accept the payload. Text that would end the outer object's value and go on with other keys
-# can't stand inside an array as well, so a payload has to be valid in both frames.
-_FRAMES = ('{"body":', ',"complete":true}'), ('{"body":[', '],"complete":true}')
+# The payload is parsed as the only element of a list in an outer object with a closing flag:
+# trailing text, a second document or a missing brace leave the flag null or make the list
+# longer, where the JSON functions alone would accept the payload. Text that would end the
+# list and go on with other keys can't stand there without the list's brackets as well, so
+# a payload in which it may occur has to be valid in both frames.
+_LISTED = '{"body":[', '],"complete":true}'
+_PLAIN = '{"body":', ',"complete":true}'
+_LEAVES_LIST = r'\]\s*,\s*"'
+_MAIN = "body ARRAY<STRUCT<tool_input: STRUCT<command: STRING>>>, complete BOOLEAN, corrupt STRING"
 _WHOLE = "complete BOOLEAN, corrupt STRING"
 # No limits of the reader's own: a long command or a deep sibling isn't a broken payload.
 _OPTIONS = {
@@ -24,9 +29,16 @@ _OPTIONS = {
     "maxStringLen": str(2**31 - 1),
     "maxNestingDepth": str(2**31 - 1),
 }
-_SCHEMA = (
-    "body STRUCT<tool_input: STRUCT<command: VARIANT>>, complete BOOLEAN, corrupt STRING"
-)
+# As text, a command that isn't a string looks like one of these; so may a string.
+_MAYBE_NO_STRING = r'^(?:[\[{]|[-+]?[0-9]|"?[-+]?(?:NaN|INF|Infinity)"?$|(?:true|false)$)'
+
+
+def _parsed(text: Column, schema: str) -> Column:
+    return F.from_json(text, schema, _OPTIONS)
+
+
+def _framed(payload: Column, frame: tuple[str, str]) -> Column:
+    return F.concat(F.lit(frame[0]), payload, F.lit(frame[1]))
 
 
 def _lower_keys(payload: Column) -> Column:
@@ -36,40 +48,125 @@ def _lower_keys(payload: Column) -> Column:
     return payload
 
 
+def _validity(read: Column) -> Column:
+    """Is the payload one JSON value by itself?"""
+
+    def whole(frame: tuple[str, str]) -> Column:
+        found = _parsed(_framed(read["payload"], frame), _WHOLE)
+        return found["corrupt"].isNull() & found["complete"].isNotNull()
+
+    json, payload = read["json"], read["payload"]
+    fits = json["corrupt"].isNull() & json["complete"].isNotNull()
+    may_leave = F.contains(payload, F.lit("]")) & payload.rlike(_LEAVES_LIST)
+    alone = (F.size(json["body"]) == 1) & (~may_leave | whole(_PLAIN))
+    # A record is also corrupt if it is valid but of another shape; only then parse again.
+    return F.when(fits, alone).otherwise(whole(_LISTED) & whole(_PLAIN))
+
+
+def _objects(found: Column) -> Column:
+    return F.filter(found, lambda e: e.startswith("{"))
+
+
+def _collected(payload: Column) -> Column:
+    """Every value at the command's path, also through lists of payloads and of inputs: as
+    text, as a list of strings if it is a list, and whether it is another kind of value."""
+
+    def inputs(entry: Column) -> Column:
+        listed = _parsed(entry, "tool_input ARRAY<STRING>")["tool_input"]
+        plain = _parsed(entry, "tool_input STRUCT<command: STRING>")["tool_input"]
+        one = F.array(_parsed(entry, "tool_input STRING")["tool_input"])
+        nothing = F.array().cast("array<string>")
+        return F.when(listed.isNotNull(), _objects(listed)).when(plain.isNotNull(), one).otherwise(nothing)
+
+    def command(input_: Column) -> Column:
+        def as_(kind: str) -> Column:
+            return _parsed(input_, f"command {kind}")["command"]
+
+        text = as_("STRING")
+        number = as_("DOUBLE").isNotNull() & text.rlike(r'^(?:[-+]?[0-9]|")')
+        other = as_("MAP<STRING, STRING>").isNotNull() | as_("BOOLEAN").isNotNull() | number
+        return F.struct(text.alias("text"), as_("ARRAY<STRING>").alias("list"), other.alias("other"))
+
+    listed = _parsed(_framed(payload, _PLAIN), "body ARRAY<STRING>, corrupt STRING")
+    # Any value can be read as a string, unless it is too deep; then the list is unknown.
+    read = F.when(listed["corrupt"].isNull(), _objects(listed["body"]))
+    entries = F.when(F.ltrim(payload).startswith("["), read).otherwise(F.array(payload))
+    return F.transform(F.flatten(F.transform(entries, inputs)), command)
+
+
+def _strings(found: Column) -> Column:
+    """All strings among the collected commands; nulls in lists are passed over."""
+
+    def strings(c: Column) -> Column:
+        listed = F.filter(c["list"], lambda e: e.isNotNull())
+        none = F.array().cast("array<string>")
+        return F.when(c["list"].isNotNull(), listed).when(c["text"].isNotNull(), F.array(c["text"])).otherwise(none)
+
+    return F.flatten(F.transform(found, strings))
+
+
+def _has_no_string(found: Column) -> Column:
+    """Is any collected command, or any element of a list, neither a string nor null? Only
+    a list of strings and nulls reads the same when it is written again."""
+    return F.exists(
+        found,
+        lambda c: F.coalesce(c["other"], F.lit(False))
+        | (c["list"].isNotNull() & (F.to_json(c["list"]) != c["text"])),
+    )
+
+
 def extract_command(
     log: DataFrame, payload: str = "payload", ignore_key_case: bool = True
 ) -> DataFrame:
-    """Add ``command`` and ``reason`` to a log of JSON payloads.
+    """Add ``command``, ``arguments`` and ``reason`` to a log of JSON payloads.
+
+    ``command`` is the non-empty string at ``tool_input.command``. If that is a list of
+    strings, or the payload or its input is a list, all strings found there are
+    ``arguments`` (a single one is the command), to be matched one by one; nulls are passed
+    over. Where both are null, ``reason`` says why. Of repeated keys the last one counts.
+    ``Tool_Input.Command`` and the like are accepted too, unless ``ignore_key_case`` is off.
 
-    ``command`` is the non-empty string at ``tool_input.command``; otherwise it is null and
-    ``reason`` says why. Of repeated keys the last one counts. ``Tool_Input.Command`` and the
-    like are accepted too, unless ``ignore_key_case`` is off.
+    Nothing recurses into a value: a command nested deeper than the JSON writer allows (1,000
+    levels) is a ``deep_command``, whatever its depth, and siblings may be of any depth.
     """
     text = _lower_keys(F.col(payload)) if ignore_key_case else F.col(payload)
-    framed, listed = (F.concat(F.lit(head), text, F.lit(tail)) for head, tail in _FRAMES)
-    parsed = log.withColumn("_json", F.from_json(framed, _SCHEMA, _OPTIONS)).withColumn(
-        "_command", F.col("_json.body.tool_input.command")
-    )
-
-    def whole(frame: Column) -> Column:
-        return F.from_json(frame, _WHOLE, _OPTIONS)["corrupt"].isNull()
-
-    # A record is also corrupt if it is valid but of another shape; only then parse again.
-    valid = (F.col("_json.corrupt").isNull() | whole(framed)) & whole(listed)
-    read = F.struct(
+    first = F.struct(_parsed(_framed(text, _LISTED), _MAIN).alias("json"), text.alias("payload"))
+    parsed = once(log, "_json", first)
+    read, json = F.col("_json"), F.col("_json.json")
+    entry = F.get(json["body"], F.lit(0))
+    found_text = entry["tool_input"]["command"]
+    is_object = F.ltrim(read["payload"]).startswith("{")
+    lost = entry.isNull() | (entry["tool_input"].isNotNull() & found_text.isNull())
+    state = F.struct(
         (F.coalesce(F.length(payload), F.lit(0)) == 0).alias("empty"),
-        (F.col("_json.complete").isNotNull() & valid).alias("complete"),
-        F.try_variant_get("_command", "$", "string").alias("text"),
-        (F.schema_of_variant("_command") == "STRING").alias("is_string"),
+        F.coalesce(_validity(read), F.lit(False)).alias("complete"),
+        found_text.alias("text"),
+        # Only a value that can't be written as text again is lost on its way to a string.
+        (json["corrupt"].isNotNull() & is_object & lost).alias("deep"),
+    )
+    known = once(parsed, "_read", state)
+    state = F.col("_read")
+    odd = state["complete"] & ~state["empty"] & ~state["deep"]
+    odd = odd & (state["text"].isNull() | state["text"].rlike(_MAYBE_NO_STRING))
+    known = once(known, "_found", F.when(odd, _collected(F.col("_json.payload"))))
+    strings = _strings(F.col("_found"))
+    judged = F.struct(
+        F.when(odd, strings).otherwise(F.array(state["text"])).alias("strings"),
+        F.coalesce(_has_no_string(F.col("_found")), F.lit(False)).alias("no_string"),
     )
-    found = F.col("_read")
-    usable = found["complete"] & found["is_string"] & (found["text"] != "")
-    return once(parsed, "_read", read).select(
-        *(name for name in log.columns if name not in ("command", "reason")),
-        F.when(usable, found["text"]).alias("command"),
-        F.when(found["empty"], EMPTY_PAYLOAD)
-        .when(~found["complete"], MALFORMED)
-        .when(found["text"].isNull() | (found["text"] == ""), NO_COMMAND)
-        .when(~found["is_string"], NON_STRING_COMMAND)
+    known = once(known, "_strings", judged)
+    given, n = F.col("_strings.strings"), F.size("_strings.strings")
+    readable = state["complete"] & ~state["empty"] & ~state["deep"] & ~F.col("_strings.no_string")
+    deep = state["deep"] | given.isNull()  # a list with an element that deep is null as a whole
+    single = F.get(given, F.lit(0))
+    return known.select(
+        *(name for name in log.columns if name not in ("command", "arguments", "reason")),
+        F.when(readable & (n == 1) & (single != ""), single).alias("command"),
+        F.when(readable & (n > 1), given).alias("arguments"),
+        F.when(state["empty"], EMPTY_PAYLOAD)
+        .when(~state["complete"], MALFORMED)
+        .when(deep, DEEP_COMMAND)
+        .when(F.col("_strings.no_string"), NON_STRING_COMMAND)
+        .when((n == 0) | ((n == 1) & (F.coalesce(single, F.lit("")) == "")), NO_COMMAND)
         .alias("reason"),
     )

@@ -20,6 +20,7 @@ def audit(
 ) -> DataFrame:
     """Decide every payload of a log, batch or streaming, without a shuffle.
 
-    Adds command, verdict, catalog and reason to the columns of the log.
+    Adds command, arguments, verdict, catalog and reason to the columns of the log.
     """
-    return classify(extract_command(log, payload, ignore_key_case), rules, policy)
+    extracted = extract_command(log, payload, ignore_key_case)
+    return classify(extracted, rules, policy, arguments="arguments")

@@ -58,7 +58,21 @@ ENVELOPES = (
     '{"tool_input":{"command":"use catalog samples"}},"x":1',
     '{"tool_input":{"command":"ls"}},"body":{"tool_input":{"command":"use catalog system"}}',
     '{"tool_input":{"command":"use catalog system"}},{"tool_input":{"command":"ls"}}',
+    '{"tool_input":{"command":["databricks","schemas","list","system"]}}',
+    '{"tool_input":{"command":["drop schema a","alter catalog","samples","gops_dev"]}}',
+    '{"tool_input":{"command":["use","catalog system"]}}',
+    '{"tool_input":{"command":["use catalog system"]}}',
+    '{"tool_input":{"command":["use catalog system",5]}}',
+    '{"tool_input":{"command":["use catalog",null,"not_system"]}}',
+    '{"tool_input":{"command":[]}}',
+    '{"tool_input":{"command":"[\\"use catalog\\",\\"system\\"]"}}',
+    '[{"tool_input":{"command":"ls"}},{"tool_input":{"command":["use catalog","gops_dev"]}}]',
+    '[{"tool_input":{"command":"use catalog samples"}},null,{"tool_name":"Read"}]',
+    '{"tool_input":[{"command":"show tables"},{"command":"cat samples"}]}',
+    '{"tool_input":{"command":' + "[" * 1_500 + "]" * 1_500 + "}}",
 )
+#: Levels of a value that can still be read.
+DEEPEST = 1_000
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:

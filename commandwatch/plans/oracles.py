@@ -2,10 +2,32 @@
 
 from __future__ import annotations
 
-from commandwatch.operators.classify import ALLOW
-from commandwatch.plans import policies
-from commandwatch.plans.event_log import COMMANDS, ENVELOPES
-from commandwatch.policy import CATALOG_INVENTORY, CATALOG_POLICY, CATALOG_RULES, Rule
+from commandwatch.plans.event_log import COMMANDS, DEEPEST, ENVELOPES
+
+# Fixed values, written here again so that the SQL doesn't follow the code under test: the
+# patterns by rule id, and the names in order.
+CATALOG_RULES = {
+    1: r"\bdatabricks\b",
+    2: r"\bunity-catalog\b",
+    3: r"/api/2\.[01]/unity-catalog",
+    4: r"\bcloud\.databricks\.com\b",
+    5: r"\bazuredatabricks\.net\b",
+    6: r"\b(select|insert|update|delete|create|drop|alter|grant|revoke|merge|truncate)\b.*\bcatalog\b",
+    7: r"use\s+catalog",
+    8: r"show\s+(catalogs|schemas|tables)",
+}
+CATALOG_NAMES = ("system", "samples", "gops_dev", "sandbox_hackaton")
+CATALOG_ALLOWED = "sandbox_others"
+LICENSE_RULES = {1: r"\blicensed\s+under\b", 2: r"\breleased\b.*\blicense\b", 3: r"\btoken\s*="}
+LICENSE_NAMES = ("gnu", "apache", "token", "mit", "cc by-nc")
+TERMS = ("license", "licensed", "apache", "token", "the", "ré", "ción", "der", "gnu general", "by-nc")
+PAGE_RULES = {1: r"\bblog\.\w+\.example\.(com|net)\b", 2: r"^https://.*[?&]ref="}
+PAGE_NAMES = ("und", "page", "script")
+HISTORY = (
+    ("2024-01-01 00:00:00", "2024-01-10 00:00:00", ("system",)),
+    ("2024-01-10 00:00:00", "2024-01-20 12:00:00", ("samples", "system")),
+    ("2024-01-20 12:00:00", None, ("gops_dev", "system", "sandbox_hackaton", "sandbox_others")),
+)
 
 # DuckDB's \b and \w see ASCII only, so whole words are matched with letter classes.
 _OTHER = r"[^\p{L}\p{M}\p{N}_]"
@@ -24,12 +46,12 @@ def _word(text: str, name: str) -> str:
     return f"regexp_matches({text}, {_quote(f'(^|{_OTHER}){escaped}({_OTHER}|$)')})"
 
 
-def _fires(text: str, rule: Rule) -> str:
-    return f"regexp_matches({text}, {_quote(rule.pattern)})"
+def _fires(text: str, pattern: str) -> str:
+    return f"regexp_matches({text}, {_quote(pattern)})"
 
 
-def _context(text: str, rules) -> str:
-    return "(" + " OR ".join(_fires(text, rule) for rule in rules) + ")"
+def _context(text: str, rules: dict[int, str]) -> str:
+    return "(" + " OR ".join(_fires(text, pattern) for pattern in rules.values()) + ")"
 
 
 def _first(text: str, names) -> str:
@@ -54,7 +76,7 @@ _LOG = (
 _DECIDED = (
     f"{_LOG}, tagged AS (SELECT *, {_context('text', CATALOG_RULES)} AS in_context FROM log), "
     "decided AS (SELECT *, CASE WHEN in_context THEN "
-    f"{_first('text', CATALOG_POLICY.denied)} END AS catalog FROM tagged)"
+    f"{_first('text', CATALOG_NAMES)} END AS catalog FROM tagged)"
 )
 _REASON = (
     "CASE WHEN catalog IS NOT NULL THEN 'match' WHEN in_context THEN 'no_match' "
@@ -74,32 +96,54 @@ _PAYLOADS = f"""payloads AS (
 
 
 def _extracted(any_case: bool) -> str:
+    """Commands as lists of strings, from lists of payloads and of inputs as well."""
     json = "payload"
     if any_case:
         json = (
             "replace(replace(payload, '\"Tool_Input\"', '\"tool_input\"'), "
             "'\"Command\"', '\"command\"')"
         )
-    return f"""{_PAYLOADS}, parsed AS (
-  SELECT event_id, payload, json_valid(payload) AS valid,
-    CASE WHEN json_valid(payload)
-      THEN json_type({json}, '$.tool_input.command') END AS kind,
-    CASE WHEN json_valid(payload)
-      THEN json_extract_string({json}, '$.tool_input.command') END AS found
-  FROM payloads), extracted AS (
-  SELECT event_id,
-    CASE WHEN kind = 'VARCHAR' AND found <> '' THEN found END AS command,
+    # The payloads of the log are too deep exactly where they have so many brackets.
+    deep = f"length(payload) - length(replace(payload, '[', '')) > {DEEPEST}"
+    return f"""{_PAYLOADS}, checked AS (
+  SELECT event_id, payload, json_valid(payload) AS valid, {deep} AS deep,
+    CASE WHEN json_valid(payload) AND NOT ({deep}) THEN CAST({json} AS JSON) END AS j
+  FROM payloads), entries AS (
+  SELECT *, CASE WHEN json_type(j) = 'ARRAY' THEN json_extract(j, '$[*]') WHEN j IS NOT NULL THEN [j]
+    ELSE [] END AS entries FROM checked), inputs AS (
+  SELECT *, flatten(list_transform(entries, lambda e: CASE json_type(e, '$.tool_input')
+    WHEN 'ARRAY' THEN list_filter(json_extract(e, '$.tool_input[*]'), lambda x: json_type(x) = 'OBJECT')
+    WHEN 'OBJECT' THEN [json_extract(e, '$.tool_input')] ELSE [] END)) AS inputs FROM entries), listed AS (
+  SELECT *, list_filter(flatten(list_transform(inputs, lambda i: CASE json_type(i, '$.command')
+    WHEN 'ARRAY' THEN json_extract(i, '$.command[*]') ELSE [json_extract(i, '$.command')] END)),
+    lambda c: c IS NOT NULL AND json_type(c) <> 'NULL') AS commands FROM inputs), strings AS (
+  SELECT *, len(list_filter(commands, lambda c: json_type(c) <> 'VARCHAR')) > 0 AS odd,
+    list_transform(commands, lambda c: json_extract_string(c, '$')) AS found FROM listed), extracted AS (
+  SELECT event_id, CASE WHEN NOT odd AND len(found) = 1 AND found[1] <> '' THEN found[1] END AS command,
+    CASE WHEN NOT odd AND len(found) > 1 THEN found END AS arguments,
     CASE WHEN payload = '' THEN 'empty_payload'
       WHEN NOT valid THEN 'malformed'
-      WHEN found IS NULL OR found = '' THEN 'no_command'
-      WHEN kind <> 'VARCHAR' THEN 'non_string_command' END AS reason
-  FROM parsed)"""
+      WHEN deep THEN 'deep_command'
+      WHEN odd THEN 'non_string_command'
+      WHEN len(found) = 0 OR (len(found) = 1 AND found[1] = '') THEN 'no_command' END AS reason
+  FROM strings)"""
+
+
+def _any(strings: str, test: str) -> str:
+    return f"len(list_filter({strings}, lambda s: {test})) > 0"
+
+
+def _first_of_any(strings: str, names) -> str:
+    whens = " ".join(f"WHEN {_any(strings, _word('s', n))} THEN {_quote(n)}" for n in names)
+    return f"CASE {whens} END"
 
 
-_AUDITED = f"""{_extracted(True)}, tagged AS (
-  SELECT event_id, reason AS earlier, lower(command) AS text,
-    {_context('lower(command)', CATALOG_RULES)} AS in_context FROM extracted), decided AS (
-  SELECT *, CASE WHEN in_context THEN {_first('text', CATALOG_POLICY.denied)} END AS catalog
+_AUDITED = f"""{_extracted(True)}, spoken AS (
+  SELECT event_id, reason AS earlier,
+    list_transform(coalesce(arguments, CASE WHEN command IS NULL THEN [] ELSE [command] END), lambda s: lower(s)) AS strings
+  FROM extracted), tagged AS (
+  SELECT *, {_any('strings', _context('s', CATALOG_RULES))} AS in_context FROM spoken), decided AS (
+  SELECT *, CASE WHEN in_context THEN {_first_of_any('strings', CATALOG_NAMES)} END AS catalog
   FROM tagged), audited AS (
   SELECT event_id, {_VERDICT} AS verdict, catalog, coalesce(earlier, {_REASON}) AS reason
   FROM decided)"""
@@ -107,7 +151,7 @@ _AUDITED = f"""{_extracted(True)}, tagged AS (
 _MESSAGE = (
     "'Command denied: it names catalog ''' || catalog || "
     "''' and looks like a platform CLI, SQL or catalog API call. "
-    f"Work in this project is limited to catalog ''{CATALOG_POLICY.allowed}''. "
+    f"Work in this project is limited to catalog ''{CATALOG_ALLOWED}''. "
     "The command policy table lists what is denied; "
     "ask the policy owner to change it if this catalog is really needed.'"
 )
@@ -131,10 +175,10 @@ def _names_held(key: str, label: str, source: str, names) -> str:
 
 def _history() -> str:
     whens = []
-    for start, end, policy in policies.HISTORY:
+    for start, end, names in HISTORY:
         until = f" AND ts < TIMESTAMP '{end}'" if end else ""
         whens.append(
-            f"WHEN ts >= TIMESTAMP '{start}'{until} THEN {_first('text', policy.denied)}"
+            f"WHEN ts >= TIMESTAMP '{start}'{until} THEN {_first('text', names)}"
         )
     return (
         f"{_LOG}, tagged AS (SELECT *, {_context('text', CATALOG_RULES)} AS in_context "
@@ -143,10 +187,10 @@ def _history() -> str:
     )
 
 
-def _text_verdict(table: str, key: str, text: str, rules, policy) -> str:
+def _text_verdict(table: str, key: str, text: str, rules, names) -> str:
     return f"""WITH log AS (SELECT {key}, lower({text}) AS text FROM {table}), tagged AS (
   SELECT *, {_context('text', rules)} AS in_context FROM log), decided AS (
-  SELECT *, CASE WHEN in_context THEN {_first('text', policy.denied)} END AS catalog
+  SELECT *, CASE WHEN in_context THEN {_first('text', names)} END AS catalog
   FROM tagged)
 SELECT {key}, {_VERDICT} AS verdict, catalog AS term, {_REASON} AS reason FROM decided"""
 
@@ -161,19 +205,19 @@ _DENIED_COMMANDS = (
     f"WITH {_DECIDED} SELECT event_id, catalog FROM decided WHERE catalog IS NOT NULL"
 )
 _ALLOWED_COMMANDS = f"WITH {_DECIDED} SELECT event_id FROM decided WHERE catalog IS NULL"
-_ALL_MATCHES = _IN_CONTEXT + _names_held("event_id", "catalog", "held", CATALOG_POLICY.denied)
-_DOCUMENT_TERMS = _DOCUMENTS + _names_held("doc_id", "term", "log", policies.TERMS)
-_EXTRACT = "SELECT event_id, command, reason FROM extracted"
+_ALL_MATCHES = _IN_CONTEXT + _names_held("event_id", "catalog", "held", CATALOG_NAMES)
+_DOCUMENT_TERMS = _DOCUMENTS + _names_held("doc_id", "term", "log", TERMS)
+_EXTRACT = "SELECT event_id, command, array_to_string(arguments, chr(10)) AS arguments, reason FROM extracted"
 _ENVELOPE_VERDICT = f"WITH {_AUDITED} SELECT * FROM audited"
 
 
 def _coverage() -> str:
-    status = [(name, "deny") for name in CATALOG_POLICY.denied]
-    status.append((CATALOG_POLICY.allowed, "allow"))
+    status = [(name, "deny") for name in CATALOG_NAMES]
+    status.append((CATALOG_ALLOWED, "allow"))
     rows = ", ".join(f"({_quote(name)}, {_quote(effect)})" for name, effect in status)
     return (
         f"{_IN_CONTEXT}, named AS ("
-        + _names_held("event_id", "catalog", "held", CATALOG_INVENTORY)
+        + _names_held("event_id", "catalog", "held", (*CATALOG_NAMES, CATALOG_ALLOWED))
         + f"), listed(catalog, status) AS (VALUES {rows}) "
         "SELECT catalog, status, count(event_id) AS n_commands "
         "FROM listed LEFT JOIN named USING (catalog) GROUP BY ALL"
@@ -186,8 +230,8 @@ ORACLES: dict[str, str] = {
     "envelope_verdict": _ENVELOPE_VERDICT,
     "context_rules": f"WITH {_LOG} "
     + " UNION ALL ".join(
-        f"SELECT event_id, {rule.rule_id} AS rule_id FROM log WHERE {_fires('text', rule)}"
-        for rule in CATALOG_RULES
+        f"SELECT event_id, {rule_id} AS rule_id FROM log WHERE {_fires('text', pattern)}"
+        for rule_id, pattern in CATALOG_RULES.items()
     ),
     "commands_in_context": f"WITH {_DECIDED} SELECT event_id FROM decided WHERE in_context",
     "command_verdict": _COMMAND_VERDICT,
@@ -210,7 +254,7 @@ ORACLES: dict[str, str] = {
     "written_verdict_lines": f"WITH {_DENIED} SELECT {_JSON} AS value FROM denied",
     "text_log_reasons": f"WITH {_AUDITED} SELECT reason, catalog, count(*) AS n "
     "FROM audited GROUP BY ALL",
-    "verdict_counts": f"WITH {_DECIDED} SELECT coalesce(catalog, '{ALLOW}') AS catalog, "
+    "verdict_counts": f"WITH {_DECIDED} SELECT coalesce(catalog, 'allow') AS catalog, "
     "count(*) AS n FROM decided GROUP BY ALL",
     "verdict_rollup": f"WITH {_DECIDED}, judged AS (SELECT event_type, {_VERDICT} AS verdict, "
     f"{_REASON} AS reason FROM decided) SELECT event_type, verdict, reason, count(*) AS n, "
@@ -222,16 +266,16 @@ ORACLES: dict[str, str] = {
     "denied_as_of_join": f"WITH {_history()} SELECT event_id, catalog FROM decided "
     "WHERE catalog IS NOT NULL",
     "document_verdict": _text_verdict(
-        "documents", "doc_id", "text", policies.LICENSE_RULES, policies.LICENSE_POLICY
+        "documents", "doc_id", "text", LICENSE_RULES, LICENSE_NAMES
     ),
     "document_terms": _DOCUMENT_TERMS,
     "document_terms_join": _DOCUMENT_TERMS,
     "document_terms_shuffle": _DOCUMENT_TERMS,
     "conversation_terms_join": "WITH log AS (SELECT conv_id, turn, lower(text) AS text "
-    f"FROM conversations), decided AS (SELECT *, {_first('text', policies.TERMS)} AS term "
+    f"FROM conversations), decided AS (SELECT *, {_first('text', TERMS)} AS term "
     "FROM log) SELECT conv_id, turn, term FROM decided WHERE term IS NOT NULL",
     "page_verdict": _text_verdict(
-        "pages", "page_id", "url || chr(10) || html", policies.PAGE_RULES, policies.PAGE_POLICY
+        "pages", "page_id", "url || chr(10) || html", PAGE_RULES, PAGE_NAMES
     ),
     "stream_verdict": _COMMAND_VERDICT,
     "stream_payload_verdict": _ENVELOPE_VERDICT,

@@ -78,14 +78,18 @@ def _table_matches(
     )
 
 
+def _extracted(spark: SparkSession, sf_dir: str, ignore_key_case: bool) -> DataFrame:
+    found = extract_command(_payloads(spark, sf_dir), ignore_key_case=ignore_key_case)
+    lines = F.array_join("arguments", "\n").alias("arguments")
+    return found.select("event_id", "command", lines, "reason")
+
+
 def payload_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extract_command(_payloads(spark, sf_dir), ignore_key_case=False)
-    return found.select("event_id", "command", "reason")
+    return _extracted(spark, sf_dir, ignore_key_case=False)
 
 
 def payload_extract_any_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extract_command(_payloads(spark, sf_dir), ignore_key_case=True)
-    return found.select("event_id", "command", "reason")
+    return _extracted(spark, sf_dir, ignore_key_case=True)
 
 
 def envelope_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:

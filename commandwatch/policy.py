@@ -57,6 +57,8 @@ class Policy:
             raise ValueError("denied names must be distinct, ignoring case")
         if any(not re.search(r"\w", name) for name in self.denied):
             raise ValueError("a denied name needs at least one word character")
+        if any("\0" in name for name in self.denied):
+            raise ValueError("a denied name has no null character")
 
     def to_table(self, spark: SparkSession) -> DataFrame:
         notes = self.notes or (None,) * len(self.denied)

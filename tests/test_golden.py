@@ -68,6 +68,18 @@ EXPECTED_ENVELOPES = [
     ("malformed", None),
     ("malformed", None),
     ("malformed", None),
+    ("match", "system"),
+    ("match", "samples"),
+    ("no_context", None),
+    ("match", "system"),
+    ("non_string_command", None),
+    ("no_match", None),
+    ("no_command", None),
+    ("match", "system"),
+    ("match", "gops_dev"),
+    ("match", "samples"),
+    ("match", "samples"),
+    ("deep_command", None),
 ]
 
 
@@ -232,7 +244,8 @@ def test_rules_ignore_their_own_case(spark):
         ('{"tool_input":[1]}', None, "no_command"),
         ('{"tool_input":{"command":"5"}}', "5", None),
         ('{"tool_input":{"command":true}}', None, "non_string_command"),
-        ('{"tool_input":{"command":["a","b"]}}', None, "non_string_command"),
+        ('{"tool_input":{"command":["a",5]}}', None, "non_string_command"),
+        ('{"tool_input":{"command":["a"]}}', "a", None),
         ('{"tool_input":{"command":{"a":1}}}', None, "non_string_command"),
         ('{"tool_input":{"command":"x","command":"y"}}', "y", None),
         ('{"tool_input":{"command":"a"}} trailing', None, "malformed"),
@@ -278,6 +291,8 @@ def test_mutated_payloads_against_a_strict_parser(spark):
             continue
         inside = value.get("tool_input")
         command = inside.get("command") if isinstance(inside, dict) else None
+        if isinstance(command, list) and all(isinstance(x, str) for x in command):
+            command = command[0] if len(command) == 1 else None
         assert row.command == (command if isinstance(command, str) and command else None), row
         assert row.reason != "malformed", row
     assert 1000 < broken < 2500
