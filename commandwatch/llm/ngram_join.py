@@ -41,10 +41,13 @@ from pyspark.sql import functions as F
 
 from .blocks import dealt, packed, summed_keys
 from .components import components
-from .spark_io import checkpointed, each_batch, encoded, tasks, texts
+from .spark_io import checkpointed, each_batch, encoded, texts
 from .words import runs, word_hashes
 
 NGRAMS_PER_BLOCK = 2_000_000
+#: So many blocks at least that most hashes of a document are alone in theirs: what the blocks
+#: answer is then a row for each hash in common, at any size of the input.
+LEAST_BLOCKS = 256
 NGRAMS_PER_GROUP = 1_000_000
 NGRAMS_PER_CELL = 250_000
 MAX_BROADCAST_IDS = 1_000_000
@@ -359,6 +362,17 @@ def _remaining(known: DataFrame, like: Bounds) -> tuple[DataFrame, DataFrame]:
     return members, dealt_probes
 
 
+def _followed(labels: DataFrame) -> DataFrame:
+    """Labels (id, component) followed to the component of the component.
+
+    Between rounds it is enough to know some document that one is linked with in one or two
+    steps; whatever is contracted too little is only looked at once more.
+    """
+    over = labels.select(F.col("id").alias("component"), F.col("component").alias("further"))
+    met_ = labels.join(over, "component", "left")
+    return met_.select("id", F.least("component", F.coalesce("further", "component")).alias("component"))
+
+
 def joined(docs: DataFrame, like: Bounds = Bounds()) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     docs = texts(docs)
@@ -367,7 +381,7 @@ def joined(docs: DataFrame, like: Bounds = Bounds()) -> DataFrame:
     originals = checkpointed(originals)
 
     total = found.agg(F.sum("n")).first()[0] or 0
-    n_blocks = max(tasks(docs.sparkSession), -(-like.sampled(total) // NGRAMS_PER_BLOCK))
+    n_blocks = max(LEAST_BLOCKS, -(-like.sampled(total) // NGRAMS_PER_BLOCK))
     shared = partnered(docs, like, n_blocks).withColumnRenamed("doc_id", "id")
     least = F.ceil(F.col("n") * like.percent / 100 - 1e-9)
     enough = F.least(F.floor(least * like.more / 100 + 1e-9) + 1, F.ceil(least * like.percent / 100 - 1e-9))
@@ -380,16 +394,19 @@ def joined(docs: DataFrame, like: Bounds = Bounds()) -> DataFrame:
     index = F.col("n") - F.ceil(2 * like.percent * F.col("n") / (100 + like.percent) - 1e-9) + 1
     entries = checkpointed(entries.withColumn("index", F.col("place") < index))
 
-    labels = None
-    for turn in range(ROUNDS + 1):
+    links, labels = None, None
+    for turn in range(ROUNDS):
         known = _active(entries, labels)
         if known.isEmpty():
             break
-        members, probes = _by_centre(known, turn) if turn < ROUNDS else _remaining(known, like)
-        links = met(members, probes, full, like)
-        if labels is not None:
-            links = links.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
-        labels = components(links)
+        new = checkpointed(met(*_by_centre(known, turn), full, like))
+        links = new if links is None else links.unionByName(new)
+        labels = checkpointed(_followed(links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))))
+    known = _active(entries, labels)
+    if not known.isEmpty():
+        new = met(*_remaining(known, like), full, like)
+        links = new if links is None else links.unionByName(new)
+    labels = None if links is None else components(links)
 
     groups = originals.select("digest", "id")
     if labels is not None:
