@@ -60,18 +60,20 @@ def only_digits(text: str) -> str:
     return re.sub("[^0-9]", "", text)
 
 
+def _name_before(text: str, behind: int, at: int) -> int:
+    """Characters of the name that ends at a place and begins behind another one."""
+    size = LOCAL.match(text[max(behind, at - 4096) : at][::-1]).end()
+    # A very long name: read on to its beginning.
+    return LOCAL.match(text[behind:at][::-1]).end() if size == 4096 else size
+
+
 def _emails(text: str) -> Iterator[Span]:
     behind, at = 0, text.find("@")
-    backwards = ""
     while at >= 0:
         found = HOST.match(text, at)
         start = at
         if found:
-            backwards = text[max(behind, at - 4096) : at][::-1]
-            size = LOCAL.match(backwards).end()
-            if size == 4096:  # a very long name: read on to its beginning
-                size = LOCAL.match(text[behind:at][::-1]).end()
-            start = at - size
+            start = at - _name_before(text, behind, at)
         if found and start < at:
             yield start, found.end(), "email"
             behind = found.end()
@@ -84,7 +86,8 @@ def base_spans(text: str) -> list[Span]:
     """Spans of the fixed patterns, by start and then kind."""
     found = list(_emails(text)) if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") for p in m[0].split(".")]  # of any length, padded with zeros
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             found.append((m.start(), m.end(), "ip"))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 12 and 12 <= len(digits := only_digits(m[0])) <= 19 and luhn(digits):
@@ -174,13 +177,15 @@ def _number_regions(text: str) -> Iterator[Region]:
 
 
 def _address_regions(text: str) -> Iterator[Region]:
+    behind = 0  # names don't overlap
     for at in AT.finditer(text):
         host = SPELLED_HOST.match(text, at.end())
         if not host:
             continue
-        name = LOCAL.match(text[max(0, at.start() - 64) : at.start()][::-1]).end()
+        name = _name_before(text, behind, at.start())
         if not name:
             continue
+        behind = host.end()
         start, spelled = at.start() - name, at[0].strip()
         parts = re.split(r"\.| ?[\[(]dot[\])] ?| dot ", host[0])
         last = parts[-1].lower()

@@ -9,8 +9,10 @@ on labelled findings says which candidates are secrets; its trees become nested
 expressions, so that scanning is one narrow projection with no join and no shuffle.
 
 Labelled findings are rows (before, value, after, label). `seed_findings` derives them from a
-bounded sample of documents (`SEEDS`): digests and words of a document put into the settings
-in which secrets and their look-alikes (checksums, paths, identifiers, placeholders) stand.
+bounded sample of documents (`SEEDS`): digests and words (of any alphabet) of a document put
+into the settings in which secrets and their look-alikes (checksums, paths, identifiers,
+placeholders) stand. The value of a query string is a candidate of its own if its parameter's
+name has at most 40 characters; behind a longer one it ends where an assigned value does.
 The dictionary, the `DICTIONARY` words of three letters or more of any alphabet that most
 documents have, is counted over the whole texts of all documents. All rows and whole texts
 are scanned.
@@ -30,19 +32,24 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from commandwatch.functions.staged import once
+
 NAMES = r"api[_-]?key|access[_-]?key|private[_-]?key|secret|token|passwd|password|pwd|credential|bearer|auth"
 # A name before = is not part of a candidate; = inside one is padding, or has no value behind.
 _VALUE = r"[A-Za-z0-9_+/.!@#$%^&*-]"
 RUN = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])(?=[0-9_+/-]*[A-Za-z])[A-Za-z0-9_+/-]{16,}+(?:={1,2}+(?![A-Za-z0-9_+/.\"'-])|(?!=))"
 DOTTED = r"(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_-]*+[.]?[A-Za-z_.-]*[0-9])[A-Za-z0-9_-]{2,}+(?:\.[A-Za-z0-9_-]{6,}+)++(?!=)"
 QUOTED = rf"(?<=[\"'])(?![^\s\"']*?(?:[?&;][A-Za-z0-9_.-]{{1,40}}=|(?i:{NAMES})[A-Za-z0-9_-]{{0,40}}[=:])[^\s\"']{{8}})[^\s\"']{{8,}}+(?=[\"'])"
-QUERY = r"(?<=[?&;][A-Za-z0-9_.-]{1,40}=)[^\s\"'&;#<>=]{8,}+={0,2}+"
+QUERY = r"(?<==)(?<=[?&;][A-Za-z0-9_.-]{1,40}=)[^\s\"'&;#<>=]{8,}+={0,2}+"
 ASSIGNED = rf"(?<=[=:] ?)(?:{_VALUE}|=(?!{_VALUE}{{8}})){{8,}}+(?!=)"
 BLOCK = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?"
 CANDIDATE = f"(?:{BLOCK}|{QUOTED}|{QUERY}|{DOTTED}|{RUN}|{ASSIGNED})"
 AROUND = 40
 SEEDS, DICTIONARY = 600, 1_000
 WORD = r"(\p{L}{3,})"
+# Words for seeds of texts that have too few of their own.
+FILLERS = "garden window summer letter bridge market silver winter forest corner bottle pocket".split()
+SEED_WORDS = len(FILLERS)
 TREES, DEPTH = 15, 6
 SECRET_FROM = 0.5
 MARK = "[secret]"
@@ -145,12 +152,18 @@ def trained(findings: DataFrame, dictionary: list[str]) -> Forest:
 
 
 def _sample(docs: DataFrame, rows: int) -> DataFrame:
-    """The rows with the least hashes: the digests of their texts and some words."""
-    words = F.slice(F.regexp_extract_all("text", F.lit("([A-Za-z]{3,12})"), 1), 1, 60)
+    """The rows with the least hashes: the digests of their texts and some of their words.
+
+    Words of any alphabet, those with the least hashes of the whole text; where a text has
+    fewer than a seed needs, `FILLERS` stand in for them.
+    """
     order = F.xxhash64("doc_id", F.lit(17))
     some = docs.where("doc_id is not null and text is not null").select("doc_id", order.alias("order")).orderBy("order", "doc_id").limit(rows)
     few = F.broadcast(docs.sparkSession.createDataFrame([tuple(r) for r in some.select("doc_id").collect()], "doc_id bigint").distinct())
-    return docs.where("text is not null").join(few, "doc_id", "left_semi").select(words.alias("words"), F.sha1("text").alias("hex"), F.sha2("text", 512).alias("long_hex")).where("size(words) >= 12")
+    inside = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}{3,12})"), 1))
+    dealt = F.transform(F.sort_array(F.transform(inside, lambda w: F.struct(F.xxhash64(w).alias("by"), w.alias("word")))), lambda x: x["word"])
+    words = F.slice(F.concat(F.slice(dealt, 1, SEED_WORDS), F.array(*map(F.lit, FILLERS))), 1, SEED_WORDS)
+    return docs.where("text is not null").join(few, "doc_id", "left_semi").select(words.alias("words"), F.sha1("text").alias("hex"), F.sha2("text", 512).alias("long_hex"))
 
 
 def dictionary_of(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
@@ -217,42 +230,59 @@ def fit(docs: DataFrame, rows: int = SEEDS) -> Forest:
     return forest
 
 
-def with_candidates(docs: DataFrame, forest: Forest) -> DataFrame:
-    """The rows with `gaps_` (the text between candidates) and `found_` (value, score, secret)."""
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column has, nor with another underscore."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken or f"{name}_" in taken:
+        name += "_"
+    return name
+
+
+def with_candidates(docs: DataFrame, forest: Forest, name: str) -> DataFrame:
+    """The rows with a struct of that name: `gaps` (the text between candidates) and `found`
+    (value, score), both null where the text has no candidate.
+
+    Each step is computed once, whatever reads it: the candidates, their features, their scores.
+    """
     any_there = F.col("text").rlike(CANDIDATE)  # most texts have none, and are read once
-    gaps = F.when(any_there, F.split("text", CANDIDATE, -1))
-    values = F.when(any_there, F.regexp_extract_all("text", F.lit(f"({CANDIDATE})"), 1))
+    cut = F.struct(F.split("text", CANDIDATE, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(f"({CANDIDATE})"), 1).alias("values"))
+    gaps = F.col(f"{name}.gaps")
 
     def judged(value: Column, i: Column) -> Column:
-        before = F.right(F.get("gaps_", i), F.lit(AROUND))
-        after = F.left(F.get("gaps_", i + 1), F.lit(AROUND))
+        before = F.right(F.get(gaps, i), F.lit(AROUND))
+        after = F.left(F.get(gaps, i + 1), F.lit(AROUND))
         features = described(before, value, after, list(forest.dictionary))
         return F.struct(value.alias("value"), F.struct(*(features[c].cast("double").alias(c) for c in FEATURES)).alias("features"))
 
     def scored(x: Column) -> Column:
-        return F.struct(x["value"].alias("value"), forest.score(lambda name: x["features"][name]).alias("score"))
+        return F.struct(x["value"].alias("value"), forest.score(lambda feature: x["features"][feature]).alias("score"))
 
-    cut = docs.withColumn("gaps_", gaps).withColumn("values_", values)
-    seen = cut.withColumn("found_", F.transform("values_", judged)).drop("values_")
-    return seen.withColumn("found_", F.transform("found_", scored))
+    rows = once(docs, name, F.when(any_there, cut))
+    for step in (F.transform(f"{name}.values", judged), F.transform(f"{name}.found", scored)):
+        rows = once(rows, f"{name}_", F.when(F.col(name).isNotNull(), F.struct(gaps.alias("gaps"), step.alias("found"))))
+        rows = rows.drop(name).withColumnRenamed(f"{name}_", name)
+    return rows
 
 
 def redacted(docs: DataFrame, forest: Forest, mark: str = MARK) -> DataFrame:
     """All columns of the rows, each secret of the text replaced by a mark."""
-    kept = F.transform("found_", lambda x: F.when(x["score"] >= SECRET_FROM, F.lit(mark)).otherwise(x["value"]))
-    pieces = F.zip_with("gaps_", kept, lambda gap, value: F.concat(F.coalesce(gap, F.lit("")), F.coalesce(value, F.lit(""))))
-    found = with_candidates(docs, forest)
-    text = F.when(F.exists("found_", lambda x: x["score"] >= SECRET_FROM), F.array_join(pieces, "")).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    name = _free(docs, "candidates")
+    gaps, found = F.col(f"{name}.gaps"), F.col(f"{name}.found")
+    kept = F.transform(found, lambda x: F.when(x["score"] >= SECRET_FROM, F.lit(mark)).otherwise(x["value"]))
+    pieces = F.zip_with(gaps, kept, lambda gap, value: F.concat(F.coalesce(gap, F.lit("")), F.coalesce(value, F.lit(""))))
+    text = F.when(F.exists(found, lambda x: x["score"] >= SECRET_FROM), F.array_join(pieces, "")).otherwise(F.col("text"))
+    return with_candidates(docs, forest, name).withColumn("text", text).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def findings(docs: DataFrame, forest: Forest) -> DataFrame:
     """One row for each candidate: place, digest, score, and whether it is a secret."""
-    rows = with_candidates(docs.select("doc_id", "text"), forest).where(F.size("found_") > 0)
-    rows = rows.withColumn("row_", F.monotonically_increasing_id())
-    places = F.transform("found_", lambda x, i: F.struct(F.length(F.get("gaps_", i)).alias("gap"), F.length(x["value"]).alias("size"), F.sha2(x["value"], 256).alias("value_sha256"), x["score"].alias("score")))
-    each = rows.select("doc_id", "row_", F.posexplode(places).alias("number", "x"))
-    so_far = Window.partitionBy("row_").orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = with_candidates(docs.select("doc_id", "text"), forest, "candidates").where("candidates is not null")
+    rows = rows.select("doc_id", F.monotonically_increasing_id().alias("row"), "candidates.*")
+    places = F.transform(
+        "found", lambda x, i: F.struct(F.length(F.get("gaps", i)).alias("gap"), F.length(x["value"]).alias("size"), F.sha2(x["value"], 256).alias("value_sha256"), x["score"].alias("score"))
+    )
+    each = rows.select("doc_id", "row", F.posexplode(places).alias("number", "x"))
+    so_far = Window.partitionBy("row").orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start = F.sum(F.col("x.gap") + F.col("x.size")).over(so_far) - F.col("x.size")
     return each.select("doc_id", "number", start.alias("start"), F.col("x.size").cast("bigint").alias("length"), "x.value_sha256", "x.score", (F.col("x.score") >= SECRET_FROM).alias("is_secret"))
 
