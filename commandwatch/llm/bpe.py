@@ -6,8 +6,13 @@ word is read through a window of fixed size: tokens that end at least the lookah
 the end of the window can't change any more and are emitted, and reading goes on behind
 them. Memory depends on the merge list, never on the length of a word.
 
-Decoding walks the ids once; in byte mode the bytes go through an incremental UTF-8 state
-machine, so that a character may be spread over several tokens.
+Texts are read in segments cut at white space, which no pre-token and no normal form crosses.
+The short pre-tokens of a group of segments that are not known yet are merged together, all
+words of a length at once. A memo of bounded bytes keeps the ids of pre-tokens, in two
+generations, so that what was used of late stays.
+
+Decoding is a state machine that is fed ids piece by piece. It holds whether a token came
+before or, in byte mode, the bytes of an unfinished character, which may be spread over tokens.
 
 Results: a null text counts as empty; an empty text has no ids and decodes to "". Ids that
 the vocabulary doesn't have raise KeyError.
@@ -23,12 +28,26 @@ import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import regex
 
 WORD_END = "</w>"
-KEPT_WORDS = 900_000
+#: Bytes of the memo, both generations; characters that are read together; bytes of a short
+#: pre-token; and unknown ones from which on it is worth to merge them together.
+MEMO_BYTES = 48 << 20
+GROUP = 1 << 21
+SHORT = 48
+TOGETHER = 64
 ID_BITS = 17
-_WORDS: dict[str, Encoder] = {}
+#: White space at which a text may be cut.
+AT_BLANK = re.compile("[ \t\n\r\x0b\x0c]")
+_LETTERS, _NUMBERS, _BLANKS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_SUFFIXES = "'s|'t|'re|'ve|'m|'ll|'d"
+#: The pre-tokens of texts of Latin-1 characters, and of any others.
+NEAR_WORDS = re.compile(f"[{_LETTERS}]+|{_SUFFIXES}|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+").findall
+WORDS = regex.compile(rf"\p{{L}}+|{_SUFFIXES}|\p{{N}}|[^\p{{White_Space}}\p{{L}}\p{{N}}]+").findall
+NO_MERGE = 1 << 62
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def byte_alphabet() -> list[str]:
@@ -55,11 +74,36 @@ def sufficient_lookahead(merges: Iterable[tuple[str, str]]) -> int:
     return longest
 
 
-class Encoder(dict):
-    """Maps a pre-token to its packed ids (little-endian, 32 bits), keeping recent ones."""
+class Memo:
+    """Packed ids by pre-token, in two generations: when the younger one is full, it becomes
+    the older one, whose entries come back when they are asked for again."""
+
+    def __init__(self, most_bytes: int = MEMO_BYTES):
+        self.most_bytes, self.size = most_bytes // 2, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def put(self, words: list[str], packed: list[bytes]) -> None:
+        self.young.update(zip(words, packed, strict=True))
+        # Two objects, and their place in the table.
+        self.size += 200 * len(words) + sum(map(len, words)) + sum(map(len, packed))
+
+    def unknown(self, words: set[str]) -> set[str]:
+        """The words that aren't known; those known are young now."""
+        missing = words.difference(self.young)
+        back = list(missing.intersection(self.old))
+        self.put(back, list(map(self.old.__getitem__, back)))
+        return missing.difference(back)
+
+    def trim(self) -> None:
+        if self.size > self.most_bytes:
+            self.young, self.old, self.size = {}, self.young, 0
+
+
+class Encoder:
+    """Texts to packed ids (little-endian, 32 bits), and back."""
 
     def __init__(self, path: str):
-        super().__init__()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -76,19 +120,70 @@ class Encoder(dict):
         self.lookahead = sufficient_lookahead(merges)
         self.window = 2 * self.lookahead + 2 * max(self.symbols.values())
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.words = regex.compile(rf"\p{{L}}+|'s|'t|'re|'ve|'m|'ll|'d|\p{{N}}|[^\p{{White_Space}}\p{{L}}\p{{N}}]+").findall
         back = {c: b for b, c in enumerate(alphabet)}
         self.bytes = {i: bytes(back[c] for c in t.removesuffix(WORD_END)) + b" " * t.endswith(WORD_END) for t, i in vocab.items()}
         self.bytes |= {i: t.encode() for t, i in self.special.items()}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = list(self.stream(word.encode("utf-8", "surrogatepass")))
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(word) <= 64:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[word] = packed
-        return packed
+        self.memo = Memo()
+        # The same for many pre-tokens at once: the pairs in order, and the symbols as arrays.
+        pairs = sorted(self.pairs.items())
+        self.pair_keys, self.pair_values = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+        self.inner_ids, self.last_ids = np.array(self.inner, np.int64), np.array(self.last, np.int64)
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Put the ids of pre-tokens into the memo."""
+        by_size: dict[int, list[str]] = {}
+        for word in words:
+            by_size.setdefault(len(word) if word.isascii() else len(word.encode("utf-8", "surrogatepass")), []).append(word)
+        for size, same in by_size.items():
+            if size > SHORT or len(same) < TOGETHER:
+                found = [list(self.stream(word.encode("utf-8", "surrogatepass"))) for word in same]
+                self.memo.put(same, [struct.pack(f"<{len(ids)}I", *ids) for ids in found])
+            else:
+                data = "".join(same).encode("utf-8", "surrogatepass")
+                symbols = np.frombuffer(data, np.uint8).reshape(-1, size)
+                for places, ids in self.merged_together(symbols):
+                    width, packed = 4 * ids.shape[1], ids.astype("<u4").tobytes()
+                    self.memo.put([same[k] for k in places.tolist()], [packed[k : k + width] for k in range(0, len(packed), width)])
+
+    def _merges(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and product in one number for each pair, or NO_MERGE."""
+        keys = left << ID_BITS | right
+        places = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[places] == keys, self.pair_values[places], NO_MERGE)
+
+    def merged_together(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Apply the merges to pre-tokens of one size, a row each: row numbers and their ids.
+
+        In each step every row merges its leftmost pair of lowest rank, so that all rows that
+        go on stay of one size; those without a pair are done.
+        """
+        ids = self.inner_ids[symbols]
+        ids[:, -1] = self.last_ids[symbols[:, -1]]
+        rows = np.arange(len(ids))
+        found = self._merges(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            if not found.shape[1]:
+                yield rows, ids
+                return
+            at = found.argmin(1)
+            least = np.take_along_axis(found, at[:, None], 1)[:, 0]
+            goes = least != NO_MERGE
+            if not goes.all():
+                yield rows[~goes], ids[~goes]
+                rows, ids, found, at, least = rows[goes], ids[goes], found[goes], at[goes], least[goes]
+                if not len(rows):
+                    return
+            number, width = np.arange(len(rows)), ids.shape[1] - 1
+            columns = np.arange(width)
+            ids = np.take_along_axis(ids, columns + (columns > at[:, None]), 1)
+            ids[number, at] = least & ((1 << ID_BITS) - 1)
+            columns = np.arange(width - 1)
+            found = np.take_along_axis(found, columns + (columns >= at[:, None]), 1)
+            has = np.flatnonzero(at > 0)
+            found[has, at[has] - 1] = self._merges(ids[has, at[has] - 1], ids[has, at[has]])
+            has = np.flatnonzero(at < width - 1)
+            found[has, at[has]] = self._merges(ids[has, at[has]], ids[has, at[has] + 1])
 
     def stream(self, data: bytes) -> Iterator[int]:
         """Ids of one pre-token, emitted as soon as they are stable."""
@@ -142,38 +237,93 @@ class Encoder(dict):
                     heapq.heappush(heap, (found, a))
         return [x for x in ids if x >= 0]
 
-    def normal(self, text: str) -> str:
-        # Sigma is lowered by itself, without a look at the end of the word.
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    def words(self, text: str) -> list[str]:
+        """The pre-tokens of a text in its normal form."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            # Sigma is lowered by itself, without a look at the end of the word.
+            return WORDS(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        return NEAR_WORDS(text.lower())  # always in normal form
+
+    def _segments(self, text: str) -> Iterator[str | int]:
+        """Parts of a text of some GROUP characters, and the ids of special tokens between them."""
+        at = 0
+        ends = [(m.start(), m.end()) for m in self.at_special.finditer(text)] if "<|" in text else []
+        for end, further in [*ends, (len(text), len(text))]:
+            while at < end:
+                found = AT_BLANK.search(text, at + GROUP, end) if end - at > GROUP else None
+                stop = found.start() if found else end
+                yield text[at:stop]
+                at = stop
+            if further > end:
+                yield self.special[text[end:further]]
+            at = further
+
+    def encoded(self, texts: Iterable[str | None]) -> Iterator[tuple[int, bytes]]:
+        """Packed ids of texts: the place of the text, and one of its pieces, in their order."""
+        waiting: list[tuple[int, list[str] | bytes]] = []
+        size = 0
+        for place, text in enumerate(texts):
+            for part in self._segments(text or ""):
+                if isinstance(part, int):
+                    waiting.append((place, struct.pack("<I", part)))
+                    continue
+                if size and size + len(part) > GROUP:
+                    yield from self._looked_up(waiting)
+                    waiting, size = [], 0
+                waiting.append((place, self.words(part)))
+                size += len(part)
+        yield from self._looked_up(waiting)
+
+    def _looked_up(self, waiting: list[tuple[int, list[str] | bytes]]) -> Iterator[tuple[int, bytes]]:
+        words = set().union(*(x for _, x in waiting if isinstance(x, list)))
+        self.learn(self.memo.unknown(words))
+        known = self.memo.young.__getitem__
+        for place, part in waiting:
+            yield place, b"".join(map(known, part)) if isinstance(part, list) else part
+        self.memo.trim()
 
     def encode(self, text: str | None) -> bytes:
         """Packed ids of a text; strings of special tokens become their ids."""
-        if not text:
-            return b""
-        if "<|" not in text:
-            return b"".join(map(self.__getitem__, self.words(self.normal(text))))
-        parts = self.at_special.split(text)
-        return b"".join(
-            struct.pack("<I", self.special[part]) if k % 2 else b"".join(map(self.__getitem__, self.words(self.normal(part))))
-            for k, part in enumerate(parts)
-        )
+        return b"".join(packed for _, packed in self.encoded([text]))
 
     def decode(self, ids: Iterable[int]) -> str:
         """The vocabulary's own strings, a space between two, as without a decoder."""
-        return " ".join(map(self.tokens.__getitem__, ids))
+        return Decoder(self).feed(ids)
+
+
+class Decoder:
+    """Ids to text, fed piece by piece.
+
+    By itself the text are the vocabulary's own strings with a space between two; `as_bytes`
+    gives the bytes of the tokens, word ends as spaces.
+    """
+
+    def __init__(self, machine: Encoder, as_bytes: bool = False):
+        self.tokens, self.bytes = machine.tokens, machine.bytes
+        self.unfinished = codecs.getincrementaldecoder("utf-8")("replace") if as_bytes else None
+        self.begun = False
+
+    def feed(self, ids: Iterable[int]) -> str:
+        if self.unfinished is not None:
+            return self.unfinished.decode(b"".join(map(self.bytes.__getitem__, ids)))
+        strings = list(map(self.tokens.__getitem__, ids))
+        if not strings:
+            return ""
+        text = " ".join(strings)
+        if self.begun:
+            return " " + text
+        self.begun = True
+        return text
 
-    def decode_text(self, ids: Iterable[int]) -> Iterator[str]:
-        """Plain text piece by piece: bytes of the tokens, word ends as spaces."""
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
-        for i in ids:
-            if piece := machine.decode(self.bytes[i]):
-                yield piece
-        if piece := machine.decode(b"", final=True):
-            yield piece
+    def end(self) -> str:
+        """What is left at the end, of an unfinished character."""
+        return "" if self.unfinished is None else self.unfinished.decode(b"", final=True)
 
 
 def encoder(path: str) -> Encoder:
     """One encoder for each file in a Python worker."""
-    if path not in _WORDS:
-        _WORDS[path] = Encoder(path)
-    return _WORDS[path]
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]

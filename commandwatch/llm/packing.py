@@ -73,10 +73,12 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = 0
     """The pieces of every document: place among its ids, length, checksum."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode, close = encoder(path).encode, end_id.to_bytes(4, "little")
+        found: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
+        for place, packed in encoder(path).encoded(batch.column("text").to_pylist()):
+            found[place].append(packed)
         rows: list[tuple[int, int, int, int, int]] = []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids = encode(text) + close
+        for doc, parts in zip(batch.column("doc_id").to_pylist(), found, strict=True):
+            ids = b"".join([*parts, end_id.to_bytes(4, "little")])
             for k, at in enumerate(range(0, len(ids), 4 * sequence)):
                 part = ids[at : at + 4 * sequence]
                 rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -16,8 +17,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from commandwatch.llm import fingerprints, near_dedup, packing, personal_data, quality_classifier, quality_rules
-from commandwatch.llm import secrets, substring_dedup, tokenizing, toxicity
-from commandwatch.llm.bpe import Encoder, sufficient_lookahead
+from commandwatch.llm import bpe, secrets, substring_dedup, tokenizing, toxicity
+from commandwatch.llm.bpe import Decoder, Encoder, sufficient_lookahead
 from commandwatch.llm.components import components
 from commandwatch.llm.packing import BestFit
 from commandwatch.llm.spark_io import prepare
@@ -103,7 +104,36 @@ def test_lookahead_bounds_how_far_an_end_reaches_back():
 def test_decoding_puts_split_characters_together():
     machine = Encoder(PATH)
     ids = np.frombuffer(machine.encode("naïve 🙂 café"), "<u4").tolist()
-    assert "".join(machine.decode_text(ids)).split() == "naïve 🙂 café".split()
+    for size in (1, 2, 100):  # any pieces give the same text
+        plain, whole = Decoder(machine), Decoder(machine, as_bytes=True)
+        parts = [ids[k : k + size] for k in range(0, len(ids), size)]
+        assert "".join(map(whole.feed, parts)) + whole.end() == "naïve 🙂 café "
+        assert "".join(map(plain.feed, [[], *parts])) + plain.end() == machine.decode(ids)
+
+
+def test_words_merged_together_equal_words_merged_alone(monkeypatch):
+    monkeypatch.setattr(bpe, "TOGETHER", 1)
+    ours, library = Encoder(PATH), Tokenizer.from_file(PATH)
+    rng = random.Random(2)
+    texts = ["", None, " \n", "<|endoftext|>", "a<|endoftext|> b<|startoftext|>", "x" * 4_000]
+    texts += [" ".join("".join(rng.choice("aeinstrhdlomcuéñ一-.'9") for _ in range(rng.randint(1, 60))) for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for group, memo in ((1 << 21, 1 << 24), (50, 1 << 24), (50, 4_000)):
+        monkeypatch.setattr(bpe, "GROUP", group)
+        ours.memo = bpe.Memo(memo)
+        found = [b""] * len(texts)
+        for place, packed in ours.encoded(texts):
+            found[place] += packed
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == expected
+        assert ours.memo.size < memo + 10_000
+
+
+def test_characters_of_latin_1_are_cut_alike():
+    signs = [chr(c) for c in range(256)]
+    for text in ["".join(signs), " ".join(signs), *(a + b for a in "a1.' \x85" for b in signs)]:
+        low = text.lower()
+        assert bpe.NEAR_WORDS(low) == bpe.WORDS(low)
+        assert unicodedata.normalize("NFC", text) == text
 
 
 def test_token_digests(docs, nothing):
