@@ -41,7 +41,7 @@ from .words import mixed, runs, word_hashes
 
 MINIMA = 128
 CENTRE_ROUNDS = 2
-DOCS_PER_GROUP = 1_000
+DOCS_PER_GROUP, SHINGLES_PER_GROUP = 1_000, 4_000_000
 PROFILE = "doc_id bigint, n_shingles bigint, sequence binary, bands array<bigint>, sketch array<bigint>"
 _random = np.random.Generator(np.random.PCG64(5))
 _FACTORS = _random.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -272,7 +272,8 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     shared = bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     members = checkpointed(bands.join(checkpointed(shared.select("band")), "band", "left_semi"))
     near = checkpointed(members.select("id").distinct())
-    n_groups = max(1, -(-near.count() // DOCS_PER_GROUP))
+    size = originals.join(near, "id", "left_semi").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles")).first()
+    n_groups = max(1, -(-size["rows"] // DOCS_PER_GROUP), -(-(size["shingles"] or 0) // SHINGLES_PER_GROUP))
     full = checkpointed(sets(docs.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), like, n_groups))
     marks = checkpointed(originals.select("id", "sketch").join(full.select(F.col("doc_id").alias("id"), "n", "rare", "common"), "id"))
 

@@ -40,7 +40,7 @@ from .blocks import dealt, packed, shared_keys
 from .words import runs, utf8, word_hashes
 
 WINDOW, ANCHOR = 13, 5
-DOCS_PER_GROUP = 1_000
+DOCS_PER_GROUP, BYTES_PER_GROUP = 1_000, 32 << 20
 LAST = np.iinfo(np.int64).max
 
 
@@ -154,7 +154,8 @@ def _parse(docs: pa.Table, answers: pa.Table) -> pa.Table:
 def without_repeats(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns of every row as struct `row`, n_words, n_removed, n_factors and
     kept_text: the words left, joined by one space."""
-    n_groups = max(1, -(-docs.count() // DOCS_PER_GROUP))
+    size = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    n_groups = max(1, -(-size["rows"] // DOCS_PER_GROUP), -(-(size["bytes"] or 0) // BYTES_PER_GROUP))
     group = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)).alias("group")
     grouped = docs.select(group, "doc_id", "text", F.struct(*columns).alias("row"))
     by_group = grouped.groupBy("group")
