@@ -1,97 +1,109 @@
-"""Match commands against a policy table of any size.
+r"""Match commands against a policy table of any size.
 
-A short table becomes part of the plan, a longer one is joined. A name made of word
-characters occurs as a whole word exactly if it equals one of the command's words, so the
-match is an equi-join on words. A name with other characters joins on one word inside it,
-and the candidates are then checked with the name's regex.
+A short table becomes part of the plan, a longer one is joined. A name is held as a whole word
+exactly if it equals an n-gram of the command: so many words in a row with what lies between
+them (and, if a name begins or ends with other characters, all that lies between its end and
+the next word). So the match is an equi-join on the n-grams of the lengths that occur in the
+policy. Texts are read once, and only their n-grams travel.
 """
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commandwatch.functions.staged import explode_hits
-from commandwatch.functions.text import REGEX_FLAGS, word_hit, words
+from commandwatch.functions.text import REGEX_FLAGS, word_hit
 from commandwatch.operators.classify import ALLOW, DENY, classify, with_context
+from commandwatch.operators.periods import bins_of, in_bins, in_force, merged_periods
 from commandwatch.policy import MAX_INLINE_NAMES, Policy, Rule
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+#: N-grams whose number is measured, and the counters that the sketch keeps for that.
+HEAVY, COUNTERS = 256, 8_192
 
 
-def _denied(policy: DataFrame) -> DataFrame:
-    return policy.filter("effect = 'deny'") if "effect" in policy.columns else policy
+@dataclass(frozen=True)
+class Shape:
+    """Names of so many words that begin or end with other characters or don't."""
 
+    words: int
+    leads: bool
+    trails: bool
 
-def _denied_names(policy: DataFrame, as_of: str | None) -> DataFrame:
-    rows = _denied(policy)
-    lowered = F.lower("name")
-    one_word = lowered.rlike(REGEX_FLAGS + r"^\w+\z")
-    columns = ["pos", "name", *(("valid_from", "valid_to") if as_of else ())]
-    return rows.select(
-        *(F.col(name).alias(f"_{name}") for name in columns),
-        lowered.alias("_lower"),
-        F.when(one_word, lowered).alias("_word"),
-    )
+    @property
+    def pattern(self) -> str:
+        """One match for each word (or gap) at which an n-gram of this shape begins."""
+        gram = r"\w++" + rf"(?:\W++\w++){{{self.words - 1}}}" * (self.words > 1)
+        gram = r"\W++" * self.leads + gram + r"\W++(?=\w)" * self.trails
+        return rf"(?<=\w)(?=({gram}))\W" if self.leads else rf"(?=({gram}))\w++"
 
 
-def _sizes(names: DataFrame) -> dict[bool, Row]:
-    """Rows and bytes of the one-word names (True) and of the others (False)."""
-    sizes = names.groupBy(F.col("_word").isNotNull().alias("one_word")).agg(
-        F.count("*").alias("rows"),
-        F.sum(3 * F.octet_length("_name")).alias("bytes"),
-        F.bool_and(F.col("_lower").rlike(REGEX_FLAGS + r"\w")).alias("wordy"),
-    )
-    found = {row.one_word: row for row in sizes.collect()}
-    if any(not row.wordy for row in found.values()):
-        raise ValueError("a denied name needs at least one word character")
-    return found
+@dataclass(frozen=True)
+class Extent:
+    """What is measured of a policy before it is joined."""
+
+    shapes: tuple[Shape, ...]
+    rows: int
+    size: int
+    longest: int
 
+    @property
+    def fits(self) -> bool:
+        return self.rows <= MAX_BROADCAST_ROWS and self.size <= MAX_BROADCAST_BYTES
 
-def _rows(*sizes: Row | None) -> int:
-    return sum(size.rows for size in sizes if size)
 
+def _denied(policy: DataFrame) -> DataFrame:
+    return policy.filter("effect = 'deny'") if "effect" in policy.columns else policy
 
-def _fits(*sizes: Row | None) -> bool:
-    size_bytes = sum(size.bytes for size in sizes if size)
-    return _rows(*sizes) <= MAX_BROADCAST_ROWS and size_bytes <= MAX_BROADCAST_BYTES
 
+def _denied_names(policy: DataFrame, as_of: str | None) -> DataFrame:
+    rows = _denied(policy).filter(F.col("name").isNotNull())
+    columns = [F.col(name).alias(f"_{name}") for name in ("pos", "name")]
+    if as_of:
+        columns += [rows[name].alias(f"_{name}") for name in ("valid_from", "valid_to")]
+    return rows.select(*columns, F.lower("name").alias("_gram"))
 
-def _with_anchors(others: DataFrame) -> DataFrame:
-    """Set ``_word``, the word to join on, to the one that is rarest among the names.
 
-    A word that many names share would pair each command that holds it with all of them.
-    """
-    inside = others.select("_lower", F.explode_outer(words(F.col("_lower"))).alias("_word"))
-    inside = inside.distinct()
-    common = inside.groupBy("_word").agg(F.count("*").alias("_n"))
-    rarest = (
-        inside.join(common, "_word")
-        .groupBy("_lower")
-        .agg(F.min(F.struct("_n", "_word"))["_word"].alias("_word"))
+def _extent(names: DataFrame) -> Extent:
+    gram = F.col("_gram")
+    sizes = names.groupBy(
+        F.size(F.regexp_extract_all(gram, F.lit(REGEX_FLAGS + r"(\w+)"))).alias("words"),
+        gram.rlike(REGEX_FLAGS + r"^\W").alias("leads"),
+        gram.rlike(REGEX_FLAGS + r"\W\z").alias("trails"),
+    ).agg(
+        F.count("*").alias("rows"),
+        F.sum(2 * F.octet_length("_name")).alias("size"),
+        F.max(F.length(gram)).alias("longest"),
+    )
+    found = sizes.filter("words IS NOT NULL").collect()
+    if any(not row.words for row in found):
+        raise ValueError("a denied name needs at least one word character")
+    return Extent(
+        tuple(sorted((Shape(r.words, r.leads, r.trails) for r in found), key=repr)),
+        sum(row.rows for row in found),
+        sum(row.size for row in found),
+        max((row.longest for row in found), default=0),
     )
-    return others.drop("_word").join(rarest, "_lower")
 
 
-def _in_force(as_of: str) -> Column:
-    return (F.col(as_of) >= F.col("_valid_from")) & (
-        F.col("_valid_to").isNull() | (F.col(as_of) < F.col("_valid_to"))
-    )
+def _grams(texts: DataFrame, extent: Extent) -> DataFrame:
+    """One row for each n-gram of a text that could be a name, the text left out."""
+    found = [
+        F.regexp_extract_all("_text", F.lit(REGEX_FLAGS + shape.pattern), 1)
+        for shape in extent.shapes
+    ]
+    short = F.filter(F.concat(*found), lambda gram: F.length(gram) <= extent.longest)
+    kept = [name for name in texts.columns if name != "_text"]
+    # explode() would add a filter on the number of n-grams that reads the text once more.
+    return texts.select(*kept, F.explode_outer(F.array_distinct(short)).alias("_gram"))
 
 
-def _occurs() -> Column:
-    """True where the joined name occurs in ``_text``; a one-word name did so by the join."""
-    quoted = F.regexp_replace("_lower", REGEX_FLAGS + r"([^\w])", r"\\$1")
-    pattern = F.concat(F.lit(REGEX_FLAGS + r"\b"), quoted, F.lit(r"\b"))
-    return F.col("_plain") | (
-        F.contains("_text", F.col("_lower")) & F.rlike("_text", pattern)
-    )
+# Joins -------------------------------------------------------------------------------------
 
 
 def _match_inline(texts: DataFrame, names: DataFrame, key: list[str]) -> DataFrame:
@@ -105,38 +117,34 @@ def _match_inline(texts: DataFrame, names: DataFrame, key: list[str]) -> DataFra
     return explode_hits(texts, "_hit", cases).select(*key, "_hit.pos", "_hit.catalog")
 
 
-def _exploded(texts: DataFrame, *dropped: str) -> DataFrame:
-    # explode() would add a filter on the word count that splits the text a second time.
-    kept = [name for name in texts.columns if name not in dropped]
-    return texts.select(*kept, F.explode_outer(words(F.col("_text"))).alias("_word"))
-
-
-def _join_broadcast(texts: DataFrame, names: DataFrame, check: bool) -> DataFrame:
-    # Within the join's stage the text is only referenced, not copied per word.
-    if check:
-        return _exploded(texts).join(F.broadcast(names), "_word").filter(_occurs())
-    return _exploded(texts, "_text").join(F.broadcast(names), "_word")
+def _salts(grams: DataFrame) -> dict[int, int]:
+    """By hash of an n-gram: over how many tasks to spread it, if it is among the most
+    frequent ones and has more than one task's share."""
+    tasks = int(grams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = F.expr(f"approx_top_k(xxhash64(_gram), {HEAVY}, {COUNTERS})").alias("top")
+    row = grams.filter("_gram IS NOT NULL").agg(top, F.count("*").alias("n")).first()
+    share = max(1, row.n // tasks)
+    found = {x["item"]: min(tasks, -(-x["count"] // share)) for x in row.top or ()}
+    return {item: salts for item, salts in found.items() if salts > 1}
 
 
-def _join_shuffled(texts: DataFrame, names: DataFrame, key: list[str]) -> DataFrame:
-    """Join on salted words: one word may be in a third of all commands.
+def _join_shuffled(
+    grams: DataFrame, names: DataFrame, on: list[str], spread_by: list[str]
+) -> DataFrame:
+    """A merge join that spreads the n-grams that the log has most often over several tasks.
 
-    Each name is repeated once per salt, which is little next to the words of a log.
+    Only the names equal to these are repeated, once for each salt; a salt is a hash of the
+    key, so that a task that runs again gives the same rows.
     """
-    salted = _exploded(texts, "_text").withColumn(
-        "_salt", F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int")
-    )
-    spread = names.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-    return salted.join(spread.hint("merge"), ["_word", "_salt"]).drop("_salt")
-
-
-def _with_texts(candidates: DataFrame, texts: DataFrame, key: list[str]) -> DataFrame:
-    # A null-safe join adds no filter on the key, so that the words of the candidates are
-    # the same shuffle as those of the plain names and it runs once.
-    renamed = {name: f"_key_{name}" for name in key}
-    same = [F.col(name).eqNullSafe(F.col(other)) for name, other in renamed.items()]
-    keyed = texts.select(*key, "_text").withColumnsRenamed(renamed)
-    return candidates.join(keyed, functools.reduce(operator.and_, same))
+    salts = _salts(grams)
+    hashed = F.xxhash64("_gram")
+    if not salts:
+        return grams.join(names.hint("merge"), on)
+    table = F.create_map(*(F.lit(x) for pair in salts.items() for x in pair))
+    parts = F.when(hashed.isin(list(salts)), F.element_at(table, hashed)).otherwise(1)
+    salted = grams.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
+    spread = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)))
+    return salted.join(spread.hint("merge"), [*on, "_salt"]).drop("_salt")
 
 
 def match_policy_table(
@@ -147,50 +155,54 @@ def match_policy_table(
     command: str = "command",
     as_of: str | None = None,
     strategy: str | None = None,
+    arguments: str | None = None,
+    collapse: bool = False,
 ) -> DataFrame:
     """One row per command in context and denied name it holds: ``key``, pos, catalog.
 
     ``policy`` has ``pos`` and ``name``, optionally ``effect``, and with ``as_of`` (a
     timestamp column of the log) also ``valid_from`` and ``valid_to``: only the rows in
-    force at that time apply. ``key`` columns identify a command and are not null.
+    force at that time apply. Periods of a name that touch become one, and are looked up by
+    bins of time, so that a long history isn't searched revision by revision. Rows whose
+    ``key`` repeats or is null are matched one by one; ``collapse`` is for a key that tells
+    the command, and matches equal keys once.
 
     The measured size of the policy decides between tests in the plan, a broadcast join
-    (neither shuffles) and a salted shuffle join. ``strategy`` ("broadcast", "shuffle") asks
-    for one of the joins; a policy over the limits is never broadcast.
+    (neither shuffles) and a shuffle join. ``strategy`` ("broadcast", "shuffle") asks for one
+    of the joins; a policy over the limits is never broadcast. The rows are always the same.
     """
     if strategy not in (None, "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
     key = list(key)
     names = _denied_names(policy, as_of)
-    sizes = _sizes(names)
-    one_word, others = sizes.get(True), sizes.get(False)
-    if strategy == "broadcast" and not _fits(one_word, others):
+    extent = _extent(names)
+    if strategy == "broadcast" and not extent.fits:
         raise ValueError("the policy is too large to broadcast")
 
+    in_context = with_context(log, rules, command, arguments).filter("_context")
     carried = [*key, *([as_of] if as_of and as_of not in key else [])]
-    in_context = with_context(log, rules, command).filter("_context")
     texts = in_context.select(*carried, "_text")
-    if strategy is None and not as_of and 0 < _rows(one_word, others) <= MAX_INLINE_NAMES:
-        return _match_inline(texts, names, key)
-    every = plain = names.withColumn("_plain", F.lit(True))
-    if others:
-        plain = plain.filter("_word IS NOT NULL")
-        odd = _with_anchors(names.filter("_word IS NULL")).withColumn("_plain", F.lit(False))
-        every = plain.unionByName(odd)
-    if strategy != "shuffle" and _fits(one_word, others):
-        hits = _join_broadcast(texts, every, check=others is not None)
-    elif not others:
-        hits = _join_shuffled(texts, plain, key)
-    elif strategy != "shuffle" and _fits(others):
-        checked = _join_broadcast(texts, odd, check=True)
-        hits = _join_shuffled(texts, plain, key).unionByName(checked.drop("_text"))
+    if strategy is None and not as_of and 0 < extent.rows <= MAX_INLINE_NAMES:
+        hits = _match_inline(texts, names, key)
+        return hits.distinct() if collapse else hits
+    if not extent.shapes:
+        names, extent = names.limit(0), Extent((Shape(1, False, False),), 0, 0, 0)
+    grams, on = _grams(texts, extent), ["_gram"]
+    if as_of:
+        names = merged_periods(names, "_pos", "_name", "_gram")
+        bins = bins_of(names)
+        names, on = in_bins(names, bins), [*on, "_bin"]
+        grams = grams.withColumn("_bin", bins.of(F.col(as_of)))
+    if strategy != "shuffle" and extent.fits:
+        hits = grams.join(F.broadcast(names), on)
     else:
-        found = _join_shuffled(texts, every, key)
-        checked = _with_texts(found.filter("NOT _plain"), texts, key).filter(_occurs())
-        hits = found.filter("_plain").unionByName(checked.select(*found.columns))
+        # Equal commands meet before the join, and within a task before the shuffle.
+        rows = grams.distinct() if collapse else grams
+        hits = _join_shuffled(rows, names, on, key)
     if as_of:
-        hits = hits.filter(_in_force(as_of))
-    return hits.select(*key, F.col("_pos").alias("pos"), F.col("_name").alias("catalog"))
+        hits = hits.filter(in_force(F.col(as_of)))
+    hits = hits.select(*key, F.col("_pos").alias("pos"), F.col("_name").alias("catalog"))
+    return hits.distinct() if collapse else hits
 
 
 def first_match(matches: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -207,23 +219,76 @@ def deny_by_table(log: DataFrame, denied: DataFrame, key: Sequence[str]) -> Data
     )
 
 
+def _with_digest(log: DataFrame, command: str, arguments: str | None) -> DataFrame:
+    """Add what tells a command: its text, or its strings, each with its length."""
+    told = F.concat(F.lit("text "), F.col(command))
+    if arguments is not None:
+        strings = F.transform(arguments, lambda s: F.concat_ws(":", F.length(s), s))
+        listed = F.concat(F.lit("list "), F.array_join(strings, " "))
+        told = F.when(F.col(arguments).isNull(), told).otherwise(listed)
+    return log.withColumn("_digest", F.sha2(told, 256))
+
+
 def classify_by_table(
     log: DataFrame,
     rules: Sequence[Rule],
     policy: DataFrame,
-    key: Sequence[str],
+    key: Sequence[str] = (),
     command: str = "command",
+    arguments: str | None = None,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Add ``verdict`` and ``catalog`` to every row, without a shuffle for a short policy.
 
-    The rows are the same for any size of the policy, also where ``key`` repeats or is null.
+    The rows are the same for any size of the policy. The text alone decides and identifies
+    a command, so each distinct command is matched once, and ``key`` isn't needed; it may
+    repeat or be null.
     """
-    denied = _denied(policy).groupBy(F.lower("name")).agg(F.min_by("name", "pos"), F.min("pos"))
-    first = denied.toDF("lower", "name", "pos").orderBy("pos").limit(MAX_INLINE_NAMES + 1)
-    names = tuple(row.name for row in first.collect())
-    if len(names) <= MAX_INLINE_NAMES:
-        return classify(log, rules, Policy(denied=names), command).drop("reason")
-    # The text alone decides, so it identifies a command where keys repeat or are null.
-    keyed = log.withColumn("_digest", F.sha2(F.col(command), 256))
-    matches = match_policy_table(keyed, rules, policy, ["_digest"], command)
+    if strategy is None:
+        denied = _denied(policy).groupBy(F.lower("name")).agg(F.min_by("name", "pos"), F.min("pos"))
+        first = denied.toDF("lower", "name", "pos").filter("lower IS NOT NULL").orderBy("pos")
+        names = tuple(row.name for row in first.limit(MAX_INLINE_NAMES + 1).collect())
+        if len(names) <= MAX_INLINE_NAMES:
+            return classify(log, rules, Policy(denied=names), command, arguments).drop("reason")
+    keyed = _with_digest(log, command, arguments)
+    matches = match_policy_table(
+        keyed,
+        rules,
+        policy,
+        ["_digest"],
+        command,
+        strategy=strategy,
+        arguments=arguments,
+        collapse=True,
+    )
     return deny_by_table(keyed, first_match(matches, ["_digest"]), ["_digest"]).drop("_digest")
+
+
+def classify_as_of_table(
+    log: DataFrame,
+    rules: Sequence[Rule],
+    history: DataFrame,
+    at: str,
+    command: str = "command",
+    arguments: str | None = None,
+    strategy: str | None = None,
+) -> DataFrame:
+    """Add ``verdict`` and ``catalog`` under the policy in force at column ``at``.
+
+    ``history`` is a policy table with ``valid_from`` and ``valid_to`` (null: open), of any
+    number of revisions; the plan does not grow with them. Rows without a time are allowed.
+    """
+    keyed = _with_digest(log, command, arguments)
+    matches = match_policy_table(
+        keyed,
+        rules,
+        history,
+        ["_digest", at],
+        command,
+        as_of=at,
+        strategy=strategy,
+        arguments=arguments,
+        collapse=True,
+    )
+    both = ["_digest", at]
+    return deny_by_table(keyed, first_match(matches, both), both).drop("_digest")

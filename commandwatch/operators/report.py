@@ -58,28 +58,40 @@ def verdict_rollup(verdicts: DataFrame, *by: str) -> DataFrame:
 
 
 def policy_coverage(
-    spark: SparkSession, inventory: Sequence[str], policy: Policy, mentions: DataFrame
+    spark: SparkSession,
+    inventory: Sequence[str] | DataFrame,
+    policy: Policy | DataFrame,
+    mentions: DataFrame,
 ) -> DataFrame:
     """Each catalog of the inventory or the policy, its status, and how often it is named.
 
-    Names are compared and given in lower case, as commands are matched.
+    The inventory is a list or a table with a column ``name``, the policy one in the plan or a
+    table with ``name`` and ``effect``. The status is the effect, "unlisted" for a catalog
+    that the policy doesn't have, or "not in inventory". Names are compared and given in lower
+    case, as commands are matched; a name with two effects has a row for each.
 
     ``mentions`` has one row per command and catalog it names.
     """
-    names = sorted({name.lower() for name in inventory})
-    known = spark.createDataFrame([(name,) for name in names], "catalog STRING")
-    listed = policy.to_table(spark).select(F.lower("name").alias("catalog"), "effect")
+    if not isinstance(inventory, DataFrame):
+        inventory = spark.createDataFrame([(name,) for name in inventory], "name STRING")
+    table = policy if isinstance(policy, DataFrame) else policy.to_table(spark)
+    lowered = F.lower("name").alias("catalog")
+    known = inventory.filter("name IS NOT NULL").select(lowered).distinct()
+    listed = table.filter("name IS NOT NULL").select(lowered, "effect").distinct()
     in_both = known.intersect(listed.select("catalog")).join(listed, "catalog")
-    unlisted = known.exceptAll(listed.select("catalog")).withColumn(
+    unlisted = known.exceptAll(listed.select("catalog").distinct()).withColumn(
         "effect", F.lit("unlisted")
     )
     unknown = (
         listed.select("catalog")
+        .distinct()
         .exceptAll(known)
         .withColumn("effect", F.lit("not in inventory"))
     )
     status = in_both.unionByName(unlisted).unionByName(unknown)
-    named = mentions.groupBy(F.lower("catalog").alias("catalog")).agg(F.count("*").alias("n_commands"))
+    named = mentions.groupBy(F.lower("catalog").alias("catalog")).agg(
+        F.count("*").alias("n_commands")
+    )
     return status.join(named, "catalog", "left").select(
         "catalog",
         F.col("effect").alias("status"),

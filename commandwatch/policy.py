@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-POLICY_SCHEMA = "pos INT, name STRING, effect STRING, note STRING"
+POLICY_SCHEMA = "pos INT, name STRING, effect STRING"
 RULE_SCHEMA = "rule_id INT, pattern STRING, needs STRING, linear STRING"
 
 # Every name is a test per row; past this, classify_by_table takes a join, with equal rows.
@@ -49,7 +49,6 @@ class Policy:
 
     denied: tuple[str, ...]
     allowed: str = ""
-    notes: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         lowered = [name.lower() for name in self.denied]
@@ -61,13 +60,9 @@ class Policy:
             raise ValueError("a denied name has no null character")
 
     def to_table(self, spark: SparkSession) -> DataFrame:
-        notes = self.notes or (None,) * len(self.denied)
-        rows = [
-            (pos, name, "deny", note)
-            for pos, (name, note) in enumerate(zip(self.denied, notes, strict=True), start=1)
-        ]
+        rows = [(pos, name, "deny") for pos, name in enumerate(self.denied, start=1)]
         if self.allowed:
-            rows.append((None, self.allowed, "allow", None))
+            rows.append((None, self.allowed, "allow"))
         return spark.createDataFrame(rows, POLICY_SCHEMA)
 
     @classmethod
@@ -113,11 +108,5 @@ CATALOG_RULES = (
 CATALOG_POLICY = Policy(
     denied=("system", "samples", "gops_dev", "sandbox_hackaton"),
     allowed="sandbox_others",
-    notes=(
-        "run by the platform",
-        "sample data shipped with the platform",
-        "belongs to an admin group",
-        "sandbox of another project",
-    ),
 )
 CATALOG_INVENTORY = ("system", "samples", "gops_dev", "sandbox_hackaton", "sandbox_others")

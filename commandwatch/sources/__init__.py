@@ -7,7 +7,7 @@ from commandwatch.sources.logs import (
     stream_text_log,
 )
 from commandwatch.sources.scratch import scratch_dir
-from commandwatch.sources.sinks import write_table, write_verdict_lines
+from commandwatch.sources.sinks import write_bucketed, write_table, write_verdict_lines
 
 __all__ = [
     "read_log",
@@ -15,6 +15,7 @@ __all__ = [
     "scratch_dir",
     "stream_log",
     "stream_text_log",
+    "write_bucketed",
     "write_table",
     "write_verdict_lines",
 ]

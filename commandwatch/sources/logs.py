@@ -24,13 +24,17 @@ def read_log(spark: SparkSession, path: str, fmt: str = "parquet", **options) ->
 
 
 def stream_text_log(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    whole_files: bool = False,
 ) -> DataFrame:
-    """New text files of a folder as a stream, one payload per line: payload, file."""
+    """New text files of a folder as a stream, one payload per line, or per file with
+    ``whole_files`` (an indented payload has many lines): payload, file."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _payload_lines(reader.text(path))
+    return _payload_lines(reader.text(path, wholetext=whole_files))
 
 
 def stream_log(

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from commandwatch import CATALOG_POLICY, CATALOG_RULES, audit
 from commandwatch.operators import (
+    allowed_rest,
     classify,
+    classify_by_table,
     denials,
     deny_by_table,
     first_match,
@@ -21,10 +23,11 @@ from commandwatch.sources import (
     scratch_dir,
     stream_log,
     stream_text_log,
+    write_bucketed,
     write_table,
     write_verdict_lines,
 )
-from commandwatch.streaming import start_audit
+from commandwatch.streaming import start_audit, start_table_audit
 
 
 def payload(command):
@@ -189,3 +192,52 @@ def test_one_hot_command_in_a_third_of_the_rows(spark):
             log, CATALOG_RULES, CATALOG_POLICY.to_table(spark), ["id"], strategy=strategy
         )
         assert first_match(matches, ["id"]).count() == n // 3
+
+
+def test_whole_files_on_a_stream(spark, tmp_path):
+    indented = json.dumps([{"tool_input": {"command": c}} for c in ("ls", "use catalog system")], indent=2)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(indented)
+    (tmp_path / "in" / "b.json").write_text(indented.replace("system", "samples"))
+    (tmp_path / "in" / "c.json").write_text(indented[:-1])
+    log = stream_text_log(spark, str(tmp_path / "in"), max_files_per_trigger=1, whole_files=True)
+    start_audit(audit(log).select("reason", "catalog", "arguments"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.reason, r.catalog or "", len(r.arguments or [])) for r in rows) == [("malformed", "", 0), ("match", "samples", 2), ("match", "system", 2)]
+
+
+def test_a_policy_table_on_a_stream_and_a_batch_that_runs_again(spark, tmp_path):
+    names = [*(f"c{k}" for k in range(150)), "main db"]
+    table = spark.createDataFrame(list(enumerate(names)), "pos INT, name STRING")
+    commands = [f"use catalog c{k % 200} c{k % 7}" for k in range(400)] + ["use catalog main db", None] * 20
+    frame = spark.createDataFrame(list(enumerate(commands)), "id INT, command STRING")
+    frame.repartition(6).write.parquet(str(tmp_path / "in"))
+    log = stream_log(spark, str(tmp_path / "in"), frame.schema, max_files_per_trigger=2)
+    out, check = str(tmp_path / "out"), tmp_path / "check"
+
+    def run(strategy):
+        start_table_audit(log, CATALOG_RULES, table, out, str(check), strategy=strategy).awaitTermination()
+        return sorted(map(str, spark.read.parquet(out).select("id", "command", "verdict", "catalog").collect()))
+
+    first = run("shuffle")
+    batch = classify_by_table(spark.read.parquet(str(tmp_path / "in")), CATALOG_RULES, table)
+    assert first == sorted(map(str, batch.select("id", "command", "verdict", "catalog").collect()))
+    assert len(list((tmp_path / "out").glob("batch=*"))) > 1
+    # As after a failure between writing a batch and noting its end.
+    last = max((p for p in (check / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    last.unlink()
+    (check / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
+    assert run("broadcast") == first
+    with pytest.raises(ValueError):
+        start_table_audit(frame, CATALOG_RULES, table, out, str(check))
+
+
+def test_tables_in_the_same_buckets_are_joined_as_they_lie(spark, tmp_path):
+    log = spark.range(1_000).select((F.col("id") % 900).alias("id"), F.lit("x").alias("command"))
+    left = write_bucketed(log, "bucketed_log", str(tmp_path / "log"), ["id"], 4)
+    denied = log.filter("id % 3 = 0").select("id").distinct()
+    right = write_bucketed(denied, "bucketed_denied", str(tmp_path / "denied"), ["id"], 4)
+    rest = allowed_rest(left, right.hint("merge"), ["id"])
+    text = rest._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "SortMergeJoin" in text
+    assert rest.count() == log.filter("id % 3 <> 0").count()
