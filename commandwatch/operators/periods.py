@@ -123,8 +123,8 @@ def history_faults(history: DataFrame) -> DataFrame:
     ends = ends.withColumn("_bin", bins.of(F.col("at")))
     spans = in_bins(periods, bins)
     bare = ends.join(spans, (ends["_bin"] == spans["_bin"]) & in_force(F.col("at")), "left_anti")
-    last = periods.agg(F.max("_valid_from").alias("last"))
-    gaps = bare.join(F.broadcast(last), F.col("at") < F.col("last"), "left_semi")  # one row
+    last = periods.agg(F.max("_valid_from").cast("string")).first()[0]
+    gaps = bare.filter(F.col("at") < F.lit(last).cast("timestamp_ntz"))
     name, never = F.col("name"), F.lit(None).cast("timestamp_ntz").alias("at")
     return (
         fault(rows.filter("_valid_from IS NULL"), NO_START, name, never)

@@ -111,3 +111,39 @@ def payload_log(events: DataFrame) -> DataFrame:
     odd = _pick(ENVELOPES, slot - len(COMMANDS))
     payload = F.when(slot < len(COMMANDS), wrapped).otherwise(odd)
     return events.select("event_id", "ts", payload.alias("payload"))
+
+
+def value_log(events: DataFrame) -> DataFrame:
+    """event_id, ts, command: the event's own values make the command and the names in it.
+
+    The catalogs are u<user_id>, spelled as "user u<user_id>" for every seventh user; the type
+    of the event picks the kind of command, and a number in its properties a further name.
+    """
+    user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    named = F.when(F.col("user_id") % 7 == 0, F.concat(F.lit("user "), user)).otherwise(user)
+    number = F.concat(F.lit("u"), F.regexp_extract("props", "([0-9]+)", 1))
+
+    def kind(event_type: str, *parts: str | Column) -> tuple[Column, Column]:
+        texts = (F.lit(p) if isinstance(p, str) else p for p in parts)
+        return F.col("event_type") == event_type, F.concat(*texts)
+
+    command = F.lit("ls")
+    for condition, text in (
+        kind("view", "use catalog ", named),
+        kind("click", "databricks tables list ", user, " ", number),
+        kind("error", "cat ", named, " ", number),
+        kind("purchase", "select * from ", user, ".s.t", " join `", number, "`.s.`t t` on a = b"),
+        kind("signup", "curl https://h/api/2.1/unity-catalog/schemas?catalog_name=", user, "&n=", number),
+    ):
+        command = F.when(condition, text).otherwise(command)
+    return events.select("event_id", "ts", command.alias("command"))
+
+
+def payload_files(log: DataFrame, per_file: int = 16) -> DataFrame:
+    """payload: a list of the payloads of up to ``per_file`` commands, indented over many lines."""
+    wrapped = F.to_json(F.struct("command"))
+    payload = F.concat(F.lit('{\n  "tool_input":\n    '), wrapped, F.lit("\n}"))
+    rows = log.select(F.floor(F.col("event_id") / per_file).alias("file"), F.struct("event_id", payload.alias("payload")).alias("row"))
+    grouped = rows.groupBy("file").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    listed = F.array_join(F.transform("rows", lambda r: r["payload"]), ",\n")
+    return grouped.select(F.concat(F.lit("[\n"), listed, F.lit("\n]")).alias("payload"))

@@ -224,6 +224,99 @@ def _coverage() -> str:
     )
 
 
+_NAMED = "CASE WHEN user_id % 7 = 0 THEN 'user u' ELSE 'u' END || user_id"
+_VALUES = f"""parts AS (SELECT *, 'u' || user_id AS u, {_NAMED} AS named,
+  'u' || regexp_extract(props, '[0-9]+') AS number FROM events), log AS (
+  SELECT event_id, ts, CASE event_type WHEN 'view' THEN 'use catalog ' || named
+    WHEN 'click' THEN 'databricks tables list ' || u || ' ' || number
+    WHEN 'error' THEN 'cat ' || named || ' ' || number
+    WHEN 'purchase' THEN 'select * from ' || u || '.s.t join `' || number || '`.s.`t t` on a = b'
+    WHEN 'signup' THEN 'curl https://h/api/2.1/unity-catalog/schemas?catalog_name=' || u || '&n=' || number
+    ELSE 'ls' END AS text FROM parts)"""
+VALUE_NAMES = ("u42", "user u14", "u7", "u143", "u69", "user u7")
+_VALUE_DECIDED = (
+    f"{_VALUES}, tagged AS (SELECT *, {_context('text', CATALOG_RULES)} AS in_context FROM log), "
+    f"decided AS (SELECT *, CASE WHEN in_context THEN {_first('text', VALUE_NAMES)} END AS catalog FROM tagged)"
+)
+# Words with one space between two; in this log only single spaces stand inside a name.
+_SPACED = "' ' || regexp_replace(text, '[^a-z0-9_]+', ' ', 'g') || ' '"
+_LONG = f"""WITH {_VALUES}, tagged AS (
+  SELECT event_id, ts, {_SPACED} AS words FROM log WHERE {_context('text', CATALOG_RULES)}), policy AS (
+  SELECT CAST(c_nationkey AS BIGINT) * 1000000 + c_custkey AS pos,
+    CASE WHEN c_custkey % 3 = 0 THEN 'user u' ELSE 'u' END || c_custkey AS name FROM customer), denied AS (
+  SELECT event_id, arg_min(name, pos) AS catalog FROM tagged JOIN policy ON contains(words, ' ' || name || ' ') GROUP BY event_id)
+SELECT event_id, {_VERDICT} AS verdict, catalog FROM log LEFT JOIN denied USING (event_id)"""
+_AS_OF_TABLE = f"""WITH {_VALUES}, tagged AS (
+  SELECT event_id, ts, {_SPACED} AS words FROM log WHERE {_context('text', CATALOG_RULES)}), history AS (
+  SELECT c_custkey AS pos, 'U' || (c_custkey % 200) AS name, TIMESTAMP '2024-01-01' + to_minutes(20 * c_custkey) AS begins,
+    CASE WHEN c_custkey % 29 <> 0 THEN TIMESTAMP '2024-01-01' + to_minutes(20 * c_custkey + 480 * (1 + c_nationkey)) END AS ends
+  FROM customer), denied AS (
+  SELECT event_id, arg_min(name, pos) AS catalog FROM tagged JOIN history
+  ON contains(words, ' ' || lower(name) || ' ') AND ts >= begins AND (ends IS NULL OR ts < ends) GROUP BY event_id)
+SELECT event_id, {_VERDICT} AS verdict, catalog FROM log LEFT JOIN denied USING (event_id)"""
+_FAULTS = """WITH paired AS (
+  SELECT *, c_custkey // 2 AS pair, TIMESTAMP '2024-01-01' + to_minutes(40 * ((c_custkey % 100) // 2) + 16500 * (c_custkey // 100)) AS begins FROM customer
+), history AS (
+  SELECT CASE WHEN c_custkey % 34 = 1 THEN 2 * pair ELSE c_custkey END AS pos,
+    'u' || (CASE WHEN c_custkey % 26 = 1 THEN 2 * pair ELSE c_custkey END % 40) AS name,
+    CASE WHEN c_custkey % 46 <> 0 THEN begins END AS valid_from,
+    CASE WHEN c_custkey % 22 = 0 THEN begins ELSE begins + to_minutes(480 * (1 + c_nationkey)) END AS valid_to FROM paired
+), valid AS (
+  SELECT * FROM history WHERE valid_from < valid_to
+), faults AS (
+  SELECT 'no_start' AS fault, name, CAST(NULL AS TIMESTAMP) AS "at" FROM history WHERE valid_from IS NULL
+  UNION SELECT 'empty_period', name, valid_from FROM history WHERE valid_from >= valid_to
+  UNION SELECT 'repeated_name', name, valid_from FROM valid GROUP BY name, valid_from HAVING count(*) > 1
+  UNION SELECT 'repeated_position', min(name), valid_from FROM valid GROUP BY pos, valid_from HAVING count(DISTINCT name) > 1
+  UNION SELECT 'overlap', a.name, a.valid_from FROM valid a JOIN valid b ON a.name = b.name AND b.valid_from < a.valid_from AND a.valid_from < b.valid_to
+  UNION SELECT 'gap', NULL, e.valid_to FROM valid e WHERE e.valid_to < (SELECT max(valid_from) FROM valid)
+    AND NOT EXISTS (SELECT 1 FROM valid p WHERE p.valid_from <= e.valid_to AND e.valid_to < p.valid_to)
+)
+SELECT fault, name, strftime("at", '%Y-%m-%d %H:%M:%S') AS "at" FROM faults"""
+
+_PART = r"(?:`[^`\n]+`|[\w-]+)"
+_PLACES = (
+    r"(?:\b(?:schemas|tables|volumes|functions)\s+list\s+|\bcatalogs\s+(?:get|create|update|delete)\s+|\bcatalog_name=|"
+    r"/unity-catalog/catalogs/|\buse\s+catalog\s+|\b(?:create|drop|alter)\s+catalog\s+(?:if\s+(?:not\s+)?exists\s+)?|"
+    rf"\bshow\s+(?:schemas|tables)\s+(?:in|from)\s+)({_PART}(?:\.{_PART})*)"
+)
+_RELATIONS = rf"(?:\b(?:from|join|into|update|table|view)\s+|\btables\s+(?:get|delete)\s+)({_PART}(?:\.{_PART})*)"
+
+
+def _both(decided: str, allowed: str) -> str:
+    """The targets of a command and the verdict of the written rule, beside the other one."""
+    parts = f"list_transform(regexp_extract_all(n, {_quote(_PART)}), lambda p: replace(p, '`', ''))"
+    return f"""{decided}, aimed AS (
+  SELECT *, list_concat(list_transform(regexp_extract_all(text, {_quote(_PLACES)}, 1), lambda n: ({parts})[1]),
+    list_transform(list_filter(list_transform(regexp_extract_all(text, {_quote(_RELATIONS)}, 1), lambda n: {parts}),
+      lambda p: len(p) >= 3), lambda p: p[1])) AS found FROM decided), compared AS (
+  SELECT *, list_filter(found, lambda t: t <> {_quote(allowed)})[1] AS prose_catalog,
+    {_context('text', {k: v for k, v in CATALOG_RULES.items() if k <= 5})} AS platform FROM aimed)"""
+
+
+def _gap_rows(decided: str, allowed: str, names) -> str:
+    listed = f"list_contains({_list(names)}, prose_catalog)"
+    return f"""WITH {_both(decided, allowed)}
+SELECT event_id, CASE WHEN catalog IS NULL THEN CASE WHEN {listed} THEN 'D2' ELSE 'D1' END
+  WHEN platform THEN 'D3' ELSE 'D4' END AS gap, coalesce(prose_catalog, catalog) AS gap_catalog
+FROM compared WHERE (catalog IS NULL) <> (prose_catalog IS NULL)"""
+
+
+_INVENTORY = f"""WITH {_VALUES}, policy AS (
+  SELECT 'u' || (c_custkey + 40) AS catalog, CASE WHEN c_nationkey % 2 = 0 THEN 'deny' ELSE 'allow' END AS effect FROM customer
+), known AS (SELECT 'u' || c_custkey AS catalog FROM customer WHERE c_nationkey < 20
+), named AS (
+  SELECT catalog, count(*) AS n FROM policy JOIN (SELECT {_SPACED} AS words FROM log WHERE {_context('text', CATALOG_RULES)})
+  ON contains(words, ' ' || catalog || ' ') GROUP BY catalog)
+SELECT catalog, CASE WHEN known.catalog IS NULL THEN 'not in inventory' ELSE coalesce(effect, 'unlisted') END AS status,
+  coalesce(n, 0) AS n_commands
+FROM policy FULL JOIN known USING (catalog) LEFT JOIN named USING (catalog)"""
+_FILES = f"""WITH {_VALUE_DECIDED}, filed AS (
+  SELECT event_id // 16 AS file, count(*) AS n_commands, bool_or(in_context) AS in_context, list(text) AS strings FROM decided GROUP BY file
+), judged AS (
+  SELECT n_commands, in_context, CASE WHEN in_context THEN {_first_of_any('strings', VALUE_NAMES)} END AS catalog FROM filed)
+SELECT {_REASON} AS reason, catalog, CAST(n_commands AS INT) AS n_commands, count(*) AS n FROM judged GROUP BY ALL"""
+
 ORACLES: dict[str, str] = {
     "payload_extract": f"WITH {_extracted(False)} {_EXTRACT}",
     "payload_extract_any_case": f"WITH {_extracted(True)} {_EXTRACT}",
@@ -277,6 +370,21 @@ ORACLES: dict[str, str] = {
     "page_verdict": _text_verdict(
         "pages", "page_id", "url || chr(10) || html", PAGE_RULES, PAGE_NAMES
     ),
+    "value_verdict": f"WITH {_VALUE_DECIDED} SELECT event_id, {_VERDICT} AS verdict, catalog, {_REASON} AS reason FROM decided",
+    "value_matches": f"WITH {_VALUE_DECIDED}, held AS (SELECT * FROM tagged WHERE in_context) "
+    + _names_held("event_id", "catalog", "held", VALUE_NAMES),
+    "command_verdict_long_policy": _LONG,
+    "command_verdict_long_shuffle": _LONG,
+    "verdict_as_of_table": _AS_OF_TABLE,
+    "policy_history_faults": _FAULTS,
+    "prose_verdict": f"WITH {_both(_DECIDED, CATALOG_ALLOWED)} SELECT event_id, {_VERDICT} AS verdict, catalog, "
+    "CASE WHEN prose_catalog IS NULL THEN 'allow' ELSE 'deny' END AS prose_verdict, prose_catalog, "
+    "array_to_string(list_filter(found, lambda t, i: list_position(found, t) = i), ',') AS targets FROM compared",
+    "policy_gaps": _gap_rows(_DECIDED, CATALOG_ALLOWED, CATALOG_NAMES),
+    "value_policy_gaps": _gap_rows(_VALUE_DECIDED, "u8", VALUE_NAMES),
+    "inventory_coverage": _INVENTORY,
     "stream_verdict": _COMMAND_VERDICT,
+    "stream_verdict_table": _LONG,
+    "whole_file_reasons": _FILES,
     "stream_payload_verdict": _ENVELOPE_VERDICT,
 }

@@ -13,14 +13,18 @@ from commandwatch.operators import (
     allowed_rest,
     classify,
     classify_as_of,
+    classify_as_of_table,
     classify_by_table,
     denials,
     deny_by_table,
     extract_command,
     first_match,
+    history_faults,
     in_context,
     match_policy_table,
     policy_coverage,
+    policy_gaps,
+    prose_verdict,
     tag_rules,
     verdict_counts,
     verdict_json,
@@ -29,7 +33,8 @@ from commandwatch.operators import (
 )
 from commandwatch.plans import policies
 from commandwatch.plans.audit import audit
-from commandwatch.plans.event_log import command_log, payload_log
+from commandwatch.operators.prose import PLATFORM_RULES
+from commandwatch.plans.event_log import command_log, payload_files, payload_log, value_log
 from commandwatch.policy import (
     CATALOG_INVENTORY,
     CATALOG_POLICY,
@@ -43,11 +48,14 @@ from commandwatch.sources import (
     read_text_log,
     scratch_dir,
     stream_log,
+    stream_text_log,
+    write_bucketed,
     write_verdict_lines,
 )
-from commandwatch.streaming import start_audit
+from commandwatch.streaming import start_audit, start_table_audit
 
 KEY = ["event_id"]
+BUCKETS = 8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -145,8 +153,14 @@ def allowed_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allowed_commands_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    denied = denied_commands_join(spark, sf_dir)
-    return allowed_rest(_commands(spark, sf_dir), denied, KEY).select("event_id")
+    """The log and the denials are written in the same buckets, and joined as they lie."""
+    base = scratch_dir(spark, "anti")
+    made = base.rsplit("-", 1)[-1]
+    log = _commands(spark, sf_dir).select("event_id", "command")
+    log = write_bucketed(log, f"log_{made}", f"{base}/log", KEY, BUCKETS)
+    denied = classify(log, CATALOG_RULES, CATALOG_POLICY).filter("verdict = 'deny'").select("event_id")
+    denied = write_bucketed(denied, f"denied_{made}", f"{base}/denied", KEY, BUCKETS)
+    return allowed_rest(log, denied, KEY).select("event_id")
 
 
 def inline_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +325,102 @@ def stream_payload_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_stream(spark, decided.select("event_id", "verdict", "catalog", "reason"))
 
 
+def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return value_log(_table(spark, sf_dir, "events"))
+
+
+def value_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decided = classify(_values(spark, sf_dir), CATALOG_RULES, policies.VALUE_POLICY)
+    return decided.select("event_id", "verdict", "catalog", "reason")
+
+
+def value_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = all_matches(_values(spark, sf_dir), CATALOG_RULES, policies.VALUE_POLICY)
+    return found.select("event_id", "catalog")
+
+
+def _long_policy_verdict(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
+    decided = classify_by_table(
+        _values(spark, sf_dir),
+        CATALOG_RULES,
+        policies.customer_policy(_table(spark, sf_dir, "customer")),
+        strategy=strategy,
+    )
+    return decided.select("event_id", "verdict", "catalog")
+
+
+def command_verdict_long_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _long_policy_verdict(spark, sf_dir, "broadcast")
+
+
+def command_verdict_long_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _long_policy_verdict(spark, sf_dir, "shuffle")
+
+
+def verdict_as_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = policies.customer_history(_table(spark, sf_dir, "customer"))
+    decided = classify_as_of_table(_values(spark, sf_dir), CATALOG_RULES, history, at="ts")
+    return decided.select("event_id", "verdict", "catalog")
+
+
+def policy_history_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = history_faults(policies.faulty_history(_table(spark, sf_dir, "customer")))
+    return found.select("fault", "name", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+def _both_verdicts(log: DataFrame, policy: Policy) -> DataFrame:
+    return prose_verdict(classify(log, CATALOG_RULES, policy), policy.allowed)
+
+
+def prose_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decided = _both_verdicts(_commands(spark, sf_dir), CATALOG_POLICY)
+    targets = F.array_join("targets", ",").alias("targets")
+    return decided.select("event_id", "verdict", "catalog", "prose_verdict", "prose_catalog", targets)
+
+
+def _gaps(log: DataFrame, policy: Policy) -> DataFrame:
+    platform = [rule for rule in CATALOG_RULES if rule.rule_id in PLATFORM_RULES]
+    tagged = classify(log, platform, Policy(denied=()))
+    tagged = tagged.withColumn("platform", F.col("reason") == "no_match").drop("verdict", "catalog", "reason")
+    return policy_gaps(_both_verdicts(tagged, policy), policy).select("event_id", "gap", "gap_catalog")
+
+
+def command_policy_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gaps(_commands(spark, sf_dir), CATALOG_POLICY)
+
+
+def value_policy_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gaps(_values(spark, sf_dir), policies.VALUE_POLICY)
+
+
+def inventory_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = _table(spark, sf_dir, "customer")
+    effects = policies.customer_effects(customer)
+    every = effects.select("pos", "name")
+    named = match_policy_table(_values(spark, sf_dir), CATALOG_RULES, every, KEY, strategy="broadcast")
+    return policy_coverage(spark, policies.customer_inventory(customer), effects, named)
+
+
+def stream_verdict_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    policy = policies.customer_policy(_table(spark, sf_dir, "customer"))
+    log = value_log(_event_stream(spark, sf_dir))
+    base = scratch_dir(spark, "audit-table")
+    query = start_table_audit(log, CATALOG_RULES, policy, f"{base}/out", f"{base}/checkpoint", strategy="broadcast")
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("event_id", "verdict", "catalog")
+
+
+def whole_file_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_dir(spark, "payload-files")
+    files = payload_files(_values(spark, sf_dir))
+    files.write.option("maxRecordsPerFile", 1).text(f"{base}/in")  # one payload in each file
+    log = stream_text_log(spark, f"{base}/in", whole_files=True)
+    decided = audit(log, policy=policies.VALUE_POLICY).select("reason", "catalog", F.size("arguments").alias("n_commands"))
+    start_audit(decided, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    written = spark.read.schema(decided.schema).parquet(f"{base}/out")
+    return written.groupBy("reason", "catalog", "n_commands").agg(F.count("*").alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payload_extract": payload_extract,
     "payload_extract_any_case": payload_extract_any_case,
@@ -344,6 +454,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_terms_shuffle": document_terms_shuffle,
     "conversation_terms_join": conversation_terms_join,
     "page_verdict": page_verdict,
+    "value_verdict": value_verdict,
+    "value_matches": value_matches,
+    "command_verdict_long_policy": command_verdict_long_policy,
+    "command_verdict_long_shuffle": command_verdict_long_shuffle,
+    "verdict_as_of_table": verdict_as_of_table,
+    "policy_history_faults": policy_history_faults,
+    "prose_verdict": prose_verdicts,
+    "policy_gaps": command_policy_gaps,
+    "value_policy_gaps": value_policy_gaps,
+    "inventory_coverage": inventory_coverage,
     "stream_verdict": stream_verdict,
+    "stream_verdict_table": stream_verdict_table,
+    "whole_file_reasons": whole_file_reasons,
     "stream_payload_verdict": stream_payload_verdict,
 }

@@ -10,7 +10,7 @@ from commandwatch.operators import classify, denials
 from commandwatch.plans.event_log import payload_log
 from commandwatch.plans.queries import QUERIES
 
-TABLES = ("events", "documents", "conversations", "pages")
+TABLES = ("events", "documents", "conversations", "pages", "customer")
 
 
 @pytest.fixture(scope="module")
@@ -74,7 +74,7 @@ def test_filters_and_columns_reach_the_scan(spark, small):
 
 
 # The others return a table that they have written.
-LAZY = [q for q in QUERIES if not q.startswith(("stream_", "written_", "text_log"))]
+LAZY = [q for q in QUERIES if not q.startswith(("stream_", "written_", "text_log", "whole_file"))]
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -82,3 +82,15 @@ def test_no_cross_joins(spark, small, name):
     text = plan(driver.queries()[name](spark, small))
     assert "NestedLoop" not in text
     assert "CartesianProduct" not in text
+
+
+def test_the_remainder_of_written_tables_shuffles_no_log(spark, small):
+    text = plan(driver.queries()["allowed_commands_anti"](spark, small))
+    assert "Exchange hashpartitioning" not in text
+
+
+@pytest.mark.parametrize("name", ["document_terms_shuffle", "denied_commands_shuffle", "command_verdict_long_shuffle"])
+def test_texts_are_scanned_once_before_they_are_matched(spark, small, name):
+    text = plan(driver.queries()[name](spark, small))
+    scans = [line for line in text.splitlines() if "FileScan" in line and ("events" in line or "documents" in line)]
+    assert len(scans) == (2 if name == "command_verdict_long_shuffle" else 1)  # the verdicts are joined to the log
