@@ -191,16 +191,16 @@ WITH texts AS (
   SELECT doc_id, place, list_slice(words, place, place + 12) AS run
   FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS place FROM texts)
 ), firsts AS (
-  SELECT run, min(doc_id) AS source FROM windows GROUP BY run
+  SELECT run, min(struct_pack(doc := doc_id, place := place)) AS source FROM windows GROUP BY run
 ), copied AS (
-  SELECT doc_id, place, source FROM windows JOIN firsts USING (run) WHERE source < doc_id
+  SELECT doc_id, place, source FROM windows JOIN firsts USING (run) WHERE source.doc < doc_id
 ), gone AS (
   SELECT DISTINCT doc_id, place + k AS place FROM copied, (SELECT unnest(range(0, 13)) AS k)
 ), factors AS (
   SELECT doc_id, count(*) AS n_factors FROM (
     SELECT doc_id, place, source, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before,
       lag(source) OVER (PARTITION BY doc_id ORDER BY place) AS earlier FROM copied)
-  WHERE before IS NULL OR before <> place - 1 OR earlier <> source GROUP BY doc_id
+  WHERE before IS NULL OR before <> place - 1 OR earlier.doc <> source.doc OR earlier.place <> source.place - 1 GROUP BY doc_id
 ), placed AS (
   SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts
 ), kept AS (

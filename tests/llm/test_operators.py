@@ -245,6 +245,13 @@ def test_repeats_equal_all_windows(docs, nothing):
         expected[(doc, len(w), sum(gone), hashlib.sha256(left.encode()).hexdigest())] += 1
     assert Counter(tuple(r)[:4] for r in substring_dedup.repeat_digests(docs).collect()) == expected
     assert substring_dedup.repeat_digests(nothing).count() == 0
+    texts = {doc: words(text) for doc, text in ROWS}
+    found = substring_dedup.factors(docs.where("doc_id is not null")).collect()
+    assert len(found) > 20
+    for r in found:  # a factor stands in its source word by word, and the next word doesn't go on there
+        own, source = texts[r["doc_id"]], texts[r["source"]]
+        ours, theirs = own[r["start"] : r["start"] + r["length"]], source[r["source_start"] : r["source_start"] + r["length"]]
+        assert ours == theirs and len(ours) >= 13 and r["source"] < r["doc_id"]
     whole = substring_dedup.unrepeated(docs)
     assert whole.columns == docs.columns and whole.count() == len(ROWS)
 
