@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .spark_io import freed
+
 Model = TypeVar("Model")
 ROWS_PER_CLASS = 3_000
 CHARS_PER_CLASS = 12_000_000
@@ -62,7 +64,7 @@ def fitted_on(sample: DataFrame, fit: Callable[[list[tuple[int, str]]], Model])
         pairs = list(zip(rows.column("label").to_pylist(), rows.column("text").to_pylist(), strict=True))
         return pa.table({"model": pa.array([pickle.dumps(fit(pairs))], pa.binary())})
 
-    found = sample.groupBy(F.lit(0).alias("all_")).applyInArrow(work, "model binary").collect()
+    found = sample.groupBy(F.lit(0).alias("all_")).applyInArrow(freed(work), "model binary").collect()
     return pickle.loads(found[0]["model"]) if found else fit([])
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .blocks import dealt, packed, summed_keys
 from .components import components
-from .spark_io import checkpointed, each_batch, encoded, texts
+from .spark_io import checkpointed, each_batch, encoded, freed, freed_pair, release, texts
 from .words import mixed, runs, word_hashes
 
 MINIMA = 128
@@ -160,10 +160,10 @@ def sets(docs: DataFrame, like: Likeness, n_groups: int) -> DataFrame:
     group = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)).alias("group")
     by_group = docs.select(group, "doc_id", "text").groupBy("group")
     entries = "keys binary, values binary"
-    known = by_group.applyInArrow(sent, f"block bigint, group bigint, {entries}")
-    answers = known.groupBy("block").applyInArrow(summed_keys, f"group bigint, {entries}")
+    known = by_group.applyInArrow(freed(sent), f"block bigint, group bigint, {entries}")
+    answers = known.groupBy("block").applyInArrow(freed(summed_keys), f"group bigint, {entries}")
     schema = "doc_id bigint, n bigint, shingles binary, rare array<bigint>, common double"
-    return by_group.cogroup(answers.groupBy("group")).applyInArrow(ranked, schema)
+    return by_group.cogroup(answers.groupBy("group")).applyInArrow(freed_pair(ranked), schema)
 
 
 def _alike(like: Likeness) -> Column:
@@ -198,6 +198,7 @@ def _verified(pairs: DataFrame, full: DataFrame, like: Likeness) -> DataFrame:
                 both = (len(x) + len(y)) // 8 - either
                 linked.append(100 * both >= like.percent * either)
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+        release()
 
     left = full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
     right = full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .blocks import dealt, packed, summed_keys
 from .components import components
-from .spark_io import checkpointed, each_batch, encoded, texts
+from .spark_io import checkpointed, each_batch, encoded, freed, freed_pair, texts
 from .words import runs, word_hashes
 
 NGRAMS_PER_BLOCK = 2_000_000
@@ -165,7 +165,7 @@ def partnered(docs: DataFrame, like: Bounds, n_blocks: int) -> DataFrame:
     names = ("lone", "owners", "many", "ids", "known")
     schema = pa.schema([("block", pa.int64()), *((name, pa.binary()) for name in names)])
     rows = each_batch(docs, sent, "block bigint, " + ", ".join(f"{name} binary" for name in names))
-    by_block = rows.groupBy("block").applyInArrow(counted, "doc_id bigint, shared bigint")
+    by_block = rows.groupBy("block").applyInArrow(freed(counted), "doc_id bigint, shared bigint")
     return by_block.groupBy("doc_id").agg(F.sum("shared").alias("shared"))
 
 
@@ -218,10 +218,10 @@ def stored(docs: DataFrame, near: DataFrame, like: Bounds, n_groups: int) -> Dat
     sets = each_batch(docs.join(wanted, "doc_id"), work, "id bigint, digest binary, ngrams binary")
     by_group = sets.withColumn("group", F.pmod(F.xxhash64("id", "digest"), F.lit(n_groups))).groupBy("group")
     entries = "keys binary, values binary"
-    known = by_group.applyInArrow(sent, f"block bigint, group bigint, {entries}")
-    answers = known.groupBy("block").applyInArrow(summed_keys, f"group bigint, {entries}")
+    known = by_group.applyInArrow(freed(sent), f"block bigint, group bigint, {entries}")
+    answers = known.groupBy("block").applyInArrow(freed(summed_keys), f"group bigint, {entries}")
     schema = "id bigint, n bigint, lone bigint, path binary, entries array<bigint>, places array<int>"
-    return by_group.cogroup(answers.groupBy("group")).applyInArrow(ranked, schema)
+    return by_group.cogroup(answers.groupBy("group")).applyInArrow(freed_pair(ranked), schema)
 
 
 # Prefix trees ------------------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -59,10 +61,41 @@ def each_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
         for batch in batches:
             for part in slices(batch):
                 yield work(part)
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give the memory that a task has freed back to the machine: its Python worker lives on,
+    beside others and the executor's own memory, and would keep it for stages to come."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only in the GNU library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def freed(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """`work` on a group, and `release` behind it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        result = work(table)
+        release()
+        return result
+
+    return run
+
+
+def freed_pair(work: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same for two groups with the same key."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        result = work(left, right)
+        release()
+        return result
+
+    return run
+
+
 def encoded(batch: pa.RecordBatch) -> list[bytes]:
     """The texts of a batch as UTF-8."""
     return batch.column("text").cast(pa.binary()).to_pylist()
