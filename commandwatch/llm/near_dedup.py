@@ -6,8 +6,8 @@
 2. Documents with equal word sequences collapse to the least doc_id, before any pairing.
 3. Rounds over the band buckets that hold more than one component: in each round a document
    is compared with one centre of its buckets, so that a round costs no more pairs than
-   there are documents. A pair is verified on both full sets, and links are contracted to
-   components by alternating large-star and small-star.
+   there are documents. A pair is verified on both full sets. In the end all links are
+   contracted to components by alternating large-star and small-star.
 4. The documents that lie with several components in a bucket after the rounds are joined
    exactly, through their rarest shingles: whoever is outside the largest component of a
    bucket against all documents of other components.
@@ -261,6 +261,14 @@ def _remaining_pairs(known: DataFrame, marks: DataFrame, like: Likeness) -> Data
     return left.join(right, "shingle").where(F.expr("component_a <> component_b") & early & _alike(like)).select("a", "b")
 
 
+def _followed(labels: DataFrame) -> DataFrame:
+    """Labels (id, component) followed to the component of the component: between rounds it is
+    enough to know some document that one is linked with in one or two steps."""
+    over = labels.select(F.col("id").alias("component"), F.col("component").alias("further"))
+    met = labels.join(over, "component", "left")
+    return met.select("id", F.least("component", F.coalesce("further", "component")).alias("component"))
+
+
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the document stands for its component)."""
     docs = texts(docs)
@@ -278,16 +286,17 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     full = checkpointed(sets(docs.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), like, n_groups))
     marks = checkpointed(originals.select("id", "sketch").join(full.select(F.col("doc_id").alias("id"), "n", "rare", "common"), "id"))
 
-    labels = None
+    links, labels = None, None
     for turn in range(CENTRE_ROUNDS + 1):
         known = checkpointed(_labelled(members, labels)) if labels is not None else _labelled(members, None)
         if turn and known.isEmpty():
             break
         pairs = _centre_pairs(known, marks, turn) if turn < CENTRE_ROUNDS else _remaining_pairs(known, marks, like)
-        links = _links(pairs, marks, full, like)
-        if labels is not None:
-            links = links.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
-        labels = components(links)
+        new = checkpointed(_links(pairs, marks, full, like))
+        links = new if links is None else links.unionByName(new)
+        if turn < CENTRE_ROUNDS:
+            labels = checkpointed(_followed(links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))))
+    labels = components(links)
 
     groups = originals.select("sequence", "id").join(labels, "id", "left")
     groups = checkpointed(groups.select("sequence", F.coalesce("component", "id").alias("component_id")))
