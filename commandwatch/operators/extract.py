@@ -48,19 +48,18 @@ def _lower_keys(payload: Column) -> Column:
     return payload
 
 
-def _validity(read: Column) -> Column:
-    """Is the payload one JSON value by itself?"""
+def _validity(json: Column, payload: Column, text: Column) -> Column:
+    """Is the payload one JSON value by itself? ``text`` is what has been parsed of it."""
 
     def whole(frame: tuple[str, str]) -> Column:
-        found = _parsed(_framed(read["payload"], frame), _WHOLE)
+        found = _parsed(_framed(text, frame), _WHOLE)
         return found["corrupt"].isNull() & found["complete"].isNotNull()
 
-    json, payload = read["json"], read["payload"]
     fits = json["corrupt"].isNull() & json["complete"].isNotNull()
-    may_leave = F.contains(payload, F.lit("]")) & payload.rlike(_LEAVES_LIST)
-    alone = (F.size(json["body"]) == 1) & (~may_leave | whole(_PLAIN))
+    stays = ~(F.contains(payload, F.lit("]")) & payload.rlike(_LEAVES_LIST))
+    alone = F.size(json["body"]) == 1
     # A record is also corrupt if it is valid but of another shape; only then parse again.
-    return F.when(fits, alone).otherwise(whole(_LISTED) & whole(_PLAIN))
+    return F.when(fits & stays, alone).otherwise(whole(_LISTED) & whole(_PLAIN) & (~fits | alone))
 
 
 def _objects(found: Column) -> Column:
@@ -130,43 +129,49 @@ def extract_command(
     levels) is a ``deep_command``, whatever its depth, and siblings may be of any depth.
     """
     text = _lower_keys(F.col(payload)) if ignore_key_case else F.col(payload)
-    first = F.struct(_parsed(_framed(text, _LISTED), _MAIN).alias("json"), text.alias("payload"))
-    parsed = once(log, "_json", first)
-    read, json = F.col("_json"), F.col("_json.json")
+    parsed = log.withColumn("_json", _parsed(_framed(text, _LISTED), _MAIN))
+    json, raw = F.col("_json"), F.col(payload)
     entry = F.get(json["body"], F.lit(0))
     found_text = entry["tool_input"]["command"]
-    is_object = F.ltrim(read["payload"]).startswith("{")
+    is_object = F.ltrim(raw).startswith("{")
     lost = entry.isNull() | (entry["tool_input"].isNotNull() & found_text.isNull())
     state = F.struct(
-        (F.coalesce(F.length(payload), F.lit(0)) == 0).alias("empty"),
-        F.coalesce(_validity(read), F.lit(False)).alias("complete"),
+        (F.coalesce(F.length(raw), F.lit(0)) == 0).alias("empty"),
+        F.coalesce(_validity(json, raw, text), F.lit(False)).alias("complete"),
         found_text.alias("text"),
         # Only a value that can't be written as text again is lost on its way to a string.
         (json["corrupt"].isNotNull() & is_object & lost).alias("deep"),
     )
     known = once(parsed, "_read", state)
     state = F.col("_read")
-    odd = state["complete"] & ~state["empty"] & ~state["deep"]
-    odd = odd & (state["text"].isNull() | state["text"].rlike(_MAYBE_NO_STRING))
-    known = once(known, "_found", F.when(odd, _collected(F.col("_json.payload"))))
-    strings = _strings(F.col("_found"))
-    judged = F.struct(
-        F.when(odd, strings).otherwise(F.array(state["text"])).alias("strings"),
-        F.coalesce(_has_no_string(F.col("_found")), F.lit(False)).alias("no_string"),
-    )
-    known = once(known, "_strings", judged)
-    given, n = F.col("_strings.strings"), F.size("_strings.strings")
-    readable = state["complete"] & ~state["empty"] & ~state["deep"] & ~F.col("_strings.no_string")
-    deep = state["deep"] | given.isNull()  # a list with an element that deep is null as a whole
-    single = F.get(given, F.lit(0))
+    readable = state["complete"] & ~state["empty"] & ~state["deep"]
+    # Without a bracket there is no list to look into.
+    listed = state["text"].isNull() & F.contains(raw, F.lit("["))
+    odd = readable & F.coalesce(state["text"].rlike(_MAYBE_NO_STRING), listed)
+
+    def judged(found: Column) -> Column:
+        return F.struct(
+            _strings(found).alias("strings"),
+            F.coalesce(_has_no_string(found), F.lit(False)).alias("no_string"),
+        )
+
+    looked = F.get(F.transform(F.array(_collected(text)), judged), F.lit(0))
+    known = known.withColumn("_odd", F.when(odd, looked))
+    plain = F.col("_odd").isNull()
+    given, no_string = F.col("_odd.strings"), F.coalesce(F.col("_odd.no_string"), F.lit(False))
+    # A list with an element that is too deep is null as a whole.
+    deep = state["deep"] | (~plain & ~no_string & given.isNull())
+    single = F.when(plain, state["text"]).when(F.size(given) == 1, F.get(given, F.lit(0)))
+    command = F.when(readable & ~no_string & (single != ""), single)
+    several = F.when(~plain & ~no_string & (F.size(given) > 1), given)
     return known.select(
         *(name for name in log.columns if name not in ("command", "arguments", "reason")),
-        F.when(readable & (n == 1) & (single != ""), single).alias("command"),
-        F.when(readable & (n > 1), given).alias("arguments"),
+        command.alias("command"),
+        several.alias("arguments"),
         F.when(state["empty"], EMPTY_PAYLOAD)
         .when(~state["complete"], MALFORMED)
         .when(deep, DEEP_COMMAND)
-        .when(F.col("_strings.no_string"), NON_STRING_COMMAND)
-        .when((n == 0) | ((n == 1) & (F.coalesce(single, F.lit("")) == "")), NO_COMMAND)
+        .when(no_string, NON_STRING_COMMAND)
+        .when(command.isNull() & several.isNull(), NO_COMMAND)
         .alias("reason"),
     )
