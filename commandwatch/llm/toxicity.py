@@ -5,22 +5,21 @@ both classes together, those to the class's own continuation counts, and those t
 continuation counts that both classes share, so an expression that one class has hardly seen
 is smoothed the same way in both. Every count keeps what its discount leaves: the discounts
 for 1, 2 and more are estimated from the counts. The score of a text is calibrated on
-labelled texts that the counts have not seen (each third of the sample by counts from the
+labelled texts that the counts have not seen (each third of them by counts from the
 other two), from the mean log ratio of the two likelihoods and, beside it, means of what lies
 far above, above and below the text's median word.
 
-The models are fitted on a bounded sample of labelled rows (`ROWS_PER_CLASS`,
-`CHARS_PER_CLASS` in `labelled`); every whole text is scored.
+Counts and calibration are learned from all labelled texts, in Spark jobs (`kneser_ney`);
+every whole text is scored. `fitted` makes the same models of a few texts in memory.
 
 Results: a null or empty text has no words; its mean log ratio is 0 and its score what the
 calibration gives for that. Without labelled rows of both classes every score is the share of
-toxic rows in the sample, 0 without any. Repeated rows are scored alike; an empty table gives
+toxic rows among the labelled, 0 without any. Repeated rows are scored alike; an empty table gives
 no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,32 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import fitted_on, labelled_sample, logistic, probability
-from .spark_io import each_batch, release, slices, texts
-from .words import mixed, utf8, word_hashes
+from .kneser_ney import FOLDS, Counts, applied, counted, discounts, looked_up, pair_keys, plain_words, sized
+from .labelled import in_folds, labelled_sample, logistic, logistic_of, probability
+from .spark_io import checkpointed, texts
 
-DISCOUNT = 0.75
-FOLDS = 3
 STRONG = 2.0  # log ratio
 TOXIC_FROM = 0.3
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_TRIM = str.maketrans(dict.fromkeys(".,;:!?\"'()[]#*$%&|<>", " "))
-
-
-def _words(text: str | None) -> np.ndarray:
-    return word_hashes(utf8((text or "").lower().translate(_TRIM)))
-
-
-def _keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mixed(first * _STEP + second)
-
-
-def _looked_up(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in a sorted table, and which keys it has."""
-    if not len(table):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
+MOST_BROADCAST = 1_000_000  # rows of three numbers
+EVIDENCE = ("mean", "strong", "weak", "below")
 
 
 @dataclass
@@ -75,13 +56,13 @@ class KneserNey:
         what language and topic do to all words alike; the mean keeps the level of the whole."""
         if not len(words):
             return 0.0, 0.0, 0.0, 0.0
-        at, known = _looked_up(self.words, words)
+        at, known = looked_up(self.words, words)
         total = np.full(len(words), self.unseen_ratio)
         total[known] = self.word_ratio[at[known]]
         if len(words) > 1:
             after = np.flatnonzero(known[:-1])
             total[after + 1] += self.leave_ratio[at[after]]
-            pair, seen = _looked_up(self.pairs, _keys(words[:-1], words[1:]))
+            pair, seen = looked_up(self.pairs, pair_keys(words[:-1], words[1:]))
             total[1:][seen] = self.pair_ratio[pair[seen]]
         mean = float(total.mean())
         total = total - np.median(total)
@@ -89,7 +70,7 @@ class KneserNey:
         return mean, float(strong), float(np.maximum(total, 0).mean() - strong), float(np.maximum(-total, 0).mean())
 
     def scores(self, found: list[str | None]) -> np.ndarray:
-        values = np.array([self.evidence(_words(t)) for t in found], float).reshape(-1, 4)
+        values = np.array([self.evidence(plain_words(t)) for t in found], float).reshape(-1, 4)
         return probability(calibrated(values), self.weights)
 
 
@@ -101,11 +82,7 @@ def calibrated(values: np.ndarray) -> np.ndarray:
 def _discounted(counts: np.ndarray) -> np.ndarray:
     """Counts less the discounts for 1, 2 and more, estimated from how many counts are 1 to 4."""
     n = np.bincount(counts[counts < 5].astype(np.int64), minlength=5)[:5].astype(float)
-    off = np.array([0.0, *[DISCOUNT] * 3])
-    if n[1:].all():
-        y = n[1] / (n[1] + 2 * n[2])
-        off[1:] = np.clip([k - (k + 1) * y * n[k + 1] / n[k] for k in (1, 2, 3)], 0.0, [1.0, 2.0, 3.0])
-    return counts - off[np.minimum(counts, 3).astype(np.int64)]
+    return counts - discounts(n)[np.minimum(counts, 3).astype(np.int64)]
 
 
 def _counted(by_class: list[list[np.ndarray]]) -> KneserNey:
@@ -116,7 +93,7 @@ def _counted(by_class: list[list[np.ndarray]]) -> KneserNey:
     for part in by_class:
         # A pair counts once for each word before it: copies of a text count once.
         words = np.concatenate([*part, np.zeros(2, np.uint64)])
-        pair = _keys(words[:-1], words[1:])
+        pair = pair_keys(words[:-1], words[1:])
         inside = np.ones(len(pair), bool)  # pairs with a word before them in the same text
         ends = np.cumsum([len(w) for w in part], dtype=np.int64)
         for at in (ends - 1, ends):
@@ -124,7 +101,7 @@ def _counted(by_class: list[list[np.ndarray]]) -> KneserNey:
         inside[0] = False
         inside[max(0, len(words) - 3) :] = False
         places = np.flatnonzero(inside)
-        _, first = np.unique(_keys(words[places - 1], pair[places]), return_index=True)
+        _, first = np.unique(pair_keys(words[places - 1], pair[places]), return_index=True)
         places = places[first]
         keys, first, counts = np.unique(pair[places], return_index=True, return_counts=True)
         places = places[first]
@@ -174,7 +151,7 @@ def fitted(sample: list[tuple[int, str]]) -> KneserNey:
         none = np.zeros(0, np.uint64)
         constant = np.array([*[0.0] * 7, 30.0 if rate else -30.0])
         return KneserNey(none, np.zeros(0), np.zeros(0), 0.0, none, np.zeros(0), constant)
-    by_class = [[_words(t) for y, t in sample if y == k] for k in (0, 1)]
+    by_class = [[plain_words(t) for y, t in sample if y == k] for k in (0, 1)]
     values, target = [], []
     for fold in range(FOLDS):
         model = _counted([[w for i, w in enumerate(part) if i % FOLDS != fold] for part in by_class])
@@ -186,30 +163,69 @@ def fitted(sample: list[tuple[int, str]]) -> KneserNey:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, unseen: Column) -> KneserNey:
-    return fitted_on(labelled_sample(docs, labels, "toxic", unseen), fitted)
+@dataclass
+class Model:
+    """Counts (none without texts of both classes) and the weights of the calibration."""
 
+    counts: Counts | None
+    weights: np.ndarray
 
-def toxicity(docs: DataFrame, model: KneserNey) -> DataFrame:
-    """doc_id and score of every text."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = model.scores(batch.column("text").to_pylist())
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
+def evidence(ratios: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """`KneserNey.evidence` of n texts at once, from the log ratios of their words."""
+    sizes = np.bincount(places, minlength=n)
+    filled, starts = sizes > 0, np.cumsum(sizes) - sizes
+    means = lambda x: np.bincount(places, weights=x, minlength=n) / np.maximum(sizes, 1)
+    ordered, medians = ratios[np.lexsort((ratios, places))], np.zeros(n)
+    low, high = starts[filled] + (sizes[filled] - 1) // 2, starts[filled] + sizes[filled] // 2
+    medians[filled] = (ordered[low] + ordered[high]) / 2
+    from_median = ratios - medians[places]
+    strong = means(np.maximum(from_median - STRONG, 0))
+    return np.column_stack([means(ratios), strong, means(np.maximum(from_median, 0)) - strong, means(np.maximum(-from_median, 0))])
 
-    return each_batch(texts(docs), work, "doc_id bigint, score double")
 
+def fit(docs: DataFrame, labels: DataFrame, unseen: Column) -> Model:
+    """Counts of all labelled texts, and weights from each text's evidence by the counts
+    without its fold."""
+    folds = checkpointed(in_folds(labelled_sample(docs, labels, "toxic", unseen), FOLDS))
+    numbers = {row["label"]: row["count"] for row in folds.groupBy("label").count().collect()}
+    if len(numbers) < 2:
+        return Model(None, np.array([*[0.0] * 7, 30.0 if numbers.get(1) else -30.0]))
+    if sum(numbers.values()) <= MOST_BROADCAST:  # their texts need not be shuffled to meet them
+        folds = F.broadcast(folds)
+    folded = texts(docs).join(folds, "doc_id").select("doc_id", "label", "fold", "text")
+    counts = counted(folded, *sized(docs))
 
-def without_toxic(docs: DataFrame, model: KneserNey, threshold: float = TOXIC_FROM) -> DataFrame:
-    """The rows whose text scores less than the threshold, with all their columns."""
+    def work(table: pa.Table, ratios: np.ndarray, places: np.ndarray) -> pa.Table:
+        columns = [pa.array(c) for c in evidence(ratios, places, table.num_rows).T]
+        return pa.table([table.column("label"), *columns], names=["label", *EVIDENCE])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                yield part.filter(pa.array(model.scores(part.column("text").to_pylist()) < threshold))
-        release()
+    values = applied(folded, counts, "fold", work, ", ".join(["label int", *(f"{name} double" for name in EVIDENCE)]))
+    return Model(counts, logistic_of(checkpointed(values), calibrated, 7))
 
-    return docs.mapInArrow(run, docs.schema)
+
+def _scored(rows: DataFrame, model: Model) -> DataFrame:
+    """The rows with a column `score_` more."""
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "score_ double"])
+    weights = model.weights
+    if model.counts is None:
+        return rows.withColumn("score_", F.lit(float(probability(np.zeros((1, 7)), weights)[0])))
+
+    def work(table: pa.Table, ratios: np.ndarray, places: np.ndarray) -> pa.Table:
+        scores = probability(calibrated(evidence(ratios, places, table.num_rows)), weights)
+        return table.append_column("score_", pa.array(scores, pa.float64()))
+
+    return applied(rows, model.counts, None, work, schema)
+
+
+def toxicity(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id and score of every text."""
+    return _scored(texts(docs), model).select("doc_id", F.col("score_").alias("score"))
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = TOXIC_FROM) -> DataFrame:
+    """The rows whose text scores less than the threshold, with all their columns."""
+    return _scored(docs, model).where(F.col("score_") < threshold).select(*docs.columns)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, unseen: Column) -> DataFrame:
