@@ -25,6 +25,8 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 #: N-grams whose number is measured, and the counters that the sketch keeps for that.
 HEAVY, COUNTERS = 256, 8_192
+#: Names up to which their hashes, 8 bytes each, go to all tasks before a shuffle join.
+MAX_HASHED_ROWS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,8 @@ class Shape:
     def pattern(self) -> str:
         """One match for each word (or gap) at which an n-gram of this shape begins."""
         gram = r"\w++" + rf"(?:\W++\w++){{{self.words - 1}}}" * (self.words > 1)
+        if self == Shape(1, False, False):
+            return f"({gram})"  # the same matches, found without looking ahead
         gram = r"\W++" * self.leads + gram + r"\W++(?=\w)" * self.trails
         return rf"(?<=\w)(?=({gram}))\W" if self.leads else rf"(?=({gram}))\w++"
 
@@ -103,6 +107,12 @@ def _grams(texts: DataFrame, extent: Extent) -> DataFrame:
     return texts.select(*kept, F.explode_outer(F.array_distinct(short)).alias("_gram"))
 
 
+def _likely(grams: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The n-grams with the hash of a name: all that match, and hardly another one, so that a
+    shuffle carries as many rows as there are matches and not as many as there are words."""
+    return grams.join(F.broadcast(hashes), F.xxhash64("_gram") == F.col("_hash"), "left_semi")
+
+
 # Joins -------------------------------------------------------------------------------------
 
 
@@ -188,6 +198,8 @@ def match_policy_table(
     if not extent.shapes:
         names, extent = names.limit(0), Extent((Shape(1, False, False),), 0, 0, 0)
     grams, on = _grams(texts, extent), ["_gram"]
+    if (strategy == "shuffle" or not extent.fits) and extent.rows <= MAX_HASHED_ROWS:
+        grams = _likely(grams, names.select(F.xxhash64("_gram").alias("_hash")).distinct())
     if as_of:
         names = merged_periods(names, "_pos", "_name", "_gram")
         bins = bins_of(names)

@@ -225,3 +225,22 @@ def test_coverage_of_tables(spark):
     named = spark.createDataFrame([("a",), ("A",), ("old",)], "catalog STRING")
     got = {tuple(r) for r in policy_coverage(spark, inventory, policy, named).collect()}
     assert got == {("a", "deny", 2), ("b", "allow", 0), ("new", "unlisted", 0), ("old", "not in inventory", 1)}
+
+
+def test_a_shuffle_carries_only_n_grams_with_the_hash_of_a_name(spark, monkeypatch):
+    texts = ["use system samples x", "gnu  general, gnu general é", None, "", "by-nc BY-NC byte", *[f"w{k} v{k}" for k in range(50)]]
+    rows = [(k % 40 if k % 7 else None, text) for k, text in enumerate(texts * 3)]
+    log = spark.createDataFrame(rows, "id BIGINT, command STRING")
+    names = ["system", "gnu general", "by-nc", "é", "v7", "w9 v9", None]
+    table = spark.createDataFrame([(k, name, "deny") for k, name in enumerate(names)], "pos INT, name STRING, effect STRING")
+
+    def matched(strategy):
+        return match_policy_table(log, [Rule(0, "")], table, ["id"], strategy=strategy)
+
+    expected = sorted(map(str, matched("broadcast").collect()))
+    found = matched("shuffle")
+    assert sorted(map(str, found.collect())) == expected and len(expected) > 15
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and plan.index("Join Inner") < plan.index("Join LeftSemi")
+    monkeypatch.setattr(policy_table, "MAX_HASHED_ROWS", 0)
+    assert sorted(map(str, matched("shuffle").collect())) == expected
