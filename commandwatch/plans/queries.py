@@ -413,10 +413,15 @@ def stream_verdict_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_file_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "payload-files")
     files = payload_files(_values(spark, sf_dir))
-    files.write.option("maxRecordsPerFile", 1).text(f"{base}/in")  # one payload in each file
+    # One payload in each file. What takes time is their number, not their size: all tasks write
+    # as many, and move their own, side by side, which the driver would do one by one.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    moved = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+    files.repartition(tasks).write.options(maxRecordsPerFile=1, **moved).text(f"{base}/in")
     log = stream_text_log(spark, f"{base}/in", whole_files=True)
     decided = audit(log, policy=policies.VALUE_POLICY).select("reason", "catalog", F.size("arguments").alias("n_commands"))
-    start_audit(decided, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    # A scan has a task for some 30 files, and each would write a file of its own.
+    start_audit(decided.coalesce(tasks), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     written = spark.read.schema(decided.schema).parquet(f"{base}/out")
     return written.groupBy("reason", "catalog", "n_commands").agg(F.count("*").alias("n"))
 

@@ -8,6 +8,7 @@ import __spark_entry__ as driver
 from commandwatch import CATALOG_POLICY, CATALOG_RULES, audit
 from commandwatch.operators import classify, denials
 from commandwatch.plans.event_log import payload_log
+from commandwatch.plans import queries
 from commandwatch.plans.queries import QUERIES
 
 TABLES = ("events", "documents", "conversations", "pages", "customer")
@@ -94,3 +95,14 @@ def test_texts_are_scanned_once_before_they_are_matched(spark, small, name):
     text = plan(driver.queries()[name](spark, small))
     scans = [line for line in text.splitlines() if "FileScan" in line and ("events" in line or "documents" in line)]
     assert len(scans) == (2 if name == "command_verdict_long_shuffle" else 1)  # the verdicts are joined to the log
+
+
+def test_all_tasks_write_payload_files_and_as_many_verdict_files(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_dir", lambda _, name: f"{tmp_path}/{name}")
+    rows = driver.queries()["whole_file_reasons"](spark, small).collect()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = list((tmp_path / "payload-files" / "in").glob("part-*.txt"))
+    assert len({f.name.split("-")[1] for f in files}) == tasks  # was one for so few bytes
+    assert len(files) == sum(row["n"] for row in rows) > tasks
+    assert all(f.read_text().strip().startswith("[") and f.read_text().count('"command"') <= 16 for f in files)
+    assert len(list((tmp_path / "payload-files" / "out").glob("part-*.parquet"))) <= tasks
