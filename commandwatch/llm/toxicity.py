@@ -198,10 +198,13 @@ def fit(docs: DataFrame, labels: DataFrame, unseen: Column) -> Model:
 
     def work(table: pa.Table, ratios: np.ndarray, places: np.ndarray) -> pa.Table:
         columns = [pa.array(c) for c in evidence(ratios, places, table.num_rows).T]
-        return pa.table([table.column("label"), *columns], names=["label", *EVIDENCE])
+        sizes = np.bincount(places, minlength=table.num_rows)
+        return pa.table([table.column("doc_id"), pa.array(sizes), table.column("label"), *columns], names=["doc_id", "size", "label", *EVIDENCE])
 
-    values = applied(folded, counts, "fold", work, ", ".join(["label int", *(f"{name} double" for name in EVIDENCE)]))
-    return Model(counts, logistic_of(checkpointed(values), calibrated, 7))
+    values = applied(folded, counts, "fold", work, ", ".join(["doc_id bigint, size bigint, label int", *(f"{name} double" for name in EVIDENCE)]))
+    # Repeated rows of a document are one: the longest.
+    longest = values.groupBy("doc_id").agg(F.max(F.struct("size", "label", *EVIDENCE)).alias("row"))
+    return Model(counts, logistic_of(checkpointed(longest.select("row.label", *(f"row.{name}" for name in EVIDENCE))), calibrated, 7))
 
 
 def _scored(rows: DataFrame, model: Model) -> DataFrame:

@@ -35,3 +35,12 @@ def test_scores_follow_all_labelled_texts(spark, monkeypatch, rows, chars):
     got = toxicity.toxicity(spark.createDataFrame(list(enumerate(fresh)), "doc_id bigint, text string"), model)
     scores = {row["doc_id"]: row["score"] for row in got.collect()}
     assert [scores[k] for k in range(len(fresh))] == pytest.approx(list(whole.scores(fresh)), abs=1e-4)
+
+
+def test_repeated_rows_weigh_once(spark):
+    prepare(spark)
+    rng = random.Random(5)
+    table = [(k, made(rng, k % 2 == 1)) for k in range(200)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)] * 2, "doc_id bigint, toxic int")
+    fits = [toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), labels, F.lit(False)) for rows in (table, table + table[::3])]
+    assert list(fits[0].weights) == pytest.approx(list(fits[1].weights), abs=1e-6)
