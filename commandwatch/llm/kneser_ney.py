@@ -1,45 +1,56 @@
 """Kneser-Ney models of two classes, counted over any number of labelled texts.
 
-`counted` is what `toxicity._counted` makes of texts in memory, and three models more, each
-without one fold of the texts, as Spark jobs:
-
-1. Tasks send the distinct runs of three words of their texts, each with the classes and
-   folds that have it, to blocks of an index by the hash of the last two words.
-2. A block counts its pairs of words for each class and model, and sends what their words
-   need (continuations, contexts) to the blocks of these words, which add it up.
-3. Only sums go to the driver: numbers of counts of 1, 2, 3 and 4, from which the discounts
-   are estimated.
-
-`applied` asks the blocks for the words and pairs that a group of texts has, and gives the
-group with the log ratios of its words to a function. No task has more than a block or a
-group; all counts are kept.
+`measured` makes of texts what `toxicity._counted` and `KneserNey.evidence` make of texts in
+memory, for the model of all labelled texts and for three more, each without one fold of them,
+as Spark jobs:
+
+1. `chunked` writes all texts once, as chunks of a bounded number of words: their distinct
+   words, and numbers for these.
+2. A chunk sends its distinct pairs of words, each with the distinct words before it in
+   labelled texts and the classes and folds that have them, to blocks of an index by the hash of
+   the pair. A block counts each pair for each class and model, and answers with that.
+3. Of each pair one chunk takes part in the sums by word (continuations, contexts). Chunks send
+   these to blocks by the hash of the word, which add them up and answer all chunks.
+4. Only sums go to the driver: numbers of counts of 1, 2, 3 and 4, from which the discounts
+   are estimated. Then each chunk has all that the log ratios of its words need.
+
+No task has more than a block or a chunk; all counts are kept. The jobs run in SLICES, each for
+some of the blocks or chunks, and remove their shuffle files, so that the disk holds the chunks,
+the answers, and what one slice sends.
 """
 
 from __future__ import annotations
 
-import zlib
+import functools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import dealt
 from .spark_io import checkpointed, freed, freed_pair, release, slices
-from .words import mixed, utf8, word_hashes
+from .words import bounds, mixed, utf8, word_hashes
 
 FOLDS = 3
 MODELS = FOLDS + 1  # without one fold each, and the whole
-CHARS_PER_BLOCK, CHARS_PER_GROUP = 16_000_000, 4_000_000
-WORDS_AT_ONCE = 1 << 19
+CHARS_PER_BLOCK = 12_000_000
+WORDS_AT_ONCE = 1 << 20  # in a chunk, but for one long text
+ROWS_AT_ONCE = 100_000
+SLICES = 3, 4, 12  # of blocks, of chunks that send sums, of chunks that end
 DISCOUNT = 0.75
-TRIGRAMS, WORDS, STATISTICS, PAIRS, SUMS = range(5)
-_SCHEMA = "kind int, block bigint, keys binary, values binary"
-_KINDS = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("values", pa.binary())])
+PAIRS, WORDS, SUMS = range(3)
+_SENT = "block bigint, chunk bigint, keys binary, values binary"
+_SENT_ARROW = pa.schema([("block", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("values", pa.binary())])
+_ANSWERS = "kind int, chunk bigint, block bigint, values binary"
+_ANSWERS_ARROW = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("block", pa.int64()), ("values", pa.binary())])
+_CHUNKS = pa.schema([("chunk", pa.int64()), ("chars", pa.int64()), ("names", pa.binary()), ("codes", pa.binary()), ("rows", pa.binary())])
+_MARKS = np.random.Generator(np.random.PCG64(2)).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_TRIM = str.maketrans(dict.fromkeys(".,;:!?\"'()[]#*$%&|<>", " "))
+_TRIM = bytes(0x20 if k in b".,;:!?\"'()[]#*$%&|<>" else k for k in range(256))
 #: By mask (three bits for the folds of each class), class and model: whether the model has it.
 _HAS = np.array([[[(mask >> FOLDS * c & 7 & ~(1 << m)) > 0 for m in range(MODELS)] for c in (0, 1)] for mask in range(64)])
 #: Numbers kept of a word: pairs that end in it; of pairs that begin with it their counts, and
@@ -47,15 +58,20 @@ _HAS = np.array([[[(mask >> FOLDS * c & 7 & ~(1 << m)) > 0 for m in range(MODELS
 _PARTS = np.cumsum([2 * MODELS, 2 * MODELS, 3 * 2 * MODELS, 3 * MODELS])
 
 
+def _plain(text: str | None) -> bytes:
+    return utf8((text or "").lower()).translate(_TRIM)
+
+
 def plain_words(text: str | None) -> np.ndarray:
-    return word_hashes(utf8((text or "").lower().translate(_TRIM)))
+    return word_hashes(_plain(text))
 
 
 def words_of(found: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """The word hashes of texts, one text after the other, and the place of each word's text."""
-    hashes = [plain_words(text) for text in found]
-    places = np.repeat(np.arange(len(found)), [len(w) for w in hashes])
-    return np.concatenate([*hashes, np.zeros(0, np.uint64)]), places
+    plain = [_plain(text) for text in found]
+    data = b"\n".join(plain)
+    starts, ends = bounds(data)
+    return word_hashes(data, starts, ends), np.searchsorted(np.cumsum([len(x) + 1 for x in plain]), starts, "right")
 
 
 def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -79,8 +95,9 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return off
 
 
-def _rows(rows: list[tuple[int, int, bytes, bytes]]) -> pa.Table:
-    return pa.table(dict(zip(_KINDS.names, zip(*rows, strict=True), strict=True)) if rows else {c: [] for c in _KINDS.names}, schema=_KINDS)
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.table([pa.array(c, field.type) for c, field in zip(columns, schema, strict=True)], schema=schema)
 
 
 def _merged(keys: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,48 +109,80 @@ def _merged(keys: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order[starts], np.bitwise_or.reduceat(masks[order], starts)
 
 
-def _parted(block: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(block, kind="stable")
-    numbers, starts = np.unique(block[order], return_index=True)
-    yield from zip(numbers.tolist(), np.split(order, starts[1:]), strict=True)
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, in order; a place of each; and for each place the number of its key."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return keys[new], order[new], number
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Columns of numbers of up to 32 bits, packed byte by byte, as most are small."""
+    n, width = numbers.shape
+    most = int(numbers.max()) if numbers.size else 0
+    kind = np.dtype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+    data = np.ascontiguousarray(numbers.T.astype(kind)).view(np.uint8).reshape(width, n, kind.itemsize).transpose(2, 0, 1)
+    return np.array([n, kind.itemsize], np.int64).tobytes() + pa.compress(np.ascontiguousarray(data).tobytes(), "zstd", asbytes=True)
+
+
+def _of_planes(data: bytes, width: int) -> np.ndarray:
+    n, size = np.frombuffer(data, np.int64, 2).tolist()
+    found = np.frombuffer(pa.decompress(data[16:], n * size * width, "zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
+    found = np.ascontiguousarray(found.reshape(size, width, n).transpose(1, 2, 0))
+    return found.view(f"u{size}").reshape(width, n).T.astype(np.uint32, order="C")
+
+
+def _coded(numbers: np.ndarray) -> bytes:
+    """Rows of numbers, of which many are alike, as the distinct ones and their places."""
+    if not len(numbers):
+        return np.int64(0).tobytes() + _planes(numbers)
+    _, first, number = _distinct(numbers.astype(np.uint64) @ _MARKS[: numbers.shape[1]])
+    if 2 * len(first) > len(numbers):
+        return np.int64(0).tobytes() + _planes(numbers)
+    order = np.argsort(-np.bincount(number), kind="stable")  # small numbers for frequent rows
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    rows = _planes(numbers[first[order]])
+    return np.int64(len(rows)).tobytes() + rows + _planes(rank[number][:, None])
+
+
+def _of_coded(data: bytes, width: int) -> np.ndarray:
+    size = int(np.frombuffer(data, np.int64, 1)[0])
+    if not size:
+        return _of_planes(data[8:], width)
+    return _of_planes(data[8 : 8 + size], width)[_of_planes(data[8 + size :], 1)[:, 0]]
 
 
-def _block(keys: np.ndarray, n_blocks: int) -> np.ndarray:
-    return (keys >> np.uint64(16)) % np.uint64(n_blocks)
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as what each adds to the one before; the five low bytes are chance."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    high = _planes((steps >> np.uint64(40)).astype(np.uint32)[:, None])
+    return np.int64(len(high)).tobytes() + high + steps.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
 
-def _coded(words: np.ndarray, bits: np.ndarray) -> tuple[bytes, bytes]:
-    """Three rows of words as their vocabulary and places in it; the first row is in order."""
-    names, codes = np.unique(words, return_inverse=True)
-    codes = codes.reshape(words.shape).astype(np.uint16 if len(names) <= 1 << 16 else np.uint32)
-    codes[0, 1:] -= codes[0, :-1].copy()
-    return names.tobytes(), zlib.compress(bits.tobytes() + codes.tobytes(), 1)
+def _unpacked(data: bytes) -> np.ndarray:
+    size = 8 + int(np.frombuffer(data, np.int64, 1)[0])
+    high = _of_planes(data[8:size], 1)[:, 0].astype(np.uint64)
+    return np.cumsum((high << np.uint64(40)) + _of_bytes(data[size:]), dtype=np.uint64)
 
 
-def _decoded(keys: bytes, values: bytes) -> tuple[np.ndarray, np.ndarray]:
-    names, data = np.frombuffer(keys, np.uint64), zlib.decompress(values)
-    kind = np.dtype(np.uint16 if len(names) <= 1 << 16 else np.uint32)
-    n = len(data) // (1 + 3 * kind.itemsize)
-    codes = np.frombuffer(data, kind, offset=n).reshape(3, n).astype(np.int64)
-    codes[0] = np.cumsum(codes[0])
-    return names[codes], np.frombuffer(data, np.uint8, n)
+def _of_bytes(data: bytes) -> np.ndarray:
+    """Numbers of five bytes."""
+    numbers = np.zeros((len(data) // 5, 8), np.uint8)
+    numbers[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return numbers.view(np.uint64)[:, 0]
 
 
-def _sent(words: np.ndarray, places: np.ndarray, masks: np.ndarray, n_blocks: int) -> pa.Table:
-    """What the blocks are sent of some texts; `masks` has the class and fold of each text."""
-    rows = []
-    first, bits = _merged(words, masks[places])
-    for block, at in _parted(_block(words[first], n_blocks)):
-        rows.append((WORDS, block, words[first[at]].tobytes(), bits[at].tobytes()))
-    # A pair counts once for each word before it: copies of a text count once.
-    middle = np.flatnonzero(places[:-2] == places[2:]) + 1
-    pairs = pair_keys(words[middle], words[middle + 1])
-    first, bits = _merged(pair_keys(words[middle - 1], pairs), masks[places[middle]])
-    before, left, right = (words[middle[first] + k] for k in (-1, 0, 1))
-    for block, at in _parted(_block(pairs[first], n_blocks)):
-        at = at[np.argsort(left[at])]
-        rows.append((TRIGRAMS, block, *_coded(np.stack([left[at], right[at], before[at]]), bits[at])))
-    return _rows(rows)
+def _blocks(keys: np.ndarray, n_blocks: int) -> Iterator[tuple[int, slice]]:
+    """The blocks of sorted hashes, which have a range each, and the places of each one's."""
+    block = (keys >> np.uint64(32)) * np.uint64(n_blocks) >> np.uint64(32)
+    numbers, starts = np.unique(block, return_index=True)
+    for number, low, high in zip(numbers.tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
+        yield number, slice(low, high)
 
 
 def _sums(counts: np.ndarray) -> np.ndarray:
@@ -149,51 +198,162 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[order[starts]], np.add.reduceat(values[order], starts, axis=0, dtype=np.uint32)
 
 
-def _levels(counts: np.ndarray) -> np.ndarray:
-    return np.stack([counts == 1, counts == 2, counts >= 3], 1).reshape(len(counts), -1)
-
-
-def _block_counts(table: pa.Table, n_blocks: int) -> pa.Table:
-    """Pairs of a block with their counts, what their words need, and sums."""
-    kind, number = table.column("kind")[0].as_py(), table.column("block")[0].as_py()
-    keys, found = table.column("keys").to_pylist(), table.column("values").to_pylist()
-    if kind == WORDS:
-        _, bits = _merged(np.frombuffer(b"".join(keys), np.uint64), np.frombuffer(b"".join(found), np.uint8))
-        return _rows([(SUMS, WORDS, b"", _HAS[bits].any(1).sum(0).astype(np.int64).tobytes())])
-    parts = [_decoded(k, v) for k, v in zip(keys, found, strict=True)]
-    left, right, before = np.concatenate([words for words, _ in parts], axis=1)
-    pairs = pair_keys(left, right)
-    first, bits = _merged(pair_keys(before, pairs), np.concatenate([bits for _, bits in parts]))
-    at, _ = _merged(pairs[first], bits)
-    left, right = left[first[at]], right[first[at]]
-    pairs, counts = _summed(pairs[first], _HAS[bits].astype(np.uint32))
-    both = counts.sum(1, dtype=np.uint32)
-    sums = np.concatenate([_sums(counts).reshape(6, -1), _sums(both)], 1)
-    rows = [(SUMS, PAIRS, b"", sums.tobytes()), (PAIRS, number, pairs.tobytes(), zlib.compress(counts.tobytes(), 1))]
-    flat = counts.reshape(len(counts), -1)
-    ends = np.zeros((len(pairs), _PARTS[-1]), np.uint32)
-    begins = ends.copy()
-    ends[:, : _PARTS[0]] = flat > 0
-    begins[:, _PARTS[0] : _PARTS[1]] = flat
-    begins[:, _PARTS[1] : _PARTS[2]] = _levels(counts)
-    begins[:, _PARTS[2] :] = _levels(both)
-    words, values = _summed(np.concatenate([right, left]), np.concatenate([ends, begins]))
-    for block, at in _parted(_block(words, n_blocks)):
-        rows.append((STATISTICS, block, words[at].tobytes(), zlib.compress(values[at].tobytes(), 1)))
-    return _rows(rows)
-
-
-def _unpacked(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
-    parts = [np.frombuffer(zlib.decompress(v), np.uint32) for v in table.column("values").to_pylist()]
-    return keys, np.concatenate([*parts, np.zeros(0, np.uint32)]).reshape(-1, width)
-
-
-def _word_counts(table: pa.Table) -> pa.Table:
-    words, values = _summed(*_unpacked(table, _PARTS[-1]))
-    ends = _sums(values[:, : _PARTS[0]])
-    number = table.column("block")[0].as_py()
-    return _rows([(SUMS, STATISTICS, b"", ends.tobytes()), (STATISTICS, number, words.tobytes(), zlib.compress(values.tobytes(), 1))])
+class Chunk:
+    """The texts of a chunk: its words by number, the place of each word's text, and rows."""
+
+    def __init__(self, table: pa.Table):
+        self.number = table.column("chunk")[0].as_py()
+        self.names = np.frombuffer(table.column("names")[0].as_py(), np.uint64)
+        self.codes = _of_planes(table.column("codes")[0].as_py(), 1)[:, 0].astype(np.int64)
+        self.rows = pa.ipc.open_stream(table.column("rows")[0].as_py()).read_all()
+        self.places = np.repeat(np.arange(self.rows.num_rows), self.rows.column("size").to_numpy())
+        self.masks = self.rows.column("mask").to_numpy()  # one bit for class and fold; 0: without a label
+        #: Of words with a word before them in the same text: their places, and the pairs.
+        self.right = np.flatnonzero(self.places[1:] == self.places[:-1]) + 1
+        self.pairs = pair_keys(self.names[self.codes[self.right - 1]], self.names[self.codes[self.right]])
+
+    def sent(self, n_blocks: int, part: int, parts: int) -> pa.Table:
+        """Distinct pairs for the blocks of one slice, and the labelled words before them."""
+        block = (self.pairs >> np.uint64(32)) * np.uint64(n_blocks) >> np.uint64(32)
+        here = np.flatnonzero(block % np.uint64(parts) == part)
+        right, pairs = self.right[here], self.pairs[here]
+        names, _, at = _distinct(pairs)
+        # A pair counts once for each word before it: copies of a text count once.
+        counted = np.flatnonzero((self.masks[self.places[right]] > 0) & (right > 1))
+        counted = counted[self.places[right[counted] - 2] == self.places[right[counted]]]
+        before, at = self.names[self.codes[right[counted] - 2]] >> np.uint64(24), at[counted]
+        if len(names) >> 24:
+            order = np.lexsort((before, at))
+        else:
+            order = np.argsort((at.astype(np.uint64) << np.uint64(40)) + before)
+        before, at, bits = before[order], at[order], self.masks[self.places[right[counted[order]]]]
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1]) | (before[1:] != before[:-1])
+        if len(new):
+            before, at, bits = before[new], at[new], np.bitwise_or.reduceat(bits, np.flatnonzero(new))
+        each = np.bincount(at, minlength=len(names))
+        ends = np.concatenate([[0], np.cumsum(each)])
+        rows = []
+        for number, own in _blocks(names, n_blocks):
+            inner = slice(ends[own.start], ends[own.stop])
+            parts = [_planes(each[own, None]), _planes(bits[inner, None])]
+            sizes = np.array([len(x) for x in parts], np.int64)
+            rows.append((number, self.number, _packed(names[own]), sizes.tobytes() + b"".join(parts) + before[inner].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()))
+        return _rows(rows, _SENT_ARROW)
+
+    def words_sent(self, answers: pa.Table, n_blocks: int) -> pa.Table:
+        """Of each word the sums over the pairs that fall to this chunk, and its classes and folds."""
+        _, first, _ = _distinct(self.pairs)
+        counts = _answered(answers, PAIRS, 2 * MODELS + 1)
+        own = np.flatnonzero(counts[:, -1])
+        counts, right = counts[own, :-1], self.right[first[own]]
+        n, left, right = len(self.names), self.codes[right - 1], self.codes[right]
+        columns = [np.bincount(right[counts[:, k] > 0], minlength=n) for k in range(2 * MODELS)]
+        columns += [np.bincount(left, weights=counts[:, k], minlength=n) for k in range(2 * MODELS)]
+        both = counts[:, :MODELS] + counts[:, MODELS:]
+        for numbers in (counts, both):
+            for level in (numbers == 1, numbers == 2, numbers >= 3):
+                columns += [np.bincount(left[column], minlength=n) for column in level.T]
+        of_words, bits = self.masks[self.places], np.zeros(n, np.uint32)
+        for bit in np.unique(self.masks[self.masks > 0]).tolist():
+            bits[self.codes[of_words == bit]] |= np.uint32(bit)
+        values = np.stack([*columns, bits], 1).astype(np.uint32)
+        order = np.argsort(self.names)
+        names, values = self.names[order], values[order]
+        return _rows([(number, self.number, _packed(names[own]), _coded(values[own])) for number, own in _blocks(names, n_blocks)], _SENT_ARROW)
+
+    def words_asked(self, n_blocks: int) -> pa.Table:
+        names = np.sort(self.names)
+        return _rows([(number, self.number, _packed(names[own]), None) for number, own in _blocks(names, n_blocks)], _SENT_ARROW)
+
+    def ratios(self, answers: pa.Table, weighing: list[Weighing]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By model: rows, the log ratios of their words after the ones before, and the place of
+        each word's row among them. The last model is for all rows, others for their folds."""
+        _, _, inverse = _distinct(self.pairs)
+        pairs, values = _answered(answers, PAIRS, 2 * MODELS + 1), np.zeros((len(self.names), _PARTS[-1]), np.uint32)
+        values[np.argsort(self.names)] = _answered(answers, WORDS, _PARTS[-1])
+        pair = np.full(len(self.codes), -1)
+        pair[self.right] = inverse
+        ends, contexts, levels, both = np.split(values, _PARTS[:-1], axis=1)
+        ends, contexts = ends.reshape(-1, 2, MODELS), contexts.reshape(-1, 2, MODELS)
+        levels, both = levels.reshape(-1, 3, 2, MODELS), both.reshape(-1, 3, MODELS)
+        for m, weigh in enumerate(weighing):
+            chosen = np.ones(len(self.masks), bool) if m == FOLDS else self.masks & (1 << m | 1 << FOLDS + m) > 0
+            inside = chosen[self.places]
+            codes, pair_of = self.codes[inside], pair[inside]
+            known = ends[..., m].any(1) | contexts[..., m].any(1)
+            of_words = weigh.of_words(ends[..., m], contexts[..., m], levels[..., m], both[..., m])
+            counts = pairs[:, [m, MODELS + m]]
+            total = np.where(known, _ratio(of_words[:, :2].astype(float)), weigh.unseen_ratio)[codes]
+            right = np.flatnonzero(pair_of >= 0)
+            after = right[known[codes[right - 1]]]
+            total[after] += _ratio(of_words[:, 4:6].astype(float))[codes[after - 1]]
+            seen = right[counts.any(1)[pair_of[right]]]
+            total[seen] = weigh.of_pairs(counts[pair_of[seen]].astype(np.int64), of_words[codes[seen - 1]], of_words[codes[seen]])
+            yield np.flatnonzero(chosen), total, (np.cumsum(chosen) - 1)[self.places[inside]]
+
+
+def _answered(answers: pa.Table, kind: int, width: int) -> np.ndarray:
+    """What the blocks answered, in the order of what was sent."""
+    rows = sorted((b, v) for k, b, v in zip(*(answers.column(c).to_pylist() for c in ("kind", "block", "values")), strict=True) if k == kind)
+    return np.concatenate([*(_of_coded(v, width) for _, v in rows), np.zeros((0, width), np.uint32)])
+
+
+def _pair_block(table: pa.Table) -> pa.Table:
+    """The counts of a block's pairs, for each chunk that sent some, and sums."""
+    table = table.sort_by("chunk")
+    block, chunks, asked = table.column("block")[0].as_py(), table.column("chunk").to_pylist(), []
+    of, before, masks = [], [], []
+    for sent, data in zip(table.column("keys").to_pylist(), table.column("values").to_pylist(), strict=True):
+        size, more = np.frombuffer(data, np.int64, 2).tolist()
+        asked.append(_unpacked(sent))
+        of.append(np.repeat(asked[-1], _of_planes(data[16 : 16 + size], 1)[:, 0]))
+        masks.append(_of_planes(data[16 + size : 16 + size + more], 1)[:, 0].astype(np.uint8))
+        before.append(_of_bytes(data[16 + size + more :]))
+    of = np.concatenate(of)
+    first, bits = _merged(pair_keys(np.concatenate(before), of), np.concatenate(masks))
+    pairs, counts = _summed(of[first], _HAS[bits].reshape(len(bits), 2 * MODELS))
+    both = counts[:, :MODELS] + counts[:, MODELS:]
+    rows = [(SUMS, None, PAIRS, np.concatenate([_sums(counts), _sums(both)], 1).tobytes())]
+    free = np.ones(len(pairs), bool)  # not yet given to a chunk
+    for chunk, keys in zip(chunks, asked, strict=True):
+        at, there = looked_up(pairs, keys)
+        found = np.zeros((len(keys), 2 * MODELS + 1), np.uint32)
+        found[there, :-1], found[there, -1] = counts[at[there]], free[at[there]]
+        free[at[there]] = False
+        rows.append((PAIRS, chunk, block, _coded(found)))
+    return _rows(rows, _ANSWERS_ARROW)
+
+
+def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of some rows, their sums, and their classes and folds."""
+    keys = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(x) for x in table.column("keys").to_pylist())])
+    values = np.concatenate([np.zeros((0, _PARTS[-1] + 1), np.uint32), *(_of_coded(x, _PARTS[-1] + 1) for x in table.column("values").to_pylist())])
+    _, bits = _merged(keys, values[:, -1])
+    return *_summed(keys, values[:, :-1]), bits
+
+
+def _word_sums(table: pa.Table) -> pa.Table:
+    """The rows of a block's words, added up."""
+    words, values, bits = _added(table)
+    return _rows([(table.column("block")[0].as_py(), None, _packed(words), _coded(np.column_stack([values, bits])))], _SENT_ARROW)
+
+
+def _word_totals(table: pa.Table) -> pa.Table:
+    """The rows of a block's words, all added up, and sums over them."""
+    words, values, bits = _added(table)
+    sums = np.concatenate([_sums(values[:, : _PARTS[0]]).ravel(), _HAS[bits].any(1).sum(0)]).astype(np.int64)
+    return _rows([(table.column("block")[0].as_py(), WORDS, _packed(words), _coded(values)), (None, SUMS, None, sums.tobytes())], _SENT_ARROW)
+
+
+def _word_answers(asked: pa.Table, totals: pa.Table) -> pa.Table:
+    """The sums of a block's words, for each chunk that asked for some."""
+    if not asked.num_rows:
+        return _rows([], _ANSWERS_ARROW)
+    block, words = asked.column("block")[0].as_py(), _unpacked(totals.column("keys")[0].as_py())
+    values = _of_coded(totals.column("values")[0].as_py(), _PARTS[-1])
+    sent = zip(asked.column("chunk").to_pylist(), asked.column("keys").to_pylist(), strict=True)
+    return _rows([(WORDS, chunk, block, _coded(values[np.searchsorted(words, _unpacked(keys))])) for chunk, keys in sent], _ANSWERS_ARROW)
 
 
 @dataclass
@@ -222,7 +382,7 @@ class Weighing:
         kept = contexts - np.einsum("wkc,ck->wc", levels, self.off_pairs[:, 1:])
         leave = 1 - kept / np.maximum(contexts, 1)
         of_left = contexts.sum(1)
-        leave_both = 1 - (of_left - both @ self.off_both[1:]) / np.maximum(of_left, 1)
+        leave_both = 1 - (of_left - np.einsum("wk,k->w", both, self.off_both[1:])) / np.maximum(of_left, 1)
         return np.column_stack([likely, np.maximum(contexts, 1), leave, np.maximum(of_left, 1), leave_both]).astype(np.float32)
 
     def of_pairs(self, counts: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -260,134 +420,106 @@ def _weighing(pairs: np.ndarray, ends: np.ndarray, n_words: int, m: int) -> Weig
     )
 
 
-@dataclass
-class Counts:
-    """The tables of pairs and words in blocks, and how each model weighs them."""
+def chunked(rows: DataFrame, asking: bool = False) -> DataFrame:
+    """Chunks of texts: doc_id, key, text, label (0, 1 or null) and fold (0 to FOLDS - 1).
+    Those that ask about labelled texts of others have numbers below 0."""
 
-    table: DataFrame
-    weighing: list[Weighing]
-    n_blocks: int
-    n_groups: int
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, hashes, tables, size = TaskContext.get().partitionId() << 32, [], [], 0
 
+        def chunk() -> pa.RecordBatch:
+            words = np.concatenate([h for h, _ in hashes])
+            names, codes, counts = np.unique(words, return_inverse=True, return_counts=True)
+            order = np.argsort(-counts, kind="stable")  # small numbers for frequent words
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order))
+            sink = pa.BufferOutputStream()
+            table = pa.concat_tables(tables)
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+                writer.write_table(table)
+            row = (-1 - number if asking else number, sum(n for _, n in hashes), names[order].tobytes(), _planes(rank[codes][:, None]), sink.getvalue().to_pybytes())
+            return _rows([row], _CHUNKS).to_batches()[0]
 
-def sized(docs: DataFrame) -> tuple[int, int]:
-    """The numbers of blocks and groups for these texts."""
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    return -(-chars // CHARS_PER_BLOCK) or 1, -(-chars // CHARS_PER_GROUP) or 1
+        for batch in (part for whole in batches for part in slices(whole)):
+            found = batch.column("text").to_pylist()
+            words, places = words_of(found)
+            hashes.append((words, sum(len(t or "") for t in found)))
+            mask = [0 if y is None else 1 << FOLDS * y + f for y, f in zip(batch.column("label").to_pylist(), batch.column("fold").to_pylist(), strict=True)]
+            table = pa.Table.from_batches([batch]).drop_columns(["text", "fold"])
+            table = table.append_column("size", pa.array(np.bincount(places, minlength=len(found)), pa.int64()))
+            tables.append(table.append_column("mask", pa.array(mask, pa.uint8())))
+            size += len(words)
+            if size >= WORDS_AT_ONCE or sum(t.num_rows for t in tables) >= ROWS_AT_ONCE:
+                yield chunk()
+                number, hashes, tables, size = number + 1, [], [], 0
+        if tables:
+            yield chunk()
+        release()
 
+    rows = rows.select("doc_id", "key", "text", F.col("label").cast("int"), F.col("fold").cast("int"))
+    return checkpointed(rows.mapInArrow(work, "chunk bigint, chars bigint, names binary, codes binary, rows binary"))
 
-def counted(labelled: DataFrame, n_blocks: int, n_groups: int) -> Counts:
-    """Counts of labelled texts: label (0 or 1), fold (0 to FOLDS - 1) and text."""
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, places, masks, size, texts = [], [], [], 0, 0
-        for batch in (part for whole in batches for part in slices(whole)):
-            found, of = words_of(batch.column("text").to_pylist())
-            words.append(found)
-            places.append(of + texts)
-            masks.append(1 << (FOLDS * batch.column("label").to_numpy() + batch.column("fold").to_numpy()))
-            size, texts = size + len(found), texts + batch.num_rows
-            if size >= WORDS_AT_ONCE:
-                yield from _sent(np.concatenate(words), np.concatenate(places), np.concatenate(masks).astype(np.uint8), n_blocks).to_batches()
-                words, places, masks, size, texts = [], [], [], 0, 0
-        if size:
-            yield from _sent(np.concatenate(words), np.concatenate(places), np.concatenate(masks).astype(np.uint8), n_blocks).to_batches()
+def _each_chunk(chunks: DataFrame, work: Callable[[Chunk], pa.Table], schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from work(Chunk(pa.Table.from_batches([batch.slice(k, 1)]))).to_batches()
         release()
 
-    sent = labelled.select(F.col("label").cast("int"), F.col("fold").cast("int"), "text").mapInArrow(send, _SCHEMA)
-    work = freed(lambda table: _block_counts(table, n_blocks))
-    by_block = checkpointed(sent.groupBy("kind", "block").applyInArrow(work, _SCHEMA))
-    words = by_block.where(F.col("kind") == STATISTICS).groupBy("block").applyInArrow(freed(_word_counts), _SCHEMA)
-    words = checkpointed(words)
-    sums = {PAIRS: np.zeros((6, 3 * MODELS), np.int64), STATISTICS: np.zeros((6, 2 * MODELS), np.int64), WORDS: np.zeros(MODELS, np.int64)}
-    for row in by_block.unionByName(words).where(F.col("kind") == SUMS).select("block", "values").collect():
+    return chunks.mapInArrow(run, schema)
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def measured(chunks: DataFrame, measure: Callable[[np.ndarray, np.ndarray, int], np.ndarray], names: tuple[str, ...], doc_id: str) -> DataFrame:
+    """doc_id, key, size and label of the rows of chunks (if some ask: of these), and what
+    `measure` makes of their log ratios: by the model of all, and (apart_) by that without the
+    row's fold."""
+    chars, least = chunks.agg(F.sum("chars"), F.min("chunk")).first()
+    n_blocks = -(-(chars or 0) // CHARS_PER_BLOCK) or 1
+    of_blocks, of_sums, of_ends = (min(n, n_blocks) for n in SLICES)
+    number = F.when(F.col("chunk") < 0, -1 - F.col("chunk")).otherwise(F.col("chunk"))
+    slice_ = F.shiftright(number, 32) + number % (1 << 32)
+
+    def pairs(part: int) -> DataFrame:
+        sent = _each_chunk(chunks, lambda chunk: chunk.sent(n_blocks, part, of_blocks), _SENT)
+        return checkpointed(sent.groupBy("block").applyInArrow(freed(_pair_block), _ANSWERS))
+
+    def words(part: int) -> DataFrame:
+        own = chunks.where(slice_ % of_sums == part).groupBy("chunk").cogroup(of_pairs.where((slice_ % of_sums == part) & (F.col("kind") != SUMS)).groupBy("chunk"))
+        sent = own.applyInArrow(freed_pair(lambda chunk, answers: Chunk(chunk).words_sent(answers, n_blocks)), _SENT)
+        return checkpointed(sent.groupBy("block").applyInArrow(freed(_word_sums), _SENT))
+
+    of_pairs = _united([pairs(part) for part in range(of_blocks)])
+    added = _united([words(part) for part in range(of_sums)])
+    totals = checkpointed(added.groupBy("block").applyInArrow(freed(_word_totals), _SENT))
+    del added
+    sums = {PAIRS: np.zeros((6, 3 * MODELS), np.int64), WORDS: np.zeros(6 * 2 * MODELS + MODELS, np.int64)}
+    of_words = totals.where(F.col("chunk") == SUMS).select(F.lit(WORDS).alias("block"), "values")
+    for row in of_pairs.where(F.col("kind") == SUMS).select("block", "values").unionByName(of_words).collect():
         sums[row["block"]] += np.frombuffer(row["values"], np.int64).reshape(sums[row["block"]].shape)
-    weighing = [_weighing(sums[PAIRS], sums[STATISTICS], int(sums[WORDS][m]), m) for m in range(MODELS)]
-    pairs = by_block.where(F.col("kind") == PAIRS).select("block", "keys", "values")
-    of_words = words.where(F.col("kind") == STATISTICS).select((F.col("block") + n_blocks).alias("block"), "keys", "values")
-    return Counts(pairs.unionByName(of_words), weighing, n_blocks, n_groups)
-
-
-def _asked(words: np.ndarray, inside: np.ndarray, group: int, n_blocks: int) -> list[pa.Table]:
-    """The pairs and the words of a group's texts, dealt to their blocks."""
-    pairs = dealt(np.unique(pair_keys(words[inside], words[inside + 1])), None, group, n_blocks)
-    own = dealt(np.unique(words), None, group, n_blocks)
-    shifted = pa.array([block + n_blocks for block in own.column("block").to_pylist()], pa.int64())
-    return [pairs, own.set_column(0, "block", shifted)]
-
-
-def _ratios(words: np.ndarray, places: np.ndarray, answers: pa.Table, weighing: Weighing, n_blocks: int) -> np.ndarray:
-    """The log ratio of each word of some texts after the one before it."""
-
-    found = dict(zip(answers.column("block").to_pylist(), answers.column("values").to_pylist(), strict=True))
-
-    def answered(asked: pa.Table, kind: type, width: int) -> tuple[np.ndarray, np.ndarray]:
-        keys, numbers = [np.zeros(0, np.uint64)], [np.zeros((0, width), kind)]
-        for block, sent in zip(asked.column("block").to_pylist(), asked.column("keys").to_pylist(), strict=True):
-            if block in found:
-                part = np.frombuffer(zlib.decompress(found[block]), kind).reshape(width, -1).T
-                kept = part.any(1)
-                keys.append(np.frombuffer(sent, np.uint64)[kept])
-                numbers.append(part[kept])
-        keys, numbers = np.concatenate(keys), np.concatenate(numbers)
-        order = np.argsort(keys)
-        return keys[order], numbers[order]
-
-    inside = np.flatnonzero(places[1:] == places[:-1])
-    of_pairs, of_words = _asked(words, inside, 0, n_blocks)
-    table, values = answered(of_words, np.float32, 8)
-    at, known = looked_up(table, words)
-    total = np.full(len(words), weighing.unseen_ratio)
-    total[known] = _ratio(values[:, :2].astype(float))[at[known]]
-    after = inside[known[inside]]
-    total[after + 1] += _ratio(values[:, 4:6].astype(float))[at[after]]
-    table, counts = answered(of_pairs, np.uint32, 2)
-    pair, seen = looked_up(table, pair_keys(words[inside], words[inside + 1]))
-    left = inside[seen]
-    total[left + 1] = weighing.of_pairs(counts[pair[seen]].astype(np.int64), values[at[left]], values[at[left + 1]])
-    return total
-
-
-def applied(rows: DataFrame, counts: Counts, fold: str | None, work: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table], schema: str) -> DataFrame:
-    """What `work` makes of groups of rows, the log ratios of their texts' words and the
-    place of each word's row. `fold` is a column with the model that leaves that fold out."""
-    n_blocks, weighing = counts.n_blocks, counts.weighing
-    number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(counts.n_groups))
-    grouped = rows.withColumn("group_", number * MODELS + (F.col(fold) if fold else F.lit(FOLDS)))
-
-    def ask(table: pa.Table) -> pa.Table:
-        words, places = words_of(table.column("text").to_pylist())
-        inside = np.flatnonzero(places[1:] == places[:-1])
-        return pa.concat_tables(_asked(words, inside, table.column("group_")[0].as_py(), n_blocks))
-
-    def answer(asked: pa.Table, entries: pa.Table) -> pa.Table:
-        rows: list[tuple[int, int, bytes]] = []
-        if asked.num_rows and entries.num_rows:
-            block = asked.column("block")[0].as_py()
-            keys, numbers = _unpacked(entries, 2 * MODELS if block < n_blocks else _PARTS[-1])
-            order = np.argsort(keys)
-            keys, numbers = keys[order], numbers[order]
-            for group, wanted in zip(asked.column("group").to_pylist(), asked.column("keys").to_pylist(), strict=True):
-                m = group % MODELS
-                at, there = looked_up(keys, np.frombuffer(wanted, np.uint64))
-                if block < n_blocks:
-                    values = numbers[at].reshape(-1, 2, MODELS)[:, :, m]
-                else:
-                    ends, contexts, levels, both = np.split(numbers[at], _PARTS[:-1], axis=1)
-                    ends, contexts = ends.reshape(-1, 2, MODELS)[..., m], contexts.reshape(-1, 2, MODELS)[..., m]
-                    values = weighing[m].of_words(ends, contexts, levels.reshape(-1, 3, 2, MODELS)[..., m], both.reshape(-1, 3, MODELS)[..., m])
-                    there &= ends.any(1) | contexts.any(1)
-                # In the order of what was asked; all 0: not in this model.
-                values = np.where(there[:, None], values, 0).astype(values.dtype)
-                rows.append((group, block, zlib.compress(values.T.tobytes(), 1)))
-        columns = list(zip(*rows, strict=True)) or [(), (), ()]
-        return pa.table({c: pa.array(v, k) for c, k, v in zip(("group_", "block", "values"), (pa.int64(), pa.int64(), pa.binary()), columns, strict=True)})
-
-    def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
-        words, places = words_of(table.column("text").to_pylist())
-        m = table.column("group_")[0].as_py() % MODELS
-        return work(table.drop_columns(["group_"]), _ratios(words, places, answers, weighing[m], n_blocks), places)
-
-    asked = grouped.groupBy("group_").applyInArrow(freed(ask), "block bigint, group bigint, keys binary")
-    answers = asked.groupBy("block").cogroup(counts.table.groupBy("block")).applyInArrow(freed_pair(answer), "group_ bigint, block bigint, values binary")
-    return grouped.groupBy("group_").cogroup(answers.groupBy("group_")).applyInArrow(freed_pair(finish), schema)
+    ends, n_words = sums[WORDS][:-MODELS].reshape(6, 2 * MODELS), sums[WORDS][-MODELS:]
+    weighing = [_weighing(sums[PAIRS], ends, int(n_words[m]), m) for m in range(MODELS)]
+
+    def finish(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk = Chunk(chunk)
+        values = np.zeros((2, chunk.rows.num_rows, len(names)))
+        for m, (rows, ratios, places) in enumerate(chunk.ratios(answers, weighing)):
+            values[int(m < FOLDS), rows] = measure(ratios, places, len(rows))
+        columns = [pa.array(column) for model in values for column in model.T]
+        return pa.table([*(chunk.rows.column(c) for c in ("doc_id", "key", "size", "label")), *columns], names=["doc_id", "key", "size", "label", *names, *(f"apart_{c}" for c in names)])
+
+    schema = ", ".join([f"doc_id {doc_id}", "key bigint, size bigint, label int", *(f"{c} double" for c in names), *(f"apart_{c} double" for c in names)])
+    asking = F.col("chunk") < 0 if (least or 0) < 0 else F.lit(True)
+
+    def finished(part: int) -> DataFrame:
+        own = chunks.where((slice_ % of_ends == part) & asking)
+        asked = _each_chunk(own, lambda chunk: chunk.words_asked(n_blocks), _SENT)
+        of_words = asked.groupBy("block").cogroup(totals.where(F.col("chunk") == WORDS).groupBy("block")).applyInArrow(freed_pair(_word_answers), _ANSWERS)
+        answers = of_pairs.where((F.col("kind") != SUMS) & (slice_ % of_ends == part) & asking).unionByName(of_words)
+        return checkpointed(own.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(freed_pair(finish), schema))
+
+    return _united([finished(part) for part in range(of_ends)])

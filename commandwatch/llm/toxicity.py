@@ -10,7 +10,9 @@ other two), from the mean log ratio of the two likelihoods and, beside it, means
 far above, above and below the text's median word.
 
 Counts and calibration are learned from all labelled texts, in Spark jobs (`kneser_ney`);
-every whole text is scored. `fitted` makes the same models of a few texts in memory.
+every whole text is scored. The jobs that learn also measure all texts of their table, so that
+scoring these takes no more jobs; other texts are measured with the labelled ones beside them.
+`fitted` makes the same models of a few texts in memory.
 
 Results: a null or empty text has no words; its mean log ratio is 0 and its score what the
 calibration gives for that. Without labelled rows of both classes every score is the share of
@@ -20,6 +22,7 @@ no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .kneser_ney import FOLDS, Counts, applied, counted, discounts, looked_up, pair_keys, plain_words, sized
+from .kneser_ney import FOLDS, chunked, discounts, looked_up, measured, pair_keys, plain_words
 from .labelled import in_folds, labelled_sample, logistic, logistic_of, probability
-from .spark_io import checkpointed, texts
+from .spark_io import checkpointed, texts, without_leftovers
 
 STRONG = 2.0  # log ratio
 TOXIC_FROM = 0.3
@@ -165,10 +168,13 @@ def fitted(sample: list[tuple[int, str]]) -> KneserNey:
 
 @dataclass
 class Model:
-    """Counts (none without texts of both classes) and the weights of the calibration."""
+    """The weights of the calibration, the texts it was fitted on and their evidence (none
+    without texts of both classes)."""
 
-    counts: Counts | None
     weights: np.ndarray
+    docs: DataFrame
+    chunks: DataFrame | None = None
+    known: DataFrame | None = None
 
 
 def evidence(ratios: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
@@ -176,7 +182,11 @@ def evidence(ratios: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
     sizes = np.bincount(places, minlength=n)
     filled, starts = sizes > 0, np.cumsum(sizes) - sizes
     means = lambda x: np.bincount(places, weights=x, minlength=n) / np.maximum(sizes, 1)
-    ordered, medians = ratios[np.lexsort((ratios, places))], np.zeros(n)
+    if len(ratios) > 100 * n:
+        ordered = np.concatenate([np.sort(own) for own in np.split(ratios, starts[1:])])
+    else:
+        ordered = ratios[np.lexsort((ratios, places))]
+    medians = np.zeros(n)
     low, high = starts[filled] + (sizes[filled] - 1) // 2, starts[filled] + sizes[filled] // 2
     medians[filled] = (ordered[low] + ordered[high]) / 2
     from_median = ratios - medians[places]
@@ -184,51 +194,68 @@ def evidence(ratios: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
     return np.column_stack([means(ratios), strong, means(np.maximum(from_median, 0)) - strong, means(np.maximum(-from_median, 0))])
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return texts(docs).withColumn("key", F.xxhash64("doc_id", "text"))
+
+
+def _measured(chunks: DataFrame, docs: DataFrame) -> DataFrame:
+    return measured(chunks, evidence, EVIDENCE, docs.schema["doc_id"].dataType.simpleString())
+
+
 def fit(docs: DataFrame, labels: DataFrame, unseen: Column) -> Model:
-    """Counts of all labelled texts, and weights from each text's evidence by the counts
-    without its fold."""
-    folds = checkpointed(in_folds(labelled_sample(docs, labels, "toxic", unseen), FOLDS))
-    numbers = {row["label"]: row["count"] for row in folds.groupBy("label").count().collect()}
-    if len(numbers) < 2:
-        return Model(None, np.array([*[0.0] * 7, 30.0 if numbers.get(1) else -30.0]))
-    if sum(numbers.values()) <= MOST_BROADCAST:  # their texts need not be shuffled to meet them
-        folds = F.broadcast(folds)
-    folded = texts(docs).join(folds, "doc_id").select("doc_id", "label", "fold", "text")
-    counts = counted(folded, *sized(docs))
-
-    def work(table: pa.Table, ratios: np.ndarray, places: np.ndarray) -> pa.Table:
-        columns = [pa.array(c) for c in evidence(ratios, places, table.num_rows).T]
-        sizes = np.bincount(places, minlength=table.num_rows)
-        return pa.table([table.column("doc_id"), pa.array(sizes), table.column("label"), *columns], names=["doc_id", "size", "label", *EVIDENCE])
-
-    values = applied(folded, counts, "fold", work, ", ".join(["doc_id bigint, size bigint, label int", *(f"{name} double" for name in EVIDENCE)]))
-    # Repeated rows of a document are one: the longest.
-    longest = values.groupBy("doc_id").agg(F.max(F.struct("size", "label", *EVIDENCE)).alias("row"))
-    return Model(counts, logistic_of(checkpointed(longest.select("row.label", *(f"row.{name}" for name in EVIDENCE))), calibrated, 7))
-
-
-def _scored(rows: DataFrame, model: Model) -> DataFrame:
-    """The rows with a column `score_` more."""
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "score_ double"])
+    """Evidence of all texts by the counts of all labelled ones, and weights from each labelled
+    text's evidence by the counts without its fold."""
+    with without_leftovers(docs.sparkSession):
+        folds = checkpointed(in_folds(labelled_sample(docs, labels, "toxic", unseen), FOLDS))
+        numbers = {row["label"]: row["count"] for row in folds.groupBy("label").count().collect()}
+        if len(numbers) < 2:
+            return Model(np.array([*[0.0] * 7, 30.0 if numbers.get(1) else -30.0]), docs)
+        if sum(numbers.values()) <= MOST_BROADCAST:  # the texts need not be shuffled to meet them
+            folds = F.broadcast(folds)
+        chunks = chunked(_keyed(docs).join(folds, "doc_id", "left"))
+        known = _measured(chunks, docs)
+        # Repeated rows of a document are one: the longest.
+        apart = F.struct("size", "label", *(F.col(f"apart_{name}").alias(name) for name in EVIDENCE))
+        longest = known.where(F.col("label").isNotNull()).groupBy("doc_id").agg(F.max(apart).alias("row"))
+        rows = checkpointed(longest.select("row.label", *(f"row.{name}" for name in EVIDENCE)))
+        return Model(logistic_of(rows, calibrated, 7), docs, chunks, known)
+
+
+def _scored(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, key and score of the texts."""
     weights = model.weights
-    if model.counts is None:
-        return rows.withColumn("score_", F.lit(float(probability(np.zeros((1, 7)), weights)[0])))
+    if model.chunks is None:
+        return _keyed(docs).select("doc_id", "key", F.lit(float(probability(np.zeros((1, 7)), weights)[0])).alias("score"))
+    known = model.known
+    if docs is not model.docs:
+        with without_leftovers(docs.sparkSession):
+            fresh = _keyed(docs).select("*", F.lit(None).cast("int").alias("label"), F.lit(None).cast("int").alias("fold"))
+            known = _measured(model.chunks.unionByName(chunked(fresh, asking=True)), docs)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = np.column_stack([batch.column(name).to_numpy() for name in EVIDENCE])
+        scores = probability(calibrated(values), weights)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(scores)], ["doc_id", "key", "score"])
 
-    def work(table: pa.Table, ratios: np.ndarray, places: np.ndarray) -> pa.Table:
-        scores = probability(calibrated(evidence(ratios, places, table.num_rows)), weights)
-        return table.append_column("score_", pa.array(scores, pa.float64()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(work, batches)
 
-    return applied(rows, model.counts, None, work, schema)
+    doc_id = known.schema["doc_id"].dataType.simpleString()
+    return known.select("doc_id", "key", *EVIDENCE).mapInArrow(run, f"doc_id {doc_id}, key bigint, score double")
 
 
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score of every text."""
-    return _scored(texts(docs), model).select("doc_id", F.col("score_").alias("score"))
+    return _scored(docs, model).select("doc_id", "score")
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = TOXIC_FROM) -> DataFrame:
     """The rows whose text scores less than the threshold, with all their columns."""
-    return _scored(docs, model).where(F.col("score_") < threshold).select(*docs.columns)
+    toxic = checkpointed(_scored(docs, model).where(F.col("score") >= threshold).select("key").distinct())
+    if toxic.count() <= MOST_BROADCAST:
+        toxic = F.broadcast(toxic)
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    return docs.withColumn("key_", key).join(toxic.withColumnRenamed("key", "key_"), "key_", "left_anti").select(*docs.columns)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, unseen: Column) -> DataFrame:

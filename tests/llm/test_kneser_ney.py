@@ -1,12 +1,15 @@
 """Toxicity models counted by Spark over all labelled texts, against the same counts in memory."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from commandwatch.llm import kneser_ney, toxicity
-from commandwatch.llm.spark_io import prepare
+from commandwatch.llm.spark_io import checkpointed, prepare, without_leftovers
 from commandwatch.llm.words import utf8, word_hashes
 
 
@@ -44,3 +47,54 @@ def test_repeated_rows_weigh_once(spark):
     labels = spark.createDataFrame([(k, k % 2) for k in range(200)] * 2, "doc_id bigint, toxic int")
     fits = [toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), labels, F.lit(False)) for rows in (table, table + table[::3])]
     assert list(fits[0].weights) == pytest.approx(list(fits[1].weights), abs=1e-6)
+
+
+def test_texts_score_alike_known_or_fresh(spark, monkeypatch):
+    """Texts of the fitted table have their scores from the fit; all others are measured anew."""
+    prepare(spark)
+    for name, value in (("CHARS_PER_BLOCK", 3_000), ("WORDS_AT_ONCE", 700)):
+        monkeypatch.setattr(kneser_ney, name, value)
+    rng = random.Random(11)
+    rows = [(k, made(rng, k % 2 == 1)) for k in range(400)]
+    rows += [*rows[:9], (None, "blarg snork"), (None, "w1 w2"), (None, None), (7, "blarg " * 12), (400, ""), (401, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, F.col("doc_id") % 5 == 0)
+    found = [sorted((str(r["doc_id"]), r["score"]) for r in toxicity.toxicity(d, model).collect()) for d in (docs, docs.select("doc_id", "text"))]
+    assert len(found[0]) == len(rows) and [k for k, _ in found[0]] == [k for k, _ in found[1]]
+    assert [s for _, s in found[0]] == pytest.approx([s for _, s in found[1]], abs=1e-9)
+    kept = toxicity.without_toxic(docs, model).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == [k for k, s in found[0] if s < toxicity.TOXIC_FROM]
+
+
+def test_memory_of_a_block_and_bytes_sent_follow_its_pairs(spark):
+    rng = np.random.default_rng(3)
+    names = np.unique(rng.integers(0, 1 << 63, 40_000, dtype=np.uint64) * np.uint64(2))
+    codes = np.minimum(rng.zipf(1.2, 300_000), len(names)) - 1
+    sink = pa.BufferOutputStream()
+    rows = pa.table({"doc_id": [1, 2, 3], "key": [1, 2, 3], "label": [0, 1, None], "size": [100_000] * 3, "mask": pa.array([1, 16, 0], pa.uint8())})
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write_table(rows)
+    chunk = kneser_ney.Chunk(kneser_ney._rows([(5, 1, names.tobytes(), kneser_ney._planes(codes[:, None]), sink.getvalue().to_pybytes())], kneser_ney._CHUNKS))
+    assert (chunk.codes == codes).all()
+    sent, pairs = chunk.sent(1, 0, 1), len(np.unique(chunk.pairs))
+    tracemalloc.start()
+    answers = kneser_ney._pair_block(sent)
+    words = chunk.words_sent(answers, 1)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 700 * pairs  # 52 numbers of 32 bits for both words of each pair were more
+    assert sum(len(x) for c in ("keys", "values") for x in sent.column(c).to_pylist()) < 16 * pairs
+    assert sum(len(x) for x in answers.column("values").to_pylist()) < 3 * pairs
+    assert words.num_rows == 1
+
+
+def test_jobs_remove_their_shuffle_files(spark):
+    with without_leftovers(spark):
+        df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        checkpointed(df)
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    with without_leftovers(spark):
+        checkpointed(df.groupBy("count").count())
+    assert tracker.shuffleStatuses().size() <= before
