@@ -40,6 +40,7 @@ MODELS = FOLDS + 1  # without one fold each, and the whole
 CHARS_PER_BLOCK = 12_000_000
 WORDS_AT_ONCE = 1 << 20  # in a chunk, but for one long text
 ROWS_AT_ONCE = 100_000
+PAIRS_AT_ONCE = 1 << 16
 SLICES = 3, 4, 12  # of blocks, of chunks that send sums, of chunks that end
 DISCOUNT = 0.75
 PAIRS, WORDS, SUMS = range(3)
@@ -248,16 +249,17 @@ class Chunk:
         own = np.flatnonzero(counts[:, -1])
         counts, right = counts[own, :-1], self.right[first[own]]
         n, left, right = len(self.names), self.codes[right - 1], self.codes[right]
-        columns = [np.bincount(right[counts[:, k] > 0], minlength=n) for k in range(2 * MODELS)]
-        columns += [np.bincount(left, weights=counts[:, k], minlength=n) for k in range(2 * MODELS)]
-        both = counts[:, :MODELS] + counts[:, MODELS:]
-        for numbers in (counts, both):
-            for level in (numbers == 1, numbers == 2, numbers >= 3):
-                columns += [np.bincount(left[column], minlength=n) for column in level.T]
-        of_words, bits = self.masks[self.places], np.zeros(n, np.uint32)
+        values, both = np.zeros((n, _PARTS[-1] + 1), np.uint32), counts[:, :MODELS] + counts[:, MODELS:]
+        for k in range(2 * MODELS):
+            values[:, k] = np.bincount(right[counts[:, k] > 0], minlength=n)
+            values[:, _PARTS[0] + k] = np.bincount(left, weights=counts[:, k], minlength=n)
+        for first, numbers in ((_PARTS[1], counts), (_PARTS[2], both)):
+            for level, of_level in enumerate((numbers == 1, numbers == 2, numbers >= 3)):
+                for k, column in enumerate(of_level.T):
+                    values[:, first + level * numbers.shape[1] + k] = np.bincount(left[column], minlength=n)
+        of_words = self.masks[self.places]
         for bit in np.unique(self.masks[self.masks > 0]).tolist():
-            bits[self.codes[of_words == bit]] |= np.uint32(bit)
-        values = np.stack([*columns, bits], 1).astype(np.uint32)
+            values[self.codes[of_words == bit], -1] |= np.uint32(bit)
         order = np.argsort(self.names)
         names, values = self.names[order], values[order]
         return _rows([(number, self.number, _packed(names[own]), _coded(values[own])) for number, own in _blocks(names, n_blocks)], _SENT_ARROW)
@@ -289,7 +291,8 @@ class Chunk:
             after = right[known[codes[right - 1]]]
             total[after] += _ratio(of_words[:, 4:6].astype(float))[codes[after - 1]]
             seen = right[counts.any(1)[pair_of[right]]]
-            total[seen] = weigh.of_pairs(counts[pair_of[seen]].astype(np.int64), of_words[codes[seen - 1]], of_words[codes[seen]])
+            for part in (seen[k : k + PAIRS_AT_ONCE] for k in range(0, len(seen), PAIRS_AT_ONCE)):
+                total[part] = weigh.of_pairs(counts[pair_of[part]].astype(np.int64), of_words[codes[part - 1]], of_words[codes[part]])
             yield np.flatnonzero(chosen), total, (np.cumsum(chosen) - 1)[self.places[inside]]
 
 
