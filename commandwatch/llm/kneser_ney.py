@@ -16,7 +16,8 @@ as Spark jobs:
 
 No task has more than a block or a chunk; all counts are kept. The jobs run in SLICES, each for
 some of the blocks or chunks, and remove their shuffle files, so that the disk holds the chunks,
-the answers, and what one slice sends.
+the answers, and what one slice sends. As the answers add up, each slice of blocks is smaller than
+the one before.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ CHARS_PER_BLOCK = 12_000_000
 WORDS_AT_ONCE = 1 << 20  # in a chunk, but for one long text
 ROWS_AT_ONCE = 100_000
 PAIRS_AT_ONCE = 1 << 16
-SLICES = 3, 4, 12  # of blocks, of chunks that send sums, of chunks that end
+SLICES = 4, 6, 16  # of blocks, of chunks that send sums, of chunks that end
+ANSWERED = 0.26  # bytes answered for a byte sent by the chunks, in a trial
 DISCOUNT = 0.75
 PAIRS, WORDS, SUMS = range(3)
 _SENT = "block bigint, chunk bigint, keys binary, values binary"
@@ -178,6 +180,28 @@ def _of_bytes(data: bytes) -> np.ndarray:
     return numbers.view(np.uint64)[:, 0]
 
 
+def _named(names: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted word hashes and how often each occurs."""
+    packed = _packed(names)
+    return np.int64(len(packed)).tobytes() + packed + _planes(counts[:, None])
+
+
+def _by_count(counts: np.ndarray) -> np.ndarray:
+    return np.argsort(-counts.astype(np.int64), kind="stable")  # small numbers for frequent words
+
+
+def _of_named(data: bytes) -> np.ndarray:
+    """The word hashes in the order of their numbers."""
+    size = 8 + int(np.frombuffer(data, np.int64, 1)[0])
+    return _unpacked(data[8:size])[_by_count(_of_planes(data[size:], 1)[:, 0])]
+
+
+def _slices_of_blocks(n_blocks: int, parts: int) -> np.ndarray:
+    """The slice of each block: with the answers of those before, all take the same on the disk."""
+    shares = np.cumsum((1 + ANSWERED) ** -np.arange(parts, dtype=float))
+    return np.searchsorted(shares / shares[-1], (np.arange(n_blocks) + 0.5) / n_blocks, "right")
+
+
 def _blocks(keys: np.ndarray, n_blocks: int) -> Iterator[tuple[int, slice]]:
     """The blocks of sorted hashes, which have a range each, and the places of each one's."""
     block = (keys >> np.uint64(32)) * np.uint64(n_blocks) >> np.uint64(32)
@@ -213,10 +237,16 @@ class Chunk:
         self.right = np.flatnonzero(self.places[1:] == self.places[:-1]) + 1
         self.pairs = pair_keys(self.names[self.codes[self.right - 1]], self.names[self.codes[self.right]])
 
+    @classmethod
+    def stored(cls, table: pa.Table) -> Chunk:
+        """A chunk as `chunked` has written it, with its words packed."""
+        names = _of_named(table.column("names")[0].as_py()).tobytes()
+        return cls(table.set_column(table.schema.get_field_index("names"), "names", pa.array([names], pa.binary())))
+
     def sent(self, n_blocks: int, part: int, parts: int) -> pa.Table:
         """Distinct pairs for the blocks of one slice, and the labelled words before them."""
         block = (self.pairs >> np.uint64(32)) * np.uint64(n_blocks) >> np.uint64(32)
-        here = np.flatnonzero(block % np.uint64(parts) == part)
+        here = np.flatnonzero(_slices_of_blocks(n_blocks, parts)[block] == part)
         right, pairs = self.right[here], self.pairs[here]
         names, _, at = _distinct(pairs)
         # A pair counts once for each word before it: copies of a text count once.
@@ -433,14 +463,14 @@ def chunked(rows: DataFrame, asking: bool = False) -> DataFrame:
         def chunk() -> pa.RecordBatch:
             words = np.concatenate([h for h, _ in hashes])
             names, codes, counts = np.unique(words, return_inverse=True, return_counts=True)
-            order = np.argsort(-counts, kind="stable")  # small numbers for frequent words
+            order = _by_count(counts)
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order))
             sink = pa.BufferOutputStream()
             table = pa.concat_tables(tables)
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
                 writer.write_table(table)
-            row = (-1 - number if asking else number, sum(n for _, n in hashes), names[order].tobytes(), _planes(rank[codes][:, None]), sink.getvalue().to_pybytes())
+            row = (-1 - number if asking else number, sum(n for _, n in hashes), _named(names, counts), _planes(rank[codes][:, None]), sink.getvalue().to_pybytes())
             return _rows([row], _CHUNKS).to_batches()[0]
 
         for batch in (part for whole in batches for part in slices(whole)):
@@ -467,7 +497,7 @@ def _each_chunk(chunks: DataFrame, work: Callable[[Chunk], pa.Table], schema: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                yield from work(Chunk(pa.Table.from_batches([batch.slice(k, 1)]))).to_batches()
+                yield from work(Chunk.stored(pa.Table.from_batches([batch.slice(k, 1)]))).to_batches()
         release()
 
     return chunks.mapInArrow(run, schema)
@@ -493,7 +523,7 @@ def measured(chunks: DataFrame, measure: Callable[[np.ndarray, np.ndarray, int],
 
     def words(part: int) -> DataFrame:
         own = chunks.where(slice_ % of_sums == part).groupBy("chunk").cogroup(of_pairs.where((slice_ % of_sums == part) & (F.col("kind") != SUMS)).groupBy("chunk"))
-        sent = own.applyInArrow(freed_pair(lambda chunk, answers: Chunk(chunk).words_sent(answers, n_blocks)), _SENT)
+        sent = own.applyInArrow(freed_pair(lambda chunk, answers: Chunk.stored(chunk).words_sent(answers, n_blocks)), _SENT)
         return checkpointed(sent.groupBy("block").applyInArrow(freed(_word_sums), _SENT))
 
     of_pairs = _united([pairs(part) for part in range(of_blocks)])
@@ -508,7 +538,7 @@ def measured(chunks: DataFrame, measure: Callable[[np.ndarray, np.ndarray, int],
     weighing = [_weighing(sums[PAIRS], ends, int(n_words[m]), m) for m in range(MODELS)]
 
     def finish(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = Chunk(chunk)
+        chunk = Chunk.stored(chunk)
         values = np.zeros((2, chunk.rows.num_rows, len(names)))
         for m, (rows, ratios, places) in enumerate(chunk.ratios(answers, weighing)):
             values[int(m < FOLDS), rows] = measure(ratios, places, len(rows))

@@ -89,6 +89,43 @@ def test_memory_of_a_block_and_bytes_sent_follow_its_pairs(spark):
     assert words.num_rows == 1
 
 
+def test_slices_of_blocks_leave_room_for_the_answers_of_those_before(spark):
+    rng = np.random.default_rng(4)
+    names = np.unique(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64) * np.uint64(2))
+    codes = np.minimum(rng.zipf(1.2, 200_000), len(names)) - 1
+    sink = pa.BufferOutputStream()
+    rows = pa.table({"doc_id": [1, 2], "key": [1, 2], "label": [0, 1], "size": [100_000] * 2, "mask": pa.array([1, 16], pa.uint8())})
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write_table(rows)
+    chunk = kneser_ney.Chunk(kneser_ney._rows([(5, 1, names.tobytes(), kneser_ney._planes(codes[:, None]), sink.getvalue().to_pybytes())], kneser_ney._CHUNKS))
+    for n_blocks in (1, 3, 5, 60):
+        parts = min(kneser_ney.SLICES[0], n_blocks)
+        slices = [chunk.sent(n_blocks, part, parts) for part in range(parts)]
+        blocks = [b for sent in slices for b in sent.column("block").to_pylist()]
+        assert sorted(blocks) == list(range(n_blocks))
+        keys = [kneser_ney._unpacked(x) for sent in slices for x in sent.column("keys").to_pylist()]
+        assert sorted(np.concatenate(keys).tolist()) == np.unique(chunk.pairs).tolist()
+    moved = [sum(len(x) for c in ("keys", "values") for x in sent.column(c).to_pylist()) for sent in slices]
+    blocks = [[kneser_ney._pair_block(sent.slice(k, 1)) for k in range(sent.num_rows)] for sent in slices]
+    left = np.cumsum([sum(len(x) for answers in own for x in answers.column("values").to_pylist()) for own in blocks])
+    assert max(left + moved) < 0.5 * sum(moved)  # three slices alike took 0.6
+
+
+def test_chunks_are_written_small_and_read_whole(spark):
+    prepare(spark)
+    rng = random.Random(2)
+    made_of = [" ".join(f"n{rng.randrange(40_000)}" for _ in range(n)) for n in (0, 1, 30_000, 20_000)] + [None, " ", "a b a c a b"]
+    docs = spark.createDataFrame([(k, k, t, k % 2, k % 3) for k, t in enumerate(made_of)], "doc_id bigint, key bigint, text string, label int, fold int")
+    chunks = kneser_ney.chunked(docs.coalesce(1)).toArrow()
+    chunk = kneser_ney.Chunk.stored(chunks)
+    words, places = kneser_ney.words_of(made_of)
+    assert (chunk.names[chunk.codes] == words).all() and (chunk.places == places).all()
+    assert len(chunks.column("names")[0].as_py()) < 7 * len(chunk.names)  # hashes of eight bytes each were more
+    assert (np.diff(np.bincount(chunk.codes)) <= 0).all()
+    empty = kneser_ney.Chunk.stored(kneser_ney.chunked(docs.where("doc_id in (0, 4, 5)").coalesce(1)).toArrow())
+    assert len(empty.names) == len(empty.codes) == 0 and empty.rows.num_rows == 3
+
+
 def test_jobs_remove_their_shuffle_files(spark):
     with without_leftovers(spark):
         df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
