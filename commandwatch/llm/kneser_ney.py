@@ -135,29 +135,51 @@ def _planes(numbers: np.ndarray) -> bytes:
 def _of_planes(data: bytes, width: int) -> np.ndarray:
     n, size = np.frombuffer(data, np.int64, 2).tolist()
     found = np.frombuffer(pa.decompress(data[16:], n * size * width, "zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
-    found = np.ascontiguousarray(found.reshape(size, width, n).transpose(1, 2, 0))
-    return found.view(f"u{size}").reshape(width, n).T.astype(np.uint32, order="C")
+    found = found.reshape(size, width, n)
+    numbers = found[0].astype(np.uint32)
+    for k in range(1, size):
+        numbers |= found[k].astype(np.uint32) << np.uint32(8 * k)
+    return np.ascontiguousarray(numbers.T)
 
 
 def _coded(numbers: np.ndarray) -> bytes:
     """Rows of numbers, of which many are alike, as the distinct ones and their places."""
     if not len(numbers):
         return np.int64(0).tobytes() + _planes(numbers)
+    return _coded_rows(*_distinct_rows(numbers))
+
+
+def _distinct_rows(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows, and for each row its place among them."""
     _, first, number = _distinct(numbers.astype(np.uint64) @ _MARKS[: numbers.shape[1]])
-    if 2 * len(first) > len(numbers):
-        return np.int64(0).tobytes() + _planes(numbers)
-    order = np.argsort(-np.bincount(number), kind="stable")  # small numbers for frequent rows
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    rows = _planes(numbers[first[order]])
-    return np.int64(len(rows)).tobytes() + rows + _planes(rank[number][:, None])
+    return numbers[first], number
 
 
-def _of_coded(data: bytes, width: int) -> np.ndarray:
+def _coded_rows(rows: np.ndarray, number: np.ndarray) -> bytes:
+    """The same of rows of which the distinct ones are known."""
+    times = np.bincount(number, minlength=len(rows))
+    used = np.flatnonzero(times)
+    if 2 * len(used) > len(number):
+        return np.int64(0).tobytes() + _planes(rows[number])
+    used = used[np.argsort(-times[used], kind="stable")]  # small numbers for frequent rows
+    rank = np.empty(len(rows), np.int64)
+    rank[used] = np.arange(len(used))
+    packed = _planes(rows[used])
+    return np.int64(len(packed)).tobytes() + packed + _planes(rank[number][:, None])
+
+
+def _rows_of_coded(data: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows, and the place of each coded row among them."""
     size = int(np.frombuffer(data, np.int64, 1)[0])
     if not size:
-        return _of_planes(data[8:], width)
-    return _of_planes(data[8 : 8 + size], width)[_of_planes(data[8 + size :], 1)[:, 0]]
+        rows = _of_planes(data[8:], width)
+        return rows, np.arange(len(rows))
+    return _of_planes(data[8 : 8 + size], width), _of_planes(data[8 + size :], 1)[:, 0]
+
+
+def _of_coded(data: bytes, width: int) -> np.ndarray:
+    rows, number = _rows_of_coded(data, width)
+    return rows[number]
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -210,9 +232,10 @@ def _blocks(keys: np.ndarray, n_blocks: int) -> Iterator[tuple[int, slice]]:
         yield number, slice(low, high)
 
 
-def _sums(counts: np.ndarray) -> np.ndarray:
-    """Of counts by row: how many are 1, 2, 3, 4, how many 3 or more, and their sum."""
-    return np.stack([*((counts == k).sum(0) for k in (1, 2, 3, 4)), (counts >= 3).sum(0), counts.sum(0)]).astype(np.int64)
+def _sums(counts: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Of counts by row, and how often each row occurs: how many are 1, 2, 3, 4, how many 3 or
+    more, and their sum."""
+    return np.stack([times @ numbers for numbers in (*(counts == k for k in (1, 2, 3, 4)), counts >= 3, counts.astype(np.int64))]).astype(np.int64)
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -229,13 +252,28 @@ class Chunk:
     def __init__(self, table: pa.Table):
         self.number = table.column("chunk")[0].as_py()
         self.names = np.frombuffer(table.column("names")[0].as_py(), np.uint64)
-        self.codes = _of_planes(table.column("codes")[0].as_py(), 1)[:, 0].astype(np.int64)
         self.rows = pa.ipc.open_stream(table.column("rows")[0].as_py()).read_all()
-        self.places = np.repeat(np.arange(self.rows.num_rows), self.rows.column("size").to_numpy())
         self.masks = self.rows.column("mask").to_numpy()  # one bit for class and fold; 0: without a label
-        #: Of words with a word before them in the same text: their places, and the pairs.
-        self.right = np.flatnonzero(self.places[1:] == self.places[:-1]) + 1
-        self.pairs = pair_keys(self.names[self.codes[self.right - 1]], self.names[self.codes[self.right]])
+        self._codes = table.column("codes")[0].as_py()
+
+    @functools.cached_property
+    def codes(self) -> np.ndarray:
+        return _of_planes(self._codes, 1)[:, 0].astype(np.int64)
+
+    @functools.cached_property
+    def places(self) -> np.ndarray:
+        return np.repeat(np.arange(self.rows.num_rows), self.rows.column("size").to_numpy())
+
+    @functools.cached_property
+    def right(self) -> np.ndarray:
+        """Places of the words with a word before them in the same text."""
+        return np.flatnonzero(self.places[1:] == self.places[:-1]) + 1
+
+    @functools.cached_property
+    def pairs(self) -> np.ndarray:
+        """Those words with the words before them."""
+        names = self.names[self.codes]
+        return pair_keys(names[self.right - 1], names[self.right])
 
     @classmethod
     def stored(cls, table: pa.Table) -> Chunk:
@@ -313,14 +351,14 @@ class Chunk:
             chosen = np.ones(len(self.masks), bool) if m == FOLDS else self.masks & (1 << m | 1 << FOLDS + m) > 0
             inside = chosen[self.places]
             codes, pair_of = self.codes[inside], pair[inside]
-            known = ends[..., m].any(1) | contexts[..., m].any(1)
+            known = (ends[:, 0, m] | ends[:, 1, m] | contexts[:, 0, m] | contexts[:, 1, m]) > 0
             of_words = weigh.of_words(ends[..., m], contexts[..., m], levels[..., m], both[..., m])
             counts = pairs[:, [m, MODELS + m]]
             total = np.where(known, _ratio(of_words[:, :2].astype(float)), weigh.unseen_ratio)[codes]
             right = np.flatnonzero(pair_of >= 0)
             after = right[known[codes[right - 1]]]
             total[after] += _ratio(of_words[:, 4:6].astype(float))[codes[after - 1]]
-            seen = right[counts.any(1)[pair_of[right]]]
+            seen = right[((counts[:, 0] | counts[:, 1]) > 0)[pair_of[right]]]
             for part in (seen[k : k + PAIRS_AT_ONCE] for k in range(0, len(seen), PAIRS_AT_ONCE)):
                 total[part] = weigh.of_pairs(counts[pair_of[part]].astype(np.int64), of_words[codes[part - 1]], of_words[codes[part]])
             yield np.flatnonzero(chosen), total, (np.cumsum(chosen) - 1)[self.places[inside]]
@@ -346,15 +384,20 @@ def _pair_block(table: pa.Table) -> pa.Table:
     of = np.concatenate(of)
     first, bits = _merged(pair_keys(np.concatenate(before), of), np.concatenate(masks))
     pairs, counts = _summed(of[first], _HAS[bits].reshape(len(bits), 2 * MODELS))
-    both = counts[:, :MODELS] + counts[:, MODELS:]
-    rows = [(SUMS, None, PAIRS, np.concatenate([_sums(counts), _sums(both)], 1).tobytes())]
-    free = np.ones(len(pairs), bool)  # not yet given to a chunk
+    counts, alike = _distinct_rows(counts)
+    both, times = counts[:, :MODELS] + counts[:, MODELS:], np.bincount(alike, minlength=len(counts))
+    rows = [(SUMS, None, PAIRS, np.concatenate([_sums(counts, times), _sums(both, times)], 1).tobytes())]
+    #: None, or some of the counts, for a pair that a chunk has had already, and for one that is free.
+    possible = np.zeros((len(counts) + 1, 2, 2 * MODELS + 1), np.uint32)
+    possible[1:, :, :-1], possible[:, 1, -1] = counts[:, None], 1
+    possible = possible.reshape(-1, 2 * MODELS + 1)
+    free = np.ones(len(pairs), bool)
     for chunk, keys in zip(chunks, asked, strict=True):
         at, there = looked_up(pairs, keys)
-        found = np.zeros((len(keys), 2 * MODELS + 1), np.uint32)
-        found[there, :-1], found[there, -1] = counts[at[there]], free[at[there]]
-        free[at[there]] = False
-        rows.append((PAIRS, chunk, block, _coded(found)))
+        at, number = at[there], np.zeros(len(keys), np.int64)
+        number[there] = 2 * (alike[at] + 1) + free[at]
+        free[at] = False
+        rows.append((PAIRS, chunk, block, _coded_rows(possible, number)))
     return _rows(rows, _ANSWERS_ARROW)
 
 
@@ -375,8 +418,10 @@ def _word_sums(table: pa.Table) -> pa.Table:
 def _word_totals(table: pa.Table) -> pa.Table:
     """The rows of a block's words, all added up, and sums over them."""
     words, values, bits = _added(table)
-    sums = np.concatenate([_sums(values[:, : _PARTS[0]]).ravel(), _HAS[bits].any(1).sum(0)]).astype(np.int64)
-    return _rows([(table.column("block")[0].as_py(), WORDS, _packed(words), _coded(values)), (None, SUMS, None, sums.tobytes())], _SENT_ARROW)
+    values, alike = _distinct_rows(values)
+    times = np.bincount(alike, minlength=len(values))
+    sums = np.concatenate([_sums(values[:, : _PARTS[0]], times).ravel(), np.bincount(bits, minlength=64) @ _HAS.any(1)]).astype(np.int64)
+    return _rows([(table.column("block")[0].as_py(), WORDS, _packed(words), _coded_rows(values, alike)), (None, SUMS, None, sums.tobytes())], _SENT_ARROW)
 
 
 def _word_answers(asked: pa.Table, totals: pa.Table) -> pa.Table:
@@ -384,9 +429,9 @@ def _word_answers(asked: pa.Table, totals: pa.Table) -> pa.Table:
     if not asked.num_rows:
         return _rows([], _ANSWERS_ARROW)
     block, words = asked.column("block")[0].as_py(), _unpacked(totals.column("keys")[0].as_py())
-    values = _of_coded(totals.column("values")[0].as_py(), _PARTS[-1])
+    rows, number = _rows_of_coded(totals.column("values")[0].as_py(), _PARTS[-1])
     sent = zip(asked.column("chunk").to_pylist(), asked.column("keys").to_pylist(), strict=True)
-    return _rows([(WORDS, chunk, block, _coded(values[np.searchsorted(words, _unpacked(keys))])) for chunk, keys in sent], _ANSWERS_ARROW)
+    return _rows([(WORDS, chunk, block, _coded_rows(rows, number[np.searchsorted(words, _unpacked(keys))])) for chunk, keys in sent], _ANSWERS_ARROW)
 
 
 @dataclass
