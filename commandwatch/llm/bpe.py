@@ -31,6 +31,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import regex
 
+from .spark_io import shared
+
 WORD_END = "</w>"
 #: Bytes of the memo, both generations; characters that are read together; bytes of a short
 #: pre-token; and unknown ones from which on it is worth to merge them together.
@@ -47,7 +49,7 @@ _SUFFIXES = "'s|'t|'re|'ve|'m|'ll|'d"
 NEAR_WORDS = re.compile(f"[{_LETTERS}]+|{_SUFFIXES}|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+").findall
 WORDS = regex.compile(rf"\p{{L}}+|{_SUFFIXES}|\p{{N}}|[^\p{{White_Space}}\p{{L}}\p{{N}}]+").findall
 NO_MERGE = 1 << 62
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = shared({})
 
 
 def byte_alphabet() -> list[str]:

@@ -14,7 +14,8 @@ as Spark jobs:
 4. Only sums go to the driver: numbers of counts of 1, 2, 3 and 4, from which the discounts
    are estimated. Then each chunk has all that the log ratios of its words need.
 
-No task has more than a block or a chunk; all counts are kept. The jobs run in SLICES, each for
+No task has more than a block or a chunk, packed, and what it unpacks of these at once; all
+counts are kept. The jobs run in SLICES, each for
 some of the blocks or chunks, and remove their shuffle files, so that the disk holds the chunks,
 the answers, and what one slice sends. As the answers add up, each slice of blocks is smaller than
 the one before.
@@ -33,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spark_io import checkpointed, freed, freed_pair, release, slices
+from .spark_io import checkpointed, forget, freed, freed_pair, release, slices
 from .words import bounds, mixed, utf8, word_hashes
 
 FOLDS = 3
@@ -42,6 +43,7 @@ CHARS_PER_BLOCK = 12_000_000
 WORDS_AT_ONCE = 1 << 20  # in a chunk, but for one long text
 ROWS_AT_ONCE = 100_000
 PAIRS_AT_ONCE = 1 << 16
+KEYS_AT_ONCE = 1 << 16  # of a block, but for one key
 SLICES = 4, 6, 16  # of blocks, of chunks that send sums, of chunks that end
 ANSWERED = 0.26  # bytes answered for a byte sent by the chunks, in a trial
 DISCOUNT = 0.75
@@ -128,18 +130,26 @@ def _planes(numbers: np.ndarray) -> bytes:
     n, width = numbers.shape
     most = int(numbers.max()) if numbers.size else 0
     kind = np.dtype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
-    data = np.ascontiguousarray(numbers.T.astype(kind)).view(np.uint8).reshape(width, n, kind.itemsize).transpose(2, 0, 1)
-    return np.array([n, kind.itemsize], np.int64).tobytes() + pa.compress(np.ascontiguousarray(data).tobytes(), "zstd", asbytes=True)
+    data = np.empty((kind.itemsize, width, n), np.uint8)
+    for k in range(width):
+        data[:, k] = numbers[:, k].astype(kind).view(np.uint8).reshape(n, kind.itemsize).T
+    return np.array([n, kind.itemsize], np.int64).tobytes() + pa.compress(pa.py_buffer(data), "zstd", asbytes=True)
 
 
 def _of_planes(data: bytes, width: int) -> np.ndarray:
     n, size = np.frombuffer(data, np.int64, 2).tolist()
     found = np.frombuffer(pa.decompress(data[16:], n * size * width, "zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
     found = found.reshape(size, width, n)
-    numbers = found[0].astype(np.uint32)
-    for k in range(1, size):
-        numbers |= found[k].astype(np.uint32) << np.uint32(8 * k)
-    return np.ascontiguousarray(numbers.T)
+    numbers = np.empty((n, width), np.uint32)
+    for column, planes in zip(numbers.T, found.transpose(1, 0, 2), strict=True):
+        column[:] = planes[0]
+        for k in range(1, size):
+            column |= planes[k].astype(np.uint32) << np.uint32(8 * k)
+    return numbers
+
+
+def _parts(n: int) -> Iterator[slice]:
+    return (slice(k, k + PAIRS_AT_ONCE) for k in range(0, n, PAIRS_AT_ONCE))
 
 
 def _coded(numbers: np.ndarray) -> bytes:
@@ -151,10 +161,20 @@ def _coded(numbers: np.ndarray) -> bytes:
 
 def _distinct_rows(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct rows, and for each row its place among them."""
-    _, first, number = _distinct(numbers.astype(np.uint64) @ _MARKS[: numbers.shape[1]])
+    keys = np.empty(len(numbers), np.uint64)
+    for part in _parts(len(numbers)):
+        keys[part] = numbers[part].astype(np.uint64) @ _MARKS[: numbers.shape[1]]
+    _, first, number = _distinct(keys)
     return numbers[first], number
 
 
+def _distinct_of(parts: list[tuple[np.ndarray, np.ndarray]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """`_distinct_rows` of rows one after the other, from that of each of their parts."""
+    rows, merged = _distinct_rows(np.concatenate([np.zeros((0, width), np.uint32), *(rows for rows, _ in parts)]))
+    starts = np.cumsum([0, *(len(rows) for rows, _ in parts)])
+    return rows, np.concatenate([np.zeros(0, np.int64), *(merged[first + own] for first, (_, own) in zip(starts.tolist(), parts, strict=False))])
+
+
 def _coded_rows(rows: np.ndarray, number: np.ndarray) -> bytes:
     """The same of rows of which the distinct ones are known."""
     times = np.bincount(number, minlength=len(rows))
@@ -232,6 +252,21 @@ def _blocks(keys: np.ndarray, n_blocks: int) -> Iterator[tuple[int, slice]]:
         yield number, slice(low, high)
 
 
+def _ranges(keys: list[np.ndarray]) -> Iterator[list[slice]]:
+    """Ranges of keys of some KEYS_AT_ONCE each, over several sorted arrays: where each has its own."""
+    n = -(-sum(map(len, keys)) // KEYS_AT_ONCE)
+    some = np.sort(np.concatenate([own[:: max(n, 1)] for own in keys] or [np.zeros(0, np.uint64)]))
+    limits = some[[len(some) * k // n for k in range(1, n)]]
+    ends = [[0, *np.searchsorted(own, limits).tolist(), len(own)] for own in keys]
+    for k in range(n):
+        yield [slice(*at[k : k + 2]) for at in ends]
+
+
+def _buffers(column: pa.ChunkedArray) -> list[pa.Buffer]:
+    """Binary values where they lie."""
+    return [value.as_buffer() for value in column]
+
+
 def _sums(counts: np.ndarray, times: np.ndarray) -> np.ndarray:
     """Of counts by row, and how often each row occurs: how many are 1, 2, 3, 4, how many 3 or
     more, and their sum."""
@@ -258,22 +293,25 @@ class Chunk:
 
     @functools.cached_property
     def codes(self) -> np.ndarray:
-        return _of_planes(self._codes, 1)[:, 0].astype(np.int64)
+        return _of_planes(self._codes, 1)[:, 0].astype(np.int32)
 
     @functools.cached_property
     def places(self) -> np.ndarray:
-        return np.repeat(np.arange(self.rows.num_rows), self.rows.column("size").to_numpy())
+        return np.repeat(np.arange(self.rows.num_rows, dtype=np.int32), self.rows.column("size").to_numpy())
 
     @functools.cached_property
     def right(self) -> np.ndarray:
         """Places of the words with a word before them in the same text."""
-        return np.flatnonzero(self.places[1:] == self.places[:-1]) + 1
+        return (np.flatnonzero(self.places[1:] == self.places[:-1]) + 1).astype(np.int32)
 
     @functools.cached_property
     def pairs(self) -> np.ndarray:
         """Those words with the words before them."""
-        names = self.names[self.codes]
-        return pair_keys(names[self.right - 1], names[self.right])
+        found = np.empty(len(self.right), np.uint64)
+        for part in _parts(len(found)):
+            right = self.right[part]
+            found[part] = pair_keys(self.names[self.codes[right - 1]], self.names[self.codes[right]])
+        return found
 
     @classmethod
     def stored(cls, table: pa.Table) -> Chunk:
@@ -283,9 +321,11 @@ class Chunk:
 
     def sent(self, n_blocks: int, part: int, parts: int) -> pa.Table:
         """Distinct pairs for the blocks of one slice, and the labelled words before them."""
-        block = (self.pairs >> np.uint64(32)) * np.uint64(n_blocks) >> np.uint64(32)
-        here = np.flatnonzero(_slices_of_blocks(n_blocks, parts)[block] == part)
-        right, pairs = self.right[here], self.pairs[here]
+        inside, chosen = np.empty(len(self.pairs), bool), _slices_of_blocks(n_blocks, parts) == part
+        for some in _parts(len(inside)):
+            inside[some] = chosen[(self.pairs[some] >> np.uint64(32)) * np.uint64(n_blocks) >> np.uint64(32)]
+        right, pairs = self.right[inside], self.pairs[inside]
+        del self.pairs  # each task asks for them once
         names, _, at = _distinct(pairs)
         # A pair counts once for each word before it: copies of a text count once.
         counted = np.flatnonzero((self.masks[self.places[right]] > 0) & (right > 1))
@@ -312,11 +352,16 @@ class Chunk:
 
     def words_sent(self, answers: pa.Table, n_blocks: int) -> pa.Table:
         """Of each word the sums over the pairs that fall to this chunk, and its classes and folds."""
-        _, first, _ = _distinct(self.pairs)
-        counts = _answered(answers, PAIRS, 2 * MODELS + 1)
+        first = _distinct(self.pairs)[1]
+        del self.pairs  # each task asks for them once
+        counts = _answered(answers, PAIRS, np.zeros((len(first), 2 * MODELS + 1), np.uint32))
         own = np.flatnonzero(counts[:, -1])
         counts, right = counts[own, :-1], self.right[first[own]]
-        n, left, right = len(self.names), self.codes[right - 1], self.codes[right]
+        del first, own
+        n, order = len(self.names), np.argsort(self.names)
+        rank = np.empty(n, np.int32)
+        rank[order] = np.arange(n, dtype=np.int32)
+        left, right = rank[self.codes[right - 1]], rank[self.codes[right]]
         values, both = np.zeros((n, _PARTS[-1] + 1), np.uint32), counts[:, :MODELS] + counts[:, MODELS:]
         for k in range(2 * MODELS):
             values[:, k] = np.bincount(right[counts[:, k] > 0], minlength=n)
@@ -327,64 +372,102 @@ class Chunk:
                     values[:, first + level * numbers.shape[1] + k] = np.bincount(left[column], minlength=n)
         of_words = self.masks[self.places]
         for bit in np.unique(self.masks[self.masks > 0]).tolist():
-            values[self.codes[of_words == bit], -1] |= np.uint32(bit)
-        order = np.argsort(self.names)
-        names, values = self.names[order], values[order]
+            values[rank[self.codes[of_words == bit]], -1] |= np.uint32(bit)
+        names = self.names[order]
         return _rows([(number, self.number, _packed(names[own]), _coded(values[own])) for number, own in _blocks(names, n_blocks)], _SENT_ARROW)
 
     def words_asked(self, n_blocks: int) -> pa.Table:
         names = np.sort(self.names)
         return _rows([(number, self.number, _packed(names[own]), None) for number, own in _blocks(names, n_blocks)], _SENT_ARROW)
 
-    def ratios(self, answers: pa.Table, weighing: list[Weighing]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """By model: rows, the log ratios of their words after the ones before, and the place of
-        each word's row among them. The last model is for all rows, others for their folds."""
-        _, _, inverse = _distinct(self.pairs)
-        pairs, values = _answered(answers, PAIRS, 2 * MODELS + 1), np.zeros((len(self.names), _PARTS[-1]), np.uint32)
-        values[np.argsort(self.names)] = _answered(answers, WORDS, _PARTS[-1])
-        pair = np.full(len(self.codes), -1)
+    def ratios(self, answers: pa.Table, weighing: list[Weighing]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """By model and some rows: both, the log ratios of their words after the ones before, and the
+        place of each word's row among them. The last model is for all rows, others for their folds."""
+        inverse = _distinct(self.pairs)[2]
+        del self.pairs  # each task asks for them once
+        pair = np.full(len(self.codes), -1, np.int32)
         pair[self.right] = inverse
+        pairs = np.zeros((int(inverse.max(initial=-1)) + 1, 2 * MODELS + 1), np.uint32)
+        del inverse
+        pairs = _answered(answers, PAIRS, pairs)
+        values = np.zeros((len(self.names), _PARTS[-1]), np.uint32)
+        values = _answered(answers, WORDS, values, np.argsort(self.names))
         ends, contexts, levels, both = np.split(values, _PARTS[:-1], axis=1)
         ends, contexts = ends.reshape(-1, 2, MODELS), contexts.reshape(-1, 2, MODELS)
         levels, both = levels.reshape(-1, 3, 2, MODELS), both.reshape(-1, 3, MODELS)
         for m, weigh in enumerate(weighing):
-            chosen = np.ones(len(self.masks), bool) if m == FOLDS else self.masks & (1 << m | 1 << FOLDS + m) > 0
-            inside = chosen[self.places]
-            codes, pair_of = self.codes[inside], pair[inside]
             known = (ends[:, 0, m] | ends[:, 1, m] | contexts[:, 0, m] | contexts[:, 1, m]) > 0
             of_words = weigh.of_words(ends[..., m], contexts[..., m], levels[..., m], both[..., m])
+            of_known = np.where(known, _ratio(of_words[:, :2].astype(float)), weigh.unseen_ratio)
+            of_leaving = _ratio(of_words[:, 4:6].astype(float))
             counts = pairs[:, [m, MODELS + m]]
-            total = np.where(known, _ratio(of_words[:, :2].astype(float)), weigh.unseen_ratio)[codes]
-            right = np.flatnonzero(pair_of >= 0)
-            after = right[known[codes[right - 1]]]
-            total[after] += _ratio(of_words[:, 4:6].astype(float))[codes[after - 1]]
-            seen = right[((counts[:, 0] | counts[:, 1]) > 0)[pair_of[right]]]
-            for part in (seen[k : k + PAIRS_AT_ONCE] for k in range(0, len(seen), PAIRS_AT_ONCE)):
-                total[part] = weigh.of_pairs(counts[pair_of[part]].astype(np.int64), of_words[codes[part - 1]], of_words[codes[part]])
-            yield np.flatnonzero(chosen), total, (np.cumsum(chosen) - 1)[self.places[inside]]
-
-
-def _answered(answers: pa.Table, kind: int, width: int) -> np.ndarray:
-    """What the blocks answered, in the order of what was sent."""
-    rows = sorted((b, v) for k, b, v in zip(*(answers.column(c).to_pylist() for c in ("kind", "block", "values")), strict=True) if k == kind)
-    return np.concatenate([*(_of_coded(v, width) for _, v in rows), np.zeros((0, width), np.uint32)])
+            counted = (counts[:, 0] | counts[:, 1]) > 0
+            for some, here in self.some_rows():
+                chosen = np.ones(some.stop - some.start, bool) if m == FOLDS else self.masks[some] & (1 << m | 1 << FOLDS + m) > 0
+                if not chosen.any():
+                    continue
+                at = self.places[here] - some.start
+                inside = chosen[at]
+                codes, pair_of = self.codes[here][inside], pair[here][inside]
+                total = of_known[codes]
+                right = np.flatnonzero(pair_of >= 0)
+                after = right[known[codes[right - 1]]]
+                total[after] += of_leaving[codes[after - 1]]
+                seen = right[counted[pair_of[right]]]
+                for part in (seen[k : k + PAIRS_AT_ONCE] for k in range(0, len(seen), PAIRS_AT_ONCE)):
+                    total[part] = weigh.of_pairs(counts[pair_of[part]].astype(np.int64), of_words[codes[part - 1]], of_words[codes[part]])
+                yield m, some.start + np.flatnonzero(chosen), total, (np.cumsum(chosen) - 1)[at[inside]]
+
+    def some_rows(self) -> Iterator[tuple[slice, slice]]:
+        """Rows of some PAIRS_AT_ONCE words together, a longer one alone, and where their words are."""
+        ends = np.cumsum(self.rows.column("size").to_numpy())
+        row = word = 0
+        while row < len(ends):
+            last = max(row + 1, int(np.searchsorted(ends, word + PAIRS_AT_ONCE, "right")))
+            yield slice(row, last), slice(word, int(ends[last - 1]))
+            row, word = last, int(ends[last - 1])
+
+
+def _answered(answers: pa.Table, kind: int, into: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
+    """Puts what the blocks answered, in the order of what was sent, into rows, or into those that
+    `order` names."""
+    kinds, blocks, first = answers.column("kind").to_pylist(), answers.column("block").to_pylist(), 0
+    for k in sorted((k for k in range(len(kinds)) if kinds[k] == kind), key=blocks.__getitem__):
+        found = _of_coded(answers.column("values")[k].as_buffer(), into.shape[1])
+        own = slice(first, first + len(found))
+        into[own if order is None else order[own]] = found
+        first += len(found)
+    assert first == len(into), "some blocks have not answered"
+    return into
 
 
 def _pair_block(table: pa.Table) -> pa.Table:
     """The counts of a block's pairs, for each chunk that sent some, and sums."""
-    table = table.sort_by("chunk")
-    block, chunks, asked = table.column("block")[0].as_py(), table.column("chunk").to_pylist(), []
-    of, before, masks = [], [], []
-    for sent, data in zip(table.column("keys").to_pylist(), table.column("values").to_pylist(), strict=True):
+    order = np.argsort(table.column("chunk").to_numpy(), kind="stable").tolist()
+    block, chunks = table.column("block")[0].as_py(), [table.column("chunk")[k].as_py() for k in order]
+    asked, sent = [], []
+    for k in order:
+        asked.append(_unpacked(table.column("keys")[k].as_buffer()))
+        data = table.column("values")[k].as_buffer()
         size, more = np.frombuffer(data, np.int64, 2).tolist()
-        asked.append(_unpacked(sent))
-        of.append(np.repeat(asked[-1], _of_planes(data[16 : 16 + size], 1)[:, 0]))
-        masks.append(_of_planes(data[16 + size : 16 + size + more], 1)[:, 0].astype(np.uint8))
-        before.append(_of_bytes(data[16 + size + more :]))
-    of = np.concatenate(of)
-    first, bits = _merged(pair_keys(np.concatenate(before), of), np.concatenate(masks))
-    pairs, counts = _summed(of[first], _HAS[bits].reshape(len(bits), 2 * MODELS))
-    counts, alike = _distinct_rows(counts)
+        ends = np.concatenate([[0], np.cumsum(_of_planes(data[16 : 16 + size], 1)[:, 0], dtype=np.int64)]).astype(np.int32)
+        sent.append((ends, _of_planes(data[16 + size : 16 + size + more], 1)[:, 0].astype(np.uint8), data[16 + size + more :]))
+    found, rows = [np.zeros(0, np.uint64)], []
+    for at in _ranges(asked):
+        of, before, masks = [], [], []
+        for keys, (ends, bits, words), own in zip(asked, sent, at, strict=True):
+            low, high = int(ends[own.start]), int(ends[own.stop])
+            of.append(np.repeat(keys[own], np.diff(ends[own.start : own.stop + 1])))
+            before.append(_of_bytes(words[5 * low : 5 * high]))
+            masks.append(bits[low:high])
+        of = np.concatenate(of)
+        first, bits = _merged(pair_keys(np.concatenate(before), of), np.concatenate(masks))
+        pairs, counts = _summed(of[first], _HAS[bits].reshape(len(bits), 2 * MODELS))
+        found.append(pairs)
+        rows.append(_distinct_rows(counts))
+    del sent
+    pairs, (counts, alike) = np.concatenate(found), _distinct_of(rows, 2 * MODELS)
+    del found, rows
     both, times = counts[:, :MODELS] + counts[:, MODELS:], np.bincount(alike, minlength=len(counts))
     rows = [(SUMS, None, PAIRS, np.concatenate([_sums(counts, times), _sums(both, times)], 1).tobytes())]
     #: None, or some of the counts, for a pair that a chunk has had already, and for one that is free.
@@ -401,27 +484,39 @@ def _pair_block(table: pa.Table) -> pa.Table:
     return _rows(rows, _ANSWERS_ARROW)
 
 
-def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words of some rows, their sums, and their classes and folds."""
-    keys = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(x) for x in table.column("keys").to_pylist())])
-    values = np.concatenate([np.zeros((0, _PARTS[-1] + 1), np.uint32), *(_of_coded(x, _PARTS[-1] + 1) for x in table.column("values").to_pylist())])
-    _, bits = _merged(keys, values[:, -1])
-    return *_summed(keys, values[:, :-1]), bits
+def _added(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The distinct words of some rows, their sums, and their classes and folds, range by range."""
+    width = _PARTS[-1] + 1
+    asked = [_unpacked(x) for x in _buffers(table.column("keys"))]
+    sent = [_rows_of_coded(x, width) for x in _buffers(table.column("values"))]
+    for at in _ranges(asked):
+        keys = np.concatenate([own[part] for own, part in zip(asked, at, strict=True)])
+        values = np.concatenate([rows[number[part]] for (rows, number), part in zip(sent, at, strict=True)])
+        _, bits = _merged(keys, values[:, -1])
+        yield *_summed(keys, values[:, :-1]), bits
 
 
 def _word_sums(table: pa.Table) -> pa.Table:
     """The rows of a block's words, added up."""
-    words, values, bits = _added(table)
-    return _rows([(table.column("block")[0].as_py(), None, _packed(words), _coded(np.column_stack([values, bits])))], _SENT_ARROW)
+    found, parts = [np.zeros(0, np.uint64)], []
+    for words, values, bits in _added(table):
+        found.append(words)
+        parts.append(_distinct_rows(np.column_stack([values, bits])))
+    coded = _coded_rows(*_distinct_of(parts, _PARTS[-1] + 1))
+    return _rows([(table.column("block")[0].as_py(), None, _packed(np.concatenate(found)), coded)], _SENT_ARROW)
 
 
 def _word_totals(table: pa.Table) -> pa.Table:
     """The rows of a block's words, all added up, and sums over them."""
-    words, values, bits = _added(table)
-    values, alike = _distinct_rows(values)
+    found, parts, of_bits = [np.zeros(0, np.uint64)], [], np.zeros(64, np.int64)
+    for words, values, bits in _added(table):
+        found.append(words)
+        parts.append(_distinct_rows(values))
+        of_bits += np.bincount(bits, minlength=64)
+    values, alike = _distinct_of(parts, _PARTS[-1])
     times = np.bincount(alike, minlength=len(values))
-    sums = np.concatenate([_sums(values[:, : _PARTS[0]], times).ravel(), np.bincount(bits, minlength=64) @ _HAS.any(1)]).astype(np.int64)
-    return _rows([(table.column("block")[0].as_py(), WORDS, _packed(words), _coded_rows(values, alike)), (None, SUMS, None, sums.tobytes())], _SENT_ARROW)
+    sums = np.concatenate([_sums(values[:, : _PARTS[0]], times).ravel(), of_bits @ _HAS.any(1)]).astype(np.int64)
+    return _rows([(table.column("block")[0].as_py(), WORDS, _packed(np.concatenate(found)), _coded_rows(values, alike)), (None, SUMS, None, sums.tobytes())], _SENT_ARROW)
 
 
 def _word_answers(asked: pa.Table, totals: pa.Table) -> pa.Table:
@@ -503,11 +598,15 @@ def chunked(rows: DataFrame, asking: bool = False) -> DataFrame:
     Those that ask about labelled texts of others have numbers below 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         number, hashes, tables, size = TaskContext.get().partitionId() << 32, [], [], 0
 
         def chunk() -> pa.RecordBatch:
-            words = np.concatenate([h for h, _ in hashes])
-            names, codes, counts = np.unique(words, return_inverse=True, return_counts=True)
+            chars, words = sum(n for _, n in hashes), np.concatenate([h for h, _ in hashes])
+            hashes.clear()
+            names, _, codes = _distinct(words)
+            del words
+            counts = np.bincount(codes, minlength=len(names))
             order = _by_count(counts)
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order))
@@ -515,7 +614,7 @@ def chunked(rows: DataFrame, asking: bool = False) -> DataFrame:
             table = pa.concat_tables(tables)
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
                 writer.write_table(table)
-            row = (-1 - number if asking else number, sum(n for _, n in hashes), _named(names, counts), _planes(rank[codes][:, None]), sink.getvalue().to_pybytes())
+            row = (-1 - number if asking else number, chars, _named(names, counts), _planes(rank[codes][:, None]), sink.getvalue().to_pybytes())
             return _rows([row], _CHUNKS).to_batches()[0]
 
         for batch in (part for whole in batches for part in slices(whole)):
@@ -529,7 +628,7 @@ def chunked(rows: DataFrame, asking: bool = False) -> DataFrame:
             size += len(words)
             if size >= WORDS_AT_ONCE or sum(t.num_rows for t in tables) >= ROWS_AT_ONCE:
                 yield chunk()
-                number, hashes, tables, size = number + 1, [], [], 0
+                number, tables, size = number + 1, [], 0
         if tables:
             yield chunk()
         release()
@@ -540,6 +639,7 @@ def chunked(rows: DataFrame, asking: bool = False) -> DataFrame:
 
 def _each_chunk(chunks: DataFrame, work: Callable[[Chunk], pa.Table], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for k in range(batch.num_rows):
                 yield from work(Chunk.stored(pa.Table.from_batches([batch.slice(k, 1)]))).to_batches()
@@ -585,7 +685,7 @@ def measured(chunks: DataFrame, measure: Callable[[np.ndarray, np.ndarray, int],
     def finish(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = Chunk.stored(chunk)
         values = np.zeros((2, chunk.rows.num_rows, len(names)))
-        for m, (rows, ratios, places) in enumerate(chunk.ratios(answers, weighing)):
+        for m, rows, ratios, places in chunk.ratios(answers, weighing):
             values[int(m < FOLDS), rows] = measure(ratios, places, len(rows))
         columns = [pa.array(column) for model in values for column in model.T]
         return pa.table([*(chunk.rows.column(c) for c in ("doc_id", "key", "size", "label")), *columns], names=["doc_id", "key", "size", "label", *names, *(f"apart_{c}" for c in names)])

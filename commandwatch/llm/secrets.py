@@ -159,7 +159,7 @@ def _sample(docs: DataFrame, rows: int) -> DataFrame:
     """
     order = F.xxhash64("doc_id", F.lit(17))
     some = docs.where("doc_id is not null and text is not null").select("doc_id", order.alias("order")).orderBy("order", "doc_id").limit(rows)
-    few = F.broadcast(docs.sparkSession.createDataFrame([tuple(r) for r in some.select("doc_id").collect()], "doc_id bigint").distinct())
+    few = F.broadcast(docs.sparkSession.createDataFrame(some.select("doc_id").toArrow()).distinct())  # as Arrow, without Python workers
     inside = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}{3,12})"), 1))
     dealt = F.transform(F.sort_array(F.transform(inside, lambda w: F.struct(F.xxhash64(w).alias("by"), w.alias("word")))), lambda x: x["word"])
     words = F.slice(F.concat(F.slice(dealt, 1, SEED_WORDS), F.array(*map(F.lit, FILLERS))), 1, SEED_WORDS)

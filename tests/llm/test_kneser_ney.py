@@ -134,3 +134,83 @@ def test_jobs_remove_their_shuffle_files(spark):
     with without_leftovers(spark):
         checkpointed(df.groupBy("count").count())
     assert tracker.shuffleStatuses().size() <= before
+
+
+def peak(work):
+    """MB that Python held at once, beside what it held before."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_blocks_are_unpacked_range_by_range(monkeypatch):
+    """Memory follows what a block is sent, packed, and not all columns of all of its rows at once."""
+    rng = np.random.default_rng(3)
+    width = kneser_ney._PARTS[-1] + 1
+    words = []
+    for chunk in range(8):
+        keys = np.sort(rng.integers(0, 1 << 62, 40_000, dtype=np.uint64))
+        keys[:100] = np.arange(100)  # in all chunks
+        values = rng.integers(0, 2, (5, width), dtype=np.uint32)[rng.integers(0, 5, len(keys))]
+        words.append((0, chunk, kneser_ney._packed(keys), kneser_ney._coded(values)))
+    words = kneser_ney._rows(words, kneser_ney._SENT_ARROW)
+    pairs = []
+    for chunk in range(8):
+        keys = np.sort(rng.integers(0, 1 << 62, 60_000, dtype=np.uint64))
+        keys[:100] = np.arange(100)
+        each = rng.integers(1, 3, len(keys), dtype=np.uint32)
+        before = rng.integers(0, 1 << 40, int(each.sum()), dtype=np.uint64)
+        parts = [kneser_ney._planes(each[:, None]), kneser_ney._planes((1 << rng.integers(0, 6, (len(before), 1))).astype(np.uint32))]
+        sizes = np.array([len(x) for x in parts], np.int64)
+        pairs.append((0, chunk, kneser_ney._packed(keys), sizes.tobytes() + b"".join(parts) + before.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()))
+    pairs = kneser_ney._rows(pairs, kneser_ney._SENT_ARROW)
+    whole = {}
+    for at_once in (1 << 14, 1 << 30):  # ranges, and all at once: the same answers
+        monkeypatch.setattr(kneser_ney, "KEYS_AT_ONCE", at_once, raising=False)
+        for work, table, most in ((kneser_ney._word_sums, words, 45), (kneser_ney._word_totals, words, 45), (kneser_ney._pair_block, pairs, 45)):
+            if at_once < 1 << 30:
+                assert peak(lambda work=work, table=table: work(table)) < most
+                whole[work] = work(table)
+            else:
+                assert work(table).equals(whole[work])
+
+
+def test_texts_are_weighed_in_groups_of_rows(monkeypatch):
+    rng = np.random.default_rng(4)
+    names = np.sort(rng.integers(0, 1 << 62, 3_000, dtype=np.uint64))
+    sizes = [0, 900, 1, 2, 40, 0, 700, 300, 5, 0]
+    codes = np.minimum(rng.zipf(1.3, sum(sizes)), len(names)) - 1
+    masks = [0, 1, 8, 2, 16, 4, 32, 0, 1, 8]
+    sink = pa.BufferOutputStream()
+    rows = pa.table({"doc_id": range(10), "key": range(10), "label": [0] * 10, "size": sizes, "mask": pa.array(masks, pa.uint8())})
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write_table(rows)
+    table = kneser_ney._rows([(5, 1, names.tobytes(), kneser_ney._planes(codes[:, None]), sink.getvalue().to_pybytes())], kneser_ney._CHUNKS)
+    chunk = kneser_ney.Chunk(table)
+    n_pairs = len(np.unique(chunk.pairs))
+    answers = [(kneser_ney.PAIRS, 5, 0, rng.integers(0, 3, (n_pairs, 2 * kneser_ney.MODELS + 1))), (kneser_ney.WORDS, 5, 0, rng.integers(0, 9, (len(names), kneser_ney._PARTS[-1])))]
+    answers = kneser_ney._rows([(*kind, kneser_ney._coded(values.astype(np.uint32))) for *kind, values in answers], kneser_ney._ANSWERS_ARROW)
+    weighing = [kneser_ney._weighing(rng.integers(10, 20, (6, 3 * kneser_ney.MODELS)), rng.integers(900, 999, (6, 2 * kneser_ney.MODELS)), 3_000, m) for m in range(kneser_ney.MODELS)]
+
+    def found(at_once: int) -> np.ndarray:
+        monkeypatch.setattr(kneser_ney, "PAIRS_AT_ONCE", at_once)
+        values, groups = np.zeros((kneser_ney.MODELS, len(sizes), 4)), 0
+        for m, rows, ratios, places in kneser_ney.Chunk(table).ratios(answers, weighing):
+            values[m, rows], groups = toxicity.evidence(ratios, places, len(rows)), groups + 1
+        return values, groups
+
+    (whole, one_each), (values, groups) = found(1 << 16), found(100)
+    assert one_each == kneser_ney.MODELS and groups > 2 * one_each
+    assert whole[-1].any() and (values == whole).all()
+    assert not whole[:-1, [k for k, mask in enumerate(masks) if not mask]].any()
+
+
+def test_tokenizers_of_earlier_stages_are_let_go():
+    from commandwatch.llm import bpe, spark_io
+
+    bpe._ENCODERS["some"] = None
+    assert spark_io.freed(lambda table: table)(pa.table({"a": [1]})).num_rows == 1
+    assert not bpe._ENCODERS

@@ -572,3 +572,14 @@ def test_stages_keep_the_columns_of_documents(spark, tmp_path):
     again = corpus_pipeline.run(spark, str(tmp_path))
     place = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert Counter(map(tuple, packed.select(place).collect())) == Counter(map(tuple, again.select(place).collect()))
+
+
+def test_sampled_documents_need_no_python_workers(spark):
+    from commandwatch.llm import secrets
+
+    docs = spark.createDataFrame([(k % 7, f"text number {k}") for k in range(9)] + [(None, "x"), (8, None)], "doc_id bigint, text string")
+    docs = docs.filter("doc_id is null or doc_id >= 0")
+    sample = secrets._sample(docs, 4)
+    assert "Scan ExistingRDD[doc_id" not in sample.select("words")._jdf.queryExecution().toString().split("Broadcast")[-1]
+    assert 4 <= sample.count() <= 8
+    assert secrets._sample(docs.where("false"), 4).count() == 0
