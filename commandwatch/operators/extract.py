@@ -31,6 +31,9 @@ _OPTIONS = {
 }
 # As text, a command that isn't a string looks like one of these; so may a string.
 _MAYBE_NO_STRING = r'^(?:[\[{]|[-+]?[0-9]|"?[-+]?(?:NaN|INF|Infinity)"?$|(?:true|false)$)'
+# In the text of an object, a list, an object or a boolean is behind a colon; so may be a part
+# of a string. It is another than the one read where a key is repeated.
+_MAYBE_NO_STRING_IN = r":\s*[\[{tf]"
 
 
 def _parsed(text: Column, schema: str) -> Column:
@@ -71,26 +74,36 @@ def _collected(payload: Column) -> Column:
     text, as a list of strings if it is a list, and whether it is another kind of value."""
 
     def inputs(entry: Column) -> Column:
-        listed = _parsed(entry, "tool_input ARRAY<STRING>")["tool_input"]
+        # Only a list has a bracket; to find that an object is none would cost an exception.
+        listed = F.when(F.contains(entry, F.lit("[")), _parsed(entry, "tool_input ARRAY<STRING>")["tool_input"])
         plain = _parsed(entry, "tool_input STRUCT<command: STRING>")["tool_input"]
         one = F.array(_parsed(entry, "tool_input STRING")["tool_input"])
         nothing = F.array().cast("array<string>")
         return F.when(listed.isNotNull(), _objects(listed)).when(plain.isNotNull(), one).otherwise(nothing)
 
-    def command(input_: Column) -> Column:
-        def as_(kind: str) -> Column:
-            return _parsed(input_, f"command {kind}")["command"]
+    def as_(input_: Column, kind: str) -> Column:
+        return _parsed(input_, f"command {kind}")["command"]
 
-        text = as_("STRING")
-        number = as_("DOUBLE").isNotNull() & text.rlike(r'^(?:[-+]?[0-9]|")')
-        other = as_("MAP<STRING, STRING>").isNotNull() | as_("BOOLEAN").isNotNull() | number
-        return F.struct(text.alias("text"), as_("ARRAY<STRING>").alias("list"), other.alias("other"))
+    def told(input_: Column) -> Column:
+        return F.struct(input_.alias("input"), as_(input_, "STRING").alias("text"))
+
+    def command(c: Column) -> Column:
+        # Each other kind that a string is not costs an exception, so they are tried on few.
+        input_, text = c["input"], c["text"]
+        maybe = text.isNull() | text.startswith('"') | text.rlike(_MAYBE_NO_STRING) | input_.rlike(_MAYBE_NO_STRING_IN)
+        number = as_(input_, "DOUBLE").isNotNull() & text.rlike(r'^(?:[-+]?[0-9]|")')
+        other = as_(input_, "MAP<STRING, STRING>").isNotNull() | as_(input_, "BOOLEAN").isNotNull() | number
+        return F.struct(
+            text.alias("text"),
+            F.when(maybe, as_(input_, "ARRAY<STRING>")).alias("list"),
+            F.when(maybe, other).otherwise(False).alias("other"),
+        )
 
     listed = _parsed(_framed(payload, _PLAIN), "body ARRAY<STRING>, corrupt STRING")
     # Any value can be read as a string, unless it is too deep; then the list is unknown.
-    read = F.when(listed["corrupt"].isNull(), _objects(listed["body"]))
+    read = F.get(F.transform(F.array(listed), lambda r: F.when(r["corrupt"].isNull(), _objects(r["body"]))), F.lit(0))
     entries = F.when(F.ltrim(payload).startswith("["), read).otherwise(F.array(payload))
-    return F.transform(F.flatten(F.transform(entries, inputs)), command)
+    return F.transform(F.transform(F.flatten(F.transform(entries, inputs)), told), command)
 
 
 def _strings(found: Column) -> Column:
@@ -128,8 +141,10 @@ def extract_command(
     Nothing recurses into a value: a command nested deeper than the JSON writer allows (1,000
     levels) is a ``deep_command``, whatever its depth, and siblings may be of any depth.
     """
-    text = _lower_keys(F.col(payload)) if ignore_key_case else F.col(payload)
-    parsed = log.withColumn("_json", _parsed(_framed(text, _LISTED), _MAIN))
+    lowered, text = log, F.col(payload)
+    if ignore_key_case:
+        lowered, text = once(log, "_lowered", _lower_keys(text)), F.col("_lowered")
+    parsed = lowered.withColumn("_json", _parsed(_framed(text, _LISTED), _MAIN))
     json, raw = F.col("_json"), F.col(payload)
     entry = F.get(json["body"], F.lit(0))
     found_text = entry["tool_input"]["command"]

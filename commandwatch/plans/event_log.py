@@ -139,11 +139,15 @@ def value_log(events: DataFrame) -> DataFrame:
     return events.select("event_id", "ts", command.alias("command"))
 
 
-def payload_files(log: DataFrame, per_file: int = 16) -> DataFrame:
-    """payload: a list of the payloads of up to ``per_file`` commands, indented over many lines."""
+def payload_files(log: DataFrame, per_file: int = 16, tasks: int | None = None) -> DataFrame:
+    """payload: a list of the payloads of up to ``per_file`` commands, indented over many lines.
+
+    With ``tasks`` they are dealt to as many partitions, however few bytes they are.
+    """
     wrapped = F.to_json(F.struct("command"))
     payload = F.concat(F.lit('{\n  "tool_input":\n    '), wrapped, F.lit("\n}"))
     rows = log.select(F.floor(F.col("event_id") / per_file).alias("file"), F.struct("event_id", payload.alias("payload")).alias("row"))
+    rows = rows.repartition(tasks, "file") if tasks else rows
     grouped = rows.groupBy("file").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     listed = F.array_join(F.transform("rows", lambda r: r["payload"]), ",\n")
     return grouped.select(F.concat(F.lit("[\n"), listed, F.lit("\n]")).alias("payload"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,18 +46,22 @@ from commandwatch.policy import (
     rules_to_table,
 )
 from commandwatch.sources import (
+    many_small_files,
     read_log,
     read_text_log,
     scratch_dir,
     stream_log,
     stream_text_log,
     write_bucketed,
+    write_files,
     write_verdict_lines,
 )
 from commandwatch.streaming import start_audit, start_table_audit
 
 KEY = ["event_id"]
 BUCKETS = 8
+#: Files in a folder that a stream takes in; the driver holds what it knows of each.
+FILES_AT_ONCE = 50_000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -412,17 +418,23 @@ def stream_verdict_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def whole_file_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "payload-files")
-    files = payload_files(_values(spark, sf_dir))
-    # One payload in each file. What takes time is their number, not their size: all tasks write
-    # as many, and move their own, side by side, which the driver would do one by one.
+    # One payload in each file. What takes time is their number, not their size, so all tasks
+    # write as many.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    moved = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
-    files.repartition(tasks).write.options(maxRecordsPerFile=1, **moved).text(f"{base}/in")
-    log = stream_text_log(spark, f"{base}/in", whole_files=True)
-    decided = audit(log, policy=policies.VALUE_POLICY).select("reason", "catalog", F.size("arguments").alias("n_commands"))
-    # A scan has a task for some 30 files, and each would write a file of its own.
-    start_audit(decided.coalesce(tasks), f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    written = spark.read.schema(decided.schema).parquet(f"{base}/out")
+    folders = write_files(payload_files(_values(spark, sf_dir), tasks=tasks), f"{base}/in", tasks, FILES_AT_ONCE)
+
+    def audited(k: int) -> DataFrame:
+        log = stream_text_log(spark, folders[k], whole_files=True, compressed=False)
+        decided = audit(log, policy=policies.VALUE_POLICY).select("reason", "catalog", F.size("arguments").alias("n_commands"))
+        out = f"{base}/out-{k}" if k else f"{base}/out"
+        # Each part of a scan would write a file of its own.
+        start_audit(decided.coalesce(tasks), out, f"{base}/checkpoint-{k}").awaitTermination()
+        return spark.read.schema(decided.schema).parquet(out)
+
+    # While the driver lists and plans one folder, the tasks of another run.
+    with many_small_files(spark, tasks), ThreadPoolExecutor(2) as side_by_side:
+        parts = list(side_by_side.map(audited, range(len(folders))))
+    written = functools.reduce(DataFrame.unionAll, parts)
     return written.groupBy("reason", "catalog", "n_commands").agg(F.count("*").alias("n"))
 
 

@@ -58,6 +58,11 @@ def test_audit_is_narrow_and_parses_once(spark, small):
     assert "Python" not in plan(denied)
 
 
+def test_keys_are_lowered_once(spark):
+    log = spark.createDataFrame([("{}",)], "payload string")
+    assert plan(audit(log).select("verdict")).count("regexp_replace(") == 2  # for two keys
+
+
 def test_a_denial_filter_does_not_match_twice(spark, small):
     log = spark.read.parquet(f"{small}/documents.parquet")
     denied = denials(classify(log, CATALOG_RULES, CATALOG_POLICY, command="text"))
@@ -106,3 +111,29 @@ def test_all_tasks_write_payload_files_and_as_many_verdict_files(spark, small, t
     assert len(files) == sum(row["n"] for row in rows) > tasks
     assert all(f.read_text().strip().startswith("[") and f.read_text().count('"command"') <= 16 for f in files)
     assert len(list((tmp_path / "payload-files" / "out").glob("part-*.parquet"))) <= tasks
+
+
+def test_payload_files_in_folders_that_are_streamed_one_by_one(spark, tmp_path, monkeypatch):
+    rows = [(k // 2 * 2, f"2024-01-{1 + k % 28:02d}", k % 150, ("view", "click", "error")[k % 3], '{"k": %d}' % (k % 90)) for k in range(3_000)]
+    rows += [(None, None, None, None, None)]
+    table = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string, props string")
+    events = table.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", F.lit(0.5).alias("value"), "props")
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries, "scratch_dir", lambda _, name: f"{tmp_path}/{name}")
+    whole = sorted(map(str, driver.queries()["whole_file_reasons"](spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(queries, "scratch_dir", lambda _, name: f"{tmp_path}/again-{name}")
+    monkeypatch.setattr(queries, "FILES_AT_ONCE", 40)
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    assert sorted(map(str, driver.queries()["whole_file_reasons"](spark, str(tmp_path)).collect())) == whole
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+    folders = list((tmp_path / "again-payload-files").glob("in*"))
+    assert len(folders) > 4 and all(len(list(f.iterdir())) <= 40 for f in folders)
+    assert sum(len(list(f.iterdir())) for f in folders) == 189  # 188 of 16 commands or fewer, one without a key
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert sum(n for *_, n in con.sql(driver.oracle_sql()["whole_file_reasons"]).fetchall()) == 189
+
+
+def test_no_events_make_no_files(spark, small, tmp_path):
+    spark.read.parquet(f"{small}/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
+    assert driver.queries()["whole_file_reasons"](spark, str(tmp_path)).collect() == []

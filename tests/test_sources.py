@@ -12,21 +12,25 @@ from commandwatch.operators import (
     classify_by_table,
     denials,
     deny_by_table,
+    extract_command,
     first_match,
     match_policy_table,
     verdict_counts,
 )
 from commandwatch.plans.event_log import COMMANDS, ENVELOPES
 from commandwatch.sources import (
+    many_small_files,
     read_log,
     read_text_log,
     scratch_dir,
     stream_log,
     stream_text_log,
     write_bucketed,
+    write_files,
     write_table,
     write_verdict_lines,
 )
+from commandwatch.sources import sinks
 from commandwatch.streaming import start_audit, start_table_audit
 
 
@@ -54,6 +58,18 @@ def test_text_in_verdict_lines_out(spark, tmp_path):
     assert all("'sandbox_others'" in json.loads(line)["stopReason"] for line in lines)
 
 
+def test_kinds_of_commands_in_lists(spark):
+    cases = {
+        '[{"tool_input":{"command":"ls"}},{"tool_input":{"command":"a: [b, {c}, true"}}]': ["ls", "a: [b, {c}, true"],
+        '{"tool_input":[{"command":"5"},{"command":"NaN"},{"command":"\\"q\\""},{"command":"true"}]}': ["5", "NaN", '"q"', "true"],
+        '[{"tool_input":[{"command":["[x]",null]},{"command":"{}"}]},{"tool_input":{}}]': ["[x]", "{}"],
+        **{f'[{{"tool_input":{{"command":{c}}}}},{{"tool_input":{{"command":"ls"}}}}]': None for c in ("5", "-1e3", "true", "false", "{}", "[1]", '{"a":"b"}')},
+    }
+    log = spark.createDataFrame([(p,) for p in cases], "payload string")
+    found = {r.payload: (r.arguments, r.reason) for r in extract_command(log).collect()}
+    assert found == {p: (a, None if a else "non_string_command") for p, a in cases.items()}
+
+
 def test_one_payload_per_file(spark, tmp_path):
     text = json.dumps({"tool_input": {"command": "use catalog system"}}, indent=2)
     (tmp_path / "a.json").write_text(text)
@@ -206,6 +222,52 @@ def test_whole_files_on_a_stream(spark, tmp_path):
     assert sorted((r.reason, r.catalog or "", len(r.arguments or [])) for r in rows) == [("malformed", "", 0), ("match", "samples", 2), ("match", "system", 2)]
 
 
+def test_whole_files_are_read_as_bytes_alike(spark, tmp_path):
+    made = {"a.json": b'[\n "\xc3\xa9\\n"\r\n]\n', "b.json": b"", "c.json": b"\xff\x00x\n\n", "d.json": b"\xef\xbb\xbf{}", ".e": b"hidden"}
+    (tmp_path / "in").mkdir()
+    for name, content in made.items():
+        (tmp_path / "in" / name).write_bytes(content)
+
+    def read(compressed):
+        log = stream_text_log(spark, str(tmp_path / "in"), whole_files=True, compressed=compressed)
+        assert log.columns == ["payload", "file"]
+        out = str(tmp_path / f"out-{compressed}")
+        start_audit(log.select(F.col("payload").cast("binary").alias("p"), "file"), out, str(tmp_path / f"check-{compressed}")).awaitTermination()
+        return sorted((r.file.rsplit("/", 1)[1], bytes(r.p)) for r in spark.read.parquet(out).collect())
+
+    assert read(False) == read(True) == sorted((n, c) for n, c in made.items() if c and n != ".e")
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_each_text_in_a_file_and_no_more_files_in_a_folder(spark, tmp_path, monkeypatch, local):
+    if not local:
+        monkeypatch.setattr(sinks, "_on_local_disk", lambda *_: None)
+    made = [f"{k}\né\r" for k in range(50)] + ["", "twice", "twice"]
+    texts = spark.createDataFrame([(t,) for t in made], "payload string").repartition(4)
+    folders = write_files(texts, f"file://{tmp_path}/in", 4, 20)
+    assert len(folders) == 3 and (folders[0] == f"file://{tmp_path}/in") == local
+    found = [list(tmp_path.glob(f"{f.removeprefix(f'file://{tmp_path}/').removeprefix(f'file:{tmp_path}/')}/part-*.txt")) for f in folders]
+    assert all(0 < len(files) <= 20 for files in found)
+    assert sorted(f.read_bytes().decode() for files in found for f in files) == sorted(f"{t}\n" for t in made)
+    if local:  # no checksum beside each file
+        assert not list(tmp_path.glob("in*/.*"))
+
+
+def test_no_texts_and_no_files(spark, tmp_path):
+    texts = spark.createDataFrame([], "payload string").repartition(4)
+    assert write_files(texts, str(tmp_path / "in"), 4, 20) == [str(tmp_path / "in")]
+    assert list((tmp_path / "in").iterdir()) == []
+
+
+def test_settings_for_many_small_files_are_put_back(spark):
+    names = ("spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name, None) for name in names]
+    with pytest.raises(KeyError), many_small_files(spark, 3):
+        assert [spark.conf.get(name) for name in names] == ["3", "12", "16384"]
+        raise KeyError
+    assert [spark.conf.get(name, None) for name in names] == before
+
+
 def test_a_policy_table_on_a_stream_and_a_batch_that_runs_again(spark, tmp_path):
     names = [*(f"c{k}" for k in range(150)), "main db"]
     table = spark.createDataFrame(list(enumerate(names)), "pos INT, name STRING")
